@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import sharding, url_filter, warc
+from . import jaccard_join, line_dedup, sharding, url_filter, warc
 from .runtime import shared_path, table
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block")]
@@ -56,5 +56,48 @@ b as (select host, path, max({'n': length(rule), 'rule': rule, 'verdict': verdic
 select page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') as verdict from u left join b using (host, path)
 """
 
-QUERIES = {"op3_kd_tree_shards": op3_kd_tree_shards, "op4_warc_revisits": op4_warc_revisits, "op7_url_rules": op7_url_rules}
-ORACLE_SQL = {"op4_warc_revisits": OP4_SQL, "op7_url_rules": OP7_SQL}
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_kept", F.md5("text").alias("text_md5"))
+
+
+OP2_SQL = """
+with l as (select doc_id, i as line_no, trim(lines[i], ' ' || chr(9) || chr(13)) as key, lines[i] as line
+  from (select doc_id, string_split(text, chr(10)) as lines from documents where text is not null), lateral (select unnest(range(1, len(lines) + 1)) as i)),
+d as (select key, length(key) as n, min({'d': doc_id, 'l': line_no}) as first from l where key <> '' group by key),
+v as (select n, p, hash(left(key, p - 1) || substr(key, p + 1)) as h, key, first from d, lateral (select unnest(range(1, n + 1)) as p) where n >= 10),
+near as (
+  select distinct b.key from v a join v b on a.n = b.n and a.p = b.p and a.h = b.h and a.key <> b.key and a.first < b.first
+  union select distinct b.key from v b join d a on b.h = hash(a.key) and a.n = b.n - 1 and a.n >= 10 and a.first < b.first
+  union select distinct b.key from v a join d b on a.h = hash(b.key) and b.n = a.n - 1 and b.n >= 10 and a.first < b.first),
+k as (select l.*, key = '' or (d.first = {'d': doc_id, 'l': line_no} and key not in (select key from near)) as kept from l left join d using (key)),
+t as (select doc_id, count(*) filter (key <> '') as n_lines, count(*) filter (key <> '' and kept) as n_kept,
+  coalesce(string_agg(line, chr(10) order by line_no) filter (kept), '') as t from k group by doc_id)
+select doc_id, coalesce(n_lines, 0)::int as n_lines, coalesce(n_kept, 0)::int as n_kept, md5(t) as text_md5 from documents left join t using (doc_id)
+"""
+
+
+def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_join.near_duplicates(docs, like=jaccard_join.Likeness(words=3, percent=90)).withColumnRenamed("id", "doc_id")
+
+
+OP9_SQL = r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents),
+s as (select distinct doc_id, case when len(w) < 3 then array_to_string(w, ' ') else array_to_string(w[i:i + 2], ' ') end as s
+  from w, lateral (select unnest(range(1, greatest(len(w) - 1, 2))) as i) where len(w) > 0),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as m from s a join s b on a.s = b.s and a.doc_id <> b.doc_id group by all),
+e as (select a, b from p join n x on a = x.doc_id join n y on b = y.doc_id where 100 * m >= 90 * (x.n + y.n - m)),
+c(doc_id, other) as (select doc_id, doc_id from documents union select c.doc_id, e.b from c join e on c.other = e.a)
+select doc_id, coalesce(n.n, 0) as n_shingles, min(other) as component_id from c left join n using (doc_id) group by doc_id, n.n
+"""
+
+QUERIES = {
+    "op2_line_dedup": op2_line_dedup,
+    "op3_kd_tree_shards": op3_kd_tree_shards,
+    "op4_warc_revisits": op4_warc_revisits,
+    "op7_url_rules": op7_url_rules,
+    "op9_ngram_jaccard": op9_ngram_jaccard,
+}
+ORACLE_SQL = {"op2_line_dedup": OP2_SQL, "op4_warc_revisits": OP4_SQL, "op7_url_rules": OP7_SQL, "op9_ngram_jaccard": OP9_SQL}
