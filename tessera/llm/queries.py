@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, sharding, url_filter, warc
+from . import jaccard_join, line_dedup, sharding, spotsigs, token_store, toxicity, url_filter, warc
 from .runtime import shared_path, table
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block")]
@@ -93,11 +94,29 @@ c(doc_id, other) as (select doc_id, doc_id from documents union select c.doc_id,
 select doc_id, coalesce(n.n, 0) as n_shingles, min(other) as component_id from c left join n using (doc_id) group by doc_id, n.n
 """
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
+
+
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spotsigs.edit_likeness(table(spark, sf_dir, "documents"))
+
+
+def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = token_store.new_store(spark)
+    token_store.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_store.read_facts(spark, path)
+
+
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_kd_tree_shards": op3_kd_tree_shards,
     "op4_warc_revisits": op4_warc_revisits,
+    "op6_toxicity": op6_toxicity,
     "op7_url_rules": op7_url_rules,
+    "op8_spotsigs": op8_spotsigs,
     "op9_ngram_jaccard": op9_ngram_jaccard,
+    "op10_token_store": op10_token_store,
 }
 ORACLE_SQL = {"op2_line_dedup": OP2_SQL, "op4_warc_revisits": OP4_SQL, "op7_url_rules": OP7_SQL, "op9_ngram_jaccard": OP9_SQL}
