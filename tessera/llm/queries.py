@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import jaccard_join, line_dedup, sharding, spotsigs, token_store, toxicity, url_filter, warc
+from . import decontaminate, jaccard_join, line_dedup, sentencepiece, sharding, spotsigs, token_store, toxicity, url_filter, warc
 from .runtime import shared_path, table
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block")]
@@ -57,6 +57,10 @@ b as (select host, path, max({'n': length(rule), 'rule': rule, 'verdict': verdic
 select page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') as verdict from u left join b using (host, path)
 """
 
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_kept", F.md5("text").alias("text_md5"))
@@ -94,6 +98,10 @@ c(doc_id, other) as (select doc_id, doc_id from documents union select c.doc_id,
 select doc_id, coalesce(n.n, 0) as n_shingles, min(other) as component_id from c left join n using (doc_id) group by doc_id, n.n
 """
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
@@ -110,9 +118,11 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
     "op3_kd_tree_shards": op3_kd_tree_shards,
     "op4_warc_revisits": op4_warc_revisits,
+    "op5_decontamination": op5_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_url_rules": op7_url_rules,
     "op8_spotsigs": op8_spotsigs,
