@@ -1,6 +1,6 @@
 """The registered queries and the SQL that gives the same rows."""
 
-from . import control
+from . import control, pixels
 
-QUERIES = control.Q
-ORACLE = control.SQL
+QUERIES = control.Q | pixels.Q
+ORACLE = control.SQL | pixels.SQL

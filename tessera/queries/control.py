@@ -36,7 +36,7 @@ TOKENS = """select event_id, case event_id % 7 when 0 then concat('  ', cast(use
 
 @query("tile_decode", f"""with t as ({TOKENS.format(s="varchar", events="events")}),
   m as (select *, regexp_extract(token, '^\\s*(-?\\d+)X(-?\\d+)Y\\s*$', 1) as a, regexp_extract(token, '^\\s*(-?\\d+)X(-?\\d+)Y\\s*$', 2) as b from t)
-  select event_id, try_cast(a as int) as x_tile, try_cast(b as int) as y_tile, case when a <> '' then concat(a, 'X', b, 'Y') end as tag from m""")
+  select event_id, try_cast(a as int) as x_tile, try_cast(b as int) as y_tile, case when a <> '' then concat(cast(try_cast(a as int) as varchar), 'X', cast(try_cast(b as int) as varchar), 'Y') end as tag from m""")
 def tile_decode(spark, d):
     tokens = spark.sql(TOKENS.format(s="string", events="{events}"), events=spark.read.parquet(f"{d}/events.parquet"))
     return tiles.decoded(tokens).select("event_id", "x_tile", "y_tile", S.tile_tag(F.col("x_tile"), F.col("y_tile")).alias("tag"))
