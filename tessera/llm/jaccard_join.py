@@ -177,9 +177,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sketch = written(table_of(base, "digest binary, n long", sizes, like), "sketch")
     keyed = table_of(base, "digest binary, keys array<long>", lambda ds, ss: [pa.array(ds, pa.binary()), arrays([keys_of(s, like) for s in ss])], like, once=True)
     keyed = keyed.select("digest", F.explode("keys").alias("key"))
-    two = keyed.select("key", F.xxhash64("digest").alias("d")).repartition("key").groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    shared = written(two.where("lo <> hi").select("key"), "shared-keys")
-    members = written(keyed.join(small(shared, BROADCAST_ROWS), "key", "left_semi").distinct(), "key-members")
+    ends = keyed.select("key", F.xxhash64("digest").alias("d")).groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
+    members = written(keyed.join(ends.where("lo <> hi").select("key"), "key", "left_semi").distinct(), "key-members")
     hubs = members.groupBy("key").agg(F.min("digest").alias("hub"))
     family = connected_components(members.join(hubs, "key").select(F.col("digest").alias("a"), F.col("hub").alias("b"))).select(F.col("node").alias("digest"), F.col("root").alias("family"))
     family = written(family, "families")
