@@ -34,9 +34,8 @@ def pixel_parts(boxes: DataFrame) -> DataFrame:
 
 def zonal_means(boxes: DataFrame, pixels: DataFrame, keys: list[str], value: str = "u8") -> DataFrame:
     """(keys, ttc): means weighted by covered parts of LEAST_PART or more, without NODATA; null where none counts."""
-    parts = pixel_parts(boxes).where(F.col("part") >= LEAST_PART)
-    data = parts.join(pixels.where(F.col(value) != NODATA), ["r", "c"], "left")
-    weight = F.when(F.col(value).isNotNull(), F.col("part"))
+    data = pixel_parts(boxes).join(pixels.where(F.col(value) != NODATA), ["r", "c"], "left")
+    weight = F.when(F.col(value).isNotNull() & (F.col("part") >= LEAST_PART), F.col("part"))
     return data.groupBy(*keys).agg(F.try_divide(F.sum(F.col(value) * weight), F.sum(weight)).alias("ttc"))
 
 
