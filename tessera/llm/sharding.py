@@ -89,10 +89,12 @@ def kd_tree_shards(rows: DataFrame, dims: list[Column], size: str, shards: int |
     """
     rows = rows.drop("shard", "slot")
     tie = F.xxhash64(*rows.columns).bitwiseAND(F.lit((1 << TIE_BITS) - 1))
-    keyed = rows.withColumn("tie", tie).select(
-        *rows.columns, "tie", F.array(*[F.shiftleft(d.cast("long"), TIE_BITS).bitwiseOR(F.col("tie")) for d in dims]).alias("keys")
-    )
-    keyed = written(keyed, "kd-rows")
+    # A row's own columns are kept together, so that none can clash with those of the tree.
+    keyed = rows.select(
+        F.struct(*rows.columns).alias("row"), F.col(size).cast("long").alias("size"), tie.alias("tie"),
+        F.array(*[F.shiftleft(d.cast("long"), TIE_BITS).bitwiseOR(tie) for d in dims]).alias("keys"),
+    )
+    keyed, size = written(keyed, "kd-rows"), "size"
     ends = [x for i in range(len(dims)) for x in (F.min(F.get("keys", F.lit(i))).alias(f"lo{i}"), F.max(F.get("keys", F.lit(i))).alias(f"hi{i}"))]
     whole = keyed.agg(F.sum(size).alias("size"), *ends).first()
     if shards is None:
@@ -120,9 +122,9 @@ def kd_tree_shards(rows: DataFrame, dims: list[Column], size: str, shards: int |
     placed = nodes.withColumn("shard", of_node({n: first for n, (first, _) in leaves.items()}, "int")).withColumn("part", F.pmod(F.col("tie"), F.lit(SLOT_PARTS)))
     parts = placed.groupBy("shard", "part").agg(F.count("*").alias("n"))
     before = parts.select("shard", "part", (F.sum("n").over(Window.partitionBy("shard").orderBy("part")) - F.col("n")).alias("before"))
-    here = F.row_number().over(Window.partitionBy("shard", "part").orderBy("tie", *rows.columns)) - 1
+    here = F.row_number().over(Window.partitionBy("shard", "part").orderBy("tie", "row")) - 1
     out = placed.withColumn("here", here).join(small(written(before, "slots"), SLOT_PARTS * 4096), ["shard", "part"])
-    return out.withColumn("slot", (F.col("before") + F.col("here")).cast("long")).select(*rows.columns, "shard", "slot"), splits
+    return out.withColumn("slot", (F.col("before") + F.col("here")).cast("long")).select("row.*", "shard", "slot"), splits
 
 
 def assigned(keyed: DataFrame, splits: list[Split]) -> DataFrame:

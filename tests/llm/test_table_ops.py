@@ -96,7 +96,7 @@ def test_shards_are_even_and_slots_gapless(spark, sf):
 
 
 def test_shards_by_target_hot_values_and_empty_tables(spark):
-    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(100).cast("long").alias("size"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("source"))
+    docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(100).cast("long").alias("size"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("source"), F.lit(1).alias("node"), F.lit(2).alias("keys"), F.lit(3).alias("row"))
     placed, _ = sharding.kd_tree_shards(docs, [sharding.categorical("source")], "size", target_bytes=20_000)
     sizes = Counter(r.shard for r in placed.collect())
     assert len(sizes) == 10 and max(sizes.values()) - min(sizes.values()) <= 3
@@ -149,7 +149,7 @@ def test_url_rules_against_a_loop(spark):
     urls = [f"http{rng.choice(['', 's'])}://{rng.choice(parts)}/{rng.choice(['en', 'de', 'es', 'En'])}/{rng.choice(['', '7', '78x', '8/', 'q'])}{rng.choice(['', '?a=/en/7', '#z'])}" for _ in range(300)]
     urls += [None, "", "no scheme", "://", "http://com/en/", "a://b://com/en/", "http://com\n/en/", "http://user@com/en/x", "http://com:80/en/"]
     rules = [*URL_RULES, ("com/en/7\\E.*", "allow"), ("example.com/e", "block"), ("a/", "block")]
-    pages = spark.createDataFrame([(i, u, "mine") for i, u in enumerate(urls)] + [(0, urls[0], "mine")], "page_id long, url string, verdict string")
+    pages = spark.createDataFrame([(i, u, "mine", 0, 0) for i, u in enumerate(urls)] + [(0, urls[0], "mine", 0, 0)], "page_id long, url string, verdict string, best int, target int")
     got = url_filter.filter_urls(pages, url_filter.rules_table(spark, rules)).collect()
     assert len(got) == len(urls) + 1
     for r in got:
