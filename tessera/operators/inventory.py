@@ -38,3 +38,17 @@ def by_year(tiles: DataFrame, inventory: DataFrame, sources: tuple[str, ...]) ->
 def ready(tiles: DataFrame, inventory: DataFrame, sources: tuple[str, ...]) -> DataFrame:
     """Tile-years all of whose sources exist."""
     return availability(tiles, inventory, sources).where("available").drop("available")
+
+
+def first_there(wanted: DataFrame, candidates: list, inventory: DataFrame, *keys: str) -> DataFrame:
+    """(keys, object_key, place): of alternative keys (columns, best first) the first that exists; nulls without one."""
+    tries = F.explode(F.array(*[F.struct(F.lit(i).alias("place"), c.alias("object_key")) for i, c in enumerate(candidates)])).alias("k")
+    found = wanted.select(*keys, tries).select(*keys, "k.*").join(inventory.select("object_key").distinct(), "object_key")
+    best = found.groupBy(*keys).agg(F.min(F.struct("place", "object_key")).alias("best"))
+    return wanted.select(*keys).distinct().join(best, list(keys), "left").select(*keys, "best.object_key", "best.place")
+
+
+def tile_ids(inventory: DataFrame) -> DataFrame:
+    """Distinct tile tags among all object names, whatever stands before or after them."""
+    tag = F.regexp_extract("object_key", r"(\d+X\d+Y)[^/]*$", 1)
+    return inventory.select(tag.alias("tag")).where("tag <> ''").distinct()

@@ -142,3 +142,35 @@ def slopes(dem: DataFrame, value: str, metres: float, tile: str = "tile") -> Dat
     down, across = along(tile)
     steep = dem.withColumn("_dy", gradient(down)).withColumn("_dx", gradient(across))
     return steep.withColumn("slope", F.degrees(F.atan(F.sqrt(F.col("_dx") * F.col("_dx") + F.col("_dy") * F.col("_dy"))))).drop("_dx", "_dy")
+
+
+def doubled(pixels: DataFrame, value: str, tile: str = "tile") -> DataFrame:
+    """A raster of twice the rows and columns by bilinear interpolation between pixel centres; edges repeat.
+
+    A pixel gives each output near it a weight, and outputs add up what they get: no pixel looks for its neighbours.
+    """
+    size = pixels.groupBy(tile).agg((F.max("r") + 1).alias("_h"), (F.max("c") + 1).alias("_w"))
+
+    def spread(at: str, n: str) -> Column:
+        last = F.col(n) * 2 - 1
+        near = lambda off, w: F.struct((F.col(at) * 2 + off).alias("to"), F.lit(w).alias("w"))
+        own = F.array(near(-1, 0.25), near(0, 0.75), near(1, 0.75), near(2, 0.25))
+        first = F.when(F.col(at) == 0, F.array(F.struct(F.lit(0).alias("to"), F.lit(0.25).alias("w")))).otherwise(F.array().cast("array<struct<to: int, w: double>>"))
+        end = F.when(F.col(at) == F.col(n) - 1, F.array(F.struct(last.alias("to"), F.lit(0.25).alias("w")))).otherwise(F.array().cast("array<struct<to: int, w: double>>"))
+        return F.filter(F.concat(own, first, end), lambda x: (x["to"] >= 0) & (x["to"] <= last))
+
+    each = pixels.join(size, tile).select(tile, value, spread("r", "_h").alias("_r"), spread("c", "_w").alias("_c"))
+    out = each.select(tile, value, F.explode("_r").alias("_r"), "_c").select(tile, value, "_r", F.explode("_c").alias("_c"))
+    return out.groupBy(tile, F.col("_r.to").alias("r"), F.col("_c.to").alias("c")).agg(F.sum(F.col(value) * F.col("_r.w") * F.col("_c.w")).alias(value))
+
+
+def rolled_up(parity: DataFrame, name: str, score: str) -> DataFrame:
+    """Mean and least score of rasters, and which has the least."""
+    return parity.agg(F.round(F.avg(score), 6).alias("mean"), F.min(score).alias("least"), F.min(F.struct(score, name)).getField(name).alias("worst"))
+
+
+def differences(a: DataFrame, b: DataFrame, value: str, keys: list[str], far: float = 5) -> DataFrame:
+    """Percentiles of the absolute differences of two rasters, their deviation, equal and far pixels."""
+    off = a.join(b.withColumnRenamed(value, "_b"), keys).select(F.abs(F.col(value) - F.col("_b")).alias("off"))
+    points = [F.round(F.percentile("off", q / 100), 6).alias(f"p{q}") for q in (50, 90, 95, 99)]
+    return off.agg(*points, F.round(F.stddev_pop("off"), 6).alias("std"), F.count_if(F.col("off") == 0).alias("equal"), F.count_if(F.col("off") > far).alias("far"), F.max("off").alias("most"))

@@ -321,3 +321,20 @@ def tile_boxes(spark, d):
         "x_tile", "y_tile", r(lon - 1 / 36).alias("west"), r(lat - 1 / 36).alias("south"), r(lon + 1 / 36).alias("east"), r(lat + 1 / 36).alias("north"),
         F.round(S.mercator_x(lon), 3).alias("mx"), (F.round(S.mercator_y(lat), 3) + 0.0).alias("my"),
     )
+
+
+K2 = "concat(year::varchar, '/raw/', x_tile::varchar, '/', y_tile::varchar, '/raw/', '{p}', x_tile::varchar, 'X', y_tile::varchar, 'Y.hkl')"
+
+
+@query("first_existing_key", f"""with k as (select year, x_tile, y_tile, {K2.format(p="misc/dem_")} as a, {K2.format(p="s1/")} as b from v_tiles)
+  select year, x_tile, y_tile, case when a in (select object_key from v_inventory) then a when b in (select object_key from v_inventory) then b end as object_key,
+  case when a in (select object_key from v_inventory) then 0 when b in (select object_key from v_inventory) then 1 end as place from k""")
+def first_existing_key(spark, d):
+    t, i = v(spark, d, "v_tiles", "v_inventory")
+    c = [F.col(x) for x in ("year", "x_tile", "y_tile")]
+    return inventory.first_there(t, [S.source_key("dem", *c), S.source_key("s1", *c)], i, "year", "x_tile", "y_tile")
+
+
+@query("tile_ids", "select distinct regexp_extract(object_key, '(\\d+X\\d+Y)[^/]*$', 1) as tag from v_inventory")
+def tile_ids(spark, d):
+    return inventory.tile_ids(v(spark, d, "v_inventory"))

@@ -361,3 +361,38 @@ def error_propagation(spark, d):
 def majority_land_cover(spark, d):
     found = zonal.majority(view(spark, d, "v_patch").withColumn("code", F.col("u8") * 10 % 230), "tile", "code")
     return found.withColumn("category", zonal.land_category(F.col("code")))
+
+
+NEIGHBOUR = "(select tile, r, c, u8, max(r) over (partition by tile) + 1 as h, max(c) over (partition by tile) + 1 as w from v_patch)"
+
+
+@query("bilinear_double", f"""with n as {NEIGHBOUR}, o as (select distinct tile, h, w, unnest([2 * r, 2 * r + 1]) as r, 2 * c as c2 from n), q as (select tile, h, w, r, unnest([c2, c2 + 1]) as c from o),
+  k as (select *, (r + 0.5) / 2 - 0.5 as y, (c + 0.5) / 2 - 0.5 as x from q), e as (select k.*, unnest([{{'dr': 0, 'dc': 0}}, {{'dr': 0, 'dc': 1}}, {{'dr': 1, 'dc': 0}}, {{'dr': 1, 'dc': 1}}]) as d from k),
+  g as (select tile, r, c, least(greatest(floor(y) + d.dr, 0), h - 1) as sr, least(greatest(floor(x) + d.dc, 0), w - 1) as sc, (case when d.dr = 1 then y - floor(y) else 1 - (y - floor(y)) end) * (case when d.dc = 1 then x - floor(x) else 1 - (x - floor(x)) end) as wt from e)
+  select g.tile, cast(g.r as int) as r, cast(g.c as int) as c, round(sum(wt * n.u8), 6) as v from g join n on n.tile = g.tile and n.r = g.sr and n.c = g.sc group by 1, 2, 3""")
+def bilinear_double(spark, d):
+    return raster.doubled(view(spark, d, "v_patch").withColumnRenamed("u8", "v"), "v").withColumn("v", F.round("v", 6))
+
+
+@query("parity_rollup", f"""with a as {U8}, b as (select tile, r, c, least(u8 + tile % 7, 254) as b from v_patch), j as (select label, round(avg(abs(u8 - b)), 6) as mae from a join b using (tile, r, c) where u8 <> 255 group by 1)
+  select round(avg(mae), 6) as mean, min(mae) as least, (select label from j order by mae, label limit 1) as worst from j""")
+def parity_rollup(spark, d):
+    return raster.rolled_up(raster_parity(spark, d), "label", "mae")
+
+
+@query("difference_percentiles", """with o as (select abs(u8 - least(u8 + tile % 7, 254)) as off from v_patch) select round(quantile_cont(off, 0.5), 6) as p50, round(quantile_cont(off, 0.9), 6) as p90, round(quantile_cont(off, 0.95), 6) as p95,
+  round(quantile_cont(off, 0.99), 6) as p99, round(stddev_pop(off), 6) as std, count(*) filter (off = 0) as equal, count(*) filter (off > 5) as far, max(off) as most from o""")
+def difference_percentiles(spark, d):
+    p = view(spark, d, "v_patch").select("tile", "r", "c", "u8")
+    return raster.differences(p, p.withColumn("u8", F.least(F.col("u8") + F.col("tile") % 7, F.lit(254))), "u8", ["tile", "r", "c"])
+
+
+@query("quality_filter", """select tile, round(avg(case when u8 % 12 in (0, 1, 2, 3, 7, 8, 9, 10, 11) then 1.0 else 0 end), 6) as bad from v_patch group by 1 having avg(case when u8 % 12 in (0, 1, 2, 3, 7, 8, 9, 10, 11) then 1.0 else 0 end) <= 0.75""")
+def quality_filter(spark, d):
+    share = F.avg((F.col("u8") % 12).isin(*P.CLOUDY).cast("double"))
+    return view(spark, d, "v_patch").groupBy("tile").agg(share.alias("bad")).where("bad <= 0.75").withColumn("bad", F.round("bad", 6))
+
+
+@query("quarter_frames", "select pixel, cast(floor(t / 6) * 3 + m as int) as frame, round(median(v), 8) as v from v_series, (select unnest([0, 1, 2]) as m) group by 1, 2")
+def quarter_frames(spark, d):
+    return quarter_medians(spark, d).select("pixel", F.explode(F.sequence(F.col("quarter") * 3, F.col("quarter") * 3 + 2)).alias("frame"), "v")

@@ -222,3 +222,22 @@ def test_stream_counts_like_the_batch(spark, sf):
     q.stop()
     total = spark.table("job_windows").agg(F.sum("jobs"), F.sum("good")).first()
     assert (total[0], total[1]) == (jobs.count(), jobs.where("status in ('success', 'partial')").count())
+
+
+def test_radar_annotations(spark):
+    from tessera.sources import radar
+
+    at = folder()
+    with open(f"{at}/cal.xml", "w") as f:
+        f.write("<c><list><calibrationVector><line>0</line><pixel>0 40 80</pixel><sigmaNought>1.5 2.5 3.5</sigmaNought></calibrationVector>"
+                "<calibrationVector><line>7</line><pixel>0 40</pixel><sigmaNought>4 5</sigmaNought></calibrationVector></list></c>")
+    got = sorted(map(tuple, radar.lut(spark, f"{at}/cal.xml", "calibrationVector", "sigmaNought").collect()))
+    assert got == [(0, 0, 1.5), (0, 40, 2.5), (0, 80, 3.5), (7, 0, 4.0), (7, 40, 5.0)]
+    with open(f"{at}/noise.xml", "w") as f:
+        f.write("<n><noiseVector><line>3</line><pixel>1 2</pixel><noiseLut>9 8</noiseLut></noiseVector></n>")
+    assert sorted(map(tuple, radar.noise_lut(spark, f"{at}/noise.xml").collect())) == [(3, 1, 9.0), (3, 2, 8.0)]
+    row = spark.sql("select map('noise-vv', 's3://b/k/n.xml', 'schema-calibration-vv', 'c', 'vh', 'x') as a, map('view:incidence_angle', '41.5') as p, 'ascending' as o").select(
+        radar.asset_named(F.col("a"), "calibration", "VV").alias("c"), radar.asset_named(F.col("a"), "noise", "vh").alias("none"), radar.incidence(F.col("p")).alias("i"),
+        radar.look_angle(F.col("o")).alias("l"), radar.signed(radar.web_address(radar.asset_named(F.col("a"), "noise")), "?sig=1").alias("w"),
+    ).first()
+    assert (row.c, row.none, row.i) == ("c", None, 41.5) and row.l == pytest.approx(math.pi / 2) and row.w == "https://b.s3.eu-central-1.amazonaws.com/k/n.xml?sig=1"
