@@ -164,16 +164,25 @@ def features_table(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> OrdinalModel:
     """Fit on the labelled documents (doc_id, text; doc_id, toxic) with the sample_rows least hashes of their id.
 
-    Rows with a null id, text or label are left out. The driver gets the features of the sample alone. Without
-    toxic rows, or any, the model gives every text the same small severity.
+    Rows with a null id, text or label are left out. Features are counted, and those that can matter (telling ones
+    and markers) chosen, in Spark; the driver gets these alone. Without toxic rows, or any, the model gives every
+    text the same small severity.
     """
     # Ids whose labels disagree count as toxic.
     picked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
-    sample = docs.where("text is not null").select("doc_id", "text").join(small(written(picked, "labels"), sample_rows), "doc_id").select("doc_id", "toxic", "text")
-    got = features_table(sample).orderBy("doc_id").toPandas()
-    rows = [np.asarray(r, np.int64) for r in got["features"]]
-    return fit(rows, severity_grades(rows, got["toxic"].to_numpy().astype(int)))
+    sample = docs.where("text is not null").select("doc_id", "text").join(small(written(picked, "labels"), sample_rows), "doc_id")
+    sample = sample.select(F.xxhash64("doc_id", "text").alias("row"), (F.col("toxic") > 0).cast("int").alias("toxic"), "text")
+    sample = written(features_table(sample), "features")
+    base = sample.agg(F.avg("toxic")).first()[0] or 0.0
+    of = sample.select("toxic", F.explode("features").alias("f")).groupBy("f").agg(F.count("*").alias("seen"), F.sum("toxic").alias("bad"))
+    z = F.try_divide(F.col("bad") - F.col("seen") * base, F.sqrt(F.col("seen") * (base * (1 - base))))
+    telling_ones = (F.col("seen") >= MARKER_TEXTS - 1) & (z >= LEAST_Z)
+    chosen = of.where(telling_ones | ((F.col("seen") >= MARKER_TEXTS) & (F.col("bad") >= MARKER_SHARE * F.col("seen")))).select("f")
+    few = sample.select("row", F.explode("features").alias("f")).join(small(written(chosen, "telling"), 1_000_000), "f").groupBy("row").agg(F.sort_array(F.collect_set("f")).alias("features"))
+    got = sample.select("row", "toxic").join(few, "row", "left").orderBy("row").collect()
+    rows = [np.array(r["features"] or [], np.int64) for r in got]
+    return fit(rows, severity_grades(rows, np.array([r["toxic"] for r in got], np.int64)))
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", reject: float = REJECT) -> DataFrame:
