@@ -11,6 +11,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .components import connected_components
 from .runtime import small, written
@@ -18,8 +19,10 @@ from .words import SPACES, mix, shingles, slices, words_of
 
 BITS = 1024
 #: A block of a tile has about so many sets and shingles at most (a single larger set is a block of its own).
-BLOCK_SETS, BLOCK_SHINGLES = 1000, 1_000_000
-#: Keys and ids are broadcast up to this count, else joined by a shuffle.
+BLOCK_SETS, BLOCK_SHINGLES = 4000, 4_000_000
+#: Keys of a batch of texts are put together before they are shuffled, in runs of about so many.
+RUN_KEYS = 1_000_000
+#: Ids and tiles are broadcast up to this count, else joined by a shuffle.
 BROADCAST_ROWS = 500_000
 SALT = np.uint64(0xA24BAED4963EE407)
 
@@ -123,6 +126,55 @@ def table_of(docs: DataFrame, schema: str, row, like: Likeness, once: bool = Fal
     return docs.mapInArrow(run, f"id {kind}, {schema}")
 
 
+def short(digests: list[bytes]) -> np.ndarray:
+    """64 bits of each digest. Sets that share them by chance share a family, which does no harm."""
+    return np.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], np.int64)
+
+
+def key_rows(docs: DataFrame, like: Likeness) -> DataFrame:
+    """Rows (key, d): sets with a common key are connected. Equal sets of a task give their rows once.
+
+    Of the sets of a run that share a key, only the first goes on under it; each other one shares a key of its own
+    with that first, made from the two. So a key that very many sets have is a row for each run.
+    """
+
+    def run(batches):
+        import pyarrow as pa
+
+        seen: set[bytes] = set()
+
+        def joined(digests: list[bytes], keys: list[np.ndarray]) -> pa.RecordBatch:
+            key, d = np.concatenate(keys), np.repeat(short(digests), [len(k) for k in keys])
+            order = np.argsort(key, kind="stable")
+            key, d = key[order], d[order]
+            first = np.append(True, key[1:] != key[:-1])[: len(key)]
+            hub = d[first][np.cumsum(first) - 1] if len(key) else d
+            other = ~first & (d != hub)
+            own = mix(d[other].view(np.uint64) ^ mix(hub[other].view(np.uint64)))
+            pairs, at = np.unique(own, return_index=True)
+            key = np.concatenate([key[first], pairs, pairs]).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.concatenate([d[first], d[other][at], hub[other][at]]))], names=["key", "d"])
+
+        for batch in batches:
+            digests, keys, n = [], [], 0
+            with np.errstate(over="ignore"):
+                for _, s in sets_of(batch.column(1), like):
+                    d = digest(s)
+                    if d in seen or not len(s):
+                        continue
+                    seen.add(d)
+                    digests.append(d)
+                    keys.append(keys_of(s, like))
+                    n += len(keys[-1])
+                    if n > RUN_KEYS:
+                        yield joined(digests, keys)
+                        digests, keys, n = [], [], 0
+                if digests:
+                    yield joined(digests, keys)
+
+    return docs.mapInArrow(run, "key long, d long")
+
+
 def arrays(values: list[np.ndarray]) -> pa.Array:
     offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
     flat = np.concatenate(values).view(np.int64) if values else np.zeros(0, np.int64)
@@ -137,7 +189,7 @@ def tile_links(pdf: pd.DataFrame, like: Likeness) -> pd.DataFrame:
     """
     pdf = pdf.drop_duplicates("digest").sort_values("n", kind="stable")
     sets = [np.asarray(s).view(np.uint64) for s in pdf["shingles"]]
-    maps = np.frombuffer(b"".join(pdf["bits"]), np.uint64).reshape(len(pdf), BITS // 64)
+    maps = np.frombuffer(b"".join(map(bitmap, sets)), np.uint64).reshape(len(pdf), BITS // 64)
     n, ids, side = pdf["n"].to_numpy(), pdf["digest"].tolist(), pdf["side"].to_numpy()
     label = np.arange(len(pdf))
     two = len(np.unique(side)) > 1
@@ -173,18 +225,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     so a large family is many tasks and not one. Tiles give links enough to connect what they hold.
     """
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sizes = lambda ds, ss: [pa.array(ds, pa.binary()), pa.array([len(s) for s in ss], pa.int64())]
-    sketch = written(table_of(base, "digest binary, n long", sizes, like), "sketch")
-    keyed = table_of(base, "digest binary, keys array<long>", lambda ds, ss: [pa.array(ds, pa.binary()), arrays([keys_of(s, like) for s in ss])], like, once=True)
-    keyed = keyed.select("digest", F.explode("keys").alias("key"))
-    ends = keyed.select("key", F.xxhash64("digest").alias("d")).groupBy("key").agg(F.min("d").alias("lo"), F.max("d").alias("hi"))
-    members = written(keyed.join(ends.where("lo <> hi").select("key"), "key", "left_semi").distinct(), "key-members")
-    hubs = members.groupBy("key").agg(F.min("digest").alias("hub"))
-    family = connected_components(members.join(hubs, "key").select(F.col("digest").alias("a"), F.col("hub").alias("b"))).select(F.col("node").alias("digest"), F.col("root").alias("family"))
-    family = written(family, "families")
+    sizes = lambda ds, ss: [pa.array(ds, pa.binary()), pa.array(short(ds)), pa.array([len(s) for s in ss], pa.int64())]
+    sketch = written(table_of(base, "digest binary, d long, n long", sizes, like), "sketch")
+    hub = F.min("d").over(Window.partitionBy("key"))
+    edges = key_rows(base, like).withColumn("hub", hub).where("d <> hub").select(F.col("d").alias("a"), F.col("hub").alias("b"))
+    family = written(connected_components(edges).select(F.col("node").alias("d"), F.col("root").alias("family")), "families")
 
     # One text of each set that is in a family.
-    first = sketch.where("n > 0").groupBy("digest", "n").agg(F.min("id").alias("id")).join(small(family, BROADCAST_ROWS), "digest")
+    first = sketch.where("n > 0").groupBy("digest", "d", "n").agg(F.min("id").alias("id")).join(small(family, BROADCAST_ROWS), "d").drop("d")
     band = F.lit(0)
     for start in like.band_starts[1:].tolist():
         if start > 1 << 30:
@@ -214,8 +262,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = placed.select("id", "digest", "family", F.explode(tiles).alias("t")).select("id", "digest", "family", "t.*")
     chosen = small(first.select(F.col("id").alias("chosen")).distinct(), BROADCAST_ROWS)
     texts = base.join(chosen, F.col("id").eqNullSafe(F.col("chosen")), "left_semi")
-    full = lambda ds, ss: [pa.array(ds, pa.binary()), pa.array([len(s) for s in ss], pa.int64()), arrays(ss), pa.array([bitmap(s) for s in ss], pa.binary())]
-    sets = table_of(texts, "digest binary, n long, shingles array<long>, bits binary", full, like, once=True).drop("id")
+    full = lambda ds, ss: [pa.array(ds, pa.binary()), pa.array([len(s) for s in ss], pa.int64()), arrays(ss)]
+    sets = table_of(texts, "digest binary, n long, shingles array<long>", full, like, once=True).drop("id")
     links = (
         sets.join(small(written(wanted.drop("id"), "tiles"), BROADCAST_ROWS), "digest")
         .groupBy("family", "b1", "s1", "b2", "s2")
