@@ -348,13 +348,65 @@ CATEGORY = "case k % 4 when 0 then 'URBAN' when 1 then 'cropland' when 2 then 'F
   f as (select k, ttc, ttc * sqrt(lo * lo + shift_error * shift_error / 4 + small * small / 4) as minus, ttc * sqrt(hi * hi + shift_error * shift_error / 4 + small * small / 4) as plus from e)
   select k, round(ttc, 6) as ttc, round(plus, 6) as error_plus, round(minus, 6) as error_minus, round((plus + minus) / 2, 6) as plus_minus_average from f""")
 def error_propagation(spark, d):
-    boxes = site_boxes(spark, d)
-    rows = zonal.shift_errors(boxes, site_raster(spark, d), "k", 0.5).where("ttc is not null").join(boxes.select("k", F.col("calc_area").alias("area")), "k").withColumn("category", F.expr(CATEGORY))
+    return with_their_errors(spark, site_boxes(spark, d), site_raster(spark, d))
+
+
+def with_their_errors(spark, boxes, pixels):
+    rows = zonal.shift_errors(boxes, pixels, "k", 0.5).where("ttc is not null").join(boxes.select("k", F.col("calc_area").alias("area")), "k").withColumn("category", F.expr(CATEGORY))
     table = spark.createDataFrame(INTERVALS, "category string, p_lower_95 double, p_upper_95 double, r_lower_95 double, r_upper_95 double")
     out = zonal.with_errors(rows, table)
     return out.select("k", *[F.round(c, 6).alias(c) for c in ("ttc", "error_plus", "error_minus", "plus_minus_average")])
 
 
+#: All tiles, row by row in a square that holds them, and the boxes at the same scale to its extent (8 tiles: as above).
+SIDE = "(select cast(ceil(sqrt(max(tile) + 1)) as int) as side from v_patch)"
+WHOLE_RASTER = f"(select cast(floor(tile / side) * 8 + r as int) as r, cast(tile % side * 8 + c as int) as c, case when u8 % 17 = 0 then 255 else u8 end as u8 from v_patch, {SIDE})"
+WHOLE_BOXES = f"(select k, calc_area, x0 * side / 1360.0 as x0, y0 * side / 1360.0 as y0, x1 * side / 1360.0 as x1, y1 * side / 1360.0 as y1 from v_polys, {SIDE})"
+
+
+def tile_side(spark, d):
+    return F.broadcast(view(spark, d, "v_patch").agg(F.ceil(F.sqrt(F.max("tile") + 1)).cast("int").alias("side")))
+
+
+def whole_raster(spark, d):
+    p = holed(spark, d).crossJoin(tile_side(spark, d))
+    return p.select((F.floor(F.col("tile") / F.col("side")) * 8 + F.col("r")).cast("int").alias("r"), (F.col("tile") % F.col("side") * 8 + F.col("c")).cast("int").alias("c"), "u8")
+
+
+def whole_boxes(spark, d):
+    p = view(spark, d, "v_polys").crossJoin(tile_side(spark, d))
+    return p.select("k", "calc_area", *[(F.col(c) * F.col("side") / 1360.0).alias(c) for c in ("x0", "y0", "x1", "y1")])
+
+
+def whole_means_sql(boxes: str, keys: str) -> str:
+    part = "greatest(least(x1, p.c + 1) - greatest(x0, p.c), 0) * greatest(least(y1, p.r + 1) - greatest(y0, p.r), 0)"
+    cells = lambda a, b: f"unnest(range(cast(floor({a}) as bigint), cast(ceil({b}) as bigint)))"
+    return f"""select {keys}, sum(u8 * part) / sum(part) as ttc from (select b.*, p.u8, {part} as part from (select *, {cells('y0', 'y1')} as r from (select *, {cells('x0', 'x1')} as c from {boxes})) b
+      join (select * from {WHOLE_RASTER} where u8 <> 255) p on p.r = b.r and p.c = b.c) where part >= 0.05 group by {keys}"""
+
+
+@query("zonal_mean_whole", f"with m as ({whole_means_sql(WHOLE_BOXES, 'k')}) select k, round(ttc, 6) as ttc from m")
+def zonal_mean_whole(spark, d):
+    return zonal.zonal_means(whole_boxes(spark, d), whole_raster(spark, d), ["k"]).where("ttc is not null").withColumn("ttc", F.round("ttc", 6))
+
+
+WHOLE_SHIFTED = SHIFTED.replace(means_sql(MOVED, "k, i"), whole_means_sql(MOVED.replace(BOXES, WHOLE_BOXES), "k, i"))
+
+
+@query("shift_error_whole", f"with {WHOLE_SHIFTED} select k, round(ttc, 6) as ttc, round(shift_error, 6) as shift_error from s")
+def shift_error_whole(spark, d):
+    found = zonal.shift_errors(whole_boxes(spark, d), whole_raster(spark, d), "k", 0.5).where("ttc is not null")
+    return found.select("k", F.round("ttc", 6).alias("ttc"), F.round("shift_error", 6).alias("shift_error"))
+
+
+@query("error_propagation_whole")
+def error_propagation_whole(spark, d):
+    return with_their_errors(spark, whole_boxes(spark, d), whole_raster(spark, d))
+
+
+SQL["error_propagation_whole"] = SQL["error_propagation"].replace(SHIFTED, WHOLE_SHIFTED)
+
+
 @query("majority_land_cover", """with n as (select tile, u8 * 10 % 230 as code, count(*) as n from v_patch group by 1, 2), r as (select *, row_number() over (partition by tile order by n desc, code) as k from n)
   select tile, code, n, case when code = 190 then 'urban' when code = 130 then 'grassland' when code in (10, 11, 12, 20) then 'cropland' when code in (30, 40, 100, 110) then 'mosaic vegetation'
   when code in (120, 121, 122, 140, 150, 151, 152, 153, 200, 201, 202, 0, 220) then 'shrub/scrub/otherland' else 'forest' end as category from r where k = 1""")
