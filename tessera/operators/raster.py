@@ -86,18 +86,21 @@ def windows(height: int, width: int, size: int, step: int, spark: SparkSession)
     return rows.select(F.concat_ws("_", "r0", "c0").alias("w"), "r0", "c0")
 
 
-def agreement(predictions: DataFrame, window: str, value: str) -> DataFrame:
-    """(window, multiplier): the median disagreement over a window's own, at most 1.5.
+def agreement(predictions: DataFrame, window: str, value: str, keys: list[str] | None = None) -> DataFrame:
+    """(keys, window, multiplier): the median disagreement of a scene's windows over a window's own, at most 1.5.
 
     A window's disagreement is the mean absolute difference of its values from the mean of the other windows' at
-    the same pixels. Sums by pixel give the others' mean, so no window meets each other.
+    the same pixels. Sums by pixel give the others' mean, so no window meets each other. keys name the scene, if
+    there are several.
     """
-    pixel = W.partitionBy("r", "c")
+    keys = keys or []
+    pixel = W.partitionBy(*keys, "r", "c")
     others = F.try_divide(F.sum(value).over(pixel) - F.col(value), F.count(value).over(pixel) - 1)
-    off = predictions.withColumn("_off", F.abs(others - F.col(value))).groupBy(window).agg(F.avg("_off").alias("ratio"))
-    middle = off.agg(F.median("ratio").alias("middle"), F.min("ratio").alias("least"))
+    off = predictions.withColumn("_off", F.abs(others - F.col(value))).groupBy(*keys, window).agg(F.avg("_off").alias("ratio"))
+    middle = off.groupBy(*keys).agg(F.median("ratio").alias("middle"), F.min("ratio").alias("least"))
     usable = (F.col("least") > 0) & F.col("ratio").isNotNull()
-    return off.crossJoin(F.broadcast(middle)).select(window, F.when(usable, F.least(F.col("middle") / F.col("ratio"), F.lit(1.5))).otherwise(1.0).alias("multiplier"))
+    both = off.join(middle, keys) if keys else off.crossJoin(F.broadcast(middle))
+    return both.select(*keys, window, F.when(usable, F.least(F.col("middle") / F.col("ratio"), F.lit(1.5))).otherwise(1.0).alias("multiplier"))
 
 
 def blended(predictions: DataFrame, weight: Column, value: str, keys: list[str]) -> DataFrame:

@@ -278,6 +278,13 @@ def window_agreement(spark, d):
     return raster.agreement(predictions(spark, d).where("label = 1"), "w", "p").withColumn("multiplier", F.round("multiplier", 6))
 
 
+@query("window_agreement_whole", f"""with p as (select label, w, r, c, p from {PRED}), o as (select *, (sum(p) over (partition by label, r, c) - p) / nullif(count(*) over (partition by label, r, c) - 1, 0) as o from p),
+  d as (select label, w, avg(abs(o - p)) as ratio from o group by 1, 2), m as (select label, min(ratio) as least, median(ratio) as middle from d group by 1)
+  select label, w, round(case when least > 0 and ratio is not null then least(middle / ratio, 1.5) else 1 end, 6) as multiplier from d join m using (label)""")
+def window_agreement_whole(spark, d):
+    return raster.agreement(predictions(spark, d), "w", "p", ["label"]).withColumn("multiplier", F.round("multiplier", 6))
+
+
 @query("raster_parity", f"""with a as {U8}, b as (select tile, r, c, least(u8 + tile % 7, 254) as b from v_patch), j as (select label, u8, b, abs(u8 - b) as off from a join b using (tile, r, c) where u8 <> 255)
   select label, count(*) as n, round(avg(off), 6) as mae, max(off) as max_off, round(sqrt(avg(off * off)), 6) as rmse, round(100.0 * count(*) filter (off <= 1) / count(*), 6) as within_1, round(100.0 * count(*) filter (off <= 5) / count(*), 6) as within_5,
   round(100.0 * count(*) filter (off <= 10) / count(*), 6) as within_10, round(corr(u8, b), 6) as corr, round(avg(u8), 6) as mean_a, round(avg(b), 6) as mean_b from j group by 1""")

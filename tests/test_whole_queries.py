@@ -1,6 +1,7 @@
 """Queries over whole tables: nothing is left out that a query over a part leaves out."""
 
 import math
+from statistics import median
 
 import pytest
 
@@ -36,3 +37,25 @@ def test_zonal_queries_see_every_tile(spark, sf):
         if means[b.k]:
             moved = [mean(b, dx / 2, dy / 2) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if dx or dy]
             assert errors[b.k] == pytest.approx((means[b.k], math.sqrt(sum((m / means[b.k] - 1) ** 2 for m in moved if m is not None) / 8)), abs=2e-6)
+
+
+def test_every_label_has_its_multipliers(spark, sf):
+    rows = pixels.predictions(spark, sf).collect()
+    at, off = {}, {}
+    for r in rows:
+        at.setdefault((r.label, r.r, r.c), []).append(r.p)
+    for r in rows:
+        x = at[r.label, r.r, r.c]
+        if len(x) > 1:
+            off.setdefault((r.label, r.w), []).append(abs((sum(x) - r.p) / (len(x) - 1) - r.p))
+    ratio = {k: sum(x) / len(x) for k, x in off.items()}
+    windows = {(r.label, r.w) for r in rows}
+    want = {}
+    for label in {k for k, _ in windows}:
+        own = [x for (k, _), x in ratio.items() if k == label]
+        for k, w in windows:
+            if k == label:
+                want[k, w] = min(median(own) / ratio[k, w], 1.5) if (k, w) in ratio and min(own) > 0 else 1.0
+    got = QUERIES["window_agreement_whole"](spark, sf).collect()
+    assert len(got) == len(want) == 500 and len({r.label for r in got}) == 10
+    assert {(r.label, r.w): r.multiplier for r in got} == pytest.approx(want, abs=2e-6)
