@@ -58,6 +58,22 @@ def nearest_scene(spark, d):
     return scenes.nearest(steps, s).withColumn("step", F.col("step").cast("string"))
 
 
+WHOLE_STEPS = STEPS.replace(" where scene_id % 4 = 0", "")
+
+
+@query("nearest_scene_whole", f"""with n as (select s.tile, s.step, v.scene_id, v.coverage, cast(abs(date_diff('day', v.acquired, cast(s.step as date))) as int) as days from {WHOLE_STEPS} s join v_scenes v
+    on v.tile = s.tile and v.acquired between s.step - interval 2 day and s.step + interval 2 day),
+  f as (select *, row_number() over (partition by tile, step order by days, coverage desc, scene_id) as rank from n),
+  g as (select *, max(case when rank = 1 then coverage end) over (partition by tile, step) as first_cov from f),
+  h as (select *, first_cov < 0.95 and days <= 1 and coverage >= 0.95 as swap from g),
+  o as (select *, row_number() over (partition by tile, step order by swap desc, case when swap then -coverage end, rank) as place from h)
+  select tile, cast(cast(step as date) as varchar) as step, scene_id, days, coverage from o where place = 1""")
+def nearest_scene_whole(spark, d):
+    s = view(spark, d, "v_scenes")
+    steps = s.select("tile", F.date_add("acquired", (F.col("scene_id") % 5).cast("int")).alias("step")).distinct()
+    return scenes.nearest(steps, s).withColumn("step", F.col("step").cast("string"))
+
+
 @query("alternative_scene", """select scene_id, min(cloud) over (partition by tile order by acquired range between interval 30 day preceding and interval 30 day following) < cloud - 0.2 as alternative from v_scenes""")
 def alternative_scene(spark, d):
     return scenes.better_within(view(spark, d, "v_scenes")).select("scene_id", "alternative")

@@ -1,6 +1,7 @@
 """Queries over whole tables: nothing is left out that a query over a part leaves out."""
 
 import math
+from datetime import timedelta
 from statistics import median
 
 import pytest
@@ -59,3 +60,19 @@ def test_every_label_has_its_multipliers(spark, sf):
     got = QUERIES["window_agreement_whole"](spark, sf).collect()
     assert len(got) == len(want) == 500 and len({r.label for r in got}) == 10
     assert {(r.label, r.w): r.multiplier for r in got} == pytest.approx(want, abs=2e-6)
+
+
+def test_every_step_is_looked_up(spark, sf):
+    by = {}
+    rows = view(spark, sf, "v_scenes").collect()
+    for r in rows:
+        by.setdefault((r.tile, r.acquired), []).append(r)
+    want = {}
+    for tile, step in {(r.tile, r.acquired + timedelta(r.scene_id % 5)) for r in rows}:
+        near = sorted((abs(n), -r.coverage, r.scene_id) for n in range(-2, 3) for r in by.get((tile, step + timedelta(n)), []))
+        if near:
+            better = [x for x in near if x[0] <= 1 and -x[1] >= 0.95] if -near[0][1] < 0.95 else []
+            want[tile, str(step)] = min(better, key=lambda x: (x[1], near.index(x)), default=near[0])
+    got = QUERIES["nearest_scene_whole"](spark, sf).collect()
+    assert len(got) == len(want) > QUERIES["nearest_scene"](spark, sf).count()
+    assert {(r.tile, r.step): (r.days, -r.coverage, r.scene_id) for r in got} == want
