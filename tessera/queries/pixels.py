@@ -219,6 +219,16 @@ def false_clouds(spark, d):
     return view(spark, d, "v_pixels").where("i < 12").groupBy("vec_id").agg(flags.alias("f")).select("vec_id", F.array_join(temporal.without_false_clouds(F.col("f")).cast("array<string>"), "").alias("flags"))
 
 
+@query("false_clouds_whole", """with recursive s as (select vec_id, list(case when v > 0 then 1 else 0 end order by i) as f from v_pixels group by 1),
+  w(vec_id, f, i, last, kept) as (select vec_id, f, 1, 0, cast([] as int[]) from s
+    union all select vec_id, f, i + 1, case when last = 1 and f[i] = 1 then 0 else f[i] end,
+      case when last = 1 and f[i] = 1 then list_concat(kept[1:len(kept) - 1], [0, 0]) else list_append(kept, f[i]) end from w where i <= len(f))
+  select vec_id, array_to_string(kept, '') as flags from w where i = len(f) + 1""")
+def false_clouds_whole(spark, d):
+    flags = F.transform(F.array_sort(F.collect_list(F.struct("i", (F.col("v") > 0).cast("int").alias("f")))), lambda x: x["f"])
+    return view(spark, d, "v_pixels").groupBy("vec_id").agg(flags.alias("f")).select("vec_id", F.array_join(temporal.without_false_clouds(F.col("f")).cast("array<string>"), "").alias("flags"))
+
+
 U8 = "(select tile, label, r, c, case when u8 % 17 = 0 then 255 else u8 end as u8 from v_patch)"
 
 

@@ -76,3 +76,15 @@ def test_every_step_is_looked_up(spark, sf):
     got = QUERIES["nearest_scene_whole"](spark, sf).collect()
     assert len(got) == len(want) > QUERIES["nearest_scene"](spark, sf).count()
     assert {(r.tile, r.step): (r.days, -r.coverage, r.scene_id) for r in got} == want
+
+
+def test_whole_series_are_cleared_of_false_clouds(spark, sf):
+    want = {}
+    for r in spark.read.parquet(f"{sf}/embeddings.parquet").collect():
+        f = [int(v > 0) for v in r.embedding]
+        for i in range(1, len(f)):
+            if f[i - 1] and f[i]:
+                f[i - 1] = f[i] = 0
+        want[r.vec_id] = "".join(map(str, f))
+    assert {len(f) for f in want.values()} == {64}
+    assert {r.vec_id: r.flags for r in QUERIES["false_clouds_whole"](spark, sf).collect()} == want
