@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import written
+from .runtime import Scratch
 
 
 def state(edges: DataFrame) -> tuple:
@@ -18,10 +18,11 @@ def connected_components(edges: DataFrame) -> DataFrame:
 
     Each round points every larger neighbour of a node at the least node beside it, then each node at the least
     of its smaller ones, until nothing changes; rounds grow with the logarithm of the longest chain. Only minima
-    are gathered by node, never its neighbours, and each round is written to the shared folder. Loops and
-    repeated edges do no harm; no edges give no rows.
+    are gathered by node, never its neighbours; each round is written to the shared folder and the one before it
+    dropped. Loops and repeated edges do no harm; no edges give no rows.
     """
-    edges = written(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "edges")
+    scratch, turn = Scratch(edges.sparkSession, "components"), 0
+    edges = scratch.table(edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), "0")
     before = state(edges)
     while before[0]:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -29,7 +30,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.least("a", "m").alias("b")).where("a <> b").distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x"))
-        edges = written(small.select("x.*").where("a <> b").distinct(), "edges")
+        edges = scratch.table(small.select("x.*").where("a <> b").distinct(), str(turn + 1))
+        scratch.drop(str(turn))
+        turn += 1
         after = state(edges)
         if after == before:
             break

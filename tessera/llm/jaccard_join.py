@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cached_property
@@ -9,21 +10,21 @@ from functools import cached_property
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .components import connected_components
-from .runtime import small, written
+from .runtime import Scratch, small
 from .words import SPACES, mix, shingles, slices, words_of
 
 BITS = 1024
 #: A block of a tile has about so many sets and shingles at most (a single larger set is a block of its own).
-BLOCK_SETS, BLOCK_SHINGLES = 4000, 4_000_000
-#: Keys of a batch of texts are put together before they are shuffled, in runs of about so many.
-RUN_KEYS = 1_000_000
-#: Ids and tiles are broadcast up to this count, else joined by a shuffle.
+BLOCK_SETS, BLOCK_SHINGLES = 1000, 1_000_000
+#: Ids, keys and tiles are broadcast up to this count, else joined by a shuffle.
 BROADCAST_ROWS = 500_000
+#: A task remembers so many digests, to give the keys of equal sets once.
+SEEN = 100_000
 SALT = np.uint64(0xA24BAED4963EE407)
 
 
@@ -42,156 +43,201 @@ class Likeness:
             starts.append(starts[-1] * 100 // self.percent + 1)
         return np.array(starts)
 
-    def band(self, n: int) -> int:
-        return int(np.searchsorted(self.band_starts, n, "right")) - 1
+    def bands(self, n: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.band_starts, n, "right") - 1
 
-    def parts(self, band: int) -> int:
-        """One more than the elements by which two linked sets, the smaller of this band, can differ."""
-        a = int(self.band_starts[band + 1]) - 1
-        return (a + a * 100 // self.percent) * (100 - self.percent) // (100 + self.percent) + 1
+    def differ(self, band: np.ndarray) -> np.ndarray:
+        """By how many elements two linked sets, the smaller of this band, can differ."""
+        a = self.band_starts[band + 1] - 1
+        return (a + a * 100 // self.percent) * (100 - self.percent) // (100 + self.percent)
 
+    @staticmethod
+    def weak(differ: np.ndarray) -> np.ndarray:
+        """How many of its parts with the fewest elements a set leaves out."""
+        return differ // 7 + 1
 
-def sets_of(texts: pa.Array, like: Likeness) -> Iterator[tuple[int, np.ndarray]]:
-    """(index, sorted distinct shingle hashes) of each text."""
-    with np.errstate(over="ignore"):
-        for at, to, data, offsets in slices(texts):
-            found, starts = shingles(words_of(data, offsets, SPACES), like.words)
-            for i in range(to - at):
-                yield at + i, np.unique(found[starts[i] : starts[i + 1]])
-
-
-def digest(shingle_set: np.ndarray) -> bytes:
-    """128 bits that equal sets share."""
-    with np.errstate(over="ignore"):
-        return np.array([mix(shingle_set).sum(dtype=np.uint64), mix(shingle_set ^ SALT).sum(dtype=np.uint64) + np.uint64(len(shingle_set))], np.uint64).tobytes()
+    @staticmethod
+    def spare(differ: np.ndarray) -> np.ndarray:
+        """How many of the others, those whose keys the most sets have, it leaves out."""
+        return differ // 4 + 1
 
 
-def keys_of(shingle_set: np.ndarray, like: Likeness) -> np.ndarray:
-    """Keys of which two sets that link, but differ, share at least one.
+@dataclass
+class Sets:
+    """The sorted distinct shingles of some texts, one after the other, and where each text's begin (one more entry)."""
 
-    For both bands that the smaller of a pair can have, the hash range is cut into one more part than elements
-    can differ, so that some part is the same in both sets; its key is a hash of the elements in it. Where a part
-    is empty, it says little, and its keys are those of the next part, as it is and less each one element: a pair
-    whose equal parts are all empty has spent its differences on the others, and differs by one in some next part.
-    """
-    out = []
-    with np.errstate(over="ignore"):
-        mixed = mix(shingle_set)
-        for band in {like.band(len(shingle_set)), max(0, like.band(len(shingle_set)) - 1)}:
-            m = like.parts(band)
-            if m < 2:
-                continue  # such a pair can't differ
-            part = ((shingle_set >> np.uint64(32)) * np.uint64(m) >> np.uint64(32)).astype(np.int64)
-            sums, counts = np.zeros(m, np.uint64), np.bincount(part, minlength=m)
-            np.add.at(sums, part, mixed)
-            tag = mix(np.arange(m, dtype=np.uint64) + np.uint64(m << 24) + np.uint64(band << 56))
-            full = counts > 0
-            out.append(mix(sums[full] ^ tag[full]))
-            for p in np.flatnonzero(~full):
-                q = (p + 1) % m
-                out.append(mix(np.append(sums[q], sums[q] - mixed[part == q]) ^ tag[p] ^ SALT))
-    return np.unique(np.concatenate(out)) if out else np.zeros(0, np.uint64)
-
-
-def bitmap(shingle_set: np.ndarray) -> bytes:
-    bits = np.zeros(BITS, bool)
-    bits[(shingle_set % np.uint64(BITS)).astype(np.int64)] = True
-    return np.packbits(bits).tobytes()
-
-
-def table_of(docs: DataFrame, schema: str, row, like: Likeness, once: bool = False) -> DataFrame:
-    """docs (id, text) to rows (id, ...) that `row` makes of each text's set; once: equal sets once for each task."""
+    shingles: np.ndarray
+    starts: np.ndarray
 
-    def run(batches):
-        import pyarrow as pa
-
-        seen: set[bytes] = set()
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            rows = []
-            for i, s in sets_of(texts, like):
-                d = digest(s)
-                if once:
-                    if d in seen or not len(s):
-                        continue
-                    seen.add(d)
-                rows.append((i, d, s))
-            for at in range(0, len(rows), 512):
-                part = rows[at : at + 512]
-                columns = [ids.take(pa.array([i for i, _, _ in part], pa.int64()))]
-                yield pa.RecordBatch.from_arrays([*columns, *row([d for _, d, _ in part], [s for _, _, s in part])], names=["id", *names])
-
-    names = [x.split()[0] for x in schema.split(", ")]
-    kind = docs.schema["id"].dataType.simpleString()
-    return docs.mapInArrow(run, f"id {kind}, {schema}")
+    def of(self, i: int) -> np.ndarray:
+        return self.shingles[self.starts[i] : self.starts[i + 1]]
 
+    @cached_property
+    def mixed(self) -> np.ndarray:
+        return mix(self.shingles)
 
-def short(digests: list[bytes]) -> np.ndarray:
-    """64 bits of each digest. Sets that share them by chance share a family, which does no harm."""
-    return np.array([int.from_bytes(d[:8], "little", signed=True) for d in digests], np.int64)
+    def sums(self, values: np.ndarray) -> np.ndarray:
+        total = np.append(np.uint64(0), np.cumsum(values, dtype=np.uint64))
+        return total[self.starts[1:]] - total[self.starts[:-1]]
 
+    @cached_property
+    def digests(self) -> np.ndarray:
+        """128 bits that equal sets share; the first 64 stand for a set where a chance of meeting another does no harm."""
+        return np.stack([self.sums(self.mixed), self.sums(mix(self.shingles ^ SALT)) + np.diff(self.starts).astype(np.uint64)], 1)
 
-def key_rows(docs: DataFrame, like: Likeness) -> DataFrame:
-    """Rows (key, d): sets with a common key are connected. Equal sets of a task give their rows once.
 
-    Of the sets of a run that share a key, only the first goes on under it; each other one shares a key of its own
-    with that first, made from the two. So a key that very many sets have is a row for each run.
+def sets_of(texts: pa.Array, like: Likeness) -> Iterator[tuple[int, Sets]]:
+    """(index of the first text, sets) for slices of texts of bounded size."""
+    with np.errstate(over="ignore"):
+        for at, to, data, offsets in slices(texts):
+            found, starts = shingles(words_of(data, offsets, SPACES), like.words)
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                found[a:b].sort()
+            keep = np.ones(len(found), bool)
+            keep[1:] = found[1:] != found[:-1]
+            keep[starts[:-1][np.diff(starts) > 0]] = True
+            yield at, Sets(found[keep], np.append(0, np.cumsum(keep))[starts])
+
+
+def keys_of(sets: Sets, bands: np.ndarray, like: Likeness) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(keys, where each set's begin, how many may be left out) for pairs whose smaller set is of the given bands.
+
+    Let two sets that link differ by d elements at most. The hash range is cut into d + 1 + weak + spare parts, so
+    weak + spare + 1 parts at least are equal in both; a part's key is a hash of its elements. In any one order of
+    keys, each set may leave out the `weak` last: a key that both have is lost only where it is among the last
+    ones of one of them, so spare + 1 are left in both. The order here is by the number of elements, the empty parts
+    last. After that the same holds for `spare` keys in another order (see `kept_keys`).
+
+    Where a set has more than weak + spare empty parts, its equal parts may all be empty, but only in a pair of two
+    such sets; these have their first (1 - percent) n + 1 elements in hash order as keys too: one is common to both.
+    Sets that can't differ (d = 0) have no keys.
     """
+    n, differ = np.diff(sets.starts), like.differ(np.maximum(bands, 0))
+    used = (bands >= 0) & (differ > 0) & (n > 0)
+    weak, spare = like.weak(differ), like.spare(differ)
+    parts = np.where(used, differ + 1 + weak + spare, 0)
+    base = np.append(0, np.cumsum(parts))
+    owner = np.repeat(np.arange(len(n)), n)
+    with np.errstate(over="ignore"):
+        at = (sets.shingles >> np.uint64(32)) * parts[owner].astype(np.uint64) >> np.uint64(32)
+        inside = used[owner]
+        counts = np.bincount(base[owner[inside]] + at[inside].astype(np.int64), minlength=base[-1])
+        # A set's elements are in hash order, so a part's are next to each other.
+        total = np.append(np.uint64(0), np.cumsum(sets.mixed[inside], dtype=np.uint64))
+        ends = np.cumsum(counts)
+        of = np.repeat(np.arange(len(n)), parts)
+        tag = mix((np.arange(base[-1]) - base[of]).astype(np.uint64) + (parts[of].astype(np.uint64) << np.uint64(24)) + (bands[of].astype(np.uint64) << np.uint64(56)))
+        keys = mix((total[ends] - total[ends - counts]) ^ tag)
+        full = np.flatnonzero(counts > 0)
+        empty = parts - np.bincount(of[full], minlength=len(n))
+        order = full[np.lexsort((keys[full], -counts[full], of[full]))]
+        mine = np.bincount(of[full], minlength=len(n))
+        emitted = mine - np.minimum(np.maximum(weak - empty, 0), mine)
+        rank = np.arange(len(order)) - np.repeat(np.cumsum(mine) - mine, mine)
+        order = order[rank < emitted[of[order]]]
+        out, out_of = keys[order], of[order]
+        sparse = used & (empty > weak + spare)
+        if sparse.any():
+            prefix = np.where(sparse, n - -(-n * like.percent // 100) + 1, 0)
+            first = np.repeat(sets.starts[:-1] - (np.cumsum(prefix) - prefix), prefix) + np.arange(prefix.sum())
+            who = np.repeat(np.arange(len(n)), prefix)
+            out, out_of = np.append(out, mix(sets.shingles[first] ^ mix(bands[who].astype(np.uint64) + SALT))), np.append(out_of, who)
+            again = np.argsort(out_of, kind="stable")
+            out, out_of = out[again], out_of[again]
+    may = np.where(used, np.maximum(spare - np.maximum(empty - weak, 0), 0), 0)
+    return out, np.append(0, np.cumsum(np.bincount(out_of, minlength=len(n)))), may
+
+
+def lists(values: np.ndarray, starts: np.ndarray, which: np.ndarray) -> pa.Array:
+    """A list column of values[starts[i] : starts[i + 1]] for each i of which."""
+    n = (starts[1:] - starts[:-1])[which]
+    offsets = np.append(0, np.cumsum(n))
+    flat = values[np.repeat(starts[:-1][which] - offsets[:-1], n) + np.arange(offsets[-1])]
+    return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(flat.view(np.int64)))
+
+
+def binary(digests: np.ndarray) -> pa.Array:
+    return pa.array([x.tobytes() for x in digests], pa.binary())
+
+
+def sketches(docs: DataFrame, like: Likeness) -> DataFrame:
+    """docs (id, text) to (id, digest, d, n, lead, own, below, spare_own, spare_below), one row for each.
+
+    own and below are the keys for pairs whose smaller set is of the set's own band, or of the band below. Of sets
+    that are equal and were met lately in the same task, only the first (lead) has keys.
+    """
+    names = ["id", "digest", "d", "n", "lead", "own", "below", "spare_own", "spare_below"]
+    kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
-        seen: set[bytes] = set()
+        seen: OrderedDict[bytes, None] = OrderedDict()
+        for batch in batches:
+            for at, sets in sets_of(batch.column(1), like):
+                n, digests = np.diff(sets.starts), binary(sets.digests)
+                lead = np.zeros(len(n), bool)
+                for i, x in enumerate(digests.to_pylist()):
+                    if n[i] and x not in seen:
+                        lead[i] = True
+                    seen[x] = None
+                    seen.move_to_end(x)
+                if len(seen) > SEEN:
+                    for _ in range(len(seen) - SEEN):
+                        seen.popitem(last=False)
+                which = np.flatnonzero(lead)
+                first = Sets(np.concatenate([sets.of(i) for i in which] or [np.zeros(0, np.uint64)]), np.append(0, np.cumsum(n[which])))
+                bands = like.bands(n[which])
+                columns, spares = [], []
+                for b in (bands, bands - 1):
+                    keys, starts, spare = keys_of(first, b, like)
+                    place = np.cumsum(lead) - 1
+                    sizes = np.where(lead, np.diff(np.append(starts, starts[-1]))[place], 0) if len(which) else np.zeros(len(n), np.int64)
+                    columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(keys.view(np.int64))))
+                    spares.append(pa.array(np.where(lead, np.append(spare, 0)[place], 0).astype(np.int32)))
+                ids = batch.column(0).slice(at, len(n))
+                yield pa.RecordBatch.from_arrays([ids, digests, pa.array(sets.digests[:, 0].view(np.int64)), pa.array(n.astype(np.int64)), pa.array(lead), *columns, *spares], names=names)
+
+    schema = f"id {kind}, digest binary, d long, n long, lead boolean, own array<long>, below array<long>, spare_own int, spare_below int"
+    return docs.mapInArrow(run, schema)
+
+
+def kept_keys(sketch: DataFrame, scratch: Scratch) -> DataFrame:
+    """(key, d): the keys that several sets have, without those that a set may leave out.
+
+    Keys of one set alone lead nowhere, and are the first in the order of how many sets have a key; of the others
+    each set leaves out the spare ones that the most sets have. So a passage that many texts share gives them no
+    common key unless it fills a good part of them.
+    """
+    leads = sketch.where("lead").select("row", "digest", "d", "own", "below", "spare_own", "spare_below")
+    twice = leads.groupBy("digest").agg(F.min("row").alias("first"), F.count("*").alias("c")).where("c > 1").select("digest", "first")
+    twice = small(scratch.table(twice, "repeated-sets"), BROADCAST_ROWS)
+    leads = leads.join(twice, "digest", "left").where("first is null or first = row").drop("first", "row", "digest")
+    counts = leads.select(F.explode(F.concat("own", "below")).alias("key")).groupBy("key").agg(F.count("*").alias("sets"))
+    shared = small(scratch.table(counts.where("sets > 1"), "shared-keys"), BROADCAST_ROWS)
+    side = lambda keys, spare, i: leads.select("d", F.lit(i).alias("side"), F.col(spare).alias("spare"), F.explode(keys).alias("key"))
+    rows = side("own", "spare_own", 0).unionByName(side("below", "spare_below", 1)).join(shared, "key")
+    rank = F.row_number().over(Window.partitionBy("d", "side").orderBy(F.desc("sets"), "key"))
+    return rows.withColumn("rank", rank).where("rank > spare").select("key", "d")
 
-        def joined(digests: list[bytes], keys: list[np.ndarray]) -> pa.RecordBatch:
-            key, d = np.concatenate(keys), np.repeat(short(digests), [len(k) for k in keys])
-            order = np.argsort(key, kind="stable")
-            key, d = key[order], d[order]
-            first = np.append(True, key[1:] != key[:-1])[: len(key)]
-            hub = d[first][np.cumsum(first) - 1] if len(key) else d
-            other = ~first & (d != hub)
-            own = mix(d[other].view(np.uint64) ^ mix(hub[other].view(np.uint64)))
-            pairs, at = np.unique(own, return_index=True)
-            key = np.concatenate([key[first], pairs, pairs]).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(np.concatenate([d[first], d[other][at], hub[other][at]]))], names=["key", "d"])
 
-        for batch in batches:
-            digests, keys, n = [], [], 0
-            with np.errstate(over="ignore"):
-                for _, s in sets_of(batch.column(1), like):
-                    d = digest(s)
-                    if d in seen or not len(s):
-                        continue
-                    seen.add(d)
-                    digests.append(d)
-                    keys.append(keys_of(s, like))
-                    n += len(keys[-1])
-                    if n > RUN_KEYS:
-                        yield joined(digests, keys)
-                        digests, keys, n = [], [], 0
-                if digests:
-                    yield joined(digests, keys)
-
-    return docs.mapInArrow(run, "key long, d long")
-
-
-def arrays(values: list[np.ndarray]) -> pa.Array:
-    offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
-    flat = np.concatenate(values).view(np.int64) if values else np.zeros(0, np.int64)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
+def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
+    out = np.zeros((len(sets), BITS), bool)
+    for i, s in enumerate(sets):
+        out[i, (s % np.uint64(BITS)).astype(np.int64)] = True
+    return np.packbits(out, axis=1).view(np.uint64)
 
 
 def tile_links(pdf: pd.DataFrame, like: Likeness) -> pd.DataFrame:
-    """Links (a, b) that connect what is connected in a tile of two blocks (or one).
+    """Links (a, b) that connect what is connected in a tile of two blocks (sides 0 and 1) or of one.
 
-    Pairs already connected aren't looked at again. For the others, bits that differ bound the overlap from
-    above: each stands for an element that only one of the two has. What passes is intersected exactly.
+    Pairs that are known to be connected (label) aren't looked at again. For the others, bits that differ bound the
+    overlap from above: each stands for an element that only one of the two has. What passes is intersected exactly.
     """
     pdf = pdf.drop_duplicates("digest").sort_values("n", kind="stable")
     sets = [np.asarray(s).view(np.uint64) for s in pdf["shingles"]]
-    maps = np.frombuffer(b"".join(map(bitmap, sets)), np.uint64).reshape(len(pdf), BITS // 64)
-    n, ids, side = pdf["n"].to_numpy(), pdf["digest"].tolist(), pdf["side"].to_numpy()
-    label = np.arange(len(pdf))
+    maps, n, ids, side = bitmaps(sets), pdf["n"].to_numpy(), pdf["digest"].tolist(), pdf["side"].to_numpy()
+    label = np.unique([bytes(x) for x in pdf["label"]], return_inverse=True)[1] if len(pdf) else np.zeros(0, int)
     two = len(np.unique(side)) > 1
     links = []
     for i in range(len(pdf)):
@@ -212,6 +258,62 @@ def tile_links(pdf: pd.DataFrame, like: Likeness) -> pd.DataFrame:
     return pd.DataFrame(links, columns=["a", "b"])
 
 
+def shingle_rows(docs: DataFrame, like: Likeness) -> DataFrame:
+    """docs (text) to (digest, d, n, shingles)."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            for _, sets in sets_of(batch.column(0), like):
+                n = np.diff(sets.starts)
+                for at in range(0, len(n), 256):
+                    which = np.arange(at, min(at + 256, len(n)))
+                    columns = [binary(sets.digests[which]), pa.array(sets.digests[which, 0].view(np.int64)), pa.array(n[which].astype(np.int64)), lists(sets.shingles, sets.starts, which)]
+                    yield pa.RecordBatch.from_arrays(columns, names=["digest", "d", "n", "shingles"])
+
+    return docs.select("text").mapInArrow(run, "digest binary, d long, n long, shingles array<long>")
+
+
+def star_links(sets: DataFrame, edges: DataFrame, like: Likeness) -> DataFrame:
+    """Links (a, b) of sets (digest, d, n, shingles) with the least other set that they share a key with."""
+    hubs = edges.groupBy(F.col("a").alias("d")).agg(F.min("b").alias("hub"))
+    other = sets.select(F.col("d").alias("hub"), F.col("digest").alias("b"), F.col("n").alias("m"), F.col("shingles").alias("others"))
+    pairs = sets.join(hubs, "d").join(other, "hub").where(F.col("digest") != F.col("b"))
+    both = F.size(F.array_intersect("shingles", "others"))
+    return pairs.where(100 * both >= like.percent * (F.col("n") + F.col("m") - both)).select(F.col("digest").alias("a"), "b")
+
+
+def tiles_of(members: DataFrame, scratch: Scratch) -> DataFrame:
+    """(digest, label, family, lo, hi, side) for sets (digest, n, band, family, label) of large families.
+
+    Each family's sets are cut into blocks by band and by whether they have the family's commonest label (main).
+    Blocks of the same and the next band meet, unless both are main: their sets are connected already. So a cluster
+    whose sets nearly all link with its hub needs no more tiles than its few other sets have blocks.
+    """
+    sizes = scratch.table(members.groupBy("family", "label").agg(F.count("*").alias("c")), "labels")
+    main = sizes.groupBy("family").agg(F.max(F.struct("c", "label")).getField("label").alias("main"), F.count("*").alias("labels")).where("labels > 1").drop("labels")
+    marked = members.join(main, "family").withColumn("is_main", (F.col("label") == F.col("main")).cast("int")).drop("main")
+    salts = F.ceil(F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    blocks = small(scratch.table(marked.groupBy("family", "band", "is_main").agg(salts.alias("salts")), "blocks"), BROADCAST_ROWS)
+    code = lambda band, is_main, salt: (band * 2 + is_main).cast("long") * (1 << 32) + salt.cast("long")
+    salted = marked.join(blocks, ["family", "band", "is_main"]).withColumn("mine", code(F.col("band"), F.col("is_main"), F.pmod(F.xxhash64("digest"), F.col("salts")))).drop("salts")
+    others = blocks.select("family", F.col("band").alias("o_band"), F.col("is_main").alias("o_main"), F.col("salts").alias("o_salts"))
+    met = salted.join(others, "family").where("abs(band - o_band) <= 1 and not (is_main = 1 and o_main = 1)")
+    met = met.select("digest", "label", "family", "mine", "o_band", "o_main", F.explode(F.sequence(F.lit(0), F.col("o_salts") - 1)).alias("salt"))
+    yours = code(F.col("o_band"), F.col("o_main"), F.col("salt"))
+    return met.select("digest", "label", "family", F.least("mine", yours).alias("lo"), F.greatest("mine", yours).alias("hi"), (F.col("mine") > yours).cast("int").alias("side"))
+
+
+def band_of(n: str, like: Likeness) -> Column:
+    band = F.lit(0)
+    for start in like.band_starts[1:].tolist():
+        if start > 1 << 30:
+            break
+        band = band + (F.col(n) >= start).cast("int")
+    return band
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", like: Likeness = Likeness()) -> DataFrame:
     """(id, n_shingles, component_id) for each row of docs; component_id is the least id that links reach.
 
@@ -220,59 +322,44 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     have an empty set, link with nothing and are their own component. Equal sets count as linked and go on as one;
     rows that repeat an id each get their own text's component.
 
-    Sets that may link share a key (see keys_of), and those that are connected through keys form a family. In
-    a family, blocks of sets of a size band meet those of the same and the next band in tiles of bounded size,
-    so a large family is many tasks and not one. Tiles give links enough to connect what they hold.
+    Sets that may link share a key (see keys_of, kept_keys), and those that are connected through keys form a family.
+    A family of one block is a tile. In a larger one, each set is first compared with the least set that it shares
+    a key with, which connects a cluster of near copies in one pass; blocks of sets of a size band then meet those of
+    the same and the next band in tiles of bounded size, save where all is connected. Tiles give links enough to
+    connect what they hold.
     """
+    scratch = Scratch(docs.sparkSession, "jaccard")
     base = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    sizes = lambda ds, ss: [pa.array(ds, pa.binary()), pa.array(short(ds)), pa.array([len(s) for s in ss], pa.int64())]
-    sketch = written(table_of(base, "digest binary, d long, n long", sizes, like), "sketch")
-    hub = F.min("d").over(Window.partitionBy("key"))
-    edges = key_rows(base, like).withColumn("hub", hub).where("d <> hub").select(F.col("d").alias("a"), F.col("hub").alias("b"))
-    family = written(connected_components(edges).select(F.col("node").alias("d"), F.col("root").alias("family")), "families")
+    sketch = scratch.table(sketches(base, like).withColumn("row", F.monotonically_increasing_id()), "sketch")
+    kept = scratch.table(kept_keys(sketch, scratch), "kept-keys")
+    hub = kept.groupBy("key").agg(F.min("d").alias("hub"), F.max("d").alias("last")).where("hub < last").drop("last")
+    edges = scratch.table(kept.join(hub, "key").where("d <> hub").select(F.col("d").alias("a"), F.col("hub").alias("b")).distinct(), "key-links")
+    scratch.drop("shared-keys", "repeated-sets", "kept-keys")
+    family = scratch.table(connected_components(edges).select(F.col("node").alias("d"), F.col("root").alias("family")), "families")
 
     # One text of each set that is in a family.
-    first = sketch.where("n > 0").groupBy("digest", "d", "n").agg(F.min("id").alias("id")).join(small(family, BROADCAST_ROWS), "d").drop("d")
-    band = F.lit(0)
-    for start in like.band_starts[1:].tolist():
-        if start > 1 << 30:
-            break
-        band = band + (F.col("n") >= start).cast("int")
-    first = written(first.withColumn("band", band), "family-sets")
-    whole = first.groupBy("family").agg(F.count("*").alias("f_sets"), F.sum("n").alias("f_n"))
-    parts = lambda c, n: F.ceil(F.greatest(F.col(c) / BLOCK_SETS, F.col(n) / BLOCK_SHINGLES)).cast("int")
-    banded = first.groupBy("family", "band").agg(F.count("*").alias("sets"), F.sum("n").alias("bn")).join(whole.where(parts("f_sets", "f_n") > 1), "family")
-    blocks = written(banded.select("family", "band", parts("sets", "bn").alias("salts")), "blocks")
-    # Families of one block are a tile (side 0); of larger ones, each block meets itself and the later ones of its band and the next.
-    placed = first.join(small(blocks, BROADCAST_ROWS), ["family", "band"], "left").withColumn("salt", F.pmod(F.xxhash64("digest"), F.col("salts")).cast("int"))
-    above = small(blocks.select("family", (F.col("band") - 1).alias("band"), F.col("salts").alias("above")), BROADCAST_ROWS)
-    below = small(blocks.select("family", (F.col("band") + 1).alias("band"), F.col("salts").alias("below")), BROADCAST_ROWS)
-    placed = placed.join(above, ["family", "band"], "left").join(below, ["family", "band"], "left")
-    tile = lambda b1, s1, b2, s2, side: F.struct(b1.cast("int").alias("b1"), s1.cast("int").alias("s1"), b2.cast("int").alias("b2"), s2.cast("int").alias("s2"), F.lit(side).alias("side"))
-    upto = lambda c: F.when(F.coalesce(c, F.lit(0)) > 0, F.sequence(F.lit(0), c - 1)).otherwise(F.array().cast("array<int>"))
-    own, salt = F.col("band"), F.col("salt")
-    tiles = F.when(F.col("salts").isNull(), F.array(tile(F.lit(-1), F.lit(0), F.lit(-1), F.lit(0), 0))).otherwise(
-        F.concat(
-            F.transform(F.sequence(salt, F.col("salts") - 1), lambda s: tile(own, salt, own, s, 0)),
-            F.transform(upto(salt), lambda s: tile(own, s, own, salt, 1)),
-            F.transform(upto(F.col("above")), lambda s: tile(own, salt, own + 1, s, 0)),
-            F.transform(upto(F.col("below")), lambda s: tile(own - 1, s, own, salt, 1)),
-        )
-    )
-    wanted = placed.select("id", "digest", "family", F.explode(tiles).alias("t")).select("id", "digest", "family", "t.*")
+    first = sketch.where("n > 0").groupBy("digest", "d", "n").agg(F.min("id").alias("id")).join(small(family, BROADCAST_ROWS), "d")
+    first = scratch.table(first.withColumn("band", band_of("n", like)), "family-sets")
     chosen = small(first.select(F.col("id").alias("chosen")).distinct(), BROADCAST_ROWS)
-    texts = base.join(chosen, F.col("id").eqNullSafe(F.col("chosen")), "left_semi")
-    full = lambda ds, ss: [pa.array(ds, pa.binary()), pa.array([len(s) for s in ss], pa.int64()), arrays(ss)]
-    sets = table_of(texts, "digest binary, n long, shingles array<long>", full, like, once=True).drop("id")
-    links = (
-        sets.join(small(written(wanted.drop("id"), "tiles"), BROADCAST_ROWS), "digest")
-        .groupBy("family", "b1", "s1", "b2", "s2")
-        .applyInPandas(lambda pdf: tile_links(pdf, like), "a binary, b binary")
-    )
+    sets = shingle_rows(base.join(chosen, F.col("id").eqNullSafe(F.col("chosen")), "left_semi"), like)
+    whole = scratch.table(first.groupBy("family").agg((F.greatest(F.count("*") / BLOCK_SETS, F.sum("n") / BLOCK_SHINGLES) > 1).alias("large")), "family-sizes")
+    large = first.join(small(whole.where("large"), BROADCAST_ROWS), "family", "left_semi")
+    little = first.join(small(whole.where("not large"), BROADCAST_ROWS), "family", "left_semi").select("digest", "family")
+    tile = lambda *by: lambda df: df.groupBy(*by).applyInPandas(lambda pdf: tile_links(pdf, like), "a binary, b binary")
+    links = sets.join(small(scratch.table(little, "little"), BROADCAST_ROWS), "digest").withColumns({"side": F.lit(0), "label": F.col("digest")}).transform(tile("family"))
+    if not whole.where("large").isEmpty():
+        large = scratch.table(large.select("digest", "n", "band", "family"), "large")
+        big = scratch.table(sets.join(small(large.select("digest"), BROADCAST_ROWS), "digest", "left_semi").dropDuplicates(["digest"]), "large-sets")
+        star = scratch.table(star_links(big, edges, like), "star-links")
+        labels = connected_components(star).select(F.col("node").alias("digest"), F.col("root").alias("label"))
+        members = scratch.table(large.join(labels, "digest", "left").withColumn("label", F.coalesce("label", "digest")), "members")
+        placed = small(scratch.table(tiles_of(members, scratch), "tiles"), BROADCAST_ROWS)
+        links = links.unionByName(star).unionByName(big.join(placed, "digest").transform(tile("family", "lo", "hi")))
     joined = connected_components(links)
     group = sketch.where("n > 0").groupBy("digest").agg(F.min("id").alias("least")).join(joined.withColumnRenamed("node", "digest"), "digest", "left")
-    group = written(group.withColumn("root", F.coalesce("root", "digest")), "groups")
+    group = scratch.table(group.withColumn("root", F.coalesce("root", "digest")), "groups")
     component = group.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = group.join(component, "root").select("digest", "component_id")
-    out = sketch.join(named, "digest", "left")
+    named = scratch.table(group.join(component, "root").select("digest", "component_id"), "named")
+    out = scratch.table(sketch.select("id", "digest", "n"), "sizes").join(named, "digest", "left")
+    scratch.drop("sketch", "groups", "families", "family-sets", "family-sizes", "little", "large", "large-sets", "star-links", "members", "labels", "blocks", "tiles", "key-links")
     return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("id")).alias("component_id"))

@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or a new local one where that is unset."""
+    """The folder that driver and executors share: spark.checkpoint.dir. Where it is unset, a new local one if all runs on one machine."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -29,6 +31,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """The intermediate tables of one operator's run, in a folder of their own, dropped once nothing reads them any more.
+
+    Tables that the run's result is read from stay; the folder is the caller's to expire.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.path = spark, shared_path(spark, name)
+
+    def table(self, df: DataFrame, name: str) -> DataFrame:
+        """Like `written`; the name must be new within the run."""
+        df.write.parquet(f"{self.path}/{name}")
+        return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            folder = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{name}")
+            folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def small(df: DataFrame, max_rows: int) -> DataFrame:
     """A broadcast hint if df, which should be a written table of narrow rows, has at most max_rows rows; else df as it is."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
