@@ -27,10 +27,19 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of documents that links connect, the one with the least id; rows without an id stay."""
-    parts = jaccard_join.near_duplicates(docs, like=LIKENESS)
-    gone = written(parts.where("component_id < id").select(F.col("id").alias("doc_id")).distinct(), "near-copies")
-    return docs.join(small(gone, jaccard_join.BROADCAST_ROWS), "doc_id", "left_anti").select(docs.columns)
+    """Of each group of rows that links connect, the first by doc_id (null first), then by a hash of the row.
+
+    Rows are told apart by their whole content, so that a copy takes no other row of its id with it; of rows that are
+    equal in all columns one stays. Texts without words are in no group, and all stay.
+    """
+    rows = docs.withColumn("__h", F.xxhash64(*docs.columns))
+    parts = jaccard_join.near_duplicates(rows.select(F.struct("doc_id", "__h").alias("id"), "text"), "id", like=LIKENESS)
+    found = parts.where("n_shingles > 0").groupBy("id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
+    found = found.select(F.col("id.doc_id").alias("__id"), F.col("id.__h").alias("__k"), (F.col("id") != F.col("first")).alias("__gone")).where("__gone or rows > 1")
+    found = small(written(found, "near-copies"), jaccard_join.BROADCAST_ROWS)
+    judged = rows.join(found, (F.col("__h") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    once = judged.where("not __gone").dropDuplicates(["__h", "doc_id"])
+    return judged.where("__gone is null").unionByName(once).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
