@@ -44,21 +44,28 @@ def test_polygons_are_described(spark):
     assert over.a == pytest.approx(1.25 - 0.125) and over.i is False
 
 
-def test_weights_of_resampling():
-    w = temporal.resampling_weights([0, 8, 40, 200, 330])
+def test_weights_of_resampling(spark):
+    sets = {1: [0, 8, 40, 200, 330], 2: [100, 120], 3: [200], 4: [5, 30], 5: [91, 180, 269]}
+    days = spark.createDataFrame([(k, d) for k, ds in sets.items() for d in ds] + [(1, 8), (6, None)], "tile int, day int")
     by = {}
-    for t, day, x in w:
-        by.setdefault(t, []).append((day, x))
-    assert set(by) == set(range(24)) and all(sum(x for _, x in v) == pytest.approx(1) for v in by.values())
+    for r in temporal.resampling_weights(days, "tile", "day").collect():
+        by.setdefault((r.tile, r.target), {})[r.day] = r.w
+    assert set(by) == {(k, t) for k in sets for t in range(24)} and all(sum(x.values()) == pytest.approx(1) for x in by.values())
     # Target 15: 0 and 8 lie before (8 nearer), 40 and 200 after, of which 200 is out of reach of 40.
-    near = dict(by[1])
+    near = by[1, 1]
     assert set(near) == {0, 8, 40}
     b, a, closest = [15.0, 7.0], 25.0, 32.0
     second, after = 1 - b[1] / closest, 1 - a / closest
     first = b[1] / b[0] * second
     assert near[8] == pytest.approx(second / (first + second + after)) and near[0] == pytest.approx(first / (first + second + after))
-    late = temporal.resampling_weights([100, 120])
-    assert {d for t, d, _ in late if t == 0} == {100, 120}
+    assert set(by[2, 0]) == {100, 120} and by[3, 7] == {200: pytest.approx(1)}
+    # Target 0 of tile 5: the year turns to 269 (96 days off), after are 91 and 180 (within reach).
+    turned = by[5, 0]
+    x, y, z = 1 - 96 / 187, 1 - 91 / 187, 91 / 180 * (1 - 91 / 187)
+    assert turned == pytest.approx({269: x / (x + y + z), 91: y / (x + y + z), 180: z / (x + y + z)})
+    # Target 345 of tile 4: nothing after; its last day is early in the year, so the first day stands for the next year's.
+    x, y, z = 1 - 315 / 340, 1 - 25 / 340, 315 / 340 * (1 - 315 / 340)
+    assert by[4, 23] == pytest.approx({30: x / (x + y + z), 5: (y + z) / (x + y + z)})
 
 
 def test_smoothing_keeps_constants_and_lines(spark):
