@@ -40,9 +40,9 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         self.spark, self.path = spark, shared_path(spark, name)
 
-    def table(self, df: DataFrame, name: str) -> DataFrame:
-        """Like `written`; the name must be new within the run."""
-        df.write.parquet(f"{self.path}/{name}")
+    def table(self, df: DataFrame, name: str, **options: str) -> DataFrame:
+        """Like `written`, with the writer's options; the name must be new within the run."""
+        df.write.options(**options).parquet(f"{self.path}/{name}")
         return self.spark.read.schema(df.schema).parquet(f"{self.path}/{name}")
 
     def drop(self, *names: str) -> None:
@@ -51,9 +51,13 @@ class Scratch:
             folder.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def is_small(df: DataFrame, max_rows: int) -> bool:
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def small(df: DataFrame, max_rows: int) -> DataFrame:
     """A broadcast hint if df, which should be a written table of narrow rows, has at most max_rows rows; else df as it is."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import os
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -12,19 +13,23 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from .ordering import bounds_for, prefix_sums, range_of
-from .runtime import shared_path, small, written
+from .runtime import Scratch, is_small, shared_path
+from .words import mix, powers
 
 END_ID = 2
-#: A chunk ends where a hash of the last WINDOW ids has its low CUT_BITS bits zero, and after MOST_IDS at the latest.
+#: A chunk ends where a hash of the last WINDOW ids has its high CUT_BITS bits zero, and after MOST_IDS at the latest.
 WINDOW, CUT_BITS, MOST_IDS = 16, 9, 8192
 #: Texts with white space before a blank aren't cut at blanks; Rust's \\s is within this class.
 RUNS = r"[\s\v\x{85}\p{Z}] "
-#: Rows that use a chunk again are broadcast up to this count, else joined by a shuffle.
+#: Chunks that were used before are broadcast up to this count, else met by a shuffle.
 BROADCAST_ROWS = 500_000
 #: Distinct pieces are encoded in runs of about so many bytes, texts in batches of BATCH_BYTES.
 RUN_BYTES, BATCH_BYTES = 1 << 14, 8 << 20
+#: A worker process remembers the ids of so many pieces from one batch and task to the next.
+REMEMBERED = 1_000_000
 
 
 @lru_cache(2)
@@ -34,82 +39,125 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
+def vocabulary_size(path: str) -> int:
+    return tokenizer(path).get_vocab_size()
+
+
+def runs_of(lists: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """lists[starts[i] : starts[i + 1]] for each i of which, one after the other, and where each begins (one more entry)."""
+    n = (starts[1:] - starts[:-1])[which]
+    at = np.append(0, np.cumsum(n))
+    return lists[np.repeat(starts[:-1][which] - at[:-1], n) + np.arange(at[-1])], at
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE of the tokenizers library.
 
     Its pre-tokenizer never joins what stands before a blank that follows a character other than white space with
-    what comes after, so such texts are encoded in pieces of one word, each distinct one of a batch once. Distinct
-    pieces that begin with a blank are encoded one after the other, and their ids told apart by their bytes.
+    what comes after, so such texts are encoded in pieces of one word, each distinct one once. Distinct pieces that
+    begin with a blank are encoded one after the other, and their ids told apart by their bytes. The ids of pieces
+    are remembered for later batches; at REMEMBERED of them, those of the present batch alone go on.
     """
 
     def __init__(self, path: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # tasks are the threads
         self.tokenizer = tokenizer(path)
         vocabulary = self.tokenizer.get_vocab()
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)  # a byte-level token has a character for each byte
+        self.words, self.ids, self.starts = pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(1, np.int64)
 
     def plainly(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the pieces, which all begin with a blank, and where each piece's begin (one more entry)."""
+        """Ids of the words, each with a blank before it, and where each word's begin (one more entry)."""
         if not len(distinct):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        offsets = np.frombuffer(distinct.buffers()[1], np.int64)[distinct.offset : distinct.offset + len(distinct) + 1]
-        cuts = np.unique(np.append(np.searchsorted(offsets, np.arange(offsets[0], offsets[-1], RUN_BYTES)), len(distinct)))
-        data = memoryview(distinct.buffers()[2])
+        joined = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), distinct, pa.scalar(" ", pa.large_string()))
+        offsets = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
+        cuts = np.unique(np.append(np.searchsorted(offsets, np.arange(offsets[0], offsets[-1], RUN_BYTES)), len(joined)))
+        data = memoryview(joined.buffers()[2])
         runs = [str(data[offsets[i] : offsets[j]], "utf-8") for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
         ids = np.concatenate(self.plainly(runs))
         ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), offsets[1:] - offsets[0], "left") + 1
         return ids, np.append(0, ends)
 
-    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+    def remembered(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """As `pieces`; words that were met before aren't encoded again."""
+        known = pc.index_in(distinct, value_set=self.words)
+        lost = known.is_null()
+        fresh = distinct.filter(lost)
+        ids, starts = self.pieces(fresh)
+        all_ids, all_starts = np.concatenate([self.ids, ids]), np.concatenate([self.starts, self.starts[-1] + starts[1:]])
+        at = known.fill_null(0).to_numpy().astype(np.int64)
+        new = lost.to_numpy(zero_copy_only=False)
+        at[new] = len(self.words) + np.arange(new.sum())
+        out = runs_of(all_ids, all_starts, at)
+        if len(all_starts) - 1 > REMEMBERED:
+            self.words, self.ids, self.starts = distinct, *out
+        else:
+            self.words, self.ids, self.starts = pa.concat_arrays([self.words, fresh]), all_ids, all_starts
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and where each text's begin (one more entry); null is empty."""
         texts = pc.fill_null(texts.cast(pa.large_string()), "")
         plain = pc.invert(pc.match_substring_regex(texts, RUNS)).to_numpy(zero_copy_only=False)
-        out: list = [None] * len(texts)
         odd, even = np.flatnonzero(~plain), np.flatnonzero(plain)
-        for i, ids in zip(odd, self.plainly(texts.take(pa.array(odd)).to_pylist()), strict=True):
-            out[i] = ids
-        if len(even):
-            split = pc.split_pattern(texts.take(pa.array(even)), " ")
-            offsets, flat = split.offsets.to_numpy(), split.flatten()
-            first = np.zeros(len(flat), bool)
-            first[offsets[:-1]] = True
-            none = pa.scalar("", pa.large_string())
-            coded = pc.binary_join_element_wise(none, flat.filter(pa.array(~first)), pa.scalar(" ", pa.large_string())).dictionary_encode()
-            ids, begin = self.pieces(coded.dictionary)
-            heads = self.plainly(flat.filter(pa.array(first)).to_pylist())
-            begin = np.append(begin, begin[-1] + np.cumsum([len(x) for x in heads]))
-            ids = np.concatenate([ids, *heads])
-            code = np.zeros(len(flat), np.int64)
-            code[~first] = coded.indices.to_numpy()
-            code[first] = len(coded.dictionary) + np.arange(len(heads))
-            length = np.diff(begin)[code]
-            at = np.append(0, np.cumsum(length))
-            whole = ids[np.repeat(begin[code] - at[:-1], length) + np.arange(at[-1])]
-            for k, i in enumerate(even):
-                out[i] = whole[at[offsets[k]] : at[offsets[k + 1]]]
-        return out
+        others = self.plainly(texts.take(pa.array(odd)).to_pylist())
+        split = pc.split_pattern(texts.take(pa.array(even)), " ")
+        offsets, flat = (split.offsets.to_numpy() if len(even) else np.zeros(1, np.int64)), split.flatten()
+        first = np.zeros(len(flat), bool)
+        first[offsets[:-1]] = True
+        coded = flat.filter(pa.array(~first)).dictionary_encode()
+        ids, begin = self.remembered(coded.dictionary)
+        heads = self.plainly(flat.filter(pa.array(first)).to_pylist())
+        code = np.zeros(len(flat), np.int64)
+        code[~first] = coded.indices.to_numpy()
+        code[first] = len(coded.dictionary) + np.arange(len(heads))
+        begin = np.append(begin, begin[-1] + np.cumsum([len(x) for x in heads], dtype=np.int64))
+        whole, at = runs_of(np.concatenate([ids, *heads]), begin, code)
+        # Texts cut at blanks come first here, in the order of `even`, then the others.
+        starts = np.concatenate([at[offsets], at[-1] + np.cumsum([len(x) for x in others], dtype=np.int64)])
+        place = np.empty(len(texts), np.int64)
+        place[np.concatenate([even, odd])] = np.arange(len(texts))
+        return runs_of(np.concatenate([whole, *others]).astype(np.uint32), starts, place)
+
+
+@lru_cache(2)
+def encoder(path: str) -> Encoder:
+    return Encoder(path)
+
 
+def with_ends(ids: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The same with END_ID after each text's ids."""
+    return np.insert(ids, starts[1:], np.uint32(END_ID)), starts + np.arange(len(starts))
 
-def chunk_ends(ids: np.ndarray) -> np.ndarray:
-    """Where the chunks of an id stream end; the rolling hash depends on the WINDOW ids before a place alone."""
+
+def chunk_ends(ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Where the chunks of some texts' ids end: at the texts' ends, and where the rolling hash says so.
+
+    The hash depends on the WINDOW ids before a place alone, as far as they are in the same text. It comes from
+    running sums of each id times a power, which a shift makes independent of the place.
+    """
+    n = len(ids)
     with np.errstate(over="ignore"):
-        x = (ids.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        rolled = np.zeros(len(ids), np.uint64)
-        for j in range(min(WINDOW, len(ids))):
-            rolled[j:] += x[: len(ids) - j] * np.uint64(pow(0xBF58476D1CE4E5B9, j + 1, 1 << 64))
-        cuts = np.flatnonzero((rolled >> np.uint64(64 - CUT_BITS)) == 0) + 1
-    ends, last = [], 0
-    for c in [*cuts.tolist(), len(ids)]:
-        while c - last > MOST_IDS:
-            last += MOST_IDS
-            ends.append(last)
-        if c > last:
-            ends.append(c)
-            last = c
-    return np.array(ends, np.int64)
+        power, inverse = powers(n + 1)
+        sums = np.zeros(n + 1, np.uint64)
+        np.cumsum((ids.astype(np.uint64) + np.uint64(1)) * inverse[:n], out=sums[1:])
+        low = np.maximum(np.arange(1, n + 1) - WINDOW, np.repeat(starts[:-1], np.diff(starts)))
+        rolled = mix((sums[1:] - sums[low]) * power[1 : n + 1])
+    ends = np.unique(np.concatenate([np.flatnonzero((rolled >> np.uint64(64 - CUT_BITS)) == 0) + 1, starts[1:]]))
+    ends = ends[ends > 0]
+    size = np.diff(ends, prepend=0)
+    more = (size - 1) // MOST_IDS
+    if more.any():
+        first, extra = ends - size, np.cumsum(more) - more
+        inside = np.repeat(first, more) + MOST_IDS * (np.arange(more.sum()) - np.repeat(extra, more) + 1)
+        ends = np.sort(np.concatenate([ends, inside]))
+    return ends
 
 
 def little(ids: np.ndarray) -> bytes:
@@ -151,75 +199,79 @@ def joined_crc(first: int, second: int, length: int) -> int:
     return multiply(byte_shift(length), first) ^ second
 
 
-def encoded(batch: pa.RecordBatch, column: int, encoder: Encoder) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, ids with END_ID, chunk ends), a few MB of text at a time."""
-    texts = batch.column(column)
+def encoded(texts: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first text, last + 1, ids, where each text's begin) with END_ID after each, a few MB of text at a time."""
     size = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False))
     at = 0
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(size, (size[at - 1] if at else 0) + BATCH_BYTES, "right")))
-        for i, ids in enumerate(encoder.encode(texts.slice(at, to - at))):
-            ids = np.append(ids, np.uint32(END_ID))
-            yield at + i, ids, chunk_ends(ids)
+        yield at, to, *with_ends(*encoder(path).encode(texts.slice(at, to - at)))
         at = to
 
 
-def write_store(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", wide: bool = False) -> None:
+def binaries(data: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary column of the bytes of data[ends[i - 1] : ends[i]]."""
+    offsets = np.append(0, ends).astype(np.int32) * data.itemsize
+    return pa.Array.from_buffers(pa.binary(), len(ends), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def write_store(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text") -> None:
     """Write the ids of docs' whole texts (null: empty), each with END_ID at its end, to a store in the folder `path`.
 
     `recipes`, a row for each row of docs in the order of id (nulls first; rows that share one by a hash of the
     text): id, start (ids before it), n_tokens, digests (SHA-256 of its chunks' ids as little-endian 32-bit
-    integers), root (of their Merkle tree). `chunks`, each distinct chunk once: digest, n, ids (16 bits each, or 32
-    if wide). `manifest`, a row for each range of ids: its recipes, chunk
-    references and the root of its recipes' roots; with range -1 the root of all.
+    integers), root (of their Merkle tree). `chunks`, each distinct chunk once, where the first document that has it
+    stands: digest, n, ids (16 bits each, 32 where the vocabulary needs it). Both lie in a folder for each range of
+    ids, range=0 and on, in ascending order within and between them. `manifest`, a row for each range: its recipes,
+    chunk references and the root of its recipes' roots; with range -1 the root of all. `format`: the type of id
+    and the bits of a token id.
 
     Texts are encoded once, to a table of each text's chunks in the shared folder. Digests alone are shuffled to
-    find where a chunk is first used; chunks that were used before are left out as that table is read again. Where
-    these are few enough to broadcast, ids are never shuffled.
+    find where a chunk is first used; then ids are shuffled once, by range.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
     kind = docs.schema["id"].dataType.simpleString()
     bounds = bounds_for(docs.select("id", F.octet_length("text").cast("long").alias("size")), "id", "size")
-    width = "<u4" if wide else "<u2"
+    width = "<u4" if vocabulary_size(tokenizer_path) > 1 << 16 else "<u2"
+    scratch = Scratch(spark, "token-store")
+    spark.createDataFrame([(kind, 8 * np.dtype(width).itemsize)], "id_type string, id_bits int").coalesce(1).write.parquet(f"{path}/format")
 
     def chunks(batches):
         import pyarrow as pa
 
-        encoder = Encoder(tokenizer_path)
         for batch in batches:
-            rows = []
-            for i, ids, ends in encoded(batch, 1, encoder):
-                cut = np.split(ids, ends[:-1])
-                found = [hashlib.sha256(little(x)).digest() for x in cut]
-                rows.append((i, len(ids), found, merkle(found), [x.astype(width).tobytes() for x in cut]))
-                if len(rows) == 512:
-                    yield table_of(batch, rows)
-                    rows = []
-            yield table_of(batch, rows)
-
-    def table_of(batch, rows):
-        at, n, digests, roots, ids = zip(*rows, strict=True) if rows else ([],) * 5
-        at = pa.array(at, pa.int64())
-        columns = [pa.array(n, pa.int64()), pa.array(digests, pa.list_(pa.binary())), pa.array(roots, pa.binary()), pa.array(ids, pa.list_(pa.binary()))]
-        return pa.RecordBatch.from_arrays([batch.column(0).take(at), batch.column(2).take(at), *columns], names=["id", "h", "n_tokens", "digests", "root", "ids"])
+            for at, to, ids, starts in encoded(batch.column(1), tokenizer_path):
+                ends = chunk_ends(ids, starts)
+                data = memoryview(ids.astype("<u4")).cast("B")
+                digests = [hashlib.sha256(data[4 * a : 4 * b]).digest() for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+                cuts = np.searchsorted(ends, starts, "right")  # chunks before each text: texts end with one
+                roots = [merkle(digests[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                lists = lambda values: pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), values)  # noqa: B023, E731
+                columns = [pa.array(np.diff(starts)), lists(pa.array(digests, pa.binary())), pa.array(roots, pa.binary()), lists(binaries(ids.astype(width), ends))]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, to - at), batch.column(2).slice(at, to - at), *columns], names=["id", "h", "n_tokens", "digests", "root", "ids"])
 
     cut = docs.withColumn("h", F.xxhash64("text")).mapInArrow(chunks, f"id {kind}, h long, n_tokens long, digests array<binary>, root binary, ids array<binary>")
-    staged = shared_path(spark, "staged-chunks")
-    cut.withColumn("row", F.monotonically_increasing_id()).write.option("compression", "zstd").parquet(staged)
-    staged = spark.read.parquet(staged)
+    staged = scratch.table(cut.withColumn("row", F.monotonically_increasing_id()), "staged", compression="zstd")
     recipes = prefix_sums(staged.drop("ids"), "id", "n_tokens", bounds, ["h"]).withColumn("range", range_of(F.col("id"), bounds))
-    recipes.repartition("range").sortWithinPartitions("range", "start").write.parquet(f"{path}/recipes")
-    recipes = spark.read.parquet(f"{path}/recipes")
+    recipes.repartition("range").sortWithinPartitions("range", "start").write.partitionBy("range").parquet(f"{path}/recipes")
+    recipes = read_recipes(spark, path)
     uses = recipes.select("row", "start", F.posexplode("digests").alias("seq", "digest"))
     first = uses.groupBy("digest").agg(F.min(F.struct("start", "seq")).alias("first"))
     again = uses.join(first, "digest").where(F.struct("start", "seq") != F.col("first"))
-    spare = written(again.groupBy("row").agg(F.collect_set("seq").alias("spare")), "spare-chunks")
-    kept = staged.select("row", F.arrays_zip("digests", "ids").alias("chunks")).join(small(spare, BROADCAST_ROWS), "row", "left")
-    kept = kept.select("spare", F.posexplode("chunks").alias("seq", "c")).where(~F.coalesce(F.array_contains(F.col("spare"), F.col("seq")), F.lit(False)))
-    size = 4 if wide else 2
-    kept = kept.select("c.digests", "c.ids", (F.octet_length("c.ids") / size).cast("int").alias("n")).withColumnRenamed("digests", "digest")
-    kept.write.option("compression", "zstd").parquet(f"{path}/chunks")
+    spare = scratch.table(again.select("row", "seq"), "spare")
+    pieces = staged.select("row", "id", "h", F.posexplode(F.arrays_zip("digests", "ids")).alias("seq", "c")).select("row", "id", "h", "seq", F.col("c.digests").alias("digest"), "c.ids")
+    if is_small(spare, BROADCAST_ROWS):
+        kept = pieces.join(F.broadcast(spare), ["row", "seq"], "left_anti")
+    else:  # a mark for each spare chunk is sorted in before it, in the same shuffle
+        marks = spare.join(staged.select("row", "id", "h"), "row").select("row", "id", "h", "seq", F.lit(None).cast("binary").alias("digest"), F.lit(None).cast("binary").alias("ids"))
+        ranged = pieces.unionByName(marks).withColumn("range", range_of(F.col("id"), bounds))
+        mark = F.lag(F.col("digest").isNull() & F.col("ids").isNull(), 1, False).over(Window.partitionBy("range").orderBy(F.col("id").asc_nulls_first(), "h", "row", "seq", F.col("digest").asc_nulls_first()))
+        kept = ranged.withColumn("spare", mark).where("digest is not null and not spare").drop("spare", "range")
+    kept = kept.withColumn("range", range_of(F.col("id"), bounds)).repartition("range").sortWithinPartitions("range", F.col("id").asc_nulls_first(), "h", "row", "seq")
+    size = np.dtype(width).itemsize
+    kept.select("range", "digest", (F.octet_length("ids") / size).cast("int").alias("n"), "ids").write.option("compression", "zstd").partitionBy("range").parquet(f"{path}/chunks")
+    scratch.drop("staged", "spare")
     ranges = range_roots(recipes)
     rows = ranges.orderBy("range").collect()  # at most as many as ranges
     top = merkle([bytes(r["root"]) for r in rows])
@@ -227,6 +279,16 @@ def write_store(docs: DataFrame, path: str, tokenizer_path: str, id_col: str = "
     spark.createDataFrame([total, *[tuple(r) for r in rows]], ranges.schema).coalesce(1).write.parquet(f"{path}/manifest")
 
 
+def read_recipes(spark: SparkSession, path: str) -> DataFrame:
+    kind = spark.read.parquet(f"{path}/format").first()["id_type"]
+    schema = f"id {kind}, h long, n_tokens long, digests array<binary>, root binary, row long, start long, range int"
+    return spark.read.schema(schema).parquet(f"{path}/recipes")
+
+
+def read_chunks(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("digest binary, n int, ids binary, range int").parquet(f"{path}/chunks")
+
+
 def range_roots(recipes: DataFrame) -> DataFrame:
     """(range, recipes, references, root) from recipe rows, whose order is by start."""
 
@@ -255,7 +317,7 @@ def chunk_facts(spark: SparkSession, path: str) -> DataFrame:
             digest, n, crc = zip(*rows, strict=True) if rows else ([], [], [])
             yield pa.RecordBatch.from_arrays([pa.array(digest, pa.binary()), pa.array(n, pa.int64()), pa.array(crc, pa.int64())], names=["digest", "n", "crc"])
 
-    return spark.read.parquet(f"{path}/chunks").select("n", "ids").mapInArrow(facts, "digest binary, n long, crc long")
+    return read_chunks(spark, path).select("n", "ids").mapInArrow(facts, "digest binary, n long, crc long")
 
 
 def read_facts(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
@@ -265,7 +327,7 @@ def read_facts(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFr
     from those of its chunks. verified: its chunks give the recipe's Merkle root and its number of ids. A chunk
     that is missing or damaged, or a manifest that doesn't fit the recipes, raises an error.
     """
-    recipes = spark.read.parquet(f"{path}/recipes")
+    recipes = read_recipes(spark, path)
     said = spark.read.parquet(f"{path}/manifest").where("range >= 0")
     check = range_roots(recipes).join(said.withColumnsRenamed({"root": "said", "recipes": "r", "references": "f"}), "range", "full")
     if not check.where(~(F.col("root").eqNullSafe(F.col("said")) & F.col("recipes").eqNullSafe(F.col("r")) & F.col("references").eqNullSafe(F.col("f")))).isEmpty():
@@ -295,9 +357,9 @@ def read_facts(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFr
 
 def read_ids(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFrame:
     """(id, start, ids) for each document of a store: its chunks fetched and put together in order."""
-    recipes = spark.read.parquet(f"{path}/recipes")
+    recipes = read_recipes(spark, path)
     uses = recipes.select("id", "start", F.posexplode("digests").alias("seq", "digest"))
-    whole = uses.join(spark.read.parquet(f"{path}/chunks"), "digest").groupBy("id", "start").agg(F.sort_array(F.collect_list(F.struct("seq", "n", "ids"))).alias("parts"))
+    whole = uses.join(read_chunks(spark, path), "digest").groupBy("id", "start").agg(F.sort_array(F.collect_list(F.struct("seq", "n", "ids"))).alias("parts"))
     kind = recipes.schema["id"].dataType.simpleString()
 
     def put_together(batches):

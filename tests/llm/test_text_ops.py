@@ -5,10 +5,12 @@ import random
 import re
 import zlib
 from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers as P
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 import sentencepiece as spm
 from sentencepiece import sentencepiece_model_pb2
@@ -117,23 +119,68 @@ def test_spot_pairs_against_all_pairs(spark, sf):
     assert {tuple(sorted((r.a, r.b))) for r in spotsigs.spot_pairs(docs, 0.5).collect()} == want
 
 
-def test_encoder_gives_the_tokenizers_ids(texts):
+def test_encoder_gives_the_tokenizers_ids(texts, monkeypatch):
     own, ref = token_store.Encoder(P.path("byte_bpe_50k.json")), Tokenizer.from_file(P.path("byte_bpe_50k.json"))
-    more = [*texts, "a \n b  c\t d", "it's  don't <|endoftext|> z", "　 q", "a\x1c b", "9 9a 'll 'x"]
-    assert [x.tolist() for x in own.encode(pa.array(more))] == [e.ids for e in ref.encode_batch(more, add_special_tokens=False)]
-
-
-def test_chunks_and_crcs():
-    ids = np.random.default_rng(1).integers(0, 50000, 30000).astype(np.uint32)
-    ends = token_store.chunk_ends(ids)
+    more = [*texts, "a \n b  c\t d", "it's  don't <|endoftext|> z", "　 q", "a\x1c b", "9 9a 'll 'x", " lead", "trail "]
+    rng = random.Random(6)
+    odd = [" ", "  ", "\n", "\t", "\u00a0", "\u3000", "'s", "9", "a", "Z", "é", "日", "!", "\u2028", "\x85", "\x1c", "'"]
+    more += ["".join(rng.choice(odd) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    want = [e.ids for e in ref.encode_batch(more, add_special_tokens=False)]
+    for remembered in (token_store.REMEMBERED, 50):  # the second and third time words are known, or were forgotten
+        monkeypatch.setattr(token_store, "REMEMBERED", remembered)
+        for _ in range(3):
+            ids, starts = own.encode(pa.array(more))
+            assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == want
+    for part in (more[:1], [None, ""], [], ["a\n b"]):
+        ids, starts = own.encode(pa.array(part, pa.string()))
+        assert ids.tolist() == [i for e in ref.encode_batch([x or "" for x in part], add_special_tokens=False) for i in e.ids] and len(starts) == len(part) + 1
+
+
+def plain_chunk_ends(ids):
+    """Place by place: the window's ids alone say whether a chunk ends there."""
+    ends, last = [], 0
+    for i in range(len(ids)):
+        window = ids[max(0, i + 1 - token_store.WINDOW) : i + 1]
+        if i + 1 == len(ids) or ends_at(window):
+            while i + 1 - last > token_store.MOST_IDS:
+                last += token_store.MOST_IDS
+                ends.append(last)
+            ends.append(i + 1)
+            last = i + 1
+    return ends
+
+
+def ends_at(window):
+    """Whether the hash of a window alone ends a chunk at its last id: then one more id starts a new chunk."""
+    longer = np.append(window, np.uint32(7))
+    return len(window) in token_store.chunk_ends(longer, np.array([0, len(longer)])).tolist()
+
+
+def test_chunks_and_crcs(monkeypatch):
+    rng = np.random.default_rng(1)
+    ids = rng.integers(0, 50000, 30000).astype(np.uint32)
+    ends = token_store.chunk_ends(ids, np.array([0, len(ids)]))
     assert ends[-1] == len(ids) and (np.diff(ends) <= token_store.MOST_IDS).all()
-    shifted = token_store.chunk_ends(np.concatenate([ids[:100], ids]))
+    longer = np.concatenate([ids[:100], ids])
+    shifted = token_store.chunk_ends(longer, np.array([0, len(longer)]))
     assert set((ends[2:] + 100).tolist()) <= set(shifted.tolist())
+    # Many texts at once are cut as each one is.
+    monkeypatch.setattr(token_store, "MOST_IDS", 300)
+    cuts = np.unique(np.concatenate([[0, 30000], rng.integers(1, 30000, 40)]))
+    every = token_store.chunk_ends(ids, cuts)
+    one = [a + e for a, b in zip(cuts[:-1], cuts[1:], strict=True) for e in token_store.chunk_ends(ids[a:b], np.array([0, b - a]))]
+    assert every.tolist() == one and (np.diff(every, prepend=0) <= 300).all()
+    assert plain_chunk_ends(ids[:2000]) == token_store.chunk_ends(ids[:2000], np.array([0, 2000])).tolist()
     a, b = b"abc" * 99, b"defgh" * 1000
     assert token_store.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
 
 
-def test_token_store_round_trip(spark, sf):
+@pytest.mark.parametrize("broadcast", [500_000, 0])
+def test_token_store_round_trip(spark, sf, monkeypatch, broadcast):
+    from tessera.llm import ordering
+
+    monkeypatch.setattr(token_store, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(ordering, "RANGE_WEIGHT", 20_000)
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").limit(100)
     docs = docs.unionByName(spark.createDataFrame([(10**6, None), (-5, ""), (10**6, "the same"), (10**6 + 1, "the same"), (10**6 + 1, "the same")], "doc_id long, text string"))
     path = token_store.new_store(spark)
@@ -150,8 +197,21 @@ def test_token_store_round_trip(spark, sf):
     for f in facts:
         assert f[0] == start
         start += f[2]
-    chunks = spark.read.parquet(f"{path}/chunks")
+    chunks = token_store.read_chunks(spark, path)
     assert chunks.count() == chunks.select("digest").distinct().count()
+    recipes = token_store.read_recipes(spark, path).collect()
+    assert len({r.range for r in recipes}) > 5
+    # Files hold ascending ids: chunks stand in the order of their first use, recipes in that of their start.
+    use = {}
+    for r in sorted(recipes, key=lambda r: r.start):
+        for x in r.digests:
+            use.setdefault(bytes(x), len(use))
+    for name, place in (("chunks", lambda r: use[r["digest"]]), ("recipes", lambda r: r["start"])):
+        at = []
+        for n in sorted({r.range for r in recipes}):
+            (file,) = Path(f"{path}/{name}/range={n}".removeprefix("file://")).glob("*.parquet") if name == "recipes" else list(Path(f"{path}/{name}/range={n}".removeprefix("file://")).glob("*.parquet")) or [None]
+            at += [place(r) for r in pq.ParquetFile(file).read().to_pylist()] if file else []
+        assert at == sorted(at) and len(at) == (len(use) if name == "chunks" else len(recipes))
     whole = {r.start: r.ids for r in token_store.read_ids(spark, path).collect()}
     assert all(zlib.crc32(np.array(whole[f[0]], "<u4").tobytes()) == f[3] for f in facts)
 
@@ -160,8 +220,8 @@ def test_token_store_notices_damage(spark):
     docs = spark.createDataFrame([(i, f"some text {i} of a document") for i in range(20)], "doc_id long, text string")
     path = token_store.new_store(spark)
     token_store.write_store(docs, path, P.path("byte_bpe_50k.json"))
-    chunks = spark.read.parquet(f"{path}/chunks").orderBy("digest").limit(15).toPandas()
-    spark.createDataFrame(chunks, "digest binary, ids binary, n int").write.mode("overwrite").parquet(f"{path}/chunks")
+    chunks = token_store.read_chunks(spark, path).orderBy("digest").limit(15).toPandas()
+    spark.createDataFrame(chunks, "digest binary, n int, ids binary, range int").write.mode("overwrite").partitionBy("range").parquet(f"{path}/chunks")
     with pytest.raises(Exception, match="missing or damaged"):
         token_store.read_facts(spark, path).collect()
     empty = token_store.new_store(spark)
