@@ -58,7 +58,8 @@ select page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') a
 """
 
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+    """doc_id, ids, n_tokens and round_trip of every whole document, by the Viterbi over the file's pieces and scores."""
+    return sentencepiece.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), kind=sentencepiece.UNIGRAM)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

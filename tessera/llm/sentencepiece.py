@@ -3,8 +3,8 @@
 from __future__ import annotations
 
 import heapq
-from dataclasses import dataclass
-from functools import lru_cache
+from dataclasses import dataclass, field
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -16,13 +16,41 @@ from .words import mix
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 SPACE = "▁"
-#: Words of more characters are handled singly, with a heap.
+#: Words of more characters are handled singly where no place cuts them.
 LONG = 256
+#: A worker process remembers the ids of so many words from one batch and task to the next.
+REMEMBERED = 500_000
+#: Bits of the hashes by which most substrings are known to be no piece without a search.
+SIEVE_BITS = 20
 #: Texts are handled in batches of about so many characters, words in batches of CELLS characters.
-BATCH_CHARS, CELLS = 2 << 20, 1 << 18
+BATCH_CHARS, CELLS = 1 << 19, 1 << 16
 CODES = 0x110000
 
 
+@dataclass
+class Known:
+    """Words met before: their hashes in order, and where each one's ids are in `ids`."""
+
+    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
+    first: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    count: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
+
+    def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the keys, and which of them are known."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
+        first = len(self.ids) + np.cumsum(count) - count
+        keys = np.concatenate([self.keys, keys])
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.ids = keys[order], np.concatenate([self.ids, ids])
+        self.first, self.count = np.concatenate([self.first, first])[order], np.concatenate([self.count, count])[order]
+
+
 @dataclass
 class Pieces:
     """A model file's pieces, in arrays."""
@@ -43,6 +71,27 @@ class Pieces:
     #: What each piece decodes to: its bytes and where they begin.
     data: np.ndarray
     offsets: np.ndarray
+    known: Known = field(default_factory=Known)
+
+    @cached_property
+    def sieve(self) -> np.ndarray:
+        out = np.zeros(1 << SIEVE_BITS, bool)
+        out[(self.keys & np.uint64((1 << SIEVE_BITS) - 1)).astype(np.int64)] = True
+        return out
+
+    @cached_property
+    def by_key(self) -> dict[int, int]:
+        return dict(zip(self.keys.tolist(), self.ids.tolist(), strict=True))
+
+    def find(self, h: np.ndarray) -> np.ndarray:
+        """The ids (-1: none) of the pieces that have the given hashes."""
+        out = np.full(h.shape, -1, np.int32)
+        may = self.sieve[(h & np.uint64((1 << SIEVE_BITS) - 1)).astype(np.int64)]
+        if len(self.keys) and may.any():
+            some = h[may]
+            at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
+            out[may] = np.where(self.keys[at] == some, self.ids[at], -1)
+        return out
 
 
 def hashes(codes: np.ndarray, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
@@ -63,10 +112,10 @@ def codes_of(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le"), np.uint32)
 
 
-def load(model: bytes) -> Pieces:
+def load(model: bytes, kind: int | None = None) -> Pieces:
     """Pieces of a serialised model of the kinds UNIGRAM and BPE, with byte fallback or not.
 
-    Models that normalise characters or drop white space are refused: their rules are a table of their own.
+    kind: take its pieces and scores as a model of that kind. Models that normalise characters or drop white space are refused: their rules are a table of their own.
     """
     from sentencepiece import sentencepiece_model_pb2
 
@@ -76,10 +125,9 @@ def load(model: bytes) -> Pieces:
     if proto.trainer_spec.model_type not in (UNIGRAM, BPE) or rules.precompiled_charsmap or rules.remove_extra_whitespaces or not rules.escape_whitespaces or proto.trainer_spec.treat_whitespace_as_suffix:
         raise ValueError("only unigram and BPE models without character normalisation are supported")
     with np.errstate(over="ignore"):
-        keys, ids, single, joins = [], [], np.full(CODES, -1, np.int32), np.zeros(CODES, bool)
+        by_size, single, joins = {}, np.full(CODES, -1, np.int32), np.zeros(CODES, bool)
         scores = np.array([p.score for p in proto.pieces], np.float64)
         byte_ids, unknown, out = np.full(256, -1, np.int32), 0, []
-        longest = 1
         for i, p in enumerate(proto.pieces):
             out.append(b"" if p.type == CONTROL else p.piece.replace(SPACE, " ").encode())
             if p.type == BYTE:
@@ -88,27 +136,29 @@ def load(model: bytes) -> Pieces:
             elif p.type == UNKNOWN:
                 unknown, out[-1] = i, " ⁇ ".encode()
             elif p.type in (NORMAL, USER):
-                codes = codes_of(p.piece)
-                if len(codes) == 1:
-                    single[codes[0]] = i
+                if len(p.piece) == 1:
+                    single[ord(p.piece)] = i
                 else:
-                    keys.append(mix(hashes(codes)[-1:])[0])
-                    ids.append(i)
-                    joins[codes] = True
-                    longest = max(longest, len(codes))
-        keys = np.array(keys, np.uint64)
+                    by_size.setdefault(len(p.piece), []).append((i, p.piece))
+        keys, ids, longest = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], max(by_size, default=1)
+        for size, some in by_size.items():
+            codes = codes_of("".join(x for _, x in some)).reshape(-1, size)
+            keys.append(mix(hashes(codes)[:, -1]))
+            ids.append(np.array([i for i, _ in some], np.int32))
+            joins[codes.ravel()] = True
+        keys, ids = np.concatenate(keys), np.concatenate(ids)
         order = np.argsort(keys)
     least = min((p.score for p in proto.pieces if p.type == NORMAL), default=0.0)
     return Pieces(
-        proto.trainer_spec.model_type, scores, keys[order], np.array(ids, np.int32)[order], single, longest, joins, byte_ids if (byte_ids >= 0).all() else np.full(256, -1, np.int32),
+        kind or proto.trainer_spec.model_type, scores, keys[order], ids[order], single, longest, joins, byte_ids if (byte_ids >= 0).all() else np.full(256, -1, np.int32),
         unknown, least - 10, rules.add_dummy_prefix, np.frombuffer(b"".join(out), np.uint8), np.append(0, np.cumsum([len(x) for x in out])),
     )
 
 
-@lru_cache(2)
-def load_file(path: str) -> Pieces:
+@lru_cache(4)
+def load_file(path: str, kind: int | None = None) -> Pieces:
     with open(path, "rb") as f:
-        return load(f.read())
+        return load(f.read(), kind)
 
 
 def probe(words: np.ndarray, p: Pieces) -> np.ndarray:
@@ -119,9 +169,7 @@ def probe(words: np.ndarray, p: Pieces) -> np.ndarray:
     found[:, :, 1] = p.single[words]
     sums, inverse = hashes(words), inverse_powers(LONG)
     for size in range(2, most + 1):
-        h = mix((sums[:, size:] - sums[:, :-size]) * inverse[: length - size + 1])
-        at = np.minimum(np.searchsorted(p.keys, h), len(p.keys) - 1)
-        found[:, : length - size + 1, size] = np.where(p.keys[at] == h, p.ids[at], -1)
+        found[:, : length - size + 1, size] = p.find(mix((sums[:, size:] - sums[:, :-size]) * inverse[: length - size + 1]))
     return found
 
 
@@ -174,7 +222,7 @@ def merges(found: np.ndarray, p: Pieces) -> np.ndarray:
 
 def long_merges(word: np.ndarray, p: Pieces) -> np.ndarray:
     """`merges` for one long word: a heap of pairs instead of rounds over all of it."""
-    known = dict(zip(p.keys.tolist(), p.ids.tolist(), strict=True))
+    known = p.by_key
     sums, inverse = hashes(word), inverse_powers(1 << (len(word)).bit_length())
     n = len(word)
     end, before = np.arange(1, n + 1), np.arange(-1, n - 1)
@@ -227,32 +275,47 @@ def encode_words(words: list[np.ndarray] | np.ndarray, p: Pieces) -> tuple[np.nd
     return ids_of(words, found, (merges if p.kind == BPE else viterbi)(found, p), p)
 
 
+def long_viterbi(word: np.ndarray, p: Pieces) -> np.ndarray:
+    """`viterbi` for one long word, whose pieces are looked up a stretch at a time: only the best sums of the last `longest` places are needed."""
+    n, most = len(word), min(p.longest, len(word))
+    best, back = np.full(n + 1, -np.inf), np.ones(n + 1, np.int64)
+    best[0] = 0
+    sizes = np.arange(most, 0, -1)
+    for low in range(0, n, LONG):
+        # Scores by place of the piece's end and size, for ends in low + 1 to high.
+        high, start = min(low + LONG, n), max(0, low - most)
+        found = probe(word[None, start:high], p)[0]
+        score = np.where(found >= 0, p.scores[found], -np.inf)
+        score[:, 1] = np.where(found[:, 1] >= 0, score[:, 1], p.unknown_score)
+        for end in range(low + 1, high + 1):
+            own = sizes[sizes <= min(end, found.shape[1] - 1)]
+            sums = best[end - own] + score[end - own - start, own]
+            at = int(sums.argmax())
+            best[end], back[end] = sums[at], own[at]
+    ends, at = np.zeros(n, np.int64), n
+    while at:
+        ends[at - back[at]] = at
+        at -= back[at]
+    return ends
+
+
 def encode_long(word: np.ndarray, p: Pieces) -> np.ndarray:
-    if p.kind == BPE:
-        ends = long_merges(word, p)
-        at = np.flatnonzero(ends)
-        sums, inverse = hashes(word), inverse_powers(1 << len(word).bit_length())
-        h = mix((sums[ends[at]] - sums[at]) * inverse[at])
-        key = np.minimum(np.searchsorted(p.keys, h), len(p.keys) - 1)
-        ids = np.where(ends[at] - at == 1, p.single[word[at]], np.where(p.keys[key] == h, p.ids[key], -1))
-        return with_bytes(ids, word[at], np.zeros(len(at), np.int64), 1, p)[0]
-    # Viterbi in a window of the last `longest` places.
-    known = dict(zip(p.keys.tolist(), p.ids.tolist(), strict=True))
+    ends = (long_merges if p.kind == BPE else long_viterbi)(word, p)
+    at = np.flatnonzero(ends)
     sums, inverse = hashes(word), inverse_powers(1 << len(word).bit_length())
-    best, back, piece = np.full(len(word) + 1, -np.inf), np.zeros(len(word) + 1, np.int64), np.full(len(word) + 1, -1)
-    best[0] = 0
-    for end in range(1, len(word) + 1):
-        for size in range(min(p.longest, end), 0, -1):
-            i = int(p.single[word[end - 1]]) if size == 1 else known.get(int(mix((sums[end] - sums[end - size : end - size + 1]) * inverse[end - size])[0]), -1)
-            score = best[end - size] + (p.scores[i] if i >= 0 else p.unknown_score if size == 1 else -np.inf)
-            if score > best[end]:
-                best[end], back[end], piece[end] = score, size, i
-    at, end = [], len(word)
-    while end:
-        at.append(end)
-        end -= back[end]
-    at = np.array(at[::-1])
-    return with_bytes(piece[at].astype(np.int32), word[at - 1], np.zeros(len(at), np.int64), 1, p)[0]
+    ids = np.where(ends[at] - at == 1, p.single[word[at]], p.find(mix((sums[ends[at]] - sums[at]) * inverse[at])))
+    return with_bytes(ids, word[at], np.zeros(len(at), np.int64), 1, p)[0]
+
+
+def cuts_of(word: np.ndarray, p: Pieces) -> np.ndarray:
+    """The places within a word that no piece goes across: its parts are encoded as words of their own."""
+    crossed = np.zeros(len(word) + 1, np.int64)
+    sums, inverse = hashes(word), inverse_powers(1 << len(word).bit_length())
+    for size in range(2, min(p.longest, len(word)) + 1):
+        at = np.flatnonzero(p.find(mix((sums[size:] - sums[:-size]) * inverse[: len(word) - size + 1])) >= 0)
+        crossed[at + 1] += 1
+        np.subtract.at(crossed, at + size, 1)
+    return 1 + np.flatnonzero(np.cumsum(crossed)[1 : len(word)] == 0)
 
 
 def encode_batch(texts: list[str], p: Pieces) -> list[np.ndarray]:
@@ -273,18 +336,25 @@ def encode_batch(texts: list[str], p: Pieces) -> list[np.ndarray]:
         first[starts[:-1][np.diff(starts) > 0]] = True
         begin = np.flatnonzero(first)
         length = np.diff(np.append(begin, len(codes)))
+        for w in np.flatnonzero(length > LONG):
+            first[begin[w] + cuts_of(codes[begin[w] : begin[w] + length[w]], p)] = True
+        begin = np.flatnonzero(first)
+        length = np.diff(np.append(begin, len(codes)))
         sums = hashes(codes)
         inverse = inverse_powers(1 << len(codes).bit_length())
         h = mix((sums[begin + length] - sums[begin]) * inverse[begin] ^ length.astype(np.uint64))
-        _, one, code = np.unique(h, return_index=True, return_inverse=True)
-        # Ids of the distinct words, by length.
-        parts, counts, order = [], np.zeros(len(one), np.int64), []
-        lengths = length[one]
+        keys, one, code = np.unique(h, return_index=True, return_inverse=True)
+        if len(p.known.keys) > REMEMBERED:
+            p.known = Known()
+        new = np.flatnonzero(~p.known.look(keys)[1])
+        # Ids of the distinct words that weren't met before, by length.
+        parts, counts, order = [np.zeros(0, np.int32)], np.zeros(len(new), np.int64), [np.zeros(0, np.int64)]
+        lengths = length[one[new]]
         for size in np.unique(lengths).tolist():
             which = np.flatnonzero(lengths == size)
             if size > LONG:
                 for w in which:
-                    ids = encode_long(codes[begin[one[w]] : begin[one[w]] + size], p)
+                    ids = encode_long(codes[begin[one[new[w]]] :][:size], p)
                     parts.append(ids)
                     counts[w] = len(ids)
                 order.append(which)
@@ -292,17 +362,16 @@ def encode_batch(texts: list[str], p: Pieces) -> list[np.ndarray]:
             step = max(1, CELLS // size)
             for at in range(0, len(which), step):
                 some = which[at : at + step]
-                ids, n = encode_words(codes[begin[one[some]][:, None] + np.arange(size)], p)
+                ids, n = encode_words(codes[begin[one[new[some]]][:, None] + np.arange(size)], p)
                 parts.append(ids)
                 counts[some] = n
                 order.append(some)
     order = np.concatenate(order)
-    flat = np.concatenate(parts)
-    offset = np.zeros(len(one), np.int64)
-    offset[order] = np.cumsum(counts[order]) - counts[order]
-    n = counts[code]
+    p.known.add(keys[new[order]], np.concatenate(parts).astype(np.int32), counts[order])
+    place = p.known.look(keys)[0][code]
+    n = p.known.count[place]
     at = np.append(0, np.cumsum(n))
-    ids = flat[np.repeat(offset[code] - at[:-1], n) + np.arange(at[-1])]
+    ids = p.known.ids[np.repeat(p.known.first[place] - at[:-1], n) + np.arange(at[-1])]
     cuts = at[np.searchsorted(begin, starts)]
     return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
@@ -328,18 +397,19 @@ def batches_of(texts: pa.Array):
         at = to
 
 
-def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: str = "text", kind: int | None = None) -> DataFrame:
     """(id, ids, n_tokens, round_trip) for each row of docs.
 
-    ids are those of the model (no begin or end marks) for the whole text; null and empty texts have none.
-    round_trip: decoding gives the text again, which it does but for U+2581, the model's own mark for a blank.
+    ids are those of the model (no begin or end marks) for the whole text; null and empty texts have none. kind:
+    take the model's pieces and scores as those of a UNIGRAM model (the path of the greatest sum of scores, by
+    Viterbi) or of a BPE model (merges), whatever the file says. round_trip: decoding gives the text again, which it does but for U+2581, the model's own mark for a blank.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
-        p = load_file(model_path)
+        p = load_file(model_path, kind)
         for batch in batches:
             for at, texts in batches_of(batch.column(1)):
                 rows = encode_batch(texts, p)

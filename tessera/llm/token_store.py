@@ -27,7 +27,7 @@ RUNS = r"[\s\v\x{85}\p{Z}] "
 #: Chunks that were used before are broadcast up to this count, else met by a shuffle.
 BROADCAST_ROWS = 500_000
 #: Distinct pieces are encoded in runs of about so many bytes, texts in batches of BATCH_BYTES.
-RUN_BYTES, BATCH_BYTES = 1 << 14, 8 << 20
+RUN_BYTES, BATCH_BYTES = 1 << 14, 4 << 20
 #: A worker process remembers the ids of so many pieces from one batch and task to the next.
 REMEMBERED = 1_000_000
 

@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 from pathlib import Path
@@ -21,6 +22,9 @@ from tessera.llm import decontaminate, sentencepiece, spotsigs, token_store, tox
 ODD = ["", " ", "  a  b", "日本語 text\n\nnew", "a" * 700, "x\ty z", "thethethe" * 200, "é" * 300 + "the and" * 90, "😀 a▁b"]
 
 
+MODEL = P.path("piece_bpe_32k.model")
+
+
 @pytest.fixture(scope="module")
 def texts(spark, sf):
     rows = spark.read.parquet(f"{sf}/documents.parquet").select("text").limit(80).collect()
@@ -40,15 +44,35 @@ def test_bpe_ids_are_those_of_the_library(texts):
     assert sentencepiece.decode_batch(mine, pieces) == [ref.decode(r.tolist()) for r in mine]
 
 
-def test_viterbi_reaches_the_best_score_of_the_library(texts):
+def as_unigram(change=None):
     proto = sentencepiece_model_pb2.ModelProto()
     proto.ParseFromString(model_bytes())
     proto.trainer_spec.model_type = sentencepiece.UNIGRAM
-    rng = random.Random(3)
-    for p in proto.pieces:
+    for p in proto.pieces if change else []:
         if p.type == sentencepiece.NORMAL:
-            p.score = -8 - 4 * rng.random()
-    raw = proto.SerializeToString()
+            p.score = change()
+    return proto.SerializeToString()
+
+
+def test_query_model_gives_the_ids_of_the_library_on_the_same_pieces(texts):
+    """The file's pieces and scores as a unigram model. The library adds scores up as 32-bit floats: exact up to 2 ** 24, which
+    short texts reach only by an unknown character or two blanks (a score of -1e9 each)."""
+    pieces, ref = sentencepiece.load(model_bytes(), sentencepiece.UNIGRAM), spm.SentencePieceProcessor(model_proto=as_unigram())
+    short = sorted({" ".join(t.split(" ")[i : i + 20])[:300] for t in texts for i in range(0, 200, 20)})
+    score = lambda ids: sum(pieces.scores[i] if i != pieces.unknown_id and not 3 <= i < 259 else pieces.unknown_score for i in ids)
+    for _ in range(2):  # the second time all words are known
+        mine = sentencepiece.encode_batch(short, pieces)
+        theirs = ref.encode(short)
+        exact = [i for i, r in enumerate(mine) if score(r) > -(2**24)]
+        assert len(exact) > 300 and [mine[i].tolist() for i in exact] == [theirs[i] for i in exact]
+    assert sentencepiece.decode_batch(mine, pieces) == [ref.decode(r.tolist()) for r in mine]
+    for text, own in zip(texts, sentencepiece.encode_batch(texts, pieces), strict=True):
+        assert score(own) >= score(ref.encode(text)) - 1e-6
+
+
+def test_viterbi_reaches_the_best_score_of_the_library(texts):
+    rng = random.Random(3)
+    raw = as_unigram(lambda: -8 - 4 * rng.random())
     pieces, ref = sentencepiece.load(raw), spm.SentencePieceProcessor(model_proto=raw)
     score = lambda ids: sum(pieces.scores[i] for i in ids)
     for text, mine in zip(texts, sentencepiece.encode_batch(texts, pieces), strict=True):
@@ -56,6 +80,25 @@ def test_viterbi_reaches_the_best_score_of_the_library(texts):
         assert mine.tolist() == theirs or abs(score(mine.tolist()) - score(theirs)) < 1e-2
 
 
+@pytest.mark.parametrize("kind", [sentencepiece.UNIGRAM, sentencepiece.BPE])
+def test_very_long_words(monkeypatch, kind):
+    pieces = sentencepiece.load(model_bytes(), kind)
+    rng = random.Random(9)
+    words = ["".join(rng.choice("abcdefghijklmnopqrst") for _ in range(200_000)), "a" * 60_000, "é" * 5000, "0123456789" * 3000]
+    started = time.monotonic()
+    long = sentencepiece.encode_batch(words, pieces)
+    assert time.monotonic() - started < 60 and sentencepiece.decode_batch(long, pieces) == words
+    # Words that are cut, or go character by character, get the ids that the batch of short words gives them.
+    some = ["".join(rng.choice("ethanso") for _ in range(rng.randrange(1, 200))) for _ in range(60)]
+    want = [r.tolist() for r in sentencepiece.encode_batch(some, pieces)]
+    monkeypatch.setattr(sentencepiece, "LONG", 20)
+    pieces.known = sentencepiece.Known()
+    assert [r.tolist() for r in sentencepiece.encode_batch(some, pieces)] == want
+    monkeypatch.setattr(sentencepiece, "cuts_of", lambda word, p: np.zeros(0, np.int64))
+    monkeypatch.setattr(sentencepiece, "REMEMBERED", 0)
+    assert [r.tolist() for r in sentencepiece.encode_batch(some, pieces)] == want
+
+
 def test_encode_handles_nulls_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, None), (2, ""), (2, ""), (None, "a b")], "doc_id long, text string")
     rows = sentencepiece.encode(docs, P.path("piece_bpe_32k.model")).collect()
