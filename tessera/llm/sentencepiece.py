@@ -103,7 +103,7 @@ def hashes(codes: np.ndarray, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
     return sums
 
 
-@lru_cache(4)
+@lru_cache(16)
 def inverse_powers(n: int, base: int = 0x9E3779B97F4A7C15) -> np.ndarray:
     return np.append(np.uint64(1), np.multiply.accumulate(np.full(n, pow(base, -1, 1 << 64), np.uint64)))
 
@@ -167,7 +167,7 @@ def probe(words: np.ndarray, p: Pieces) -> np.ndarray:
     most = min(p.longest, length)
     found = np.full((n, length, most + 1), -1, np.int32)
     found[:, :, 1] = p.single[words]
-    sums, inverse = hashes(words), inverse_powers(LONG)
+    sums, inverse = hashes(words), inverse_powers(1 << length.bit_length())
     for size in range(2, most + 1):
         found[:, : length - size + 1, size] = p.find(mix((sums[:, size:] - sums[:, :-size]) * inverse[: length - size + 1]))
     return found

@@ -55,16 +55,18 @@ def as_unigram(change=None):
 
 
 def test_query_model_gives_the_ids_of_the_library_on_the_same_pieces(texts):
-    """The file's pieces and scores as a unigram model. The library adds scores up as 32-bit floats: exact up to 2 ** 24, which
-    short texts reach only by an unknown character or two blanks (a score of -1e9 each)."""
+    """The file's pieces and scores as a unigram model: the greatest sum of scores, as the library's lattice search has it (its
+    faster `encode` takes '▁the', -13, for '▁t', 'he', -2 and -6). The library adds up 32-bit floats: exact up to 2 ** 24,
+    which short texts reach only by an unknown character or two blanks (a score of -1e9 each)."""
     pieces, ref = sentencepiece.load(model_bytes(), sentencepiece.UNIGRAM), spm.SentencePieceProcessor(model_proto=as_unigram())
     short = sorted({" ".join(t.split(" ")[i : i + 20])[:300] for t in texts for i in range(0, 200, 20)})
     score = lambda ids: sum(pieces.scores[i] if i != pieces.unknown_id and not 3 <= i < 259 else pieces.unknown_score for i in ids)
     for _ in range(2):  # the second time all words are known
         mine = sentencepiece.encode_batch(short, pieces)
-        theirs = ref.encode(short)
         exact = [i for i, r in enumerate(mine) if score(r) > -(2**24)]
-        assert len(exact) > 300 and [mine[i].tolist() for i in exact] == [theirs[i] for i in exact]
+        theirs = [ref.nbest_encode(short[i], nbest_size=2)[0] if short[i] else [] for i in exact]
+        assert len(exact) > 300 and [score(mine[i]) for i in exact] == [score(r) for r in theirs]
+        assert sum(mine[i].tolist() == r for i, r in zip(exact, theirs, strict=True)) > 0.9 * len(exact)  # others are ties
     assert sentencepiece.decode_batch(mine, pieces) == [ref.decode(r.tolist()) for r in mine]
     for text, own in zip(texts, sentencepiece.encode_batch(texts, pieces), strict=True):
         assert score(own) >= score(ref.encode(text)) - 1e-6
