@@ -25,6 +25,10 @@ BLOCK_SETS, BLOCK_SHINGLES = 1000, 1_000_000
 BROADCAST_ROWS = 500_000
 #: A task remembers so many digests, to give the keys of equal sets once.
 SEEN = 100_000
+#: Keys of a task are looked at in runs of about so many: of the sets of a run that share a key, one stands for all.
+RUN_KEYS = 1_000_000
+#: What a set is under a key: alone in its run, the first of several, or one of the others; times 2, plus the key's side.
+ALONE, FIRST, OTHER = 0, 2, 4
 SALT = np.uint64(0xA24BAED4963EE407)
 
 
@@ -46,20 +50,25 @@ class Likeness:
     def bands(self, n: np.ndarray) -> np.ndarray:
         return np.searchsorted(self.band_starts, n, "right") - 1
 
-    def differ(self, band: np.ndarray) -> np.ndarray:
-        """By how many elements two linked sets, the smaller of this band, can differ."""
-        a = self.band_starts[band + 1] - 1
+    def key_bands(self, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bands, two of the above each, that the smaller set of a pair may have: the set's own, and the one below it or -1."""
+        band = self.bands(n)
+        return band // 2, np.where(band % 2 == 0, band // 2 - 1, -1)
+
+    def differ(self, key_band: np.ndarray) -> np.ndarray:
+        """By how many elements two linked sets, the smaller of this key band, can differ."""
+        a = self.band_starts[2 * key_band + 2] - 1
         return (a + a * 100 // self.percent) * (100 - self.percent) // (100 + self.percent)
 
     @staticmethod
     def weak(differ: np.ndarray) -> np.ndarray:
         """How many of its parts with the fewest elements a set leaves out."""
-        return differ // 7 + 1
+        return differ // 5 + 1
 
     @staticmethod
     def spare(differ: np.ndarray) -> np.ndarray:
         """How many of the others, those whose keys the most sets have, it leaves out."""
-        return differ // 4 + 1
+        return differ // 8 + 1
 
 
 @dataclass
@@ -100,7 +109,7 @@ def sets_of(texts: pa.Array, like: Likeness) -> Iterator[tuple[int, Sets]]:
 
 
 def keys_of(sets: Sets, bands: np.ndarray, like: Likeness) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, where each set's begin, how many may be left out) for pairs whose smaller set is of the given bands.
+    """(keys, where each set's begin, how many may be left out) for pairs whose smaller set is of the given key bands (-1: none).
 
     Let two sets that link differ by d elements at most. The hash range is cut into d + 1 + weak + spare parts, so
     weak + spare + 1 parts at least are equal in both; a part's key is a hash of its elements. In any one order of
@@ -160,65 +169,96 @@ def binary(digests: np.ndarray) -> pa.Array:
     return pa.array([x.tobytes() for x in digests], pa.binary())
 
 
+def under_keys(keys: np.ndarray) -> np.ndarray:
+    """ALONE, FIRST or OTHER for each key of a run."""
+    order = np.argsort(keys, kind="stable")
+    new = np.append(True, keys[order][1:] != keys[order][:-1])[: len(keys)]
+    alone = new & np.append(new[1:], True)[: len(keys)]
+    out = np.zeros(len(keys), np.int8)
+    out[order] = np.where(alone, ALONE, np.where(new, FIRST, OTHER))
+    return out
+
+
 def sketches(docs: DataFrame, like: Likeness) -> DataFrame:
-    """docs (id, text) to (id, digest, d, n, lead, own, below, spare_own, spare_below), one row for each.
+    """docs (id, text) to (id, digest, d, n, lead, keys, spare_own, spare_below), one row for each.
 
-    own and below are the keys for pairs whose smaller set is of the set's own band, or of the band below. Of sets
-    that are equal and were met lately in the same task, only the first (lead) has keys.
+    keys are (key, code) for pairs whose smaller set is of the set's own key band (side 0) or of the one below (1);
+    code is the side plus what the set is under the key in its run. Of sets that are equal and were met lately in the
+    same task, only the first (lead) has keys.
     """
-    names = ["id", "digest", "d", "n", "lead", "own", "below", "spare_own", "spare_below"]
+    names = ["id", "digest", "d", "n", "lead", "keys", "spare_own", "spare_below"]
     kind = docs.schema["id"].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
 
         seen: OrderedDict[bytes, None] = OrderedDict()
+        held, size = [], 0
+
+        def flushed():
+            keys = np.concatenate([h[0] for h in held])
+            codes = under_keys(keys) + np.concatenate([h[1] for h in held])
+            pairs = pa.StructArray.from_arrays([pa.array(keys.view(np.int64)), pa.array(codes)], names=["key", "code"])
+            at = 0
+            for own, _, counts, columns in held:
+                offsets = pa.array(np.append(0, np.cumsum(counts)).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*columns[:5], pa.ListArray.from_arrays(offsets, pairs.slice(at, len(own))), *columns[5:]], names=names)
+                at += len(own)
+
         for batch in batches:
             for at, sets in sets_of(batch.column(1), like):
                 n, digests = np.diff(sets.starts), binary(sets.digests)
                 lead = np.zeros(len(n), bool)
                 for i, x in enumerate(digests.to_pylist()):
-                    if n[i] and x not in seen:
-                        lead[i] = True
+                    lead[i] = n[i] > 0 and x not in seen
                     seen[x] = None
                     seen.move_to_end(x)
-                if len(seen) > SEEN:
-                    for _ in range(len(seen) - SEEN):
-                        seen.popitem(last=False)
+                for _ in range(len(seen) - SEEN):
+                    seen.popitem(last=False)
                 which = np.flatnonzero(lead)
                 first = Sets(np.concatenate([sets.of(i) for i in which] or [np.zeros(0, np.uint64)]), np.append(0, np.cumsum(n[which])))
-                bands = like.bands(n[which])
-                columns, spares = [], []
-                for b in (bands, bands - 1):
-                    keys, starts, spare = keys_of(first, b, like)
-                    place = np.cumsum(lead) - 1
-                    sizes = np.where(lead, np.diff(np.append(starts, starts[-1]))[place], 0) if len(which) else np.zeros(len(n), np.int64)
-                    columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32)), pa.array(keys.view(np.int64))))
-                    spares.append(pa.array(np.where(lead, np.append(spare, 0)[place], 0).astype(np.int32)))
-                ids = batch.column(0).slice(at, len(n))
-                yield pa.RecordBatch.from_arrays([ids, digests, pa.array(sets.digests[:, 0].view(np.int64)), pa.array(n.astype(np.int64)), pa.array(lead), *columns, *spares], names=names)
-
-    schema = f"id {kind}, digest binary, d long, n long, lead boolean, own array<long>, below array<long>, spare_own int, spare_below int"
+                found = [keys_of(first, b, like) for b in like.key_bands(n[which])]
+                owner = np.concatenate([np.repeat(which, np.diff(starts)) for _, starts, _ in found])
+                order = np.argsort(owner, kind="stable")
+                sides = np.repeat([0, 1], [len(keys) for keys, _, _ in found]).astype(np.int8)
+                spares = [np.zeros(len(n), np.int32) for _ in found]
+                for out, (_, _, spare) in zip(spares, found, strict=True):
+                    out[which] = spare
+                columns = [batch.column(0).slice(at, len(n)), digests, pa.array(sets.digests[:, 0].view(np.int64)), pa.array(n.astype(np.int64)), pa.array(lead), *map(pa.array, spares)]
+                held.append((np.concatenate([keys for keys, _, _ in found])[order], sides[order], np.bincount(owner, minlength=len(n)), columns))
+                size += len(owner)
+                if size > RUN_KEYS:
+                    yield from flushed()
+                    held, size = [], 0
+        if held:
+            yield from flushed()
+
+    schema = f"id {kind}, digest binary, d long, n long, lead boolean, keys array<struct<key: long, code: tinyint>>, spare_own int, spare_below int"
     return docs.mapInArrow(run, schema)
 
 
 def kept_keys(sketch: DataFrame, scratch: Scratch) -> DataFrame:
     """(key, d): the keys that several sets have, without those that a set may leave out.
 
-    Keys of one set alone lead nowhere, and are the first in the order of how many sets have a key; of the others
-    each set leaves out the spare ones that the most sets have. So a passage that many texts share gives them no
-    common key unless it fills a good part of them.
+    Keys of one set alone lead nowhere, and come first in the order of in how many runs a key is; of the others each
+    set leaves out the spare ones that are in the most runs. So a passage that many texts share gives them no common
+    key unless it fills a good part of them. Keys are shuffled once, a row for each run that has them; rows of other
+    sets of a run meet what was found, and a key that very many sets have is met by a join that Spark can split.
     """
-    leads = sketch.where("lead").select("row", "digest", "d", "own", "below", "spare_own", "spare_below")
+    leads = sketch.where("lead").select("row", "digest", "d", "keys", "spare_own", "spare_below")
     twice = leads.groupBy("digest").agg(F.min("row").alias("first"), F.count("*").alias("c")).where("c > 1").select("digest", "first")
-    twice = small(scratch.table(twice, "repeated-sets"), BROADCAST_ROWS)
-    leads = leads.join(twice, "digest", "left").where("first is null or first = row").drop("first", "row", "digest")
-    counts = leads.select(F.explode(F.concat("own", "below")).alias("key")).groupBy("key").agg(F.count("*").alias("sets"))
-    shared = small(scratch.table(counts.where("sets > 1"), "shared-keys"), BROADCAST_ROWS)
-    side = lambda keys, spare, i: leads.select("d", F.lit(i).alias("side"), F.col(spare).alias("spare"), F.explode(keys).alias("key"))
-    rows = side("own", "spare_own", 0).unionByName(side("below", "spare_below", 1)).join(shared, "key")
-    rank = F.row_number().over(Window.partitionBy("d", "side").orderBy(F.desc("sets"), "key"))
-    return rows.withColumn("rank", rank).where("rank > spare").select("key", "d")
+    leads = leads.join(small(scratch.table(twice, "repeated-sets"), BROADCAST_ROWS), "digest", "left").where("first is null or first = row")
+    rows = leads.select("d", F.explode("keys").alias("x")).select("d", "x.key", "x.code")
+    by_key = Window.partitionBy("key")
+    runs = rows.where(F.col("code") < OTHER).withColumns({"runs": F.count("*").over(by_key), "crowd": F.max("code").over(by_key) >= FIRST})
+    shared = scratch.table(runs.where("runs > 1 or crowd"), "shared-keys")
+    crowded = shared.where("crowd").groupBy("key").agg(F.max("runs").alias("runs"))
+    others = rows.where(F.col("code") >= OTHER).join(crowded, "key")
+    every = shared.select("d", "key", "code", "runs").unionByName(others).withColumn("side", F.col("code") % 2)
+    spare = leads.select("d", "spare_own", "spare_below")
+    rank = F.row_number().over(Window.partitionBy("d", "side").orderBy(F.desc("runs"), "key"))
+    ranked = every.withColumn("rank", rank).join(small(scratch.table(spare.join(every.select("d").distinct(), "d", "left_semi"), "spares"), BROADCAST_ROWS), "d")
+    return ranked.where(F.col("rank") > F.when(F.col("side") == 0, F.col("spare_own")).otherwise(F.col("spare_below"))).select("key", "d")
 
 
 def bitmaps(sets: list[np.ndarray]) -> np.ndarray:
@@ -334,7 +374,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept = scratch.table(kept_keys(sketch, scratch), "kept-keys")
     hub = kept.groupBy("key").agg(F.min("d").alias("hub"), F.max("d").alias("last")).where("hub < last").drop("last")
     edges = scratch.table(kept.join(hub, "key").where("d <> hub").select(F.col("d").alias("a"), F.col("hub").alias("b")).distinct(), "key-links")
-    scratch.drop("shared-keys", "repeated-sets", "kept-keys")
+    scratch.drop("shared-keys", "repeated-sets", "spares", "kept-keys")
     family = scratch.table(connected_components(edges).select(F.col("node").alias("d"), F.col("root").alias("family")), "families")
 
     # One text of each set that is in a family.
