@@ -41,6 +41,11 @@ def rings_of(wkb: bytes) -> tuple[int, list[list[np.ndarray]]]:
     return kind, parts
 
 
+def closed(points: list) -> np.ndarray:
+    """A ring of points, with the first again at its end."""
+    return np.array([*points, points[0]], float)
+
+
 def wkb_of(parts: list[list[np.ndarray]]) -> bytes:
     body = [struct.pack("<BII", 1, POLYGON, len(rings)) + b"".join(struct.pack("<I", len(r)) + np.asarray(r, "<f8").tobytes() for r in rings) for rings in parts]
     return body[0] if len(body) == 1 else struct.pack("<BII", 1, MULTIPOLYGON, len(body)) + b"".join(body)

@@ -43,12 +43,13 @@ def nearest(steps: DataFrame, scenes: DataFrame) -> DataFrame:
     """
     spread = scenes.select("tile", "scene_id", "coverage", "acquired", F.explode(F.sequence(F.lit(1 - NEAR_DAYS), F.lit(NEAR_DAYS - 1))).alias("off"))
     near = steps.join(spread.select("tile", "scene_id", "coverage", F.date_add("acquired", F.col("off")).alias("step"), F.abs("off").alias("days")), ["tile", "step"])
-    w = W.partitionBy("tile", "step")
-    first = near.withColumn("rank", F.row_number().over(w.orderBy("days", F.desc("coverage"), "scene_id")))
-    best = first.withColumn("first_cov", F.max(F.when(F.col("rank") == 1, F.col("coverage"))).over(w))
-    swap = (F.col("first_cov") < ENOUGH) & (F.col("days") <= 1) & (F.col("coverage") >= ENOUGH)
-    again = best.withColumn("order", F.row_number().over(w.orderBy(F.desc(swap), F.when(swap, -F.col("coverage")), "rank")))
-    return again.where("order = 1").select("tile", "step", "scene_id", "days", "coverage")
+    behind = -F.col("coverage")
+    enough = (F.col("days") <= 1) & (F.col("coverage") >= ENOUGH)
+    best = near.groupBy("tile", "step").agg(
+        F.min(F.struct("days", behind.alias("behind"), "scene_id")).alias("first"), F.min(F.when(enough, F.struct(behind.alias("behind"), "days", "scene_id"))).alias("other")
+    )
+    pick = lambda c: F.when((-F.col("first.behind") < ENOUGH) & F.col("other").isNotNull(), F.col(f"other.{c}")).otherwise(F.col(f"first.{c}"))
+    return best.select("tile", "step", pick("scene_id").alias("scene_id"), pick("days").alias("days"), (-pick("behind")).alias("coverage"))
 
 
 def better_within(scenes: DataFrame, days: int = 30, by: float = BETTER_BY) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import geometry
 from .raster import NODATA
 
 #: Least part of a pixel that counts, eight directions of shift, limit of a small site in hectares.
@@ -20,16 +21,38 @@ LAND_COVER = {
 }
 
 
-def overlap(low: str, high: str, cell: Column) -> Column:
+def overlap(low: Column, high: Column, cell: Column) -> Column:
     """The part of the unit interval from `cell` that an interval covers."""
-    return F.greatest(F.least(F.col(high), cell + 1) - F.greatest(F.col(low), cell), F.lit(0.0))
+    return F.greatest(F.least(high, cell + 1) - F.greatest(low, cell), F.lit(0.0))
 
 
 def pixel_parts(boxes: DataFrame) -> DataFrame:
     """boxes (x0, y0, x1, y1 in pixels) spread over the pixels (r, c) that they meet, with the part covered."""
     cells = lambda a, b: F.explode(F.sequence(F.floor(a).cast("int"), F.greatest(F.ceil(b).cast("int") - 1, F.floor(a).cast("int"))))
     spread = boxes.select("*", cells("x0", "x1").alias("c")).select("*", cells("y0", "y1").alias("r"))
-    return spread.withColumn("part", overlap("x0", "x1", F.col("c")) * overlap("y0", "y1", F.col("r")))
+    return spread.withColumn("part", overlap(F.col("x0"), F.col("x1"), F.col("c")) * overlap(F.col("y0"), F.col("y1"), F.col("r")))
+
+
+def moved_parts(boxes: DataFrame, shifts: list[tuple[float, float]]) -> DataFrame:
+    """boxes spread once over all pixels that they meet in place or moved by one of shifts; `parts` has the part of each.
+
+    Other columns of boxes stay; a pixel that none of the moved boxes covers to LEAST_PART has no row.
+    """
+    reach_x, reach_y = max(abs(dx) for dx, _ in shifts), max(abs(dy) for _, dy in shifts)
+    cells = lambda a, b, by: F.explode(F.sequence(F.floor(F.col(a) - by).cast("int"), F.greatest(F.ceil(F.col(b) + by).cast("int") - 1, F.floor(F.col(a) - by).cast("int"))))
+    spread = boxes.select("*", cells("x0", "x1", reach_x).alias("c")).select("*", cells("y0", "y1", reach_y).alias("r"))
+    part = lambda dx, dy: overlap(F.col("x0") + dx, F.col("x1") + dx, F.col("c")) * overlap(F.col("y0") + dy, F.col("y1") + dy, F.col("r"))
+    return spread.withColumn("parts", F.array(*[part(dx, dy) for dx, dy in shifts])).where(F.array_max("parts") >= LEAST_PART)
+
+
+def means_of_parts(parts: DataFrame, pixels: DataFrame, key: str, n: int, value: str = "u8") -> DataFrame:
+    """(key, means): the n means of value weighted by each of `parts` that is LEAST_PART or more, without NODATA.
+
+    A key without any pixel that counts has no row; a mean without one is null.
+    """
+    data = parts.join(pixels.where(F.col(value) != NODATA), ["r", "c"])
+    weight = lambda i: F.when(F.get("parts", F.lit(i)) >= LEAST_PART, F.get("parts", F.lit(i)))
+    return data.groupBy(key).agg(F.array(*[F.try_divide(F.sum(F.col(value) * weight(i)), F.sum(weight(i))) for i in range(n)]).alias("means"))
 
 
 def zonal_means(boxes: DataFrame, pixels: DataFrame, keys: list[str], value: str = "u8") -> DataFrame:
@@ -39,18 +62,25 @@ def zonal_means(boxes: DataFrame, pixels: DataFrame, keys: list[str], value: str
     return data.groupBy(*keys).agg(F.try_divide(F.sum(F.col(value) * weight), F.sum(weight)).alias("ttc"))
 
 
+def errors_of_means(means: DataFrame, key: str) -> DataFrame:
+    """(key, ttc, shift_error) from the means in place and moved: the root of the mean square of the relative changes.
+
+    Directions without a value are left out of the sum but count among the 8; a mean of 0 has no error.
+    """
+    ttc = F.get("means", F.lit(0))
+    square = F.aggregate(F.slice("means", 2, len(SHIFTS)), F.lit(0.0), lambda s, x: s + F.coalesce(F.pow(F.try_divide(x - ttc, ttc), 2), F.lit(0.0)))
+    return means.select(key, ttc.alias("ttc"), F.when(ttc == 0, 0.0).when(ttc.isNotNull(), F.sqrt(square / len(SHIFTS))).alias("shift_error"))
+
+
 def shift_errors(boxes: DataFrame, pixels: DataFrame, key: str, by: float) -> DataFrame:
-    """(key, ttc, shift_error): root of the mean square of relative changes when the box moves in 8 directions.
+    """(key, ttc, shift_error) of boxes (x0, y0, x1, y1 in pixels): their mean, and how it changes moved in 8 directions.
 
-    Directions without a value are left out of the sum but count among the 8; a mean of 0 or null has no error.
+    A box is spread over the pixels once, and each pixel carries its nine parts. Boxes without any pixel that counts
+    have nulls.
     """
-    moves = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(dx * by).alias("dx"), F.lit(dy * by).alias("dy")) for i, (dx, dy) in enumerate([(0, 0), *SHIFTS])])).alias("s")
-    moved = boxes.select("*", moves).select(
-        key, F.col("s.i").alias("i"), *[(F.col(c) + F.col("s.dx" if c[0] == "x" else "s.dy")).alias(c) for c in ("x0", "y0", "x1", "y1")]
-    )
-    means = zonal_means(moved, pixels, [key, "i"]).groupBy(key).agg(F.max(F.when(F.col("i") == 0, F.col("ttc"))).alias("ttc"), F.collect_list(F.when(F.col("i") > 0, F.col("ttc"))).alias("others"))
-    square = F.aggregate("others", F.lit(0.0), lambda s, x: s + F.pow(F.try_divide(x - F.col("ttc"), F.col("ttc")), 2))
-    return means.select(key, "ttc", F.when(F.col("ttc") == 0, 0.0).otherwise(F.sqrt(square / 8)).alias("shift_error"))
+    parts = moved_parts(boxes.select(key, "x0", "y0", "x1", "y1"), [(0.0, 0.0), *((dx * by, dy * by) for dx, dy in SHIFTS)])
+    means = means_of_parts(parts, pixels, key, 1 + len(SHIFTS))
+    return boxes.select(key).distinct().join(errors_of_means(means, key), key, "left")
 
 
 def small_site_error(area: Column, ttc: Column) -> Column:
@@ -89,29 +119,53 @@ def majority(pixels: DataFrame, key: str, code: str) -> DataFrame:
     return n.groupBy(key).agg(F.max(F.struct("n", (-F.col(code)).alias("m"))).alias("x")).select(key, (-F.col("x.m")).alias(code), F.col("x.n").alias("n"))
 
 
+def first_of(table: DataFrame, key: str) -> DataFrame:
+    """One row for each key of a table of intervals: the first by `place` where it has that column, else the least."""
+    rest = [c for c in table.columns if c not in (key, "place")]
+    order = ["place"] if "place" in table.columns else []
+    return table.groupBy(key).agg(F.min(F.struct(*order, *rest)).alias("x")).select(key, *[F.col(f"x.{c}") for c in rest])
+
+
 def with_errors(rows: DataFrame, intervals: DataFrame) -> DataFrame:
-    """rows (ttc, area, shift_error, category) with their errors.
+    """rows (ttc, area, shift_error, category, and sub: a struct of an interval or null) with their errors.
 
     intervals: category, p_lower_95, p_upper_95, r_lower_95, r_upper_95; a category that it lacks (case aside) is
-    taken as forest. Rows without a mean have none.
+    taken as forest, of several rows of one the first counts. Without a column `sub`, or where it is null, the
+    sub-region adds nothing. Rows without a mean have no errors.
     """
-    table = intervals.select(F.lower("category").alias("_category"), *[c for c in intervals.columns if c != "category"])
+    fields = ("p_lower_95", "p_upper_95", "r_lower_95", "r_upper_95")
+    own = first_of(intervals.select(F.lower("category").alias("_category"), *fields, *(["place"] if "place" in intervals.columns else [])), "_category")
+    table = own.select("_category", F.struct(*fields).alias("_own"))
     known = table.select(F.col("_category").alias("_known"))
-    named = rows.join(F.broadcast(known), F.lower("category") == F.col("_known"), "left").withColumn("_category", F.coalesce("_known", F.lit("forest"))).drop("_known")
+    named = rows.join(known, F.lower("category") == F.col("_known"), "left").withColumn("_category", F.coalesce("_known", F.lit("forest"))).drop("_known")
     ttc = F.col("ttc")
-    lower, upper = interval_error(F.col("p_upper_95"), F.col("r_lower_95"), ttc), interval_error(F.col("r_upper_95"), F.col("p_lower_95"), ttc)
-    errors = combined(ttc, F.col("shift_error"), small_site_error(F.col("area"), ttc), [lower], [upper])
-    return named.join(F.broadcast(table), "_category", "left").withColumn("errors", errors).select(*rows.columns, "errors.*")
+    lower = lambda c: interval_error(F.col(f"{c}.p_upper_95"), F.col(f"{c}.r_lower_95"), ttc)
+    upper = lambda c: interval_error(F.col(f"{c}.r_upper_95"), F.col(f"{c}.p_lower_95"), ttc)
+    sub = "sub" in rows.columns
+    none = F.when(ttc.isNotNull(), 0.0)
+    lowers, uppers = ([f("_own"), *([F.coalesce(f("sub"), none)] if sub else [])] for f in (lower, upper))
+    errors = combined(ttc, F.col("shift_error"), small_site_error(F.col("area"), ttc), lowers, uppers)
+    return named.join(table, "_category", "left").withColumn("errors", errors).select(*[c for c in rows.columns if c != "sub"], "errors.*")
+
+
+#: Points and regions meet by squares of so many units on a side.
+CELL = 500.0
 
 
-def first_region(points: DataFrame, regions: DataFrame, key: str) -> DataFrame:
-    """The first region (by place) whose box (w, s, e, n) holds a point (x, y), nulls where none does.
+def first_region(points: DataFrame, regions: DataFrame, key: str, cell: float = CELL) -> DataFrame:
+    """(key, and regions' columns but geom): the first region (by place) that holds a point (key, x, y); nulls without one.
 
-    regions is a fixed table of a few rows, so it is broadcast.
+    regions: place, geom (polygons as well-known binary) and any other columns. A region is spread over the squares of
+    its envelope, so the join is by equality of squares and neither side need be small; the polygon itself is then tested.
     """
-    inside = (F.col("x") >= F.col("w")) & (F.col("x") <= F.col("e")) & (F.col("y") >= F.col("s")) & (F.col("y") <= F.col("n"))
-    found = points.join(F.broadcast(regions), inside, "left").groupBy(key).agg(F.min(F.struct("place", "region")).alias("x"))
-    return found.select(key, F.col("x.region").alias("region"))
+    at = lambda c: F.floor(F.col(c) / cell).cast("long")
+    rest = [c for c in regions.columns if c != "geom"]
+    boxed = geometry.described(regions).where("w is not null").select(F.struct(*rest).alias("found"), "geom", "w", "s", "e", "n")
+    squares = lambda a, b: F.explode(F.sequence(at(a), at(b)))
+    spread = boxed.select("*", squares("w", "e").alias("_i")).select("*", squares("s", "n").alias("_j"))
+    met = points.select(key, "x", "y", at("x").alias("_i"), at("y").alias("_j")).join(spread, ["_i", "_j"]).where("x >= w and x <= e and y >= s and y <= n")
+    inside = met.where(geometry.within(F.col("geom"), F.col("x"), F.col("y"))).groupBy(key).agg(F.min("found").alias("found"))
+    return points.select(key).distinct().join(inside, key, "left").select(key, *[F.col(f"found.{c}").alias(c) for c in rest])
 
 
 def interval_table(spark: SparkSession, path: str) -> DataFrame:

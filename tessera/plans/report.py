@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tessera.operators import coverage, inventory, tiles, zonal
 
@@ -22,13 +23,21 @@ def project_run(polygons: DataFrame, grid: DataFrame, objects: DataFrame, source
     return {"polygons": chosen, "tiles": needed, "ready": ready, "fetch": needed.join(ready, ["year", "x_tile", "y_tile"], "left_anti")}
 
 
-def statistics(boxes: DataFrame, pixels: DataFrame, key: str, details: DataFrame, intervals: DataFrame, shift: float) -> DataFrame:
-    """Means and errors of all sites in one plan: details has key, area and category."""
-    return zonal.with_errors(zonal.shift_errors(boxes, pixels, key, shift).join(details, key), intervals)
+def statistics(boxes: DataFrame, pixels: DataFrame, key: str, details: DataFrame, intervals: DataFrame, regions: DataFrame, shift: float) -> DataFrame:
+    """Means and all four errors of sites in one plan: details has key, area, category and the site's centre (x, y).
+
+    regions: place, geom and intervals of the sub-regions; the first that holds the centre counts.
+    """
+    fields = ("p_lower_95", "p_upper_95", "r_lower_95", "r_upper_95")
+    found = zonal.first_region(details.select(key, "x", "y"), regions, key)
+    sub = found.select(key, F.when(F.col("place").isNotNull(), F.struct(*fields)).alias("sub"))
+    return zonal.with_errors(zonal.shift_errors(boxes, pixels, key, shift).join(details, key).join(sub, key), intervals)
 
 
 def markdown(rows: DataFrame, title: str, limit: int = 200) -> str:
-    """A Markdown table of the first rows of a (small) report."""
+    """A Markdown table of a report's first rows, with the number of those that are left out, if any, below it."""
     head = "| " + " | ".join(rows.columns) + " |\n|" + "-|" * len(rows.columns)
-    body = "\n".join("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in rows.limit(limit).collect())
-    return f"## {title}\n\n{head}\n{body}\n"
+    first = rows.limit(limit + 1).collect()
+    body = "\n".join("| " + " | ".join("" if v is None else str(v) for v in r) + " |" for r in first[:limit])
+    more = f"\n{rows.count() - limit} more rows.\n" if len(first) > limit else ""
+    return f"## {title}\n\n{head}\n{body}\n{more}"

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from tessera.fixtures import view, with_views
 from tessera.functions import scalars as S
 from tessera.functions import spectral as P
-from tessera.operators import raster, scenes, temporal, zonal
+from tessera.operators import geometry, raster, scenes, temporal, zonal
+from tessera.plans import report
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -42,7 +43,7 @@ def scene_selection(spark, d):
     return scenes.chosen(scenes.clear(view(spark, d, "v_scenes"))).select("scene_id", "place")
 
 
-STEPS = "(select distinct tile, acquired + cast(scene_id % 5 as int) as step from v_scenes where scene_id % 4 = 0)"
+STEPS = "(select distinct tile, acquired + cast(scene_id % 5 as int) as step from v_scenes)"
 
 
 @query("nearest_scene", f"""with n as (select s.tile, s.step, v.scene_id, v.coverage, cast(abs(date_diff('day', v.acquired, cast(s.step as date))) as int) as days from {STEPS} s join v_scenes v
@@ -53,22 +54,6 @@ STEPS = "(select distinct tile, acquired + cast(scene_id % 5 as int) as step fro
   o as (select *, row_number() over (partition by tile, step order by swap desc, case when swap then -coverage end, rank) as place from h)
   select tile, cast(cast(step as date) as varchar) as step, scene_id, days, coverage from o where place = 1""")
 def nearest_scene(spark, d):
-    s = view(spark, d, "v_scenes")
-    steps = s.where("scene_id % 4 = 0").select("tile", F.date_add("acquired", (F.col("scene_id") % 5).cast("int")).alias("step")).distinct()
-    return scenes.nearest(steps, s).withColumn("step", F.col("step").cast("string"))
-
-
-WHOLE_STEPS = STEPS.replace(" where scene_id % 4 = 0", "")
-
-
-@query("nearest_scene_whole", f"""with n as (select s.tile, s.step, v.scene_id, v.coverage, cast(abs(date_diff('day', v.acquired, cast(s.step as date))) as int) as days from {WHOLE_STEPS} s join v_scenes v
-    on v.tile = s.tile and v.acquired between s.step - interval 2 day and s.step + interval 2 day),
-  f as (select *, row_number() over (partition by tile, step order by days, coverage desc, scene_id) as rank from n),
-  g as (select *, max(case when rank = 1 then coverage end) over (partition by tile, step) as first_cov from f),
-  h as (select *, first_cov < 0.95 and days <= 1 and coverage >= 0.95 as swap from g),
-  o as (select *, row_number() over (partition by tile, step order by swap desc, case when swap then -coverage end, rank) as place from h)
-  select tile, cast(cast(step as date) as varchar) as step, scene_id, days, coverage from o where place = 1""")
-def nearest_scene_whole(spark, d):
     s = view(spark, d, "v_scenes")
     steps = s.select("tile", F.date_add("acquired", (F.col("scene_id") % 5).cast("int")).alias("step")).distinct()
     return scenes.nearest(steps, s).withColumn("step", F.col("step").cast("string"))
@@ -216,22 +201,12 @@ def bad_steps(spark, d):
     return temporal.bad_steps(view(spark, d, "v_bands").withColumn("v", v), "t", "pixel")
 
 
-@query("false_clouds", """with recursive s as (select vec_id, list(case when v > 0 then 1 else 0 end order by i) as f from v_pixels where i < 12 group by 1),
-  w(vec_id, f, i, last, kept) as (select vec_id, f, 1, 0, cast([] as int[]) from s
-    union all select vec_id, f, i + 1, case when last = 1 and f[i] = 1 then 0 else f[i] end,
-      case when last = 1 and f[i] = 1 then list_concat(kept[1:len(kept) - 1], [0, 0]) else list_append(kept, f[i]) end from w where i <= 12)
-  select vec_id, array_to_string(kept, '') as flags from w where i = 13""")
-def false_clouds(spark, d):
-    flags = F.transform(F.array_sort(F.collect_list(F.struct("i", (F.col("v") > 0).cast("int").alias("f")))), lambda x: x["f"])
-    return view(spark, d, "v_pixels").where("i < 12").groupBy("vec_id").agg(flags.alias("f")).select("vec_id", F.array_join(temporal.without_false_clouds(F.col("f")).cast("array<string>"), "").alias("flags"))
-
-
-@query("false_clouds_whole", """with recursive s as (select vec_id, list(case when v > 0 then 1 else 0 end order by i) as f from v_pixels group by 1),
+@query("false_clouds", """with recursive s as (select vec_id, list(case when v > 0 then 1 else 0 end order by i) as f from v_pixels group by 1),
   w(vec_id, f, i, last, kept) as (select vec_id, f, 1, 0, cast([] as int[]) from s
     union all select vec_id, f, i + 1, case when last = 1 and f[i] = 1 then 0 else f[i] end,
       case when last = 1 and f[i] = 1 then list_concat(kept[1:len(kept) - 1], [0, 0]) else list_append(kept, f[i]) end from w where i <= len(f))
   select vec_id, array_to_string(kept, '') as flags from w where i = len(f) + 1""")
-def false_clouds_whole(spark, d):
+def false_clouds(spark, d):
     flags = F.transform(F.array_sort(F.collect_list(F.struct("i", (F.col("v") > 0).cast("int").alias("f")))), lambda x: x["f"])
     return view(spark, d, "v_pixels").groupBy("vec_id").agg(flags.alias("f")).select("vec_id", F.array_join(temporal.without_false_clouds(F.col("f")).cast("array<string>"), "").alias("flags"))
 
@@ -305,16 +280,10 @@ def gaussian_blend(spark, d):
     return raster.blended(predictions(spark, d), raster.gauss(8, 3.0, F.col("i"), F.col("j")), "p", ["label", "r", "c"])
 
 
-@query("window_agreement", f"""with p as (select w, r, c, p from {PRED} where label = 1), o as (select *, (sum(p) over (partition by r, c) - p) / nullif(count(*) over (partition by r, c) - 1, 0) as o from p),
-  d as (select w, avg(abs(o - p)) as ratio from o group by 1) select w, round(case when (select min(ratio) from d) > 0 and ratio is not null then least((select median(ratio) from d) / ratio, 1.5) else 1 end, 6) as multiplier from d""")
-def window_agreement(spark, d):
-    return raster.agreement(predictions(spark, d).where("label = 1"), "w", "p").withColumn("multiplier", F.round("multiplier", 6))
-
-
-@query("window_agreement_whole", f"""with p as (select label, w, r, c, p from {PRED}), o as (select *, (sum(p) over (partition by label, r, c) - p) / nullif(count(*) over (partition by label, r, c) - 1, 0) as o from p),
+@query("window_agreement", f"""with p as (select label, w, r, c, p from {PRED}), o as (select *, (sum(p) over (partition by label, r, c) - p) / nullif(count(*) over (partition by label, r, c) - 1, 0) as o from p),
   d as (select label, w, avg(abs(o - p)) as ratio from o group by 1, 2), m as (select label, min(ratio) as least, median(ratio) as middle from d group by 1)
   select label, w, round(case when least > 0 and ratio is not null then least(middle / ratio, 1.5) else 1 end, 6) as multiplier from d join m using (label)""")
-def window_agreement_whole(spark, d):
+def window_agreement(spark, d):
     return raster.agreement(predictions(spark, d), "w", "p", ["label"]).withColumn("multiplier", F.round("multiplier", 6))
 
 
@@ -339,27 +308,37 @@ def terrain_slope(spark, d):
     return raster.slopes(view(spark, d, "v_patch"), "u8", 10.0).select("tile", "r", "c", F.round("slope", 6).alias("slope"))
 
 
-#: A raster of 64 x 64 pixels from the first tiles, and boxes of sites over it in pixels.
-RASTER = "(select cast(floor(tile / 8) * 8 + r as int) as r, cast(tile % 8 * 8 + c as int) as c, case when u8 % 17 = 0 then 255 else u8 end as u8 from v_patch where tile < 64)"
-BOXES = "(select k, calc_area, x0 / 170.0 as x0, y0 / 170.0 as y0, x1 / 170.0 as x1, y1 / 170.0 as y1 from v_polys)"
+#: All tiles of the patches, row by row in a square that holds them; sites of some pixels anywhere on it.
+SIDE = "(select cast(ceil(sqrt(max(tile) + 1)) as int) as side from v_patch)"
+RASTER = f"(select cast(floor(tile / side) * 8 + r as int) as r, cast(tile % side * 8 + c as int) as c, case when u8 % 17 = 0 then 255 else u8 end as u8 from v_patch, {SIDE})"
+BOXES = f"""(select k, calc_area, px as x0, py as y0, px + (x1 - x0) / 170.0 as x1, py + (y1 - y0) / 170.0 as y1
+  from (select *, x0 * side / 1360.0 as px, y0 * side / 1360.0 as py from v_polys, {SIDE}))"""
+
+
+def tile_side(spark, d):
+    return F.broadcast(view(spark, d, "v_patch").agg(F.ceil(F.sqrt(F.max("tile") + 1)).cast("int").alias("side")))
 
 
 def site_raster(spark, d):
-    p = holed(spark, d).where("tile < 64")
-    return p.select(F.floor(F.floor(F.col("tile") / 8) * 8 + F.col("r")).cast("int").alias("r"), (F.col("tile") % 8 * 8 + F.col("c")).cast("int").alias("c"), "u8")
+    p = holed(spark, d).crossJoin(tile_side(spark, d))
+    return p.select((F.floor(F.col("tile") / F.col("side")) * 8 + F.col("r")).cast("int").alias("r"), (F.col("tile") % F.col("side") * 8 + F.col("c")).cast("int").alias("c"), "u8")
 
 
 def site_boxes(spark, d):
-    return view(spark, d, "v_polys").select("k", "calc_area", *[(F.col(c) / 170.0).alias(c) for c in ("x0", "y0", "x1", "y1")])
+    p = view(spark, d, "v_polys").crossJoin(tile_side(spark, d))
+    low = lambda c: F.col(c) * F.col("side") / 1360.0
+    high = lambda c: low(f"{c}0") + (F.col(f"{c}1") - F.col(f"{c}0")) / 170.0
+    return p.select("k", "calc_area", low("x0").alias("x0"), low("y0").alias("y0"), high("x").alias("x1"), high("y").alias("y1"))
 
 
 def means_sql(boxes: str, keys: str) -> str:
-    part = "greatest(least(x1, c + 1) - greatest(x0, c), 0) * greatest(least(y1, r + 1) - greatest(y0, r), 0)"
-    return f"""select {keys}, sum(u8 * part) / nullif(sum(case when u8 is not null then part end), 0) as ttc from
-      (select b.*, p.u8, case when p.u8 is not null then {part} end as part from {boxes} b left join (select * from {RASTER} where u8 <> 255) p on p.c >= floor(x0) - 1 and p.c <= x1 and p.r >= floor(y0) - 1 and p.r <= y1 and {part} >= 0.05) group by {keys}"""
+    part = "greatest(least(x1, p.c + 1) - greatest(x0, p.c), 0) * greatest(least(y1, p.r + 1) - greatest(y0, p.r), 0)"
+    cells = lambda a, b: f"unnest(range(cast(floor({a}) as bigint), cast(ceil({b}) as bigint)))"
+    return f"""select {keys}, sum(u8 * part) / sum(part) as ttc from (select b.*, p.u8, {part} as part from (select *, {cells('y0', 'y1')} as r from (select *, {cells('x0', 'x1')} as c from {boxes})) b
+      join (select * from {RASTER} where u8 <> 255) p on p.r = b.r and p.c = b.c) where part >= 0.05 group by {keys}"""
 
 
-@query("zonal_mean", f"with m as ({means_sql(BOXES, 'k')}) select k, round(ttc, 6) as ttc from m where ttc is not null")
+@query("zonal_mean", f"with m as ({means_sql(BOXES, 'k')}) select k, round(ttc, 6) as ttc from m")
 def zonal_mean(spark, d):
     return zonal.zonal_means(site_boxes(spark, d), site_raster(spark, d), ["k"]).where("ttc is not null").withColumn("ttc", F.round("ttc", 6))
 
@@ -375,76 +354,48 @@ def shift_error(spark, d):
     return found.select("k", F.round("ttc", 6).alias("ttc"), F.round("shift_error", 6).alias("shift_error"))
 
 
-#: Confidence intervals for these queries; a real run reads them from its own table (zonal.interval_table).
+#: Confidence intervals for these queries; a real run reads them from its own tables (zonal.interval_table).
+INTERVAL = "p_lower_95 double, p_upper_95 double, r_lower_95 double, r_upper_95 double"
 INTERVALS = [("Forest", 0.92, 0.95, 0.9, 0.96), ("Urban", 0.7, 0.93, 0.68, 0.94), ("Cropland", 0.91, 0.95, 0.9, 0.97)]
 CATEGORY = "case k % 4 when 0 then 'URBAN' when 1 then 'cropland' when 2 then 'Forest' else 'swamp' end"
+#: Sub-regions in the sites' units of degree: a triangle and two rectangles, which overlap; the first in order counts.
+REGIONS = [
+    (1, "east", [(3000.3, 0.3), (10500.3, 0.3), (10500.3, 8000.3)], 0.8, 0.97, 0.75, 0.96), (2, "west", [(0.3, 0.3), (5000.3, 0.3), (5000.3, 7000.3), (0.3, 7000.3)], 0.74, 0.98, 0.7, 0.95),
+    (3, "north", [(2000.3, 5000.3), (10500.3, 5000.3), (10500.3, 9000.3), (2000.3, 9000.3)], 0.9, 0.99, 0.88, 0.97),
+]
+REGION = """case when x >= 3000.3 and x <= 10500.3 and y >= 0.3 and (y - 0.3) * 7500 <= (x - 3000.3) * 8000 then 1
+  when x >= 0.3 and x <= 5000.3 and y >= 0.3 and y <= 7000.3 then 2 when x >= 2000.3 and x <= 10500.3 and y >= 5000.3 and y <= 9000.3 then 3 end"""
 
 
-@query("error_propagation", f"""with {SHIFTED}, j as (select s.k, s.ttc, s.shift_error, p.calc_area as area, {CATEGORY.replace('k %', 's.k %')} as category from s join v_polys p on p.k = s.k),
-  t(name, pl, pu, rl, ru) as (values ('forest', 0.92, 0.95, 0.9, 0.96), ('urban', 0.7, 0.93, 0.68, 0.94), ('cropland', 0.91, 0.95, 0.9, 0.97)),
-  e as (select *, case when ttc = 0 then 0 else (pu - rl) / ttc end as lo, case when ttc = 0 then 0 else (ru - pl) / ttc end as hi,
-    case when ttc = 0 or area > 0.5 then 0 else (case when ttc <= 10 then 3.6386 when ttc <= 40 then 16.68 when ttc <= 100 then 23.468 else 0 end) / ttc end as small
-    from j join t on t.name = case when lower(category) in (select name from t) then lower(category) else 'forest' end),
-  f as (select k, ttc, ttc * sqrt(lo * lo + shift_error * shift_error / 4 + small * small / 4) as minus, ttc * sqrt(hi * hi + shift_error * shift_error / 4 + small * small / 4) as plus from e)
-  select k, round(ttc, 6) as ttc, round(plus, 6) as error_plus, round(minus, 6) as error_minus, round((plus + minus) / 2, 6) as plus_minus_average from f""")
-def error_propagation(spark, d):
-    return with_their_errors(spark, site_boxes(spark, d), site_raster(spark, d))
-
-
-def with_their_errors(spark, boxes, pixels):
-    rows = zonal.shift_errors(boxes, pixels, "k", 0.5).where("ttc is not null").join(boxes.select("k", F.col("calc_area").alias("area")), "k").withColumn("category", F.expr(CATEGORY))
-    table = spark.createDataFrame(INTERVALS, "category string, p_lower_95 double, p_upper_95 double, r_lower_95 double, r_upper_95 double")
-    out = zonal.with_errors(rows, table)
-    return out.select("k", *[F.round(c, 6).alias(c) for c in ("ttc", "error_plus", "error_minus", "plus_minus_average")])
-
-
-#: All tiles, row by row in a square that holds them, and the boxes at the same scale to its extent (8 tiles: as above).
-SIDE = "(select cast(ceil(sqrt(max(tile) + 1)) as int) as side from v_patch)"
-WHOLE_RASTER = f"(select cast(floor(tile / side) * 8 + r as int) as r, cast(tile % side * 8 + c as int) as c, case when u8 % 17 = 0 then 255 else u8 end as u8 from v_patch, {SIDE})"
-WHOLE_BOXES = f"(select k, calc_area, x0 * side / 1360.0 as x0, y0 * side / 1360.0 as y0, x1 * side / 1360.0 as x1, y1 * side / 1360.0 as y1 from v_polys, {SIDE})"
-
+def region_table(spark):
+    rows = [(i, name, geometry.wkb_of([[geometry.closed(points)]]), *interval) for i, name, points, *interval in REGIONS]
+    return spark.createDataFrame(rows, f"place int, region string, geom binary, {INTERVAL}")
 
-def tile_side(spark, d):
-    return F.broadcast(view(spark, d, "v_patch").agg(F.ceil(F.sqrt(F.max("tile") + 1)).cast("int").alias("side")))
 
+@query("first_region", f"""with c as (select k, (x0 + x1) / 2.0 as x, (y0 + y1) / 2.0 as y from v_polys), r as (select k, {REGION} as place from c)
+  select k, case place when 1 then 'east' when 2 then 'west' when 3 then 'north' end as region from r""")
+def first_region(spark, d):
+    return zonal.first_region(centres(spark, d), region_table(spark), "k").select("k", "region")
 
-def whole_raster(spark, d):
-    p = holed(spark, d).crossJoin(tile_side(spark, d))
-    return p.select((F.floor(F.col("tile") / F.col("side")) * 8 + F.col("r")).cast("int").alias("r"), (F.col("tile") % F.col("side") * 8 + F.col("c")).cast("int").alias("c"), "u8")
 
-
-def whole_boxes(spark, d):
-    p = view(spark, d, "v_polys").crossJoin(tile_side(spark, d))
-    return p.select("k", "calc_area", *[(F.col(c) * F.col("side") / 1360.0).alias(c) for c in ("x0", "y0", "x1", "y1")])
+def centres(spark, d):
+    return view(spark, d, "v_polys").select("k", ((F.col("x0") + F.col("x1")) / 2).alias("x"), ((F.col("y0") + F.col("y1")) / 2).alias("y"))
 
 
-def whole_means_sql(boxes: str, keys: str) -> str:
-    part = "greatest(least(x1, p.c + 1) - greatest(x0, p.c), 0) * greatest(least(y1, p.r + 1) - greatest(y0, p.r), 0)"
-    cells = lambda a, b: f"unnest(range(cast(floor({a}) as bigint), cast(ceil({b}) as bigint)))"
-    return f"""select {keys}, sum(u8 * part) / sum(part) as ttc from (select b.*, p.u8, {part} as part from (select *, {cells('y0', 'y1')} as r from (select *, {cells('x0', 'x1')} as c from {boxes})) b
-      join (select * from {WHOLE_RASTER} where u8 <> 255) p on p.r = b.r and p.c = b.c) where part >= 0.05 group by {keys}"""
-
-
-@query("zonal_mean_whole", f"with m as ({whole_means_sql(WHOLE_BOXES, 'k')}) select k, round(ttc, 6) as ttc from m")
-def zonal_mean_whole(spark, d):
-    return zonal.zonal_means(whole_boxes(spark, d), whole_raster(spark, d), ["k"]).where("ttc is not null").withColumn("ttc", F.round("ttc", 6))
-
-
-WHOLE_SHIFTED = SHIFTED.replace(means_sql(MOVED, "k, i"), whole_means_sql(MOVED.replace(BOXES, WHOLE_BOXES), "k, i"))
-
-
-@query("shift_error_whole", f"with {WHOLE_SHIFTED} select k, round(ttc, 6) as ttc, round(shift_error, 6) as shift_error from s")
-def shift_error_whole(spark, d):
-    found = zonal.shift_errors(whole_boxes(spark, d), whole_raster(spark, d), "k", 0.5).where("ttc is not null")
-    return found.select("k", F.round("ttc", 6).alias("ttc"), F.round("shift_error", 6).alias("shift_error"))
-
-
-@query("error_propagation_whole")
-def error_propagation_whole(spark, d):
-    return with_their_errors(spark, whole_boxes(spark, d), whole_raster(spark, d))
-
-
-SQL["error_propagation_whole"] = SQL["error_propagation"].replace(SHIFTED, WHOLE_SHIFTED)
+@query("error_propagation", f"""with {SHIFTED}, j as (select s.k, s.ttc, s.shift_error, p.calc_area as area, {CATEGORY.replace('k %', 's.k %')} as category, (x0 + x1) / 2.0 as x, (y0 + y1) / 2.0 as y from s join v_polys p on p.k = s.k),
+  t(name, pl, pu, rl, ru) as (values ('forest', 0.92, 0.95, 0.9, 0.96), ('urban', 0.7, 0.93, 0.68, 0.94), ('cropland', 0.91, 0.95, 0.9, 0.97)),
+  g(place, gpl, gpu, grl, gru) as (values (1, 0.8, 0.97, 0.75, 0.96), (2, 0.74, 0.98, 0.7, 0.95), (3, 0.9, 0.99, 0.88, 0.97)),
+  e as (select *, case when ttc = 0 then 0 else (pu - rl) / ttc end as lo, case when ttc = 0 then 0 else (ru - pl) / ttc end as hi,
+    case when ttc = 0 then 0 else coalesce((gpu - grl) / ttc, 0) end as sub_lo, case when ttc = 0 then 0 else coalesce((gru - gpl) / ttc, 0) end as sub_hi,
+    case when ttc = 0 or area > 0.5 then 0 else (case when ttc <= 10 then 3.6386 when ttc <= 40 then 16.68 when ttc <= 100 then 23.468 else 0 end) / ttc end as small
+    from j join t on t.name = case when lower(category) in (select name from t) then lower(category) else 'forest' end left join g on g.place = {REGION}),
+  f as (select k, ttc, ttc * sqrt(lo * lo + sub_lo * sub_lo + shift_error * shift_error / 4 + small * small / 4) as minus, ttc * sqrt(hi * hi + sub_hi * sub_hi + shift_error * shift_error / 4 + small * small / 4) as plus from e)
+  select k, round(ttc, 6) as ttc, round(plus, 6) as error_plus, round(minus, 6) as error_minus, round((plus + minus) / 2, 6) as plus_minus_average from f""")
+def error_propagation(spark, d):
+    boxes = site_boxes(spark, d)
+    details = boxes.select("k", F.col("calc_area").alias("area")).join(centres(spark, d), "k").withColumn("category", F.expr(CATEGORY))
+    out = report.statistics(boxes, site_raster(spark, d), "k", details, spark.createDataFrame(INTERVALS, f"category string, {INTERVAL}"), region_table(spark), 0.5)
+    return out.where("ttc is not null").select("k", *[F.round(c, 6).alias(c) for c in ("ttc", "error_plus", "error_minus", "plus_minus_average")])
 
 
 @query("majority_land_cover", """with n as (select tile, u8 * 10 % 230 as code, count(*) as n from v_patch group by 1, 2), r as (select *, row_number() over (partition by tile order by n desc, code) as k from n)

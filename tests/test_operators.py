@@ -100,9 +100,11 @@ def test_weighted_means_and_their_flags(spark):
 
 
 def test_regions_and_windows(spark):
-    regions = spark.createDataFrame([(1, "a", 0.0, 0.0, 2.0, 2.0), (2, "b", 1.0, 1.0, 3.0, 3.0)], "place int, region string, w double, s double, e double, n double")
-    points = spark.createDataFrame([(1, 1.5, 1.5), (2, 2.5, 2.5), (3, 9.0, 9.0)], "k int, x double, y double")
-    assert {r.k: r.region for r in zonal.first_region(points, regions, "k").collect()} == {1: "a", 2: "b", 3: None}
+    corner = geometry.closed([(1, 1), (3, 3), (1, 3)])  # a triangle: its envelope holds what it doesn't
+    regions = spark.createDataFrame([(1, "a", geometry.wkb_of([[SQUARE]])), (2, "b", geometry.wkb_of([[corner]])), (3, "c", None)], "place int, region string, geom binary")
+    points = spark.createDataFrame([(1, 1.5, 1.6), (2, 2.4, 2.6), (3, 2.6, 2.4), (4, 9.0, 9.0), (5, None, 1.0)], "k int, x double, y double")
+    for cell in (500.0, 0.5):
+        assert {r.k: r.region for r in zonal.first_region(points, regions, "k", cell).collect()} == {1: "a", 2: "b", 3: None, 4: None, 5: None}
     w = raster.windows(10, 7, 4, 3, spark).collect()
     assert {(r.r0, r.c0) for r in w} == {(a, b) for a in (0, 3, 6) for b in (0, 3)}
 

@@ -15,9 +15,9 @@ def test_zonal_queries_see_every_tile(spark, sf):
     side = math.ceil(math.sqrt(max(t for t, _, _ in patch) + 1))
     want = {(t // side * 8 + r, t % side * 8 + c): 255 if u % 17 == 0 else u for (t, r, c), u in patch.items()}
     assert len(want) == len(patch) == 64 * 500
-    got = pixels.whole_raster(spark, sf).collect()
+    got = pixels.site_raster(spark, sf).collect()
     assert {(r.r, r.c): r.u8 for r in got} == want and len(got) == len(want)
-    boxes = pixels.whole_boxes(spark, sf).collect()
+    boxes = pixels.site_boxes(spark, sf).collect()
 
     def mean(b, dx=0.0, dy=0.0):
         x0, x1, y0, y1 = b.x0 + dx, b.x1 + dx, b.y0 + dy, b.y1 + dy
@@ -30,10 +30,10 @@ def test_zonal_queries_see_every_tile(spark, sf):
         return total / weight if weight else None
 
     means = {b.k: mean(b) for b in boxes}
-    found = {r.k: r.ttc for r in QUERIES["zonal_mean_whole"](spark, sf).collect()}
+    found = {r.k: r.ttc for r in QUERIES["zonal_mean"](spark, sf).collect()}
     assert found == pytest.approx({k: m for k, m in means.items() if m is not None}, abs=2e-6)
-    errors = {r.k: (r.ttc, r.shift_error) for r in QUERIES["shift_error_whole"](spark, sf).collect()}
-    assert set(errors) == set(found) == {r.k for r in QUERIES["error_propagation_whole"](spark, sf).collect()}
+    errors = {r.k: (r.ttc, r.shift_error) for r in QUERIES["shift_error"](spark, sf).collect()}
+    assert set(errors) == set(found) == {r.k for r in QUERIES["error_propagation"](spark, sf).collect()}
     for b in boxes[:200]:
         if means[b.k]:
             moved = [mean(b, dx / 2, dy / 2) for dx in (-1, 0, 1) for dy in (-1, 0, 1) if dx or dy]
@@ -57,7 +57,7 @@ def test_every_label_has_its_multipliers(spark, sf):
         for k, w in windows:
             if k == label:
                 want[k, w] = min(median(own) / ratio[k, w], 1.5) if (k, w) in ratio and min(own) > 0 else 1.0
-    got = QUERIES["window_agreement_whole"](spark, sf).collect()
+    got = QUERIES["window_agreement"](spark, sf).collect()
     assert len(got) == len(want) == 500 and len({r.label for r in got}) == 10
     assert {(r.label, r.w): r.multiplier for r in got} == pytest.approx(want, abs=2e-6)
 
@@ -73,8 +73,8 @@ def test_every_step_is_looked_up(spark, sf):
         if near:
             better = [x for x in near if x[0] <= 1 and -x[1] >= 0.95] if -near[0][1] < 0.95 else []
             want[tile, str(step)] = min(better, key=lambda x: (x[1], near.index(x)), default=near[0])
-    got = QUERIES["nearest_scene_whole"](spark, sf).collect()
-    assert len(got) == len(want) > QUERIES["nearest_scene"](spark, sf).count()
+    got = QUERIES["nearest_scene"](spark, sf).collect()
+    assert len(got) == len(want)
     assert {(r.tile, r.step): (r.days, -r.coverage, r.scene_id) for r in got} == want
 
 
@@ -87,4 +87,4 @@ def test_whole_series_are_cleared_of_false_clouds(spark, sf):
                 f[i - 1] = f[i] = 0
         want[r.vec_id] = "".join(map(str, f))
     assert {len(f) for f in want.values()} == {64}
-    assert {r.vec_id: r.flags for r in QUERIES["false_clouds_whole"](spark, sf).collect()} == want
+    assert {r.vec_id: r.flags for r in QUERIES["false_clouds"](spark, sf).collect()} == want
