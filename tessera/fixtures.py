@@ -37,7 +37,7 @@ VIEWS = {
           cast(o_orderkey * 7919 % 10000 as int) as x0, cast(o_orderkey * 104729 % 10000 as int) as y0,
           cast(o_orderkey * 7919 % 10000 + 20 + o_orderkey % 300 as int) as x1, cast(o_orderkey * 104729 % 10000 + 20 + o_custkey % 300 as int) as y1
         from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey join region on n_regionkey = r_regionkey""",
-    "v_request": "select cast(c_custkey % 97 as string) as project_id, case when c_custkey % 5 = 0 then null else cast(1995 + c_custkey % 7 as int) end as plantstart_year from customer where c_custkey % 3 = 0",
+    "v_request": "select cast(c_custkey % 97 as string) as project_id, case when c_custkey % 5 = 0 then null else cast(1995 + c_custkey % 7 as int) end as plantstart_year from customer",
     "v_tiles": "select distinct cast(1995 + l_orderkey % 7 as int) as year, cast(l_partkey % 50 as int) as x_tile, cast(l_suppkey % 50 as int) as y_tile from lineitem",
     "v_inventory": """
         select distinct concat(cast(1995 + l_orderkey % 7 as string), '/raw/', cast(l_partkey % 50 as string), '/', cast(l_suppkey % 50 as string), '/raw/s1/',
@@ -59,7 +59,7 @@ VIEWS = {
     "v_series": "select user_id as pixel, cast(event_id % 24 as int) as t, event_id as seq, cast(cast(floor(value * 7) as bigint) % 365 as int) as doy, round(value / 1000, 6) as v from events",
     "v_pixels": "@pixels@",
     "v_patch": "select vec_id as tile, label, cast(floor(i / 8) as int) as r, cast(i % 8 as int) as c, cast(floor((v + 1) * 50) as int) as u8 from (@pixels@) p",
-    "v_bands": "select vec_id as pixel, cast(floor(i / 10) as int) as t, cast(i % 10 as int) as band, round(abs(v), 6) as v from (@pixels@) p where i < 60",
+    "v_bands": "select vec_id as pixel, cast(floor(i / 10) as int) as t, cast(i % 10 as int) as band, round(abs(v), 6) as v from (@pixels@) p",
 }
 
 
