@@ -5,20 +5,26 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .runtime import small, written
+from .runtime import Scratch, small
 
 #: Shorter lines match only lines equal to them.
 MIN_CHARS = 10
 #: Keys of 8 or 16 bytes are broadcast up to this count, else joined by a shuffle.
 BROADCAST_KEYS = 500_000
-#: Lines are cut into 2 segments, longer ones into sqrt(length) / SEGMENT_ROOT.
-SEGMENT_ROOT = 16
+#: Lines are cut into 2 segments, longer ones into sqrt(length) / SEGMENT_ROOT, those over LONG_LINE into sqrt(length) * LONG_ROOT:
+#: what a line costs is its length for each segment to hash, and for each character of a segment to make variants.
+SEGMENT_ROOT, LONG_LINE, LONG_ROOT = 16, 1 << 14, 3
 
 
 def line_key(line: Column) -> Column:
     return F.btrim(line, F.lit(" \t\r"))
 
 
+def second_key(line: Column) -> Column:
+    """With k1, 128 bits that stand for a line."""
+    return F.xxhash64(F.lit(1), line)
+
+
 def lines_of(docs: DataFrame) -> DataFrame:
     """(id, h, line_no, key, k1): the lines of docs (id, h, text) that aren't blank."""
     lines = docs.select("id", "h", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
@@ -35,7 +41,7 @@ def segments(lines: DataFrame, *keep: str) -> DataFrame:
     """
     c = F.explode(F.array(F.length("key"), F.length("key") - 1)).alias("c")
     cut = lines.where(F.length("key") >= MIN_CHARS).select(*keep, "key", c)
-    cut = cut.where(F.col("c") >= MIN_CHARS).withColumn("m", F.greatest(F.lit(2), F.floor(F.sqrt("c") / SEGMENT_ROOT)).cast("int"))
+    cut = cut.where(F.col("c") >= MIN_CHARS).withColumn("m", F.greatest(F.lit(2), F.floor(F.sqrt("c") * F.when(F.col("c") > LONG_LINE, F.lit(float(LONG_ROOT))).otherwise(1 / SEGMENT_ROOT))).cast("int"))
     cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
     cut = cut.withColumns({"a": F.floor(F.col("j") * F.col("c") / F.col("m")).cast("int"), "z": (F.col("c") - F.floor((F.col("j") + 1) * F.col("c") / F.col("m"))).cast("int")})
     before, after = F.expr("left(key, a)"), F.expr("right(key, z)")
@@ -69,28 +75,34 @@ def variants(cut: DataFrame, *keep: str) -> DataFrame:
     )
 
 
-def near_lines(lines: DataFrame) -> DataFrame:
-    """(k1, key) of the distinct lines with an earlier line at one edit.
+def near_lines(lines: DataFrame, scratch: Scratch) -> DataFrame:
+    """(k1, k2), two hashes of the distinct lines with an earlier line at one edit.
 
     Only lines that share a segment key with another enter the neighbourhood: this loses none, and leaves out
     the many lines that nothing resembles. Lines that share a variant are all within one edit of each other
-    (role 0), or of the one shorter line (1 and 2), so a group needs its earliest line and not its pairs.
+    (role 0), or of the one shorter line (1 and 2), so a group needs its earliest line and not its pairs. Rows of
+    variants hold hashes and the line's place; a line's text is met again for links alone, to verify them.
     """
     ends = segments(lines, "k1").groupBy("seg").agg(F.min("k1").alias("lo"), F.max("k1").alias("hi"))
-    shared = written(ends.where("lo <> hi").select("seg"), "shared-segments")
+    shared = scratch.table(ends.where("lo <> hi").select("seg"), "shared-segments")
     hits = segments(lines, "k1").join(small(shared, BROADCAST_KEYS), "seg", "left_semi").select("k1").distinct()
-    hits = small(written(hits, "line-hits"), BROADCAST_KEYS)
+    hits = small(scratch.table(hits, "line-hits"), BROADCAST_KEYS)
     candidates = lines.join(hits, "k1", "left_semi").groupBy("k1", "key").agg(F.min(F.struct("id", "h", "line_no")).alias("ord"))
-    candidates = written(candidates, "line-candidates")
-    cut = segments(candidates, "k1", "key", "ord").join(small(shared, BROADCAST_KEYS), "seg", "left_semi")
+    candidates = scratch.table(candidates.withColumn("k2", second_key(F.col("key"))), "line-candidates")
+    cut = segments(candidates, "k1", "k2", "ord").join(small(shared, BROADCAST_KEYS), "seg", "left_semi")
     twice = variants(cut.select("seg", "long", "middle")).groupBy("v1", "v2").agg(F.count("*").alias("n")).where("n > 1").select("v1", "v2")
-    twice = small(written(twice, "shared-variants"), BROADCAST_KEYS)
-    found = written(variants(cut, "k1", "key", "ord").join(twice, ["v1", "v2"], "left_semi"), "variant-rows")
-    earliest = lambda role: F.min(F.when(F.col("role") == role, F.struct("ord", "key")))
+    twice = small(scratch.table(twice, "shared-variants"), BROADCAST_KEYS)
+    found = scratch.table(variants(cut, "k1", "k2", "ord").join(twice, ["v1", "v2"], "left_semi"), "variant-rows")
+    earliest = lambda role: F.min(F.when(F.col("role") == role, F.struct("ord", "k1", "k2")))
     first = found.groupBy("v1", "v2").agg(*[earliest(r).alias(f"first{r}") for r in range(3)])
     partner = F.when(F.col("role") == 0, F.col("first0")).when(F.col("role") == 1, F.col("first2")).otherwise(F.col("first1"))
     links = found.join(first, ["v1", "v2"]).withColumn("partner", partner).where(F.col("partner.ord") < F.col("ord"))
-    return links.where(F.levenshtein("key", "partner.key", 1) >= 0).select("k1", "key").distinct()
+    links = scratch.table(links.select("k1", "k2", F.col("partner.k1").alias("p1"), F.col("partner.k2").alias("p2")).distinct(), "line-links")
+    texts = candidates.select("k1", "k2", "key")
+    pairs = links.join(texts, ["k1", "k2"]).join(texts.toDF("p1", "p2", "earlier"), ["p1", "p2"])
+    near = scratch.table(pairs.where(F.levenshtein("key", "earlier", 1) >= 0).select("k1", "k2").distinct(), "near-lines")
+    scratch.drop("shared-segments", "line-hits", "line-candidates", "shared-variants", "variant-rows", "line-links")
+    return near
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", drop_emptied: bool = False) -> DataFrame:
@@ -106,11 +118,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """
     base = docs.drop("n_lines", "n_kept").withColumn("__h", F.xxhash64(text_col))
     lines = lines_of(base.select(F.col(id_col).alias("id"), F.col("__h").alias("h"), F.col(text_col).alias("text")))
-    near = written(near_lines(lines), "near-lines")
+    near = near_lines(lines, Scratch(docs.sparkSession, "line-dedup"))
     first = (
-        lines.groupBy("k1", F.xxhash64(F.lit(1), "key").alias("k2"))
+        lines.groupBy("k1", second_key(F.col("key")).alias("k2"))
         .agg(F.min(F.struct("id", "h", "line_no")).alias("ord"))
-        .join(small(near.select("k1", F.xxhash64(F.lit(1), "key").alias("k2")), BROADCAST_KEYS), ["k1", "k2"], "left_anti")
+        .join(small(near, BROADCAST_KEYS), ["k1", "k2"], "left_anti")
     )
     kept = first.groupBy(F.col("ord.id").alias("__id"), F.col("ord.h").alias("__kh")).agg(F.collect_list("ord.line_no").alias("__kept"))
     joined = base.join(kept, (F.col("__h") == F.col("__kh")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")

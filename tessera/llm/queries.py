@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import decontaminate, jaccard_join, line_dedup, sentencepiece, sharding, spotsigs, token_store, toxicity, url_filter, warc
-from .runtime import shared_path, table
+from .runtime import shared_path, table, written
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block")]
 SHARDS = 40
@@ -26,7 +26,8 @@ def op3_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = shared_path(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
-    found = warc.resolved(warc.read_warc(spark, path, payloads=False))
+    headers = written(warc.read_warc(spark, path, payloads=False).drop("payload"), "headers")
+    found = warc.resolved(headers)
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "intact")
 
 

@@ -10,8 +10,9 @@ from pyspark.sql.window import Window
 
 from .runtime import small, written
 
-#: A row's place along a dimension: 31 bits of the value, then 32 bits of a hash that breaks ties.
-TIE_BITS, STEP_BITS = 32, 16
+#: A row's place along a dimension: 31 bits of the value, then 32 bits that break ties: a hash of the row, and in the
+#: last COPY_BITS one of its place in the input, which tells equal rows apart.
+TIE_BITS, STEP_BITS, COPY_BITS = 32, 16, 8
 #: Windows that number a shard's rows each have one of so many parts of it.
 SLOT_PARTS = 64
 
@@ -77,6 +78,15 @@ def median_keys(nodes: DataFrame, size: str, wanted: dict[int, tuple[int, float]
     return done
 
 
+def keyed_rows(rows: DataFrame, dims: list[Column], size: str) -> DataFrame:
+    """(row, size, tie, keys): a row's own columns are kept together, so that none can clash with those of the tree."""
+    copies = (1 << COPY_BITS) - 1
+    of_row = F.xxhash64(*rows.columns).bitwiseAND(F.lit((1 << TIE_BITS) - 1 - copies))
+    tie = of_row.bitwiseOR(F.xxhash64(F.monotonically_increasing_id()).bitwiseAND(F.lit(copies)))
+    keyed = rows.select(F.struct(*rows.columns).alias("row"), F.col(size).cast("long").alias("size"), tie.alias("tie"), F.array(*[d.cast("long") for d in dims]).alias("keys"))
+    return keyed.withColumn("keys", F.transform("keys", lambda d: F.shiftleft(d, TIE_BITS).bitwiseOR(F.col("tie"))))
+
+
 def kd_tree_shards(rows: DataFrame, dims: list[Column], size: str, shards: int | None = None, target_bytes: int | None = None) -> tuple[DataFrame, list[Split]]:
     """rows with `shard` (0 to shards - 1) and `slot` (0, 1, ... within the shard) added, and the tree's splits.
 
@@ -84,17 +94,10 @@ def kd_tree_shards(rows: DataFrame, dims: list[Column], size: str, shards: int |
     number of shards, or target_bytes and as many are made as leaves reach it. A node for k leaves is split
     k/2 : k - k/2 by bytes, at the weighted median along the dimension that is widest in it against its width in
     the whole table; ties along it are broken by a hash of the row, so one hot value can be split anywhere.
-    Rows that are equal in all columns can't be told apart and stay together. No rows give no splits. Slots
+    Rows that are equal in all columns fall into 2 ** COPY_BITS groups that can be split. No rows give no splits. Slots
     follow a hash order. The driver sees a few numbers for each node only.
     """
-    rows = rows.drop("shard", "slot")
-    tie = F.xxhash64(*rows.columns).bitwiseAND(F.lit((1 << TIE_BITS) - 1))
-    # A row's own columns are kept together, so that none can clash with those of the tree.
-    keyed = rows.select(
-        F.struct(*rows.columns).alias("row"), F.col(size).cast("long").alias("size"), tie.alias("tie"),
-        F.array(*[F.shiftleft(d.cast("long"), TIE_BITS).bitwiseOR(tie) for d in dims]).alias("keys"),
-    )
-    keyed, size = written(keyed, "kd-rows"), "size"
+    keyed, size = written(keyed_rows(rows.drop("shard", "slot"), dims, size), "kd-rows"), "size"
     ends = [x for i in range(len(dims)) for x in (F.min(F.get("keys", F.lit(i))).alias(f"lo{i}"), F.max(F.get("keys", F.lit(i))).alias(f"hi{i}"))]
     whole = keyed.agg(F.sum(size).alias("size"), *ends).first()
     if shards is None:

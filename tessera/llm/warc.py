@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -13,6 +14,8 @@ from .runtime import small, written
 
 #: Originals of repeated payloads (a digest and an id each) are broadcast up to this count, else joined by a shuffle.
 BROADCAST_ORIGINALS = 200_000
+#: Files have records_per_file records of up to SMALL_BYTES each; of larger ones, as many fewer as they are larger.
+SMALL_BYTES = 64 << 10
 #: Payloads under this many bytes are never made revisits.
 LEAST_BYTES = 1000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -48,7 +51,8 @@ def write_warc(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z",
     others are revisit records without payload, with fresh headers that name it; all rows that share that largest
     page_id are responses, and so is a row with a null page_id. A null html is an empty payload, a null url gives
     no WARC-Target-URI, line breaks in a url are percent-encoded. Spark's text writer writes the files, so any
-    store it reaches will do; headers alone are shuffled by digest.
+    store it reaches will do; headers alone are shuffled by digest. A file has records_per_file * SMALL_BYTES bytes
+    of payload at most, or one record: pages are written by classes of size, each in a folder of its own.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).alias("html")).withColumns(
         {"payload_digest": F.sha1("html"), "payload_bytes": F.octet_length("html").cast("long")}
@@ -75,7 +79,13 @@ def write_warc(pages: DataFrame, path: str, date: str = "1970-01-01T00:00:00Z",
         F.octet_length(block).cast("string"),
         F.lit("\r\n\r\n"),
     )
-    rows.select(F.concat(head, block).alias("value")).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", records_per_file).text(path)
+    size_class = F.greatest(F.ceil(F.log2(F.col("payload_bytes") / SMALL_BYTES)), F.lit(0)).cast("int")
+    out = rows.select(F.when(F.col("payload_bytes") > 0, size_class).otherwise(0).alias("size"), F.concat(head, block).alias("value"))
+    sizes = pages.select(F.octet_length(F.coalesce("html", F.lit(""))).cast("long").alias("payload_bytes")).agg(F.max("payload_bytes")).first()[0] or 0
+    # Sizes are below 2 ** 31, so there are 16 classes at most, and one where all pages are small.
+    for k in range(1 + max(0, math.ceil(math.log2(max(sizes, 1) / SMALL_BYTES)))):
+        writer = out.where(F.col("size") == k).select("value").write.option("lineSep", "\r\n\r\n")
+        writer.option("maxRecordsPerFile", max(1, records_per_file >> k)).text(f"{path}/size={k}")
 
 
 def parsed(data: bytes) -> Iterator[tuple]:
@@ -115,7 +125,7 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
                     columns[-1] = [None] * len(rows)
                 yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    files = spark.read.format("binaryFile").load(path).select("content")
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("content")
     return files.mapInArrow(read, RECORD)
 
 

@@ -75,6 +75,14 @@ def test_line_dedup_of_repeated_rows_and_without_broadcasts(spark, monkeypatch):
     assert line_dedup.dedup_lines(twice.limit(0)).count() == 0
 
 
+def test_line_dedup_of_very_long_lines(spark):
+    rng = random.Random(11)
+    line = "".join(rng.choice("abcdefgh ") for _ in range(20_000))
+    rows = [(1, line), (2, line[:9_000] + "z" + line[9_001:]), (3, line[:19_000] + line[19_001:]), (4, line[:5] + "zz" + line[7:]), (5, "é" * 17_000), (6, "é" * 17_001 + "\n" + "é" * 16_998)]
+    got = {r.doc_id: (r.n_lines, r.n_kept) for r in line_dedup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (1, 1), 2: (1, 0), 3: (1, 0), 4: (1, 1), 5: (1, 1), 6: (2, 1)}
+
+
 def test_shards_are_even_and_slots_gapless(spark, sf):
     docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", (F.octet_length("text") + 16).cast("long").alias("size"), "lang", "source", "n_chars")
     docs = docs.unionByName(spark.createDataFrame([(None, 16, None, None, None), (5, 700, "en", None, -1), (5, 700, "en", None, -1)], docs.schema))
@@ -89,12 +97,47 @@ def test_shards_are_even_and_slots_gapless(spark, sf):
     for s in range(7):
         assert sorted(r.slot for r in rows if r.shard == s) == list(range(sum(r.shard == s for r in rows)))
     assert len(splits) == 6
-    for s in splits:  # the tree's own rule gives the same split
-        assert s.node < 2**4 and 0 <= s.dim < 3
     again, _ = sharding.kd_tree_shards(docs, dims, "size", 7)
     assert Counter((r.doc_id, r.size, r.shard, r.slot) for r in again.collect()) == Counter((r.doc_id, r.size, r.shard, r.slot) for r in rows)
 
 
+def plain_tree(rows, widths, first, k):
+    """(row, shard) of rows (keys, size, row) by recursion over sorted lists; `widths` are the whole table's along each dimension."""
+    if k == 1 or not rows:
+        return [(r, first) for _, _, r in rows]
+    width = lambda i: (max(x[i] for x, _, _ in rows) >> 32) - (min(x[i] for x, _, _ in rows) >> 32)
+    dim = max(range(len(widths)), key=lambda i: (width(i) / max(1, widths[i]), -i))
+    wanted, sums = sum(s for _, s, _ in rows) * (k // 2) / k, Counter()
+    for x, s, _ in rows:
+        sums[x[dim]] += s
+    below = 0
+    for key in sorted(sums):
+        if below + sums[key] >= wanted:
+            cut = key if below + sums[key] - wanted <= wanted - below else key - 1
+            break
+        below += sums[key]
+    left, right = [r for r in rows if r[0][dim] <= cut], [r for r in rows if r[0][dim] > cut]
+    return plain_tree(left, widths, first, k // 2) + plain_tree(right, widths, first + k // 2, k - k // 2)
+
+
+@pytest.mark.parametrize("shards", [2, 7, 12])
+def test_shards_against_a_plain_recursion(spark, sf, shards):
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", (F.octet_length("text") + 16).cast("long").alias("size"), "lang", "source", "n_chars")
+    dims = [sharding.categorical("lang"), sharding.categorical("source"), sharding.numeric("n_chars")]
+    keyed = sharding.keyed_rows(docs, dims, "size").select("row.doc_id", "size", "keys").collect()
+    rows = [(r["keys"], r["size"], r["doc_id"]) for r in keyed]
+    widths = [(max(x[i] for x, _, _ in rows) >> 32) - (min(x[i] for x, _, _ in rows) >> 32) for i in range(3)]
+    got = {r.doc_id: r.shard for r in sharding.kd_tree_shards(docs, dims, "size", shards)[0].collect()}
+    assert got == dict(plain_tree(rows, widths, 0, shards))
+
+
+def test_rows_equal_in_all_columns_are_split(spark):
+    docs = spark.range(4000).select(F.lit(100).cast("long").alias("size"), F.lit("x").alias("source"))
+    placed, _ = sharding.kd_tree_shards(docs, [sharding.categorical("source")], "size", 4)
+    sizes = Counter(r.shard for r in placed.collect())
+    assert len(sizes) == 4 and max(sizes.values()) - min(sizes.values()) < 100
+
+
 def test_shards_by_target_hot_values_and_empty_tables(spark):
     docs = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(100).cast("long").alias("size"), F.when(F.col("id") % 3 == 0, "hot").otherwise(F.col("id").cast("string")).alias("source"), F.lit(1).alias("node"), F.lit(2).alias("keys"), F.lit(3).alias("row"))
     placed, _ = sharding.kd_tree_shards(docs, [sharding.categorical("source")], "size", target_bytes=20_000)
@@ -112,6 +155,18 @@ def test_written_shards_hold_their_rows(spark):
     assert Counter(r.shard for r in spark.read.parquet(path).collect()) == Counter(r.shard for r in placed.collect())
 
 
+def test_warc_files_are_bounded_by_bytes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "SMALL_BYTES", 1000)
+    pages = spark.range(60).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.expr("repeat(cast(id as string), cast(case when id % 20 = 7 then 200000 when id % 3 = 0 then 2000 else 20 end as int))").alias("html")).coalesce(1)
+    path = shared_path(spark, "warc")
+    warc.write_warc(pages, path, records_per_file=16)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("length", "content").collect()
+    records = [f.content.count(b"WARC/1.1\r\n") for f in files]
+    assert sum(records) == 60 and max(records) <= 16 and all(f.length <= 16 * 2000 or n == 1 for f, n in zip(files, records, strict=True))
+    got = {r.page_id: r.payload for r in warc.read_warc(spark, path).collect()}
+    assert {i: bytes(x) for i, x in got.items()} == {r.page_id: r.html.encode() for r in pages.collect()}
+
+
 def test_warc_round_trip(spark):
     big, small = "<p>é" * 400, "<b>x</b>\r\n\r\nWARC/1.1"
     rows = [(1, "http://a/1", big), (2, "http://a/2", big), (9, None, big), (3, "u\r\nv", small), (4, "u", small), (5, "u", None), (6, "", ""), (None, "n", big), (9, None, big), (7, "o", "y" * 1000), (8, "o", "y" * 999)]
