@@ -18,6 +18,8 @@ WORDS, SIMILARITY = 5, 0.8
 RADIUS = 22
 #: The index has so many blocks of 64 / BLOCKS bits each.
 BLOCKS = 8
+#: So many pairs of a window and an item are looked up in the index at once.
+CELLS = 1 << 22
 #: Items are taken in parts of about so many bytes of text; every document meets every part.
 PART_BYTES = 8 << 20
 
@@ -75,13 +77,18 @@ class HammingIndex:
         return (prints >> (np.uint64(b) * width)) & np.uint64((1 << int(width)) - 1)
 
     def within(self, queries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(query, fingerprint) indices of all pairs within the radius."""
-        found = np.zeros((len(queries), len(self.prints)), bool)
-        for b in range(BLOCKS):
-            found |= self.near[b][self.block(queries, b).astype(np.int64)]
-        q, f = np.nonzero(found)
-        good = np.bitwise_count(queries[q] ^ self.prints[f]) <= self.radius
-        return q[good], f[good]
+        """(query, fingerprint) indices of all pairs within the radius, for CELLS pairs at a time."""
+        out = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        step = max(1, CELLS // len(self.prints))
+        for at in range(0, len(queries), step):
+            some = queries[at : at + step]
+            found = np.zeros((len(some), len(self.prints)), bool)
+            for b in range(BLOCKS):
+                found |= self.near[b][self.block(some, b).astype(np.int64)]
+            q, f = np.nonzero(found)
+            good = np.bitwise_count(some[q] ^ self.prints[f]) <= self.radius
+            out.append((at + q[good], f[good]))
+        return np.concatenate([q for q, _ in out]), np.concatenate([f for _, f in out])
 
 
 @dataclass

@@ -92,8 +92,34 @@ def telling(rows: list[np.ndarray], grades: np.ndarray) -> np.ndarray:
     return used[(seen >= MARKER_TEXTS - 1) & (z >= LEAST_Z)]
 
 
+def log_likelihood(score: np.ndarray, theta: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """log P(grade) of each row."""
+    p = sigmoid(score[:, None] - theta)
+    cell = np.hstack([np.ones((len(score), 1)), p]) - np.hstack([p, np.zeros((len(score), 1))])
+    return np.log(np.maximum(cell[np.arange(len(score)), grades], 1e-9))
+
+
+def slopes(score: np.ndarray, theta: np.ndarray, grades: np.ndarray) -> np.ndarray:
+    """d log P(grade) / d (score - theta_k) for each row and threshold k: + at the one below the grade, - above it."""
+    p = sigmoid(score[:, None] - theta)
+    of = np.exp(log_likelihood(score, theta, grades))
+    i, low, high = np.arange(len(score)), grades > 0, grades < len(theta)
+    out = np.zeros_like(p)
+    slope = p * (1 - p)
+    out[i[low], grades[low] - 1] += slope[i[low], grades[low] - 1] / of[low]
+    out[i[high], grades[high]] -= slope[i[high], grades[high]] / of[high]
+    return out
+
+
+def row_weights(grades: np.ndarray) -> np.ndarray:
+    """Toxic rows together weigh as much as the others."""
+    low = grades > 0
+    return np.where(low, 0.5 / max(1, low.sum()), 0.5 / max(1, (~low).sum()))
+
+
 def fit(rows: list[np.ndarray], grades: np.ndarray, epochs: int = 600, rate: float = 0.5, decay: float = 1e-4) -> OrdinalModel:
-    """The likelihood's maximum by full-batch Adagrad; grades are 0 to K - 1, K at least 2. Deterministic."""
+    """The likelihood's maximum by full-batch Adagrad, less decay / 2 times the weights' squares; grades are 0 to K - 1,
+    K at least 2. Deterministic."""
     levels = max(2, int(grades.max()) + 1 if len(grades) else 2)
     used = telling(rows, grades)
     rows = [found_in(r, used)[0] for r in rows]
@@ -101,23 +127,11 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, epochs: int = 600, rate: flo
     theta = np.arange(levels - 1) + 2.0
     if not lengths.sum():
         return OrdinalModel(used, np.zeros(len(used)), theta)
-    feature = np.concatenate(rows)
-    owner = np.repeat(np.arange(len(rows)), lengths)
+    feature, owner = np.concatenate(rows), np.repeat(np.arange(len(rows)), lengths)
     v, v2, t2 = np.zeros(len(used)), np.full(len(used), 1e-8), np.full(levels - 1, 1e-8)
-    i, low, high = np.arange(len(rows)), grades > 0, grades < levels - 1
-    # Toxic rows together weigh as much as the others.
-    weight = np.where(low, 0.5 / max(1, low.sum()), 0.5 / max(1, (~low).sum()))
+    weight = row_weights(grades)
     for _ in range(epochs):
-        score = np.bincount(owner, v[feature], minlength=len(rows))
-        p = sigmoid(score[:, None] - theta)
-        cell = np.hstack([np.ones((len(rows), 1)), p]) - np.hstack([p, np.zeros((len(rows), 1))])
-        of = np.maximum(cell[i, grades], 1e-9)
-        slope = p * (1 - p)
-        # d log P(grade) / d (score - theta_k): + at the threshold below the grade, - at the one above.
-        at = np.zeros_like(p)
-        at[i[low], grades[low] - 1] += slope[i[low], grades[low] - 1] / of[low]
-        at[i[high], grades[high]] -= slope[i[high], grades[high]] / of[high]
-        at *= weight[:, None]
+        at = slopes(np.bincount(owner, v[feature], minlength=len(rows)), theta, grades) * weight[:, None]
         g = np.bincount(feature, at.sum(1)[owner], minlength=len(used)) - decay * v
         gt = -at.sum(0)
         v2 += g * g
@@ -127,18 +141,18 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, epochs: int = 600, rate: flo
     return OrdinalModel(used, v, theta)
 
 
-def severity_grades(rows: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
-    """0 where a text isn't toxic; of toxic ones 2 for those with more markers than the median, else 1.
+def severity_grades(rows: list[np.ndarray], toxic: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """0 where a text isn't toxic; of toxic ones 2 for those with a greater share of markers than the median, else 1.
 
     Labels say toxic or not. Markers are features that stand in MARKER_TEXTS texts or more, MARKER_SHARE of them
-    toxic; their number orders the toxic texts.
+    toxic; their share of a text's distinct features (sizes) orders the toxic texts, whatever their length.
     """
     grades = (toxic > 0).astype(int)
     used, seen, bad = counts(rows, grades)
     marker = used[(seen >= MARKER_TEXTS) & (bad >= MARKER_SHARE * seen)]
-    number = np.array([found_in(r, marker)[1].sum() for r in rows])
+    share = np.array([found_in(r, marker)[1].sum() for r in rows]) / np.maximum(sizes, 1)
     if grades.any():
-        grades[(grades > 0) & (number > np.median(number[grades > 0]))] = 2
+        grades[(grades > 0) & (share > np.median(share[grades > 0]))] = 2
     return grades
 
 
@@ -164,14 +178,18 @@ def features_table(docs: DataFrame) -> DataFrame:
 def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> OrdinalModel:
     """Fit on the labelled documents (doc_id, text; doc_id, toxic) with the sample_rows least hashes of their id.
 
-    Rows with a null id, text or label are left out. Features are counted, and those that can matter (telling ones
-    and markers) chosen, in Spark; the driver gets these alone. Without toxic rows, or any, the model gives every
-    text the same small severity.
+    Rows with a null id, text or label are left out; of rows of docs that share an id one counts, that with the least
+    hash of its text. Features are counted, and those that can matter (telling ones and markers) chosen, in Spark;
+    the driver gets these alone. Without toxic rows, or any, the model gives every text the same small severity, and
+    so it does where labels are so few (under about 50 toxic ones) that no word tells by LEAST_Z deviations: a word
+    seen a few times in toxic texts alone is mostly chance, and would reject clean texts.
     """
     # Ids whose labels disagree count as toxic.
     picked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     picked = picked.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     sample = docs.where("text is not null").select("doc_id", "text").join(small(written(picked, "labels"), sample_rows), "doc_id")
+    sample = sample.withColumn("h", F.xxhash64("text"))
+    sample = sample.join(sample.groupBy("doc_id").agg(F.min("h").alias("h")), ["doc_id", "h"]).dropDuplicates(["doc_id", "h"])
     sample = sample.select(F.xxhash64("doc_id", "text").alias("row"), (F.col("toxic") > 0).cast("int").alias("toxic"), "text")
     sample = written(features_table(sample), "features")
     base = sample.agg(F.avg("toxic")).first()[0] or 0.0
@@ -180,9 +198,9 @@ def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     telling_ones = (F.col("seen") >= MARKER_TEXTS - 1) & (z >= LEAST_Z)
     chosen = of.where(telling_ones | ((F.col("seen") >= MARKER_TEXTS) & (F.col("bad") >= MARKER_SHARE * F.col("seen")))).select("f")
     few = sample.select("row", F.explode("features").alias("f")).join(small(written(chosen, "telling"), 1_000_000), "f").groupBy("row").agg(F.sort_array(F.collect_set("f")).alias("features"))
-    got = sample.select("row", "toxic").join(few, "row", "left").orderBy("row").collect()
+    got = sample.select("row", "toxic", F.size("features").alias("size")).join(few, "row", "left").orderBy("row").collect()
     rows = [np.array(r["features"] or [], np.int64) for r in got]
-    return fit(rows, severity_grades(rows, np.array([r["toxic"] for r in got], np.int64)))
+    return fit(rows, severity_grades(rows, np.array([r["toxic"] for r in got], np.int64), np.array([r["size"] for r in got])))
 
 
 def score(docs: DataFrame, model: OrdinalModel, id_col: str = "doc_id", text_col: str = "text", reject: float = REJECT) -> DataFrame:

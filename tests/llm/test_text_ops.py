@@ -261,6 +261,17 @@ def test_token_store_round_trip(spark, sf, monkeypatch, broadcast):
     assert all(zlib.crc32(np.array(whole[f[0]], "<u4").tobytes()) == f[3] for f in facts)
 
 
+def test_token_store_of_a_very_long_text(spark):
+    rng = random.Random(14)
+    texts = ["x" * 300_000, " ".join(f"w{rng.randrange(9000)}" for _ in range(200_000)), "a b"]
+    path = token_store.new_store(spark)
+    token_store.write_store(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, P.path("byte_bpe_50k.json"))
+    ref = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    want = [np.array([*ref.encode(t, add_special_tokens=False).ids, 2], "<u4") for t in texts]
+    got = sorted((r.doc_id, r.n_tokens, r.ids_crc32, r.verified) for r in token_store.read_facts(spark, path).collect())
+    assert got == [(i, len(w), zlib.crc32(w.tobytes()), True) for i, w in enumerate(want)]
+
+
 def test_token_store_notices_damage(spark):
     docs = spark.createDataFrame([(i, f"some text {i} of a document") for i in range(20)], "doc_id long, text string")
     path = token_store.new_store(spark)
@@ -316,7 +327,18 @@ def test_contamination_against_all_windows(spark, sf):
     assert decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"), none).count() == 0
 
 
-def test_hamming_index_is_complete():
+def test_contamination_of_a_very_long_text(spark):
+    rng = random.Random(13)
+    words = lambda n: " ".join(f"w{rng.randrange(5000)}" for _ in range(n))
+    items = [(i, words(60)) for i in range(40)]
+    long = words(100_000) + " " + items[7][1].upper() + " " + words(100_000) + " " + items[31][1]
+    docs = spark.createDataFrame([(1, long), (2, "x" * 2_000_000), (3, words(200))], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id, r.first_word) for r in got} == {(1, 7, 100_000), (1, 31, 200_060)}
+
+
+def test_hamming_index_is_complete(monkeypatch):
+    monkeypatch.setattr(decontaminate, "CELLS", 5000)
     rng = np.random.default_rng(2)
     prints = rng.integers(0, 2**63, 300, dtype=np.uint64)
     queries = np.concatenate([prints[:50] ^ np.uint64(0b1011), rng.integers(0, 2**63, 200, dtype=np.uint64)])
@@ -354,6 +376,39 @@ def test_toxicity_on_held_out_rows(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, r in got.items() if not r.rejected} and kept.columns == ["text", "doc_id", "features"]
 
 
+def test_gradient_and_maximum_of_the_ordinal_model():
+    rng = np.random.default_rng(4)
+    score, theta, grades = rng.normal(size=50) * 2, np.array([-0.5, 0.4, 2.0]), rng.integers(0, 4, 50)
+    got, h = toxicity.slopes(score, theta, grades), 1e-5
+    for k in range(3):  # the threshold's derivative is minus the slope's
+        step = h * (np.arange(3) == k)
+        numeric = (toxicity.log_likelihood(score, theta + step, grades) - toxicity.log_likelihood(score, theta - step, grades)) / (2 * h)
+        assert np.allclose(-got[:, k], numeric, atol=1e-6)
+    numeric = (toxicity.log_likelihood(score + h, theta, grades) - toxicity.log_likelihood(score - h, theta, grades)) / (2 * h)
+    assert np.allclose(got.sum(1), numeric, atol=1e-6)
+    # Three grades, two features that all toxic and some other texts have: a grid finds nothing better than fit.
+    grades = np.repeat([0, 0, 0, 1, 2], 80)
+    has = np.stack([(grades > 0) ^ (rng.random(400) < 0.1), ((grades > 1) | (grades == 1) & (rng.random(400) < 0.5)) ^ (rng.random(400) < 0.05)], 1)
+    rows = [np.flatnonzero(x) for x in has]
+    model = toxicity.fit(rows, grades, epochs=4000)
+    assert model.features.tolist() == [0, 1]
+    weight = toxicity.row_weights(grades)
+    value = lambda w, t: (toxicity.log_likelihood(has @ w, t, grades) * weight).sum() - 1e-4 / 2 * (w * w).sum()
+    best = value(model.weights, model.thresholds)
+    for w0 in np.arange(0, 8, 0.5):
+        for w1 in np.arange(0, 6, 0.5):
+            for t0 in np.arange(0, 6, 0.5):
+                for gap in (0.5, 1, 2, 3, 4):
+                    assert value(np.array([w0, w1]), np.array([t0, t0 + gap])) <= best + 1e-4
+
+
+def test_grades_follow_the_share_of_markers():
+    rows = [np.arange(n) for n in (1, 2, 2, 4)] + [np.array([9])] * 4
+    toxic = np.array([1, 1, 1, 1, 0, 0, 0, 0])
+    # Every toxic row has marker 0; the short rows have the greater share of it, however many others the long ones have.
+    assert toxicity.severity_grades([np.array([0])] * 4 + rows[4:], toxic, np.array([2, 4, 50, 90, 5, 5, 5, 5])).tolist() == [2, 2, 1, 1, 0, 0, 0, 0]
+
+
 def test_toxicity_without_labels(spark):
     docs = spark.createDataFrame([(1, "a"), (2, None)], "doc_id long, text string")
     model = toxicity.train(docs, spark.createDataFrame([], "doc_id long, toxic int"))
