@@ -23,13 +23,21 @@ END_ID = 2
 #: A chunk ends where a hash of the last WINDOW ids has its high CUT_BITS bits zero, and after MOST_IDS at the latest.
 WINDOW, CUT_BITS, MOST_IDS = 16, 9, 8192
 #: Texts with white space before a blank aren't cut at blanks; Rust's \\s is within this class.
-RUNS = r"[\s\v\x{85}\p{Z}] "
+RUNS, SPACE_AT_END = r"[\s\v\x{85}\p{Z}] ", r"[\s\v\x{85}\p{Z}]$"
 #: Chunks that were used before are broadcast up to this count, else met by a shuffle.
 BROADCAST_ROWS = 500_000
 #: Distinct pieces are encoded in runs of about so many bytes, texts in batches of BATCH_BYTES.
 RUN_BYTES, BATCH_BYTES = 1 << 14, 4 << 20
 #: A worker process remembers the ids of so many pieces from one batch and task to the next.
-REMEMBERED = 1_000_000
+REMEMBERED = 2_000_000
+#: Between a letter or digit and one of these no token spans; nor between what can be seen and a line feed.
+STOPS = np.zeros(256, bool)
+STOPS[list(b".,;:!?)")] = True
+ALNUM, SEEN = np.zeros(256, bool), np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
+SEEN[33:127] = True
+#: Random numbers for each byte, for the second hash of a piece.
+BYTES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 @lru_cache(2)
@@ -50,13 +58,55 @@ def runs_of(lists: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[n
     return lists[np.repeat(starts[:-1][which] - at[:-1], n) + np.arange(at[-1])], at
 
 
+class Remembered:
+    """Pieces met before: two hashes of each, the first in order, and where its ids are in `ids`."""
+
+    def __init__(self):
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.first, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def look(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pieces, and which of them are known."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, (self.keys[at] == keys) & (self.checks[at] == checks)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> None:
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        put = lambda old, new: np.insert(old, at, new[order])
+        self.first, self.count = put(self.first, len(self.ids) + starts[:-1]), put(self.count, np.diff(starts))
+        self.keys, self.checks, self.ids = put(self.keys, keys), put(self.checks, checks), np.concatenate([self.ids, ids])
+
+
+def buffers(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of large strings without nulls, and where each begins (one more entry)."""
+    if not len(strings):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    data = np.frombuffer(strings.buffers()[2], np.uint8) if strings.buffers()[2] else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
+
+
+def two_hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    data, offsets = buffers(strings)
+    power, inverse = powers(len(data) + 1)
+    out = []
+    for values in (data.astype(np.uint64) + np.uint64(1), BYTES[data]):
+        sums = np.append(np.uint64(0), np.cumsum(values * power[: len(data)], dtype=np.uint64))
+        out.append(mix((sums[offsets[1:]] - sums[offsets[:-1]]) * inverse[offsets[:-1]]))
+    return out[0], out[1]
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE of the tokenizers library.
 
     Its pre-tokenizer never joins what stands before a blank that follows a character other than white space with
-    what comes after, so such texts are encoded in pieces of one word, each distinct one once. Distinct pieces that
-    begin with a blank are encoded one after the other, and their ids told apart by their bytes. The ids of pieces
-    are remembered for later batches; at REMEMBERED of them, those of the present batch alone go on.
+    what comes after, nor a letter or digit with a stop after it, nor what can be seen with a single line feed. So texts
+    are cut there, and each distinct piece is encoded once: those that begin with a blank or line feed one after the
+    other, and their ids told apart by their bytes. Texts with white space before a blank are encoded as they are. The
+    ids of pieces are remembered for later batches; at REMEMBERED of them, they are forgotten and learned anew.
     """
 
     def __init__(self, path: str):
@@ -66,40 +116,46 @@ class Encoder:
         self.bytes_of = np.zeros(max(vocabulary.values()) + 1, np.int64)
         for token, i in vocabulary.items():
             self.bytes_of[i] = len(token)  # a byte-level token has a character for each byte
-        self.words, self.ids, self.starts = pa.array([], pa.large_string()), np.zeros(0, np.uint32), np.zeros(1, np.int64)
+        self.known = Remembered()
 
     def plainly(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def pieces(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of the words, each with a blank before it, and where each word's begin (one more entry)."""
-        if not len(distinct):
+    def joined(self, pieces: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that begin with a blank or line feed, and where each one's begin (one more entry)."""
+        if not len(pieces):
             return np.zeros(0, np.uint32), np.zeros(1, np.int64)
-        joined = pc.binary_join_element_wise(pa.scalar("", pa.large_string()), distinct, pa.scalar(" ", pa.large_string()))
-        offsets = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
-        cuts = np.unique(np.append(np.searchsorted(offsets, np.arange(offsets[0], offsets[-1], RUN_BYTES)), len(joined)))
-        data = memoryview(joined.buffers()[2])
-        runs = [str(data[offsets[i] : offsets[j]], "utf-8") for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
+        data, offsets = buffers(pieces)
+        cuts = np.unique(np.append(np.searchsorted(offsets, np.arange(0, offsets[-1], RUN_BYTES)), len(pieces)))
+        runs = [str(memoryview(data)[offsets[i] : offsets[j]], "utf-8") for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
         ids = np.concatenate(self.plainly(runs))
-        ends = np.searchsorted(np.cumsum(self.bytes_of[ids]), offsets[1:] - offsets[0], "left") + 1
-        return ids, np.append(0, ends)
-
-    def remembered(self, distinct: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """As `pieces`; words that were met before aren't encoded again."""
-        known = pc.index_in(distinct, value_set=self.words)
-        lost = known.is_null()
-        fresh = distinct.filter(lost)
-        ids, starts = self.pieces(fresh)
-        all_ids, all_starts = np.concatenate([self.ids, ids]), np.concatenate([self.starts, self.starts[-1] + starts[1:]])
-        at = known.fill_null(0).to_numpy().astype(np.int64)
-        new = lost.to_numpy(zero_copy_only=False)
-        at[new] = len(self.words) + np.arange(new.sum())
-        out = runs_of(all_ids, all_starts, at)
-        if len(all_starts) - 1 > REMEMBERED:
-            self.words, self.ids, self.starts = distinct, *out
-        else:
-            self.words, self.ids, self.starts = pa.concat_arrays([self.words, fresh]), all_ids, all_starts
-        return out
+        return ids, np.append(0, np.searchsorted(np.cumsum(self.bytes_of[ids]), offsets[1:], "left") + 1)
+
+    def learn(self, pieces: pa.Array, keys: np.ndarray, checks: np.ndarray) -> None:
+        data, offsets = buffers(pieces)
+        spaced = pc.match_substring_regex(pieces, SPACE_AT_END).to_numpy(zero_copy_only=False)
+        led = np.isin(data[offsets[:-1]], [10, 32]) & ~spaced  # white space never runs from one into the next
+        ids, starts = self.joined(pieces.filter(pa.array(led)))
+        self.known.add(keys[led], checks[led], ids, starts)
+        singly = self.plainly(pieces.filter(pa.array(~led)).to_pylist())
+        starts = np.append(0, np.cumsum([len(x) for x in singly], dtype=np.int64))
+        self.known.add(keys[~led], checks[~led], np.concatenate([np.zeros(0, np.uint32), *singly]), starts)
+
+    def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+        """The pieces of texts (large strings, none with white space before a blank), and where each text's begin."""
+        data, offsets = buffers(texts)
+        cuts = data == 32
+        cuts[1:] |= ALNUM[data[:-1]] & STOPS[data[1:]]
+        if len(data) > 2:
+            cuts[1:-1] |= (data[1:-1] == 10) & SEEN[data[:-2]] & SEEN[data[2:]]
+        inner = offsets[(offsets > 0) & (offsets < len(data))]
+        feeds = inner[data[inner - 1] == 10] - 1
+        cuts[feeds] = False  # a line feed that ends a text is no cut
+        cuts[offsets[:-1][np.diff(offsets) > 0]] = True
+        begin = np.flatnonzero(cuts)
+        ends = np.append(begin, len(data))
+        pieces = pa.LargeStringArray.from_buffers(len(begin), pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data)))
+        return pieces, np.searchsorted(begin, offsets)
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and where each text's begin (one more entry); null is empty."""
@@ -107,23 +163,26 @@ class Encoder:
         plain = pc.invert(pc.match_substring_regex(texts, RUNS)).to_numpy(zero_copy_only=False)
         odd, even = np.flatnonzero(~plain), np.flatnonzero(plain)
         others = self.plainly(texts.take(pa.array(odd)).to_pylist())
-        split = pc.split_pattern(texts.take(pa.array(even)), " ")
-        offsets, flat = (split.offsets.to_numpy() if len(even) else np.zeros(1, np.int64)), split.flatten()
-        first = np.zeros(len(flat), bool)
-        first[offsets[:-1]] = True
-        coded = flat.filter(pa.array(~first)).dictionary_encode()
-        ids, begin = self.remembered(coded.dictionary)
-        heads = self.plainly(flat.filter(pa.array(first)).to_pylist())
-        code = np.zeros(len(flat), np.int64)
-        code[~first] = coded.indices.to_numpy()
-        code[first] = len(coded.dictionary) + np.arange(len(heads))
-        begin = np.append(begin, begin[-1] + np.cumsum([len(x) for x in heads], dtype=np.int64))
-        whole, at = runs_of(np.concatenate([ids, *heads]), begin, code)
-        # Texts cut at blanks come first here, in the order of `even`, then the others.
+        with np.errstate(over="ignore"):
+            pieces, offsets = self.cut(texts.take(pa.array(even)))
+            coded = pieces.dictionary_encode()
+            keys, checks = two_hashes(coded.dictionary)
+            if len(self.known.keys) > REMEMBERED:
+                self.known = Remembered()
+            new = ~self.known.look(keys, checks)[1]
+            if new.any():
+                self.learn(coded.dictionary.filter(pa.array(new)), keys[new], checks[new])
+            place = self.known.look(keys, checks)[0][coded.indices.to_numpy()]
+        n = self.known.count[place]
+        at = np.append(0, np.cumsum(n))
+        whole = self.known.ids[np.repeat(self.known.first[place] - at[:-1], n) + np.arange(at[-1])]
+        if not len(odd):
+            return whole, at[offsets]
+        # Texts that were cut come first here, in the order of `even`, then the others.
         starts = np.concatenate([at[offsets], at[-1] + np.cumsum([len(x) for x in others], dtype=np.int64)])
-        place = np.empty(len(texts), np.int64)
-        place[np.concatenate([even, odd])] = np.arange(len(texts))
-        return runs_of(np.concatenate([whole, *others]).astype(np.uint32), starts, place)
+        order = np.empty(len(texts), np.int64)
+        order[np.concatenate([even, odd])] = np.arange(len(texts))
+        return runs_of(np.concatenate([whole, *others]).astype(np.uint32), starts, order)
 
 
 @lru_cache(2)

@@ -168,15 +168,15 @@ def test_encoder_gives_the_tokenizers_ids(texts, monkeypatch):
     own, ref = token_store.Encoder(P.path("byte_bpe_50k.json")), Tokenizer.from_file(P.path("byte_bpe_50k.json"))
     more = [*texts, "a \n b  c\t d", "it's  don't <|endoftext|> z", "　 q", "a\x1c b", "9 9a 'll 'x", " lead", "trail "]
     rng = random.Random(6)
-    odd = [" ", "  ", "\n", "\t", "\u00a0", "\u3000", "'s", "9", "a", "Z", "é", "日", "!", "\u2028", "\x85", "\x1c", "'"]
-    more += ["".join(rng.choice(odd) for _ in range(rng.randrange(12))) for _ in range(3000)]
+    odd = [" ", " ", ".", ",", ")", "\n", "  ", "\n", "\t", "\u00a0", "\u3000", "'s", "9", "a", "Z", "é", "日", "!", "\u2028", "\x85", "\x1c", "'"]
+    more += ["".join(rng.choice(odd) for _ in range(rng.randrange(12))) for _ in range(12000)]
     want = [e.ids for e in ref.encode_batch(more, add_special_tokens=False)]
     for remembered in (token_store.REMEMBERED, 50):  # the second and third time words are known, or were forgotten
         monkeypatch.setattr(token_store, "REMEMBERED", remembered)
         for _ in range(3):
             ids, starts = own.encode(pa.array(more))
             assert [ids[a:b].tolist() for a, b in zip(starts[:-1], starts[1:], strict=True)] == want
-    for part in (more[:1], [None, ""], [], ["a\n b"]):
+    for part in (more[:1], [None, ""], [], ["a\n b"], ["a\n", "b", "\n", "c\nd", "e.\n\nf", "g,\n", "."]):
         ids, starts = own.encode(pa.array(part, pa.string()))
         assert ids.tolist() == [i for e in ref.encode_batch([x or "" for x in part], add_special_tokens=False) for i in e.ids] and len(starts) == len(part) + 1
 
