@@ -9,6 +9,8 @@ from pyspark.sql.window import Window as W
 from tessera.functions.spectral import evi, normalised_difference
 
 from .raster import cross_dilated, window_extreme
+from .shared import Saved, percentiles
+from .terrain import local_variance, smoothed
 
 
 def band(i: int) -> Column:
@@ -53,12 +55,19 @@ def darkening(pixels: DataFrame) -> DataFrame:
 
 
 def nearness(pixels: DataFrame, flag: str, reach: int, out: str) -> DataFrame:
-    """1 at flagged pixels, falling with the straight distance to the nearest to 0 at `reach` pixels and beyond."""
-    offsets = [(i, j) for i in range(-reach, reach + 1) for j in range(-reach, reach + 1) if i * i + j * j < reach * reach]
-    spread = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), F.lit((i * i + j * j) ** 0.5).alias("d")) for i, j in offsets])).alias("s")
-    near = pixels.where(flag).select("tile", "t", "r", "c", spread).select("tile", "t", (F.col("r") + F.col("s.i")).alias("r"), (F.col("c") + F.col("s.j")).alias("c"), "s.d")
-    least = near.groupBy("tile", "t", "r", "c").agg(F.min("d").alias("_d"))
-    return pixels.join(least, ["tile", "t", "r", "c"], "left").withColumn(out, 1 - F.coalesce("_d", F.lit(float(reach))) / reach).drop("_d")
+    """1 at flagged pixels, falling with the straight distance to the nearest to 0 at `reach` pixels and beyond.
+
+    Down a column the nearest flagged pixel, then along a row the least distance to one of those within reach, held in
+    a list of at most 2 reach + 1: no pixel is copied.
+    """
+    down, across = W.partitionBy("tile", "t", "c").orderBy("r"), W.partitionBy("tile", "t", "r").orderBy("c")
+    at = F.when(F.col(flag), F.col("r"))
+    up, low = F.max(at).over(down.rangeBetween(W.unboundedPreceding, 0)), F.min(at).over(down.rangeBetween(0, W.unboundedFollowing))
+    column = pixels.withColumn("_d", F.least(F.col("r") - up, low - F.col("r")))
+    near = F.collect_list(F.when(F.col("_d") < reach, F.struct("c", "_d"))).over(across.rangeBetween(1 - reach, reach - 1))
+    least = F.array_min(F.transform("_near", lambda x: F.sqrt((x["c"] - F.col("c")) * (x["c"] - F.col("c")) + x["_d"] * x["_d"])))
+    found = column.withColumn("_near", near).withColumn("_least", F.least(F.coalesce(least, F.lit(float(reach))), F.lit(float(reach))))
+    return found.withColumn(out, 1 - F.col("_least") / reach).drop("_d", "_near", "_least")
 
 
 def interpolation_weights(pixels: DataFrame, flag: str = "cloud") -> DataFrame:
@@ -107,3 +116,93 @@ def no_data(pixels: DataFrame, grow: int = 10) -> DataFrame:
     missing = F.bool_or(F.greatest(*[c.isNull().cast("int") for c in first]) == 1)
     raw = pixels.groupBy("tile", "r", "c").agg((empty | missing).alias("_raw"))
     return cross_dilated(raw, "_raw", grow).select("tile", "r", "c", F.col("dilated").alias("nodata"))
+
+
+def square_grown(pixels: DataFrame, flag: str, n: int, out: str, image: list[str]) -> DataFrame:
+    """pixels with `out`: whether a flagged pixel is within n rows and columns."""
+    keyed = pixels.withColumns({"_image": F.concat_ws("|", *image), "_flag": F.coalesce(F.col(flag).cast("int"), F.lit(0))})
+    return window_extreme(keyed, n, "_flag", "_grown", "_image").withColumn(out, F.col("_grown") > 0).drop("_image", "_flag", "_grown")
+
+
+def without_noise(pixels: DataFrame, flag: str = "cloud") -> DataFrame:
+    """A flag without single clouds that are always there: of a pixel flagged in all images, the first image in which no
+    pixel beside it is flagged is cleared. Pixels at the raster's edge stay."""
+    keyed = pixels.withColumns({"_image": F.concat_ws("|", "tile", "t"), "_flag": F.col(flag).cast("int")})
+    down, across = W.partitionBy("_image", "c").orderBy("r").rowsBetween(-1, 1), W.partitionBy("_image", "r").orderBy("c").rowsBetween(-1, 1)
+    near = keyed.withColumns({"_line": F.sum("_flag").over(down), "_rows": F.count("*").over(down)})
+    near = near.withColumns({"_sum": F.sum("_line").over(across), "_cells": F.sum("_rows").over(across)})
+    whole = W.partitionBy("tile", "r", "c")
+    alone = F.col(flag) & (F.col("_sum") <= 1) & (F.col("_cells") == 9) & (F.min("_flag").over(whole) > 0)
+    first = F.min(F.when(alone, F.col("t"))).over(whole)
+    return near.withColumn(flag, F.col(flag) & ~F.coalesce(alone & (F.col("t") == first), F.lit(False))).drop("_image", "_flag", "_line", "_rows", "_sum", "_cells")
+
+
+#: Limits of the parallax index, of vegetation, and of elevation in units of 90 metres.
+PARALLAX, GREEN_LIMIT, HIGH = -0.4, 0.4, 0.10
+
+
+def parallax_index(pixels: DataFrame) -> DataFrame:
+    """(tile, t, r, c, cdi) of blocks of 2 x 2 pixels: how much more the ratio of the far to the narrow infrared band varies
+    around them than that of the wide to the narrow one, from -1 to 1; null where neither does."""
+    keyed = pixels.select(F.concat_ws("|", "tile", "t").alias("_image"), "tile", "t", "r", "c", "b3", "b6", "b7")
+    soft = smoothed(keyed, "b3", 0.5, 3.0, "_image")
+    block = lambda at: F.floor(F.col(at) / 2).cast("int").alias(at)
+    means = soft.groupBy("_image", "tile", "t", block("r"), block("c")).agg(*[F.avg(b).alias(b) for b in ("b3", "b6", "b7")])
+    ratios = means.withColumns({"_wide": F.try_divide("b3", "b7"), "_far": F.try_divide("b6", "b7")})
+    varied = local_variance(local_variance(ratios, "_wide", "_v", 3, "_image"), "_far", "_v7", 3, "_image")
+    return varied.select("tile", "t", "r", "c", F.try_divide(F.col("_v7") - F.col("_v"), F.col("_v7") + F.col("_v")).alias("cdi"))
+
+
+def false_positives(pixels: DataFrame, ground: DataFrame, urban: bool = True) -> DataFrame:
+    """(tile, t, r, c, candidate, false_cloud): pixels that may be taken for clouds by mistake.
+
+    ground: tile, r, c, elevation in metres and, with urban, urban (1: a town). Without urban no pixel is a candidate
+    by place. A candidate is a town's pixel, or one that is mostly built up and not water, below HIGH; a false cloud is
+    also near the parallax of no cloud, with little vegetation. Both grow by six pixels in all directions.
+    """
+    block = lambda at: F.floor(F.col(at) / 2).cast("int").alias(f"_b{at}")
+    cdi = parallax_index(pixels).select("tile", "t", F.col("r").alias("_br"), F.col("c").alias("_bc"), "cdi")
+    ndvi, ndwi, ndbi = normalised_difference(band(3), band(2)), normalised_difference(band(1), band(3)), normalised_difference(band(8), band(3))
+    marked = pixels.select("tile", "t", "r", "c", block("r"), block("c"), ndvi.alias("_ndvi"), ndwi.alias("_ndwi"), F.coalesce((ndbi > 0) & (ndbi > ndvi), F.lit(False)).cast("double").alias("_built"))
+    low = marked.join(cdi, ["tile", "t", "_br", "_bc"], "left").withColumn("_clear", F.coalesce((F.col("cdi") >= PARALLAX) & (F.col("_ndvi") < GREEN_LIMIT), F.lit(False)))
+    place = marked.groupBy("tile", "r", "c").agg(F.median("_built").alias("_built"), F.median("_ndwi").alias("_ndwi")).join(ground, ["tile", "r", "c"])
+    here = F.when(F.col("urban") == 1, F.lit(True)).otherwise((F.col("_built") > 0) & F.coalesce(F.col("_ndwi") < 0, F.lit(False))) if urban else F.lit(False)
+    place = place.withColumn("_here", here & (F.col("elevation") / 90 <= HIGH))
+    grown = square_grown(place, "_here", 6, "candidate", ["tile"]).select("tile", "r", "c", "candidate")
+    out = square_grown(low, "_clear", 6, "_near", ["tile", "t"]).join(grown, ["tile", "r", "c"])
+    return out.select("tile", "t", "r", "c", "candidate", (F.col("candidate") & F.col("_near")).alias("false_cloud"))
+
+
+def clouds_left(mosaic: DataFrame) -> DataFrame:
+    """mosaic (tile, r, c, b0, b1, b2, clear: the number of images without interpolation, false_cloud) with `cloud`.
+
+    Doubtful pixels have one clear image at most or are within ten steps of a false cloud. Of these, clouds are brighter in
+    blue and red than 99 per cent of the others, though not wholly white, and away from false clouds; the clouds' gaps of
+    up to three steps are taken out of them, and the rest grows by eight. A tile of doubtful pixels alone has no clouds.
+    """
+    near = cross_dilated(mosaic, "false_cloud", 10).withColumnRenamed("dilated", "_near").withColumn("_doubt", (F.col("clear") < 2) | F.col("_near"))
+    sure = near.where(~F.col("_doubt"))
+    limits = percentiles(sure, ["tile"], "b0", {"_blue": 0.99}).join(percentiles(sure, ["tile"], "b2", {"_red": 0.99}), "tile")
+    lit = (F.col("b0") > F.col("_blue")) & (F.col("b2") > F.col("_red")) & F.col("_doubt") & (F.col("b0") + F.col("b1") + F.col("b2") < 1) & ~F.col("_near")
+    marked = near.join(limits, "tile", "left").withColumn("_lost", ~F.coalesce(lit, F.lit(False)))
+    kept = cross_dilated(marked, "_lost", 3).withColumn("_kept", ~F.col("dilated")).drop("dilated")
+    return cross_dilated(kept, "_kept", 8).withColumnRenamed("dilated", "cloud").select(*mosaic.columns, "cloud")
+
+
+def pruned(pixels: DataFrame, detect, share: float = 0.9, rounds: int = 3, least: int = 3) -> tuple[DataFrame, DataFrame]:
+    """pixels without the images of which more than a share is to be interpolated, and detect's result for the others.
+
+    detect takes pixels and returns tile, t, r, c and interp (over 0: to be interpolated). As what one image shows depends
+    on the others, it runs again after each round; a tile keeps all images of a round that would leave it fewer than
+    `least`. The driver sees no rows, only whether a round dropped any.
+    """
+    found = detect(pixels)
+    for _ in range(rounds):
+        images = found.groupBy("tile", "t").agg((F.avg((F.col("interp") > 0).cast("int")) > share).alias("bad"))
+        left = images.groupBy("tile").agg(F.count_if(~F.col("bad")).alias("left")).where(F.col("left") >= least)
+        bad = Saved(pixels.sparkSession, "pruned").table(images.where("bad").join(left, "tile").select("tile", "t"), "images")
+        if bad.isEmpty():
+            break
+        pixels = pixels.join(bad, ["tile", "t"], "left_anti")
+        found = detect(pixels)
+    return pixels, found

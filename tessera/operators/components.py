@@ -2,39 +2,43 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def saved(df: DataFrame) -> DataFrame:
-    """df written to the shared folder (spark.checkpoint.dir) and read back."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="spark-", dir="/tmp")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    path = f"{folder.rstrip('/')}/clusters-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from .shared import Saved
 
 
 def clusters(members: DataFrame, node: str, *shared: str) -> DataFrame:
     """(node, cluster): cluster is the least node that chains of shared keys reach.
 
-    members has a row for each node and key. Each round gives a key its nodes' least label and a node its keys'
-    least, then jumps to the label's own label; rounds end when no label changes.
+    members has a row for each node and key (columns `shared`; a null is a value like others). Each round gives a key
+    its nodes' least label and a node its keys' least, then jumps to the label's own label; rounds end when no label
+    changes. Keys are numbered by two hashes once; of the rounds, the last one's table stays.
     """
-    members = saved(members.select(node, F.hash(*shared).alias("bucket"), F.concat_ws("|", *shared).alias("key")).distinct())
-    labels = members.select(node).distinct().withColumn("cluster", F.col(node))
+    saved, turn = Saved(members.sparkSession, "clusters"), 0
+    key = F.struct(F.xxhash64(*shared).alias("a"), F.xxhash64(F.lit(1), *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in shared]).alias("b"))
+    members = saved.table(members.select(node, key.alias("key")).distinct(), "members")
+    labels = members.select(node).distinct().withColumns({"cluster": F.col(node), "changed": F.lit(True)})
     while True:
         by_key = members.join(labels, node).groupBy("key").agg(F.min("cluster").alias("least"))
         near = members.join(by_key, "key").groupBy(node).agg(F.min("least").alias("near"))
         hop = labels.select(F.col(node).alias("near"), F.col("cluster").alias("hop"))
-        after = saved(near.join(hop, "near").select(node, F.least("near", "hop").alias("cluster")))
-        changed = after.join(labels.withColumnRenamed("cluster", "was"), node).where("cluster <> was").limit(1).count()
-        labels = after
-        if not changed:
-            return labels
+        after = near.join(hop, "near").select(node, F.least("near", "hop").alias("after")).join(labels.select(node, "cluster"), node)
+        labels = saved.table(after.select(node, F.col("after").alias("cluster"), (F.col("after") != F.col("cluster")).alias("changed")), str(turn))
+        if turn:
+            saved.drop(str(turn - 1))
+        if labels.where("changed").isEmpty():
+            saved.drop("members")
+            return labels.drop("changed")
+        turn += 1
+
+
+def largest_first(clustered: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """(cluster, members), the largest first, of equally large ones that with the least label."""
+    return clustered.groupBy(cluster).agg(F.count("*").alias("members")).orderBy(F.desc("members"), cluster)
+
+
+def cluster_bounds(boxes: DataFrame, cluster: str = "cluster") -> DataFrame:
+    """The bounds (x0, y0, x1, y1) of all boxes of each cluster, and their number."""
+    low, high = (lambda c: F.min(c).alias(c)), (lambda c: F.max(c).alias(c))
+    return boxes.groupBy(cluster).agg(low("x0"), low("y0"), high("x1"), high("y1"), F.count("*").alias("n"))

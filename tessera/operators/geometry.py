@@ -151,6 +151,75 @@ def clip_area(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: fl
     return total
 
 
+def meets_box(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: float) -> bool:
+    """Whether polygons and a closed rectangle have a point in common: an edge enters it, or they hold its corner."""
+    for rings in parts:
+        for ring in rings:
+            a, d = ring[:-1], np.diff(ring, axis=0)
+            with np.errstate(divide="ignore", invalid="ignore"):
+                near, far = (np.array([w, s]) - a) / d, (np.array([e, n]) - a) / d
+            flat, inside = d == 0, (a >= [w, s]) & (a <= [e, n])
+            enter, leave = np.where(flat, np.where(inside, -np.inf, np.inf), np.minimum(near, far)), np.where(flat, np.where(inside, np.inf, -np.inf), np.maximum(near, far))
+            if (np.maximum(enter.max(1), 0) <= np.minimum(leave.min(1), 1)).any():
+                return True
+    return contains(parts, w, s)
+
+
+def repaired(wkb: bytes | None) -> bytes | None:
+    """A polygon with its rings closed and repeated points dropped, of several parts the largest; None where nothing is left.
+
+    Rings that cross themselves are not untangled (diagnosis names them); holes stay with their part.
+    """
+    try:
+        _, parts = rings_of(wkb)
+    except Exception:  # any damage to the bytes
+        return None
+    sound = []
+    for rings in parts:
+        kept = []
+        for ring in rings:
+            new = np.append(True, (np.diff(ring, axis=0) != 0).any(1)) if len(ring) else np.zeros(0, bool)
+            ring = ring[new]
+            if len(ring) and (ring[0] != ring[-1]).any():
+                ring = closed(ring)
+            kept.append(ring if len(ring) > 3 else ring[:0])
+        if kept and len(kept[0]):
+            sound.append([r for r in kept if len(r)])
+    best = max(sound, key=lambda p: abs(area_centre([p])[0]), default=None)
+    return wkb_of([best]) if best and area_centre([best])[0] else None
+
+
+def coverage(parts: list[list[np.ndarray]], c0: int, r0: int, width: int, height: int) -> np.ndarray:
+    """The part of each pixel of a window (rows r0 and on, columns c0 and on) that polygons cover, exactly.
+
+    Edges are cut at all pixel sides that they cross. A piece in a pixel takes its height times what lies right of it
+    from that pixel, and its whole height from the pixels further right; holes count against their ring.
+    """
+    out = np.zeros((height, width + 1))
+    for rings in parts:
+        for i, ring in enumerate(rings):
+            area = shoelace(ring)[0]
+            points = (ring if (area > 0) == (i == 0) else ring[::-1]) - [c0, r0]
+            for (ax, ay), (bx, by) in zip(points[:-1], points[1:], strict=True):
+                if ay == by:
+                    continue
+                cuts = [np.zeros(1), np.ones(1)]
+                for a, b, most in ((ax, bx, width), (ay, by, height)):
+                    lines = np.arange(max(np.ceil(min(a, b)), 0), min(np.floor(max(a, b)), most) + 1)
+                    cuts.append((lines - a) / (b - a) if a != b else np.zeros(0))
+                t = np.unique(np.clip(np.concatenate(cuts), 0, 1))
+                x, y = ax + (bx - ax) * t, ay + (by - ay) * t
+                mx, my, dy = (x[1:] + x[:-1]) / 2, (y[1:] + y[:-1]) / 2, np.diff(y)
+                row = np.floor(my).astype(int)
+                seen = (row >= 0) & (row < height) & (mx < width)
+                col = np.clip(np.floor(mx[seen]), 0, None).astype(int)
+                share = np.where(mx[seen] < 0, 1.0, col + 1 - mx[seen])
+                # An edge upwards has the inside to its left in y-up axes: what is right of it is taken away.
+                np.add.at(out, (row[seen], col), -dy[seen] * share)
+                np.add.at(out, (row[seen], col + 1), -dy[seen] * (1 - share))
+    return np.cumsum(out, 1)[:, :width]
+
+
 def described(df: DataFrame, geom: str = "geom") -> DataFrame:
     """df with status, hectares (Mollweide), cx, cy and the bounds of each geometry; nulls where it can't be read."""
 
@@ -190,6 +259,63 @@ def within(geom: Column, x: Column, y: Column) -> Column:
     return test(geom, x, y)
 
 
+def meets(geom: Column, w: Column, s: Column, e: Column, n: Column) -> Column:
+    """Whether a geometry and a closed rectangle have a point in common; false where it can't be read."""
+
+    @F.pandas_udf("boolean")
+    def test(g: pd.Series, w: pd.Series, s: pd.Series, e: pd.Series, n: pd.Series) -> pd.Series:
+        read = {}
+        for v in g:
+            if v not in read:
+                read[v] = parts_of(v)
+        return pd.Series([bool(read[v]) and meets_box(read[v], *box) for v, *box in zip(g, w, s, e, n, strict=True)], dtype=bool)
+
+    return test(geom, w, s, e, n)
+
+
+def parts_of(wkb: bytes | None) -> list[list[np.ndarray]]:
+    """The polygons of a geometry, none where it can't be read."""
+    try:
+        return rings_of(wkb)[1]
+    except Exception:  # any damage to the bytes
+        return []
+
+
+def repair(geom: Column) -> Column:
+    @F.pandas_udf("binary")
+    def mend(values: pd.Series) -> pd.Series:
+        return pd.Series([repaired(v) for v in values])
+
+    return mend(geom)
+
+
+def pixel_coverage(geom: Column, c0: Column, r0: Column, shifts: list[tuple[float, float]], width: int, height: int) -> Column:
+    """For a window of pixels from (c0, r0): an array of (r, c, parts), the part of each pixel that the geometry covers when
+    moved by each of shifts. Pixels that none covers are left out."""
+
+    @F.pandas_udf("array<struct<r: int, c: int, parts: array<double>>>")
+    def cover(g: pd.Series, c0: pd.Series, r0: pd.Series) -> pd.Series:
+        out = []
+        for v, c, r in zip(g, c0, r0, strict=True):
+            parts = parts_of(v)
+            found = np.stack([coverage([[p + [dx, dy] for p in rings] for rings in parts], c, r, width, height) for dx, dy in shifts], 2)
+            rows, cols = np.nonzero(found.max(2) > 1e-12)
+            out.append([{"r": int(r + i), "c": int(c + j), "parts": found[i, j].tolist()} for i, j in zip(rows, cols, strict=True)])
+        return pd.Series(out)
+
+    return cover(geom, c0, r0)
+
+
+def wkb(polygons: Column) -> Column:
+    """Well-known binary of polygons given as an array of polygons, each an array of rings of [x, y] points, as GeoJSON has them."""
+
+    @F.pandas_udf("binary")
+    def written(values: pd.Series) -> pd.Series:
+        return pd.Series([wkb_of([[np.array([list(p)[:2] for p in ring], float) for ring in rings] for rings in v]) if v is not None and len(v) else None for v in values])
+
+    return written(polygons)
+
+
 def exploded(df: DataFrame, geom: str = "geom") -> DataFrame:
     """A row for each part of a multipolygon, with part_idx."""
 

@@ -6,8 +6,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from .shared import percentiles
+
 #: No data, and the limits below which the mosaic's pixels become 0.
 NODATA, LEAST_MAX, LEAST_VALUE = 255, 30, 20
+#: A difference that clouds make, and the least number of other pixels for a correlation.
+FAR, LEAST_CLOSE = 30, 100
 
 
 def along(tile: str, row: str = "r", col: str = "c") -> tuple[W, W]:
@@ -39,12 +43,24 @@ def window_sum(pixels: DataFrame, value: str, out: str, tile: str = "tile") -> D
     return pixels.withColumn("_part", line(down, F.col(value))).withColumn(out, line(across, F.col("_part"))).drop("_part")
 
 
+def cross_distance(pixels: DataFrame, flag: str, out: str, tile: str = "tile") -> DataFrame:
+    """Steps (not diagonal) from each pixel to the nearest flagged one of its raster, null without any.
+
+    Down a column the nearest flagged pixel on either side, then along a row the least of that plus the steps to it:
+    two windows, and no pixel is copied.
+    """
+    before, after = W.unboundedPreceding, W.unboundedFollowing
+    down, across = along(tile)
+    at = F.when(F.col(flag), F.col("r"))
+    up, low = F.max(at).over(down.rangeBetween(before, 0)), F.min(at).over(down.rangeBetween(0, after))
+    column = pixels.withColumn("_d", F.least(F.col("r") - up, low - F.col("r")))
+    left, right = F.min(F.col("_d") - F.col("c")).over(across.rangeBetween(before, 0)), F.min(F.col("_d") + F.col("c")).over(across.rangeBetween(0, after))
+    return column.withColumn(out, F.least(left + F.col("c"), right - F.col("c"))).drop("_d")
+
+
 def cross_dilated(pixels: DataFrame, flag: str, n: int, tile: str = "tile") -> DataFrame:
-    """Pixels within n steps (not diagonal) of a flagged one: flagged pixels are spread and met by equality."""
-    offsets = [(i, j) for i in range(-n, n + 1) for j in range(-n, n + 1) if abs(i) + abs(j) <= n]
-    shifts = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in offsets])).alias("s")
-    spread = pixels.where(flag).select(tile, "r", "c", shifts).select(tile, (F.col("r") + F.col("s.i")).alias("r"), (F.col("c") + F.col("s.j")).alias("c")).distinct()
-    return pixels.join(spread.withColumn("_hit", F.lit(True)), [tile, "r", "c"], "left").withColumn("dilated", F.coalesce("_hit", F.lit(False))).drop("_hit")
+    """pixels with `dilated`: whether a flagged one is within n steps (not diagonal)."""
+    return cross_distance(pixels, flag, "_steps", tile).withColumn("dilated", F.coalesce(F.col("_steps") <= n, F.lit(False))).drop("_steps")
 
 
 def mosaic(pixels: DataFrame, order: str, value: str = "u8") -> DataFrame:
@@ -115,24 +131,50 @@ def blended(predictions: DataFrame, weight: Column, value: str, keys: list[str])
 
 
 def compared(a: DataFrame, b: DataFrame, value: str, keys: list[str], group: list[str]) -> DataFrame:
-    """Agreement of two rasters over the pixels that both have data for."""
+    """Agreement of two rasters over the pixels that both have data for.
+
+    corr_close is the correlation without the pixels that differ by more than FAR, null unless more than LEAST_CLOSE
+    are left; far is their share.
+    """
     both = a.where(F.col(value) != NODATA).join(b.where(F.col(value) != NODATA).withColumnRenamed(value, "_b"), keys)
     off = F.abs(F.col(value) - F.col("_b"))
     share = lambda n: F.round(100.0 * F.count_if(off <= n) / F.count("*"), 6).alias(f"within_{n}")
+    close = F.when(off <= FAR, 1)
     return both.groupBy(*group).agg(
-        F.count("*").alias("n"), F.round(F.avg(off), 6).alias("mae"), F.max(off).alias("max_off"), F.round(F.sqrt(F.avg(off * off)), 6).alias("rmse"), share(1), share(5), share(10),
+        F.round(F.when(F.count(close) > LEAST_CLOSE, F.corr(F.when(off <= FAR, F.col(value)), F.when(off <= FAR, F.col("_b")))), 6).alias("corr_close"),
+        F.round(100.0 * F.count_if(off > FAR) / F.count("*"), 6).alias("far"), F.count("*").alias("n"), F.round(F.avg(off), 6).alias("mae"), F.max(off).alias("max_off"), F.round(F.sqrt(F.avg(off * off)), 6).alias("rmse"), share(1), share(5), share(10),
         F.round(F.corr(value, "_b"), 6).alias("corr"), F.round(F.avg(value), 6).alias("mean_a"), F.round(F.avg("_b"), 6).alias("mean_b"),
     )
 
 
-def band_stats(values: DataFrame, group: str, value: str) -> DataFrame:
-    """Statistics of a band's positive values (percentiles interpolated) and their share."""
-    good = F.when(F.col(value) > 0, F.col(value))
+def band_stats(values: DataFrame, group: str, value: str, shares: tuple[int, ...] = (5, 50, 95)) -> DataFrame:
+    """Statistics of a band's positive values (percentiles interpolated), their share, and that of NaN among all."""
+    number = F.when(~F.isnan(value), F.col(value))
+    good = F.when(number > 0, number)
     r = lambda c: F.round(c, 6)
-    return values.groupBy(group).agg(
+    plain = values.groupBy(group).agg(
         F.min(good).alias("min"), F.max(good).alias("max"), r(F.avg(good)).alias("mean"), r(F.stddev_pop(good)).alias("std"),
-        *[r(F.percentile(good, q / 100)).alias(f"p{q}") for q in (5, 50, 95)], r(F.count(good) / F.count("*")).alias("valid"),
+        r(F.count(good) / F.count("*")).alias("valid"), r(F.count_if(F.isnan(value)) / F.count("*")).alias("nan"),
     )
+    points = percentiles(values.select(group, good.alias("_v")), [group], "_v", {f"p{q}": q / 100 for q in shares})
+    return plain.join(points.select(group, *[r(f"p{q}").alias(f"p{q}") for q in shares]), group, "left")
+
+
+def finite_range(values: DataFrame, value: str, groups: list[str] | None = None) -> DataFrame:
+    """(groups, low, high): least and greatest finite value; 0 and 1 without any, and never equal."""
+    finite = F.when(~F.isnan(value) & (F.abs(value) < float("inf")), F.col(value).cast("double"))
+    low, high = F.coalesce(F.min(finite), F.lit(0.0)), F.coalesce(F.max(finite), F.lit(1.0))
+    return values.groupBy(*(groups or [])).agg(low.alias("low"), F.when(low == high, high + 1e-9).otherwise(high).alias("high"))
+
+
+def flattened(cells: DataFrame, axes: list[str], value: str) -> DataFrame:
+    """An array's cells (a column for each axis) as a picture: means over all but its two longest axes, in their order.
+
+    Of axes of one length the later ones are the longest.
+    """
+    sizes = cells.agg(*[(F.max(a) + 1).alias(a) for a in axes]).first()
+    kept = sorted(sorted(range(len(axes)), key=lambda i: (sizes[axes[i]] or 0, i))[-2:])
+    return cells.groupBy(*[axes[i] for i in kept]).agg(F.avg(value).alias(value))
 
 
 def slopes(dem: DataFrame, value: str, metres: float, tile: str = "tile") -> DataFrame:
@@ -173,7 +215,11 @@ def rolled_up(parity: DataFrame, name: str, score: str) -> DataFrame:
 
 
 def differences(a: DataFrame, b: DataFrame, value: str, keys: list[str], far: float = 5) -> DataFrame:
-    """Percentiles of the absolute differences of two rasters, their deviation, equal and far pixels."""
+    """Percentiles of the absolute differences of two rasters, their deviation, equal, nearly equal (1e-6) and far pixels."""
     off = a.join(b.withColumnRenamed(value, "_b"), keys).select(F.abs(F.col(value) - F.col("_b")).alias("off"))
-    points = [F.round(F.percentile("off", q / 100), 6).alias(f"p{q}") for q in (50, 90, 95, 99)]
-    return off.agg(*points, F.round(F.stddev_pop("off"), 6).alias("std"), F.count_if(F.col("off") == 0).alias("equal"), F.count_if(F.col("off") > far).alias("far"), F.max("off").alias("most"))
+    plain = off.agg(
+        F.round(F.stddev_pop("off"), 6).alias("std"), F.count_if(F.col("off") == 0).alias("equal"), F.count_if(F.col("off") <= 1e-6).alias("near"),
+        F.count_if(F.col("off") > far).alias("far"), F.max("off").alias("most"),
+    )
+    points = percentiles(off, [], "off", {f"p{q}": q / 100 for q in (50, 90, 95, 99)})
+    return plain.join(points.select(*[F.round(c, 6).alias(c) for c in points.columns]))

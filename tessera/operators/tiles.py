@@ -6,11 +6,13 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tessera.functions.scalars import token_x, token_y
 from tessera.schemas import REQUEST
 
+from . import geometry
+from .shared import numbered
+
 #: Units of 1/3600 degree on a side of a tile.
 SIDE = 200
 #: Rows in the first chunks of a run, then in each of the others.
@@ -52,6 +54,22 @@ def boxes_on_grid(boxes: DataFrame, grid: DataFrame) -> DataFrame:
     return cells.join(grid, ["x_tile", "y_tile"])
 
 
+def polygons_on_grid(polygons: DataFrame, grid: DataFrame, geom: str = "geom") -> DataFrame:
+    """polygons (well-known binary and its envelope x0, y0, x1, y1) joined to the grid tiles that they meet or touch.
+
+    Tiles are found by the envelope's cells, and the polygon itself is tested against each; one whose envelope lies
+    within the tile, or that fills its own envelope's only tile, is tested like the others.
+    """
+    near = boxes_on_grid(polygons, grid)
+    w, s = F.col("x_tile") * SIDE, F.col("y_tile") * SIDE
+    return near.where(geometry.meets(F.col(geom), w, s, w + SIDE, s + SIDE))
+
+
+def valid_only(polygons: DataFrame, geom: str = "geom") -> DataFrame:
+    """polygons whose geometry is a sound polygon with an area (geometry.diagnosis says ok)."""
+    return geometry.described(polygons, geom).where("status = 'ok'").select(*polygons.columns)
+
+
 def lacks_coverage(ttc: str = "ttc") -> Column:
     """No value for any year: a null or an empty map."""
     return F.col(ttc).isNull() | (F.size(F.map_keys(ttc)) == 0)
@@ -61,8 +79,23 @@ def prediction_year(override: int | None = None) -> Column:
     return F.coalesce(F.lit(override).cast("int"), F.year("plantstart") - 1)
 
 
+def dated(polygons: DataFrame) -> DataFrame:
+    """polygons with their prediction year, without those that have no date; an error where none has one."""
+    found = polygons.withColumn("year", prediction_year()).where("year is not null")
+    if found.isEmpty() and not polygons.isEmpty():
+        raise ValueError("no polygon has a date to take its year from")
+    return found
+
+
 def needed_tiles(polygons: DataFrame, grid: DataFrame, only_missing: bool = True) -> DataFrame:
-    """Distinct (year, x_tile, y_tile) that valid polygons without coverage meet; polygons without a date are dropped."""
+    """Distinct (year, x_tile, y_tile) that valid polygons without coverage meet; polygons without a date are dropped.
+
+    With a column geom (well-known binary) validity and meeting are the polygon's own; else `valid` says, and boxes meet.
+    """
+    if "geom" in polygons.columns:
+        wanted = polygons.withColumn("year", prediction_year()).where("year is not null")
+        wanted = valid_only(wanted.where(lacks_coverage()) if only_missing else wanted)
+        return polygons_on_grid(wanted.select("year", "geom", "x0", "y0", "x1", "y1"), grid).select("year", "x_tile", "y_tile").distinct()
     wanted = polygons.where("valid").withColumn("year", prediction_year()).where("year is not null")
     if only_missing:
         wanted = wanted.where(lacks_coverage())
@@ -110,14 +143,6 @@ def without_year(polygons: DataFrame) -> DataFrame:
     return polygons.where(~F.coalesce(F.map_contains_key("ttc", prediction_year()), F.lit(False)))
 
 
-def numbered(df: DataFrame, coarse: str, *order: str) -> DataFrame:
-    """df with n = 0, 1, ... in the order of coarse, then order: counts by coarse are summed, rows numbered within it."""
-    counts = df.groupBy(coarse).agg(F.count("*").alias("rows"))
-    before = counts.select(coarse, (F.sum("rows").over(Window.orderBy(coarse)) - F.col("rows")).alias("before"))
-    own = F.row_number().over(Window.partitionBy(coarse).orderBy(*order)) - 1
-    return df.withColumn("own", own).join(before, coarse).withColumn("n", F.col("before") + F.col("own")).drop("own", "before")
-
-
 def chunk_of(n: Column, size: int | None = None) -> Column:
     """The chunk (from 1) of row n: chunks grow along the ladder, then stay; or all have `size` rows."""
     if size:

@@ -5,10 +5,19 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import ranked
+
 STATES = ["success", "partial", "failed", "skipped", "running"]
 GOOD = ("success", "partial")
-#: Words in an error that make it worth another try.
-RETRYABLE = ("429", "500", "502", "503", "504", "timeout", "timed out", "connection", "slow down")
+#: Codes and words in an error's text, and in the name of its kind, that make it worth another try.
+RETRY_CODES = ("429", "500", "502", "503", "504", "408")
+RETRY_WORDS = (
+    "timeout", "timed out", "connection", "reset", "refused", "temporary", "throttl", "rate limit", "too many requests",
+    "service unavailable", "bad gateway", "internal server error", "network", "socket", "ssl", "eof",
+)
+RETRY_KINDS = ("timeout", "connection", "http", "urllib", "ssl")
+#: Dollars for a GB-second and for a request.
+PER_GB_SECOND, PER_REQUEST = 0.0000166667, 0.0000002
 
 
 def status_by(jobs: DataFrame, *keys: str) -> DataFrame:
@@ -36,27 +45,14 @@ def durations(jobs: DataFrame) -> DataFrame:
     return d.groupBy("task_type").agg(F.count("*").alias("n"), F.round(F.avg("duration_sec"), 6).alias("avg_sec"), F.min("duration_sec").alias("min_sec"), F.max("duration_sec").alias("max_sec"))
 
 
-def nearest_rank(sorted_values: Column, n: Column, q: float) -> Column:
-    """The value at place round(q (n - 1)), halves to even: no interpolation."""
-    return F.element_at(sorted_values, (F.bround(q * (n - 1)) + 1).cast("int"))
-
-
 def phase_percentiles(jobs: DataFrame, phase: str = "task_type", seconds: str = "duration_sec") -> DataFrame:
-    """n, mean and nearest-rank percentiles of each phase.
-
-    Values are counted before they are gathered, so a phase's list is one of distinct values: places are looked up
-    in their running counts.
-    """
-    from pyspark.sql.window import Window
-
-    counts = jobs.where(F.col(seconds).isNotNull()).groupBy(phase, seconds).agg(F.count("*").alias("rows"))
-    w = Window.partitionBy(phase).orderBy(seconds)
-    upto = counts.withColumn("upto", F.sum("rows").over(w)).withColumn("n", F.sum("rows").over(Window.partitionBy(phase)))
-    at = lambda q: F.min(F.when(F.col("upto") > F.bround(q * (F.col("n") - 1)), F.col(seconds)))
-    return upto.groupBy(phase).agg(
-        F.first("n").alias("n"), F.round(F.sum(F.col(seconds) * F.col("rows")) / F.first("n"), 4).alias("mean"),
-        *[F.round(at(q), 4).alias(name) for q, name in ((0.5, "p50"), (0.95, "p95"), (0.99, "p99"))],
-    )
+    """n, mean and percentiles of each phase at the nearest place, round(q (n - 1)) with halves to even: no interpolation."""
+    at = lambda q: F.bround(q * (F.col("n") - 1)).cast("long")
+    shares = {"p50": 0.5, "p95": 0.95, "p99": 0.99}
+    found = ranked(jobs, [phase], seconds, F.array_distinct(F.array(*map(at, shares.values()))))
+    points = found.groupBy(phase, "n").agg(*[F.round(F.max(F.when(F.col("rank") == at(q), F.col(seconds))), 4).alias(name) for name, q in shares.items()])
+    means = jobs.groupBy(phase).agg(F.round(F.avg(seconds), 4).alias("mean"))
+    return points.join(means, phase).select(phase, "n", "mean", *shares)
 
 
 def phases_wide(jobs: DataFrame, phases: list[str]) -> DataFrame:
@@ -79,8 +75,49 @@ def exit_code(jobs: DataFrame) -> DataFrame:
     return jobs.agg(F.when((bad == F.count("*")) & (bad > 0), 2).when(bad > 0, 1).otherwise(0).alias("exit_code"))
 
 
-def retryable(error: Column) -> Column:
-    return F.lower(error).rlike("|".join(RETRYABLE))
+def retryable(error: Column, kind: Column | None = None) -> Column:
+    """Whether an error's text, or the name of its kind, says that another try may go well; null is no."""
+    said = F.lower(error).rlike("|".join((*RETRY_CODES, *RETRY_WORDS)))
+    named = F.lower(kind).rlike("|".join(RETRY_KINDS)) if kind is not None else F.lit(False)
+    return F.coalesce(said, F.lit(False)) | F.coalesce(named, F.lit(False))
+
+
+def billed_cost(memory_mb: Column, seconds: Column) -> Column:
+    """struct(gb_sec, compute_usd, request_usd, total_usd) of one call of a worker."""
+    gb_sec = memory_mb / 1024.0 * seconds
+    return F.struct(gb_sec.alias("gb_sec"), (gb_sec * PER_GB_SECOND).alias("compute_usd"), F.lit(PER_REQUEST).alias("request_usd"), (gb_sec * PER_GB_SECOND + PER_REQUEST).alias("total_usd"))
+
+
+def failed_tiles(jobs: DataFrame) -> DataFrame:
+    """Tile-years with a job that is neither a success nor one in part, each once; jobs without a tile are left out."""
+    bad = jobs.where(~F.col("status").isin(*GOOD) & F.col("x_tile").isNotNull() & F.col("y_tile").isNotNull())
+    return bad.select("year", "x_tile", "y_tile").distinct()
+
+
+def first_failures(jobs: DataFrame, n: int = 20) -> DataFrame:
+    """The first n failed jobs by their number, with the first 200 characters of the error."""
+    bad = jobs.where(~F.col("status").isin(*GOOD))
+    return bad.orderBy("seq").limit(n).select("seq", "job_id", "task_type", "region", "status", "year", "x_tile", "y_tile", F.substring(F.coalesce("error", F.lit("Unknown")), 1, 200).alias("error"))
+
+
+def benchmark_summary(calls: DataFrame, workers: int) -> DataFrame:
+    """One row for a batch of calls (seq, ok, seconds, done_at): counts, percentiles at the nearest place, mean and deviation,
+    calls a minute, and medians of the `workers` quickest and of the others, by which warm and cold starts are told.
+    """
+    good = calls.where("ok")
+    n = good.agg(F.count("*").alias("good")).crossJoin(calls.agg(F.count("*").alias("calls")))
+    place = lambda q: F.bround(q * (F.col("n") - 1)).cast("long")
+    head = F.least(F.lit(workers).cast("long"), F.col("n"))
+    middle = lambda start, size: (start + F.floor((size - 1) / 2).cast("long"), start + F.floor(size / 2).cast("long"))
+    first, rest = middle(F.lit(0).cast("long"), head), middle(head, F.col("n") - head)
+    wanted = F.array_distinct(F.array(*[place(q) for q in (0.5, 0.95, 0.99)], *first, *[F.least(x, F.col("n") - 1) for x in rest]))
+    found = ranked(good, [], "seconds", wanted)
+    at = lambda rank: F.max(F.when(F.col("rank") == rank, F.col("seconds")))
+    half = lambda pair: (at(pair[0]) + at(pair[1])) / 2
+    points = found.groupBy("n").agg(at(place(0.5)).alias("p50"), at(place(0.95)).alias("p95"), at(place(0.99)).alias("p99"), half(first).alias("quick_median"), half(rest).alias("slow_median"))
+    points = points.withColumn("slow_median", F.when(F.col("n") > workers, F.col("slow_median"))).drop("n")
+    plain = good.agg(F.avg("seconds").alias("mean"), F.when(F.count("*") > 1, F.stddev_samp("seconds")).alias("deviation"), F.max("done_at").alias("elapsed"))
+    return n.join(plain).join(points).withColumn("per_minute", F.try_divide(F.col("good"), F.col("elapsed") / 60))
 
 
 def retries(jobs: DataFrame) -> DataFrame:

@@ -45,6 +45,23 @@ def moved_parts(boxes: DataFrame, shifts: list[tuple[float, float]]) -> DataFram
     return spread.withColumn("parts", F.array(*[part(dx, dy) for dx, dy in shifts])).where(F.array_max("parts") >= LEAST_PART)
 
 
+#: Polygons are laid over windows of so many pixels on a side.
+WINDOW = 64
+
+
+def polygon_parts(polygons: DataFrame, key: str, shifts: list[tuple[float, float]], geom: str = "geom") -> DataFrame:
+    """(key, r, c, parts) for polygons (key, well-known binary in pixels): as `moved_parts`, by exact coverage.
+
+    A polygon's envelope is cut into windows of WINDOW x WINDOW pixels, so a task holds a window and not a polygon's raster.
+    """
+    reach_x, reach_y = max(abs(dx) for dx, _ in shifts), max(abs(dy) for _, dy in shifts)
+    boxed = geometry.described(polygons.select(key, F.col(geom).alias("geom"))).where("w is not null")
+    cells = lambda a, b, by: F.explode(F.sequence(F.floor((F.col(a) - by) / WINDOW).cast("int"), F.floor((F.col(b) + by) / WINDOW).cast("int")))
+    spread = boxed.select(key, "geom", "s", "n", cells("w", "e", reach_x).alias("_i")).select(key, "geom", "_i", cells("s", "n", reach_y).alias("_j"))
+    found = geometry.pixel_coverage(F.col("geom"), F.col("_i") * WINDOW, F.col("_j") * WINDOW, shifts, WINDOW, WINDOW)
+    return spread.select(key, F.inline(found)).where(F.array_max("parts") >= LEAST_PART)
+
+
 def means_of_parts(parts: DataFrame, pixels: DataFrame, key: str, n: int, value: str = "u8") -> DataFrame:
     """(key, means): the n means of value weighted by each of `parts` that is LEAST_PART or more, without NODATA.
 
@@ -83,6 +100,12 @@ def shift_errors(boxes: DataFrame, pixels: DataFrame, key: str, by: float) -> Da
     return boxes.select(key).distinct().join(errors_of_means(means, key), key, "left")
 
 
+def polygon_errors(polygons: DataFrame, pixels: DataFrame, key: str, by: float, geom: str = "geom") -> DataFrame:
+    """As `shift_errors`, for polygons (key, well-known binary in pixels)."""
+    parts = polygon_parts(polygons, key, [(0.0, 0.0), *((dx * by, dy * by) for dx, dy in SHIFTS)], geom)
+    return polygons.select(key).distinct().join(errors_of_means(means_of_parts(parts, pixels, key, 1 + len(SHIFTS)), key), key, "left")
+
+
 def small_site_error(area: Column, ttc: Column) -> Column:
     """Relative error of sites up to SMALL_SITE hectares: a fixed value for each bracket, over the mean."""
     raw = F.when(ttc <= 10, 3.6386).when(ttc <= 40, 16.68).when(ttc <= 100, 23.468).otherwise(0.0)

@@ -1,6 +1,6 @@
 """The registered queries and the SQL that gives the same rows."""
 
-from . import control, pixels
+from . import control, ground, pixels
 
-QUERIES = control.Q | pixels.Q
-ORACLE = control.SQL | pixels.SQL
+QUERIES = control.Q | pixels.Q | ground.Q
+ORACLE = control.SQL | pixels.SQL | ground.SQL

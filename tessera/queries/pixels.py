@@ -288,7 +288,7 @@ def window_agreement(spark, d):
 
 
 @query("raster_parity", f"""with a as {U8}, b as (select tile, r, c, least(u8 + tile % 7, 254) as b from v_patch), j as (select label, u8, b, abs(u8 - b) as off from a join b using (tile, r, c) where u8 <> 255)
-  select label, count(*) as n, round(avg(off), 6) as mae, max(off) as max_off, round(sqrt(avg(off * off)), 6) as rmse, round(100.0 * count(*) filter (off <= 1) / count(*), 6) as within_1, round(100.0 * count(*) filter (off <= 5) / count(*), 6) as within_5,
+  select label, round(case when count(*) filter (off <= 30) > 100 then corr(u8, b) filter (off <= 30) end, 6) as corr_close, round(100.0 * count(*) filter (off > 30) / count(*), 6) as far, count(*) as n, round(avg(off), 6) as mae, max(off) as max_off, round(sqrt(avg(off * off)), 6) as rmse, round(100.0 * count(*) filter (off <= 1) / count(*), 6) as within_1, round(100.0 * count(*) filter (off <= 5) / count(*), 6) as within_5,
   round(100.0 * count(*) filter (off <= 10) / count(*), 6) as within_10, round(corr(u8, b), 6) as corr, round(avg(u8), 6) as mean_a, round(avg(b), 6) as mean_b from j group by 1""")
 def raster_parity(spark, d):
     b = view(spark, d, "v_patch").select("tile", "r", "c", F.least(F.col("u8") + F.col("tile") % 7, F.lit(254)).alias("u8"))
@@ -296,7 +296,7 @@ def raster_parity(spark, d):
 
 
 @query("band_stats", """select band, min(v) filter (v > 0) as min, max(v) filter (v > 0) as max, round(avg(v) filter (v > 0), 6) as mean, round(stddev_pop(v) filter (v > 0), 6) as std, round(quantile_cont(v, 0.05) filter (v > 0), 6) as p5,
-  round(quantile_cont(v, 0.5) filter (v > 0), 6) as p50, round(quantile_cont(v, 0.95) filter (v > 0), 6) as p95, round(count(*) filter (v > 0) / count(*), 6) as valid from v_bands group by 1""")
+  round(quantile_cont(v, 0.5) filter (v > 0), 6) as p50, round(quantile_cont(v, 0.95) filter (v > 0), 6) as p95, round(count(*) filter (v > 0) / count(*), 6) as valid, round(count(*) filter (isnan(v)) / count(*), 6) as nan from v_bands group by 1""")
 def band_stats(spark, d):
     return raster.band_stats(view(spark, d, "v_bands"), "band", "v")
 
@@ -424,7 +424,7 @@ def parity_rollup(spark, d):
 
 
 @query("difference_percentiles", """with o as (select abs(u8 - least(u8 + tile % 7, 254)) as off from v_patch) select round(quantile_cont(off, 0.5), 6) as p50, round(quantile_cont(off, 0.9), 6) as p90, round(quantile_cont(off, 0.95), 6) as p95,
-  round(quantile_cont(off, 0.99), 6) as p99, round(stddev_pop(off), 6) as std, count(*) filter (off = 0) as equal, count(*) filter (off > 5) as far, max(off) as most from o""")
+  round(quantile_cont(off, 0.99), 6) as p99, round(stddev_pop(off), 6) as std, count(*) filter (off = 0) as equal, count(*) filter (off <= 1e-6) as near, count(*) filter (off > 5) as far, max(off) as most from o""")
 def difference_percentiles(spark, d):
     p = view(spark, d, "v_patch").select("tile", "r", "c", "u8")
     return raster.differences(p, p.withColumn("u8", F.least(F.col("u8") + F.col("tile") % 7, F.lit(254))), "u8", ["tile", "r", "c"])
