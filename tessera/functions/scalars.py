@@ -82,3 +82,59 @@ def small_float(text: Column) -> Column:
 def invocation_cost(n: Column, seconds: Column, mb: Column, price: float = 0.00001667) -> Column:
     """Serverless cost: invocations x seconds x GB x price of a GB-second."""
     return n * seconds * (mb / 1024) * price
+
+
+#: Half a tile's side in degrees.
+HALF_TILE = 1 / 36
+
+
+def box_around(x: Column, y: Column, half: float | Column) -> Column:
+    """struct(w, s, e, n): what lies within `half` of a point."""
+    return F.struct((x - half).alias("w"), (y - half).alias("s"), (x + half).alias("e"), (y + half).alias("n"))
+
+
+def tile_box(lon: Column, lat: Column) -> Column:
+    """The box of the tile around a centre."""
+    return box_around(lon, lat, HALF_TILE)
+
+
+def expanded(box: Column, n: float) -> Column:
+    """A box grown by n 360ths of a degree on all sides."""
+    by = n / 360
+    return F.struct((box["w"] - by).alias("w"), (box["s"] - by).alias("s"), (box["e"] + by).alias("e"), (box["n"] + by).alias("n"))
+
+
+def ring(box: Column) -> Column:
+    """A box's corners against the clock, the first again at the end, as [x, y] pairs."""
+    return F.array(*[F.array(box[x], box[y]) for x, y in (("w", "s"), ("e", "s"), ("e", "n"), ("w", "n"), ("w", "s"))])
+
+
+def longitude(x: Column) -> Column:
+    return F.degrees(x / EARTH_RADIUS)
+
+
+def latitude(y: Column) -> Column:
+    return F.degrees(2 * F.atan(F.exp(y / EARTH_RADIUS)) - F.lit(1.5707963267948966))
+
+
+def buffered(box: Column, metres: float) -> Column:
+    """A box in degrees grown by metres of the Mercator projection on all sides."""
+    return F.struct(
+        longitude(mercator_x(box["w"]) - metres).alias("w"), latitude(mercator_y(box["s"]) - metres).alias("s"),
+        longitude(mercator_x(box["e"]) + metres).alias("e"), latitude(mercator_y(box["n"]) + metres).alias("n"),
+    )
+
+
+def day_in(date: Column, year: int) -> Column:
+    """The day of the year, null for dates of other years."""
+    return F.when(F.year(date) == year, F.dayofyear(date))
+
+
+def reflectance(dn: Column) -> Column:
+    """A digital number to [0, 1]."""
+    return clip(dn / 10000.0, 0, 1)
+
+
+def cloud_byte(share: Column) -> Column:
+    """A share of cloud times 255; null over 100."""
+    return F.when(share * 255 <= 100, share * 255)

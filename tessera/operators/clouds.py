@@ -65,9 +65,9 @@ def nearness(pixels: DataFrame, flag: str, reach: int, out: str) -> DataFrame:
     up, low = F.max(at).over(down.rangeBetween(W.unboundedPreceding, 0)), F.min(at).over(down.rangeBetween(0, W.unboundedFollowing))
     column = pixels.withColumn("_d", F.least(F.col("r") - up, low - F.col("r")))
     near = F.collect_list(F.when(F.col("_d") < reach, F.struct("c", "_d"))).over(across.rangeBetween(1 - reach, reach - 1))
-    least = F.array_min(F.transform("_near", lambda x: F.sqrt((x["c"] - F.col("c")) * (x["c"] - F.col("c")) + x["_d"] * x["_d"])))
-    found = column.withColumn("_near", near).withColumn("_least", F.least(F.coalesce(least, F.lit(float(reach))), F.lit(float(reach))))
-    return found.withColumn(out, 1 - F.col("_least") / reach).drop("_d", "_near", "_least")
+    least = F.array_min(F.transform("_within", lambda x: F.sqrt((x["c"] - F.col("c")) * (x["c"] - F.col("c")) + x["_d"] * x["_d"])))
+    found = column.withColumn("_within", near).withColumn("_least", F.least(F.coalesce(least, F.lit(float(reach))), F.lit(float(reach))))
+    return found.withColumn(out, 1 - F.col("_least") / reach).drop("_d", "_within", "_least")
 
 
 def interpolation_weights(pixels: DataFrame, flag: str = "cloud") -> DataFrame:

@@ -221,7 +221,9 @@ def coverage(parts: list[list[np.ndarray]], c0: int, r0: int, width: int, height
 
 
 def described(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """df with status, hectares (Mollweide), cx, cy and the bounds of each geometry; nulls where it can't be read."""
+    """df with status, hectares (Mollweide), cx, cy and the bounds w, s, e, n of each geometry, in place of columns of these
+    names; nulls where it can't be read."""
+    df = df.drop("status", "hectares", "cx", "cy", "w", "s", "e", "n")
 
     @F.pandas_udf("status string, hectares double, cx double, cy double, w double, s double, e double, n double")
     def describe(values: pd.Series) -> pd.DataFrame:

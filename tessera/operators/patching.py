@@ -30,10 +30,23 @@ def outcomes(rows: DataFrame, known: DataFrame, payload: Column, apply: bool = F
     """rows (poly_uuid, ...) with a status: error, unmatched, or what would be (dryrun) or was to be (sent) patched."""
     ids = known.select(F.col("poly_uuid").cast("string").alias("poly_uuid")).distinct().withColumn("there", F.lit(True))
     keyed = rows.withColumn("payload", payload).withColumn("poly_uuid", F.coalesce(F.col("poly_uuid").cast("string"), F.lit("")))
+    # Rows without an id are judged before the join: they would all be one key of it.
+    nameless = keyed.where("poly_uuid = ''").withColumn("status", F.lit("error"))
+    keyed = keyed.where("poly_uuid <> ''")
     status = (
         F.when(F.col("poly_uuid") == "", "error").when(F.col("there").isNull(), "unmatched").when(F.col("payload").isNull(), "error").otherwise("sent" if apply else "dryrun")
     )
-    return keyed.join(ids, "poly_uuid", "left").withColumn("status", status).drop("there")
+    return keyed.join(ids, "poly_uuid", "left").withColumn("status", status).drop("there").unionByName(nameless)
+
+
+def first_rows(rows: DataFrame, n: int) -> DataFrame:
+    """The first n rows to patch, by id."""
+    return rows.orderBy("poly_uuid").limit(n)
+
+
+def drop_reasons(expected: DataFrame, produced: DataFrame, reason: Column) -> DataFrame:
+    """(reason, n) of the expected polygons that results lack, the commonest first."""
+    return dropped(expected, produced).groupBy(reason.alias("reason")).agg(F.count("*").alias("n")).orderBy(F.desc("n"), "reason")
 
 
 def outcome_counts(found: DataFrame) -> DataFrame:

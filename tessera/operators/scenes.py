@@ -81,3 +81,26 @@ def class_shares(pixels: DataFrame, image: str, code: str, top: int = 4) -> Data
     n = pixels.groupBy(image, code).agg(F.count("*").alias("n"))
     share = n.withColumn("share", F.round(F.col("n") / F.sum("n").over(W.partitionBy(image)), 6))
     return share.withColumn("rank", F.row_number().over(W.partitionBy(image).orderBy(F.desc("n"), code))).where(F.col("rank") <= top)
+
+
+def of_orbit(scenes: DataFrame, orbit: str = "BOTH") -> DataFrame:
+    """Scenes of ASC(ending) or DESC(ending) orbits, or of BOTH."""
+    wanted = {"ASC": ["ascending"], "DESC": ["descending"], "BOTH": ["ascending", "descending"]}
+    return scenes.where(F.col("orbit").isin(*wanted[orbit.upper()]))
+
+
+def quarter_scenes(scenes: DataFrame, k: int = 1, threshold: float = ENOUGH) -> DataFrame:
+    """The k scenes of the greatest coverage of each tile and quarter (ties: the earlier, then the lesser id); one under the
+    threshold only if it is the best."""
+    by = W.partitionBy("tile", F.year("acquired"), F.quarter("acquired")).orderBy(F.desc("coverage"), "acquired", "scene_id")
+    ranked = scenes.withColumn("rank", F.row_number().over(by))
+    return ranked.where((F.col("rank") <= k) & ((F.col("coverage") >= threshold) | (F.col("rank") == 1)))
+
+
+#: Fixed value: the greatest share of bad pixels that an image may have.
+BAD_SHARE = 0.20
+
+
+def usable(pixels: DataFrame, image: str, bad: Column, most: float = BAD_SHARE) -> DataFrame:
+    """(image, bad): images of which at most a share of the pixels is bad."""
+    return pixels.groupBy(image).agg(F.avg(bad.cast("double")).alias("bad")).where(F.col("bad") <= most)

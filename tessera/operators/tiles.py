@@ -67,7 +67,8 @@ def polygons_on_grid(polygons: DataFrame, grid: DataFrame, geom: str = "geom") -
 
 def valid_only(polygons: DataFrame, geom: str = "geom") -> DataFrame:
     """polygons whose geometry is a sound polygon with an area (geometry.diagnosis says ok)."""
-    return geometry.described(polygons, geom).where("status = 'ok'").select(*polygons.columns)
+    kept = geometry.described(polygons.select(F.struct(*polygons.columns).alias("_row"), F.col(geom).alias("geom")))
+    return kept.where("status = 'ok'").select("_row.*")
 
 
 def lacks_coverage(ttc: str = "ttc") -> Column:

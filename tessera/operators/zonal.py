@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.scalars import buffered
+
 from . import geometry
 from .raster import NODATA
 
@@ -191,6 +193,23 @@ def first_region(points: DataFrame, regions: DataFrame, key: str, cell: float =
     return points.select(key).distinct().join(inside, key, "left").select(key, *[F.col(f"found.{c}").alias(c) for c in rest])
 
 
+def sub_regions(countries: DataFrame, intervals: DataFrame) -> DataFrame:
+    """Regions for `first_region`: a row for each country (subregion, geom) whose sub-region has an interval (category and the
+    four bounds). Countries aren't merged: a region holds a point where one of its countries does. place is the order of names."""
+    fields = ("p_lower_95", "p_upper_95", "r_lower_95", "r_upper_95")
+    return countries.join(intervals.select(F.col("category").alias("subregion"), *fields), "subregion").select(
+        F.col("subregion").alias("place"), F.col("subregion").alias("region"), "geom", *fields
+    )
+
+
+def within_bounds(pixels: DataFrame, boxes: DataFrame, metres: float = 500.0) -> DataFrame:
+    """Pixels (lon, lat) within the bounds of all boxes (w, s, e, n) after each has grown by metres on all sides."""
+    grown = boxes.select(buffered(F.struct("w", "s", "e", "n"), metres).alias("b"))
+    whole = grown.agg(F.min("b.w").alias("_w"), F.min("b.s").alias("_s"), F.max("b.e").alias("_e"), F.max("b.n").alias("_n"))
+    near = pixels.join(F.broadcast(whole))  # one row
+    return near.where("lon >= _w and lon <= _e and lat >= _s and lat <= _n").select(*pixels.columns)
+
+
 def interval_table(spark: SparkSession, path: str) -> DataFrame:
     """The table of confidence intervals from a CSV file with a header."""
     return spark.read.csv(path, header=True, inferSchema=True)

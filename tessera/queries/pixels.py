@@ -432,8 +432,8 @@ def difference_percentiles(spark, d):
 
 @query("quality_filter", """select tile, round(avg(case when u8 % 12 in (0, 1, 2, 3, 7, 8, 9, 10, 11) then 1.0 else 0 end), 6) as bad from v_patch group by 1 having avg(case when u8 % 12 in (0, 1, 2, 3, 7, 8, 9, 10, 11) then 1.0 else 0 end) <= 0.75""")
 def quality_filter(spark, d):
-    share = F.avg((F.col("u8") % 12).isin(*P.CLOUDY).cast("double"))
-    return view(spark, d, "v_patch").groupBy("tile").agg(share.alias("bad")).where("bad <= 0.75").withColumn("bad", F.round("bad", 6))
+    found = scenes.usable(view(spark, d, "v_patch"), "tile", (F.col("u8") % 12).isin(*P.CLOUDY), 0.75)
+    return found.withColumn("bad", F.round("bad", 6))
 
 
 @query("quarter_frames", "select pixel, cast(floor(t / 6) * 3 + m as int) as frame, round(median(v), 8) as v from v_series, (select unnest([0, 1, 2]) as m) group by 1, 2")

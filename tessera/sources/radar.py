@@ -42,17 +42,46 @@ def signed(address: Column, token: str) -> Column:
     return F.concat(F.regexp_replace(address, r"\?.*$", ""), F.lit("?" + token.lstrip("?&")))
 
 
-def lut(spark: SparkSession, path: str, row_tag: str, value: str) -> DataFrame:
-    """(line, pixel, value) of the vectors of an annotation file; a vector without a line takes its place in the file."""
-    schema = f"line string, pixel string, {value} string"
-    vectors = spark.read.schema(schema).format("xml").option("rowTag", row_tag).load(path).withColumn("_place", F.monotonically_increasing_id())
-    numbers = lambda c, kind: F.transform(F.split(F.trim(F.col(c)), r"\s+"), lambda x: x.try_cast(kind))
-    zipped = F.arrays_zip(numbers("pixel", "int").alias("pixel"), numbers(value, "double").alias("value"))
-    line = F.coalesce(F.col("line").try_cast("int"), F.col("_place").cast("int"))
-    return vectors.select(line.alias("line"), F.explode(zipped).alias("z")).select("line", F.col("z.pixel").alias("pixel"), F.col("z.value").alias("value")).where("pixel is not null and value is not null")
+def lut(spark: SparkSession, path: str, vector: str, *values: str) -> DataFrame:
+    """(line, pixel, value) of the vectors in the file's list of them (vectorList); value is named as the first of values.
+
+    A vector's numbers are in the first of the tags `values` that it has. One without a line takes its place in the
+    list, from 0. A file without the list gives no rows.
+    """
+    schema = f"{vector} array<struct<line: string, pixel: string, {', '.join(f'{v}: string' for v in values)}>>"
+    lists = spark.read.schema(schema).format("xml").option("rowTag", f"{vector}List").load(path)
+    vectors = lists.select(F.posexplode(vector).alias("place", "v"))
+    numbers = lambda c, kind: F.transform(F.split(F.trim(c), r"\s+"), lambda x: x.try_cast(kind))
+    text = F.coalesce(*[F.col(f"v.{v}") for v in values])
+    zipped = F.arrays_zip(numbers(F.col("v.pixel"), "int").alias("pixel"), numbers(text, "double").alias("value"))
+    line = F.coalesce(F.col("v.line").try_cast("int"), F.col("place"))
+    out = vectors.select(line.alias("line"), F.explode(zipped).alias("z")).select("line", F.col("z.pixel").alias("pixel"), F.col("z.value").alias(values[0]))
+    return out.where(F.col("pixel").isNotNull() & F.col(values[0]).isNotNull())
 
 
 def noise_lut(spark: SparkSession, path: str) -> DataFrame:
-    """The table of thermal noise: range vectors, where the file has none those by azimuth."""
-    by_range = lut(spark, path, "noiseRangeVector", "noiseRangeLut")
-    return by_range if not by_range.isEmpty() else lut(spark, path, "noiseVector", "noiseLut")
+    """(line, pixel, noise): thermal noise from range vectors, in a file without their list from those by azimuth."""
+    for kind in ("Range", "Azimuth"):
+        lists = spark.read.schema("x string").format("xml").option("rowTag", f"noise{kind}VectorList").load(path)
+        if not lists.isEmpty():
+            break
+    found = lut(spark, path, f"noise{kind}Vector", f"noise{kind}Lut", "noiseLut", "noiseLevel")
+    return found.withColumnRenamed(f"noise{kind}Lut", "noise")
+
+
+def incidence_grid(spark: SparkSession, path: str) -> DataFrame:
+    """(line, pixel, angle) for all lines and pixels that the annotation's grid points name, null where it has no point.
+
+    Points that can't be read are left out; without any, the grid is one point with the angle at the middle of the swath
+    (INCIDENCE without that). A scene's grid has some hundred points.
+    """
+    points = spark.read.schema("line string, pixel string, incidenceAngle string").format("xml").option("rowTag", "geolocationGridPoint").load(path)
+    points = points.select(F.col("line").try_cast("int").alias("line"), F.col("pixel").try_cast("int").alias("pixel"), F.col("incidenceAngle").try_cast("double").alias("angle"))
+    points = points.where("line is not null and pixel is not null and angle is not null").groupBy("line", "pixel").agg(F.max("angle").alias("angle"))
+    if points.isEmpty():
+        middle = spark.read.schema("incidenceAngleMidSwath string").format("xml").option("rowTag", "imageInformation").load(path)
+        value = F.coalesce(F.max(F.col("incidenceAngleMidSwath").try_cast("double")), F.lit(INCIDENCE))
+        return middle.agg(value.alias("angle")).select(F.lit(0).alias("line"), F.lit(0).alias("pixel"), "angle")
+    lines, pixels = points.agg(F.array_sort(F.collect_set("line")).alias("l"), F.array_sort(F.collect_set("pixel")).alias("p")), points
+    dense = lines.select(F.explode("l").alias("line"), "p").select("line", F.explode("p").alias("pixel"))
+    return dense.join(pixels, ["line", "pixel"], "left")

@@ -156,9 +156,12 @@ def test_files(spark):
             f.write(text)
     assert [r.run_id for r in files.runs(spark, at).collect()] == ["b", "a", "c"]
     with open(f"{at}/p.geojson", "w") as f:
-        json.dump({"type": "FeatureCollection", "features": [{"properties": {"poly_uuid": "u"}, "geometry": {"type": "Polygon", "coordinates": [[[0, 0], [1, 0], [0, 1], [0, 0]]]}}]}, f)
-    one = files.geojson(spark, f"{at}/p.geojson").first()
-    assert one.properties["poly_uuid"] == "u" and one.rings[0][1] == [1.0, 0.0]
+        ring = [[0, 0], [1, 0], [0, 1], [0, 0]]
+        shapes = [{"type": "Polygon", "coordinates": [ring]}, {"type": "MultiPolygon", "coordinates": [[ring], [[[5, 5, 9], [6, 5, 9], [5, 6, 9], [5, 5, 9]]]]}, {"type": "Point", "coordinates": [1, 2]}]
+        json.dump({"type": "FeatureCollection", "features": [{"properties": {"poly_uuid": str(i), "plantstart": "2021-05-01"}, "geometry": g} for i, g in enumerate(shapes)]}, f)
+    one, two, none = sorted(files.geojson(spark, f"{at}/p.geojson").collect(), key=lambda r: r.properties["poly_uuid"])
+    assert one.polygons[0][0][1] == [1.0, 0.0] and len(two.polygons) == 2 and none.polygons is None and none.geom is None
+    assert geometry.area_centre(geometry.rings_of(bytes(two.geom))[1])[0] == pytest.approx(1.0)
     assert [files.kind_of(p, h) for p, h in (("a.csv", ["Year", "X_tile", "Y_tile"]), ("a.csv", ["project_id"]), ("a.parquet", None), ("a.json", None), ("NAME", None))] == ["tiles_csv", "request_csv", "polygon_file", "json_request", "short_name"]
     item = json.loads(files.stac_items(t).first()["item"])
     assert item["id"] == "1000X798Y_2023" and item["geometry"]["coordinates"][0][0] == item["geometry"]["coordinates"][0][4]
@@ -237,16 +240,163 @@ def test_radar_annotations(spark):
     from tessera.sources import radar
 
     at = folder()
-    with open(f"{at}/cal.xml", "w") as f:
-        f.write("<c><list><calibrationVector><line>0</line><pixel>0 40 80</pixel><sigmaNought>1.5 2.5 3.5</sigmaNought></calibrationVector>"
-                "<calibrationVector><line>7</line><pixel>0 40</pixel><sigmaNought>4 5</sigmaNought></calibrationVector></list></c>")
-    got = sorted(map(tuple, radar.lut(spark, f"{at}/cal.xml", "calibrationVector", "sigmaNought").collect()))
-    assert got == [(0, 0, 1.5), (0, 40, 2.5), (0, 80, 3.5), (7, 0, 4.0), (7, 40, 5.0)]
-    with open(f"{at}/noise.xml", "w") as f:
-        f.write("<n><noiseVector><line>3</line><pixel>1 2</pixel><noiseLut>9 8</noiseLut></noiseVector></n>")
-    assert sorted(map(tuple, radar.noise_lut(spark, f"{at}/noise.xml").collect())) == [(3, 1, 9.0), (3, 2, 8.0)]
-    row = spark.sql("select map('noise-vv', 's3://b/k/n.xml', 'schema-calibration-vv', 'c', 'vh', 'x') as a, map('view:incidence_angle', '41.5') as p, 'ascending' as o").select(
-        radar.asset_named(F.col("a"), "calibration", "VV").alias("c"), radar.asset_named(F.col("a"), "noise", "vh").alias("none"), radar.incidence(F.col("p")).alias("i"),
-        radar.look_angle(F.col("o")).alias("l"), radar.signed(radar.web_address(radar.asset_named(F.col("a"), "noise")), "?sig=1").alias("w"),
-    ).first()
-    assert (row.c, row.none, row.i) == ("c", None, 41.5) and row.l == pytest.approx(math.pi / 2) and row.w == "https://b.s3.eu-central-1.amazonaws.com/k/n.xml?sig=1"
+
+    def put(name, text):
+        with open(f"{at}/{name}", "w") as f:
+            f.write(text)
+        return f"{at}/{name}"
+
+    vector = lambda line, pixel, tag, values: f"<V>{'' if line is None else f'<line>{line}</line>'}<pixel>{pixel}</pixel><{tag}>{values}</{tag}></V>"
+    lists = lambda kind, *vs: f"<c><{kind}List count='2'>{''.join(vs)}</{kind}List></c>".replace("<V>", f"<{kind}>").replace("</V>", f"</{kind}>")
+    path = put("cal.xml", lists("calibrationVector", vector(0, "0 40 80", "sigmaNought", "1.5 2.5 3.5"), vector(7, "0 40", "sigmaNought", "4 5")))
+    assert sorted(map(tuple, radar.lut(spark, path, "calibrationVector", "sigmaNought").collect())) == [(0, 0, 1.5), (0, 40, 2.5), (0, 80, 3.5), (7, 0, 4.0), (7, 40, 5.0)]
+    path = put("noise.xml", lists("noiseRangeVector", vector(3, "1 2", "noiseRangeLut", "9 8"), vector(None, "5 x", "noiseLut", "7 6")))
+    assert sorted(map(tuple, radar.noise_lut(spark, path).collect())) == [(1, 5, 7.0), (3, 1, 9.0), (3, 2, 8.0)]
+    path = put("azimuth.xml", lists("noiseAzimuthVector", vector(None, "1", "noiseAzimuthLut", "2"), vector(None, "4", "noiseAzimuthLut", "3")))
+    assert sorted(map(tuple, radar.noise_lut(spark, path).collect())) == [(0, 1, 2.0), (1, 4, 3.0)]
+    points = [(0, 0, 30), (0, 10, 32), (20, 0, 31), (20, 10, "x")]
+    path = put("grid.xml", "<g>" + "".join(f"<geolocationGridPoint><line>{a}</line><pixel>{b}</pixel><incidenceAngle>{c}</incidenceAngle></geolocationGridPoint>" for a, b, c in points) + "</g>")
+    assert sorted(map(tuple, radar.incidence_grid(spark, path).collect()), key=lambda p: p[:2]) == [(0, 0, 30.0), (0, 10, 32.0), (20, 0, 31.0), (20, 10, None)]
+    path = put("mid.xml", "<g><imageInformation><incidenceAngleMidSwath>38.5</incidenceAngleMidSwath></imageInformation></g>")
+    assert [tuple(r) for r in radar.incidence_grid(spark, path).collect()] == [(0, 0, 38.5)]
+    assert [r.angle for r in radar.incidence_grid(spark, put("none.xml", "<g><a>1</a></g>")).collect()] == [35.0]
+
+
+def test_tables_brought_to_pixels(spark):
+    from tessera.operators import radar
+
+    grid = spark.createDataFrame([(a, b, None if (a, b) == (9, 6) else 30.0 + a + 0.5 * b) for a in (0, 4, 9) for b in (0, 3, 6)], "line int, pixel int, angle double")
+    got = {(r.r, r.c): r.angle for r in radar.interpolated(grid, "angle", 12, 8, 35.0).collect()}
+    assert len(got) == 96
+    for (r, c), v in got.items():
+        if not (r > 4 and c > 3):  # elsewhere the grid is a plane, carried on beyond it
+            assert v == pytest.approx(30 + r + 0.5 * c)
+    assert {r.angle for r in radar.interpolated(grid.where("line = 0"), "angle", 2, 2, 35.0).collect()} == {35.0}
+    points = [(0, 0, 1.0), (0, 7, 2.0), (6, 3, 3.0), (2, 7, 0.0), (50, 1, 9.0)]
+    got = {(r.r, r.c): r.v for r in radar.nearest_values(spark.createDataFrame(points, "line int, pixel int, v double"), "v", 9, 10).collect()}
+    assert len(got) == 90
+    for (r, c), v in got.items():
+        near = sorted(((a - r) ** 2 + (b - c) ** 2, x) for a, b, x in points[:3])
+        assert v in {x for d, x in near if d == near[0][0]}
+    assert {r.v for r in radar.nearest_values(spark.createDataFrame([], "line int, pixel int, v double"), "v", 2, 2).collect()} == {1.0}
+    boxes = [("a", 0.0, 0.0, 2.0, 2.0), ("a", 1.0, 1.0, 3.0, 3.0), ("a", -5.0, 3.5, 9.0, 9.0), ("b", 8.0, 8.0, 9.0, 9.0)]
+    share = radar.covered_share(spark.createDataFrame(boxes, "day string, w double, s double, e double, n double"), ["day"], F.struct(F.lit(0.0).alias("w"), F.lit(0.0).alias("s"), F.lit(4.0).alias("e"), F.lit(4.0).alias("n")))
+    assert {r.day: r.share for r in share.collect()} == {"a": pytest.approx((4 + 4 - 1 + 2) / 16), "b": 0.0}
+
+
+def test_polygon_coverage_and_meeting(spark):
+    rng = np.random.default_rng(3)
+    for _ in range(20):
+        ring = geometry.closed(sorted(map(tuple, rng.uniform(-2, 9, (7, 2))), key=lambda p: math.atan2(p[1] - 3.5, p[0] - 3.5)))  # star-shaped
+        hole = geometry.closed([(3.3, 3.3), (3.6, 3.4), (3.5, 3.8)])
+        parts = [[ring, hole]]
+        got = geometry.coverage(parts, -3, -3, 13, 14)
+        want = np.array([[geometry.clip_area(parts, c, r, c + 1, r + 1) for c in range(-3, 10)] for r in range(-3, 11)])
+        assert got == pytest.approx(want, abs=1e-9) and got.sum() == pytest.approx(geometry.area_centre(parts)[0])
+        for r in range(-3, 11):
+            for c in range(-3, 10):
+                if want[r + 3, c + 3] > 1e-9:
+                    assert geometry.meets_box([[ring]], c, r, c + 1, r + 1)
+    assert geometry.meets_box([[SQUARE]], 2, 0, 3, 1) and geometry.meets_box([[SQUARE]], 2, 2, 3, 3) and not geometry.meets_box([[SQUARE]], 2.01, 0, 3, 1)
+    assert geometry.meets_box([[SQUARE]], 0.5, 0.5, 1, 1) and not geometry.meets_box([[SQUARE, geometry.closed([(0.2, 0.2), (1.8, 0.2), (1.8, 1.8), (0.2, 1.8)])]], 0.5, 0.5, 1, 1)
+    open_ring = geometry.wkb_of([[SQUARE[:-1]], [SQUARE[:-1] * 0.1 + 5]])
+    mended = geometry.rings_of(geometry.repaired(open_ring))[1]
+    assert len(mended) == 1 and geometry.area_centre(mended)[0] == pytest.approx(4) and geometry.repaired(b"x") is None and geometry.repaired(geometry.wkb_of([[SQUARE * [1, 0]]])) is None
+    pixels = spark.createDataFrame([(r, c, 10 * r + c) for r in range(3) for c in range(3)], "r int, c int, u8 int")
+    polygons = spark.createDataFrame([(1, geometry.wkb_of([[SQUARE / 2 + 0.5]])), (2, None), (3, geometry.wkb_of([[SQUARE + 50]]))], "k int, geom binary")
+    boxes = spark.createDataFrame([(1, 0.5, 0.5, 1.5, 1.5)], "k int, x0 double, y0 double, x1 double, y1 double")
+    got = {r.k: (r.ttc, r.shift_error) for r in zonal.polygon_errors(polygons, pixels, "k", 0.5).collect()}
+    one = zonal.shift_errors(boxes, pixels, "k", 0.5).first()
+    assert got[1] == pytest.approx((one.ttc, one.shift_error)) and got[2] == got[3] == (None, None)
+
+
+def test_masks_of_odd_sizes_and_false_clouds(spark):
+    from tessera.operators import stack
+
+    for h, w in ((3, 4), (4, 3), (5, 5)):
+        px = spark.createDataFrame([(1, r, c, float(r * w + c)) for r in range(h) for c in range(w)], "tile int, r int, c int, v double")
+        got = {(r.r, r.c): r.v for r in stack.short_wave_doubled(px, "v").collect()}
+        assert set(got) == {(r, c) for r in range(2 * h) for c in range(2 * w)}
+        if h % 2:
+            assert [got[0, c] for c in range(2 - 2 * (w % 2) + 2 * (w % 2), 2 * w)] == [float(c // 2) for c in range(2, 2 * w)]
+        if w % 2:
+            assert [got[r, 0] for r in range(2 * h)] == [float(r // 2 * w) for r in range(2 * h)]
+    assert stack.index_map(8, 11) == [0, *range(8), 7, None] and stack.index_map(8, 9) == [0, *range(8)] and stack.index_map(8, 7) == list(range(1, 8)) and stack.index_map(4, 4) == [0, 1, 2, 3]
+    # A textured ground where the far infrared varies most, and a town on half of it.
+    rng = np.random.default_rng(1)
+    noise = rng.uniform(0.1, 0.3, (16, 16))
+    px = scene(spark, lambda i, r, c: [0.2, 0.2, 0.2, 0.25, 0.2, 0.2, noise[r, c], 0.2, 0.4, 0.3], 16, 2)
+    ground = spark.createDataFrame([(1, r, c, 5.0 if c < 12 else 50.0, int(c < 4)) for r in range(16) for c in range(16)], "tile int, r int, c int, elevation double, urban int")
+    found = clouds.false_positives(px, ground).collect()
+    assert {r.c for r in found if r.candidate} == set(range(16)) and all(r.false_cloud == r.candidate for r in found)
+    assert {r.c for r in clouds.false_positives(px.withColumn("b8", F.lit(0.1)), ground).collect() if r.candidate} == set(range(10))
+    assert not any(r.candidate for r in clouds.false_positives(px, ground, urban=False).collect())
+    mosaic = spark.createDataFrame([(1, r, c, *([0.5, 0.2, 0.29] if r < 3 and c < 3 else [0.1 + 0.001 * c] * 3), 1 if r < 8 else 3, r > 25) for r in range(40) for c in range(40)], "tile int, r int, c int, b0 double, b1 double, b2 double, clear int, false_cloud boolean")
+    left = clouds.clouds_left(mosaic).collect()
+    assert all(r.cloud for r in left if r.r < 3 and r.c < 3) or not any(r.cloud for r in left)
+    images = spark.createDataFrame([(1, t, r, 0, float(t == 2 or (t == 3 and r == 0))) for t in range(5) for r in range(10)], "tile int, t int, r int, c int, interp double")
+    kept, masks = clouds.pruned(images, lambda p: p)
+    assert {r.t for r in kept.collect()} == {0, 1, 3, 4} == {r.t for r in masks.collect()}
+    few, _ = clouds.pruned(images.where("t in (0, 1, 2)"), lambda p: p)
+    assert {r.t for r in few.collect()} == {0, 1, 2}
+
+
+def test_runs_are_written_and_updated(spark, sf):
+    from tessera.fixtures import view
+    from tessera.plans import runs
+
+    jobs = view(spark, sf, "v_jobs")
+    at = runs.write_report(jobs, folder(), "20240101")
+    summary = spark.read.json(f"{at}/summary").first()
+    assert summary.n_jobs == jobs.count() == spark.read.csv(f"{at}/jobs", header=True).count() and summary.step in ("predict", "dem", "s2", "s1_rtc")
+    assert spark.read.csv(f"{at}/failed", header=True).count() == summary.n_failed_tiles and spark.read.csv(f"{at}/phase_stats", header=True).count() == 4
+    assert "## First failed jobs" in "\n".join(r.value for r in spark.read.text(f"{at}/report").collect())
+    at = f"{folder()}/states"
+    first = spark.createDataFrame([("a", "s1", "ok", None), ("a", "s2", "failed", "x"), ("b", "s1", "ok", None)], "tile string, step string, status string, detail string")
+    runs.write_state(first, at, "r1")
+    runs.write_state(first.limit(1), at, "r2")
+    runs.update_state(spark, at, "r1", spark.createDataFrame([("a", "s2", "ok", None), ("zz", "s1", "ok", None)], first.schema))
+    assert {(r.tile, r.step): (r.status, r.version) for r in runs.load_state(spark, at, "r1").collect()} == {("a", "s1"): ("ok", 1), ("a", "s2"): ("ok", 1), ("b", "s1"): ("ok", 1)}
+    assert [(r.run_id, r.version) for r in runs.run_ids(spark, at).collect()] == [("r2", 0), ("r1", 1)] and runs.run_ids(spark, at, 1).count() == 1
+    text = runs.availability_text(spark.createDataFrame([(2023, 5, 7, True, False, True)], "year int, x_tile int, y_tile int, dem boolean, s1 boolean, prediction boolean"), "s3://x").first().text.split("\n")
+    assert text[0] == "Tile 5X7Y  |  year 2023  |  s3://x" and text[1] == "-" * 48 and text[3].startswith("  s1          MISSING   2023/raw/5/7/raw/s1/") and text[-2:] == ["Raw ARD:    1/2 sources present", "Prediction: present"]
+    assert runs.filter_text(projects=["0123456789abcdef"], ids=list("abcd"), where="x > 1") == "project_id in [0123456789ab...] + poly_uuid in [4 uuids] + where `x > 1`"
+
+
+def test_inputs_of_all_kinds(spark, sf):
+    from tessera.fixtures import view
+    from tessera.plans import inputs
+
+    at = folder()
+    grid = spark.createDataFrame([(x, y) for x in range(3) for y in range(3)], "x_tile int, y_tile int")
+    polygons = spark.createDataFrame([("u", "p1", "NAME", 10, 10, 210, 20)], "poly_uuid string, project_id string, short_name string, x0 int, y0 int, x1 int, y1 int").withColumn("plantstart", F.to_date(F.lit("2021-05-01")))
+    both = {(2020, 0, 0), (2020, 1, 0)}
+    rows = lambda df: {tuple(r) for r in df.collect()}
+    assert rows(inputs.resolved(spark, grid, "NAME", polygons)) == both == rows(inputs.resolved(spark, grid, polygons=polygons, ids=("u",)))
+    for name, text in (("r.csv", "project_id,plantstart_year\np1,2021\n"), ("q.csv", "project_id\np1\n"), ("t.csv", "X,Y,Year,X_tile,Y_tile\n0,0,2020,0,0\n0,0,2020,1,0\n"),
+                       ("j.json", '{"p": {"2020": {"missing_tiles": ["0X0Y", "1X0Y", "9X9Y"]}}}')):
+        with open(f"{at}/{name}", "w") as f:
+            f.write(text)
+        assert rows(inputs.resolved(spark, grid, f"{at}/{name}", polygons)) == both
+    with open(f"{at}/p.geojson", "w") as f:
+        ring = [[0.001, 0.001], [0.06, 0.001], [0.06, 0.002], [0.001, 0.001]]
+        json.dump({"features": [{"properties": {"plantstart": "2021-01-01"}, "geometry": {"type": "Polygon", "coordinates": [ring]}}]}, f)
+    assert rows(inputs.resolved(spark, grid, f"{at}/p.geojson")) == both and rows(inputs.resolved(spark, grid, f"{at}/p.geojson", year=1999)) == {(1999, x, y) for _, x, y in both}
+    with pytest.raises(ValueError, match="request"):
+        inputs.resolved(spark, grid)
+    with pytest.raises(ValueError, match="date"):
+        tiles.dated(polygons.withColumn("plantstart", F.lit(None).cast("date")))
+    found = files.checked_tiles(spark, f"{at}/t.csv", spark.createDataFrame([(2020, 0, 0)], "year int, x_tile int, y_tile int"))
+    assert found == {"missing_columns": [], "extra_columns": [], "rows": 2, "existing": 1, "missing": 1}
+    assert files.checked_tiles(spark, f"{at}/q.csv")["missing_columns"] == ["X", "X_tile", "Y", "Y_tile", "Year"]
+    files.ingest(spark, f"{at}/j.json", grid.withColumns({"lon": F.col("x_tile") / 18, "lat": F.col("y_tile") / 18}), f"{at}/out", 1)
+    assert files.tiles_csv(spark, f"{at}/out").count() == 1
+    polygons.withColumn("geometry", F.lit(geometry.wkb_of([[SQUARE]]))).write.parquet(f"{at}/polys.parquet")
+    shape = files.polygon_table(spark, f"{at}/polys.parquet").first()
+    assert (shape.x0, shape.x1, shape.status) == (0.0, 2.0, "ok")
+    shapes = spark.createDataFrame([(1, geometry.wkb_of([[SQUARE]])), (2, b"x"), (3, None)], "k int, geom binary")
+    assert [r.k for r in files.readable(shapes).collect()] == [1] == [r.k for r in tiles.valid_only(shapes).collect()]
+    files.write_results(shapes, f"{at}/results")
+    assert spark.read.csv(f"{at}/results", header=True).columns == ["k"]
+    info = {r.name: (r.type, r.rows, r.min, r.max) for r in files.described_columns(grid.withColumn("s", F.lit("x"))).collect()}
+    assert info == {"x_tile": ("int", 9, 0.0, 2.0), "y_tile": ("int", 9, 0.0, 2.0)}
