@@ -11,9 +11,9 @@ from .runtime import Scratch, small
 MIN_CHARS = 10
 #: Keys of 8 or 16 bytes are broadcast up to this count, else joined by a shuffle.
 BROADCAST_KEYS = 500_000
-#: Lines are cut into 2 segments, longer ones into sqrt(length) / SEGMENT_ROOT, those over LONG_LINE into sqrt(length) * LONG_ROOT:
-#: what a line costs is its length for each segment to hash, and for each character of a segment to make variants.
-SEGMENT_ROOT, LONG_LINE, LONG_ROOT = 16, 1 << 14, 3
+#: Lines are cut into 2 segments, longer ones into sqrt(length) / SEGMENT_ROOT, those over LONG_LINE into sqrt(length) / LONG_ROOT: each
+#: segment costs a line's length to hash, and its own length squared to make variants, if another line shares it.
+SEGMENT_ROOT, LONG_LINE, LONG_ROOT = 16, 1 << 14, 4
 
 
 def line_key(line: Column) -> Column:
@@ -41,7 +41,7 @@ def segments(lines: DataFrame, *keep: str) -> DataFrame:
     """
     c = F.explode(F.array(F.length("key"), F.length("key") - 1)).alias("c")
     cut = lines.where(F.length("key") >= MIN_CHARS).select(*keep, "key", c)
-    cut = cut.where(F.col("c") >= MIN_CHARS).withColumn("m", F.greatest(F.lit(2), F.floor(F.sqrt("c") * F.when(F.col("c") > LONG_LINE, F.lit(float(LONG_ROOT))).otherwise(1 / SEGMENT_ROOT))).cast("int"))
+    cut = cut.where(F.col("c") >= MIN_CHARS).withColumn("m", F.greatest(F.lit(2), F.floor(F.sqrt("c") * F.when(F.col("c") > LONG_LINE, 1 / LONG_ROOT).otherwise(1 / SEGMENT_ROOT))).cast("int"))
     cut = cut.select("*", F.explode(F.sequence(F.lit(0), F.col("m") - 1)).alias("j"))
     cut = cut.withColumns({"a": F.floor(F.col("j") * F.col("c") / F.col("m")).cast("int"), "z": (F.col("c") - F.floor((F.col("j") + 1) * F.col("c") / F.col("m"))).cast("int")})
     before, after = F.expr("left(key, a)"), F.expr("right(key, z)")
