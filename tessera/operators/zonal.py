@@ -57,7 +57,7 @@ def polygon_parts(polygons: DataFrame, key: str, shifts: list[tuple[float, float
     A polygon's envelope is cut into windows of WINDOW x WINDOW pixels, so a task holds a window and not a polygon's raster.
     """
     reach_x, reach_y = max(abs(dx) for dx, _ in shifts), max(abs(dy) for _, dy in shifts)
-    boxed = geometry.described(polygons.select(key, F.col(geom).alias("geom"))).where("w is not null")
+    boxed = polygons.select(key, F.col(geom).alias("geom"), geometry.envelope(F.col(geom)).alias("_e")).where("_e.w is not null").select(key, "geom", "_e.*")
     cells = lambda a, b, by: F.explode(F.sequence(F.floor((F.col(a) - by) / WINDOW).cast("int"), F.floor((F.col(b) + by) / WINDOW).cast("int")))
     spread = boxed.select(key, "geom", "s", "n", cells("w", "e", reach_x).alias("_i")).select(key, "geom", "_i", cells("s", "n", reach_y).alias("_j"))
     found = geometry.pixel_coverage(F.col("geom"), F.col("_i") * WINDOW, F.col("_j") * WINDOW, shifts, WINDOW, WINDOW)
@@ -185,7 +185,7 @@ def first_region(points: DataFrame, regions: DataFrame, key: str, cell: float =
     """
     at = lambda c: F.floor(F.col(c) / cell).cast("long")
     rest = [c for c in regions.columns if c != "geom"]
-    boxed = geometry.described(regions).where("w is not null").select(F.struct(*rest).alias("found"), "geom", "w", "s", "e", "n")
+    boxed = regions.select(F.struct(*rest).alias("found"), "geom", geometry.envelope(F.col("geom")).alias("_e")).where("_e.w is not null").select("found", "geom", "_e.*")
     squares = lambda a, b: F.explode(F.sequence(at(a), at(b)))
     spread = boxed.select("*", squares("w", "e").alias("_i")).select("*", squares("s", "n").alias("_j"))
     met = points.select(key, "x", "y", at("x").alias("_i"), at("y").alias("_j")).join(spread, ["_i", "_j"]).where("x >= w and x <= e and y >= s and y <= n")
