@@ -402,11 +402,12 @@ def test_gradient_and_maximum_of_the_ordinal_model():
                     assert value(np.array([w0, w1]), np.array([t0, t0 + gap])) <= best + 1e-4
 
 
-def test_grades_follow_the_share_of_markers():
-    rows = [np.arange(n) for n in (1, 2, 2, 4)] + [np.array([9])] * 4
+def test_grades_follow_the_number_of_markers():
+    rows = [np.arange(n) for n in (1, 1, 2, 3)] + [np.array([9])] * 4
     toxic = np.array([1, 1, 1, 1, 0, 0, 0, 0])
-    # Every toxic row has marker 0; the short rows have the greater share of it, however many others the long ones have.
-    assert toxicity.severity_grades([np.array([0])] * 4 + rows[4:], toxic, np.array([2, 4, 50, 90, 5, 5, 5, 5])).tolist() == [2, 2, 1, 1, 0, 0, 0, 0]
+    assert toxicity.severity_grades([r for r in rows], toxic).tolist() == [1, 1, 1, 1, 0, 0, 0, 0]  # 1 and 2 stand in too few texts
+    rows = [np.arange(n) for n in (2, 2, 2, 2, 2, 4, 4, 4, 5)] + [np.array([9])] * 4
+    assert toxicity.severity_grades(rows, np.array([1] * 9 + [0] * 4)).tolist() == [1] * 5 + [2] * 4 + [0] * 4
 
 
 def test_toxicity_without_labels(spark):
