@@ -14,6 +14,7 @@ SHARDS = 40
 
 
 def op3_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, size, text_crc32, law ('bytes'), shard (0 to 39), slot (gapless from 0 within the shard) and grown_shard (null) of every document."""
     text = F.coalesce("text", F.lit(""))
     docs = table(spark, sf_dir, "documents").select(
         "doc_id", (F.octet_length(text) + 16).cast("long").alias("size"), F.crc32(text).alias("text_crc32"), "lang", "source", "n_chars"
@@ -24,6 +25,7 @@ def op3_kd_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, payload_bytes, payload_digest, record_type, refers_to and intact of every page, read back from the archives that were written."""
     path = shared_path(spark, "warc")
     warc.write_warc(table(spark, sf_dir, "pages"), path)
     headers = written(warc.read_warc(spark, path, payloads=False).drop("payload"), "headers")
@@ -42,6 +44,7 @@ from p left join o using (payload_digest)
 
 
 def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """page_id, host, path, rule (null where none fits) and verdict of every page."""
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_filter.filter_urls(pages, url_filter.rules_table(spark, URL_RULES)).select("page_id", "host", "path", "rule", "verdict")
 
@@ -58,12 +61,14 @@ b as (select host, path, max({'n': length(rule), 'rule': rule, 'verdict': verdic
 select page_id, host, path, best.rule as rule, coalesce(best.verdict, 'allow') as verdict from u left join b using (host, path)
 """
 
+
 def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """doc_id, ids, n_tokens and round_trip of every whole document, by the Viterbi over the file's pieces and scores."""
     return sentencepiece.encode(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"), kind=sentencepiece.UNIGRAM)
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_lines, n_kept and the MD5 of what is left (null for a null text) of every document."""
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_kept", F.md5("text").alias("text_md5"))
 
@@ -85,6 +90,7 @@ select doc_id, coalesce(n_lines, 0)::int as n_lines, coalesce(n_kept, 0)::int as
 
 
 def op9_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document, for three words and a similarity of 0.9."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_join.near_duplicates(docs, like=jaccard_join.Likeness(words=3, percent=90)).withColumnRenamed("id", "doc_id")
 
@@ -100,20 +106,25 @@ c(doc_id, other) as (select doc_id, doc_id from documents union select c.doc_id,
 select doc_id, coalesce(n.n, 0) as n_shingles, min(other) as component_id from c left join n using (doc_id) group by doc_id, n.n
 """
 
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A row for each document and benchmark item that is in it: doc_id, item_id, similarity, first_word, n_words."""
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, expected_severity, p_toxic, grade (0 to 2) and rejected of every document."""
     docs = table(spark, sf_dir, "documents")
     return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels")))
 
 
 def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited and near_next of every document."""
     return spotsigs.edit_likeness(table(spark, sf_dir, "documents"))
 
 
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """doc_id, start, n_tokens, ids_crc32 and verified of every document, read back from the store that was written."""
     path = token_store.new_store(spark)
     token_store.write_store(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
     return token_store.read_facts(spark, path)
