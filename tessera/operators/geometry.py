@@ -196,27 +196,38 @@ def coverage(parts: list[list[np.ndarray]], c0: int, r0: int, width: int, height
     from that pixel, and its whole height from the pixels further right; holes count against their ring.
     """
     out = np.zeros((height, width + 1))
+    edges = [np.zeros((0, 4))]
     for rings in parts:
         for i, ring in enumerate(rings):
-            area = shoelace(ring)[0]
-            points = (ring if (area > 0) == (i == 0) else ring[::-1]) - [c0, r0]
-            for (ax, ay), (bx, by) in zip(points[:-1], points[1:], strict=True):
-                if ay == by:
-                    continue
-                cuts = [np.zeros(1), np.ones(1)]
-                for a, b, most in ((ax, bx, width), (ay, by, height)):
-                    lines = np.arange(max(np.ceil(min(a, b)), 0), min(np.floor(max(a, b)), most) + 1)
-                    cuts.append((lines - a) / (b - a) if a != b else np.zeros(0))
-                t = np.unique(np.clip(np.concatenate(cuts), 0, 1))
-                x, y = ax + (bx - ax) * t, ay + (by - ay) * t
-                mx, my, dy = (x[1:] + x[:-1]) / 2, (y[1:] + y[:-1]) / 2, np.diff(y)
-                row = np.floor(my).astype(int)
-                seen = (row >= 0) & (row < height) & (mx < width)
-                col = np.clip(np.floor(mx[seen]), 0, None).astype(int)
-                share = np.where(mx[seen] < 0, 1.0, col + 1 - mx[seen])
-                # An edge upwards has the inside to its left in y-up axes: what is right of it is taken away.
-                np.add.at(out, (row[seen], col), -dy[seen] * share)
-                np.add.at(out, (row[seen], col + 1), -dy[seen] * (1 - share))
+            points = (ring if (shoelace(ring)[0] > 0) == (i == 0) else ring[::-1]) - [c0, r0]
+            edges.append(np.hstack([points[:-1], points[1:]]))
+    edges = np.concatenate(edges)
+    edges = edges[edges[:, 1] != edges[:, 3]]
+    a, d = edges[:, :2], edges[:, 2:] - edges[:, :2]
+    every = np.arange(len(edges))
+    owner, place = [every, every], [np.zeros(len(edges)), np.ones(len(edges))]
+    for axis, most in ((0, width), (1, height)):
+        low = np.maximum(np.ceil(np.minimum(a[:, axis], edges[:, 2 + axis])), 0)
+        n = np.minimum(np.floor(np.maximum(a[:, axis], edges[:, 2 + axis])), most) - low + 1
+        n = np.where(d[:, axis] != 0, np.maximum(n, 0), 0).astype(int)
+        own = np.repeat(every, n)
+        lines = np.repeat(low - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        owner.append(own)
+        place.append((lines - a[own, axis]) / d[own, axis])
+    own, t = np.concatenate(owner), np.clip(np.concatenate(place), 0, 1)
+    order = np.lexsort((t, own))
+    own, t = own[order], t[order]
+    x, y = (a[own] + d[own] * t[:, None]).T
+    piece = own[1:] == own[:-1]
+    mx, my, dy = ((x[1:] + x[:-1]) / 2)[piece], ((y[1:] + y[:-1]) / 2)[piece], np.diff(y)[piece]
+    row = np.floor(my).astype(int)
+    seen = (row >= 0) & (row < height) & (mx < width)
+    mx, row, dy = mx[seen], row[seen], dy[seen]
+    col = np.clip(np.floor(mx), 0, None).astype(int)
+    share = np.where(mx < 0, 1.0, col + 1 - mx)
+    # An edge upwards has the inside to its left in y-up axes: what is right of it is taken away.
+    np.add.at(out, (row, col), -dy * share)
+    np.add.at(out, (row, col + 1), -dy * (1 - share))
     return np.cumsum(out, 1)[:, :width]
 
 
