@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from .words import mix
+from .words import Remembered, buffers, mix, two_hashes
 
 UNIGRAM, BPE = 1, 2
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -27,30 +27,6 @@ BATCH_CHARS, CELLS = 1 << 19, 1 << 16
 CODES = 0x110000
 
 
-@dataclass
-class Known:
-    """Words met before: their hashes in order, and where each one's ids are in `ids`."""
-
-    keys: np.ndarray = field(default_factory=lambda: np.zeros(0, np.uint64))
-    first: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    count: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
-    ids: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int32))
-
-    def look(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of the keys, and which of them are known."""
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, self.keys[at] == keys
-
-    def add(self, keys: np.ndarray, ids: np.ndarray, count: np.ndarray) -> None:
-        first = len(self.ids) + np.cumsum(count) - count
-        keys = np.concatenate([self.keys, keys])
-        order = np.argsort(keys, kind="stable")
-        self.keys, self.ids = keys[order], np.concatenate([self.ids, ids])
-        self.first, self.count = np.concatenate([self.first, first])[order], np.concatenate([self.count, count])[order]
-
-
 @dataclass
 class Pieces:
     """A model file's pieces, in arrays."""
@@ -71,7 +47,10 @@ class Pieces:
     #: What each piece decodes to: its bytes and where they begin.
     data: np.ndarray
     offsets: np.ndarray
-    known: Known = field(default_factory=Known)
+    #: The characters of the pieces of two and more, in the order of keys, and where they begin (one more entry).
+    chars: np.ndarray
+    starts: np.ndarray
+    known: Remembered = field(default_factory=Remembered)
 
     @cached_property
     def sieve(self) -> np.ndarray:
@@ -79,18 +58,23 @@ class Pieces:
         out[(self.keys & np.uint64((1 << SIEVE_BITS) - 1)).astype(np.int64)] = True
         return out
 
-    @cached_property
-    def by_key(self) -> dict[int, int]:
-        return dict(zip(self.keys.tolist(), self.ids.tolist(), strict=True))
-
-    def find(self, h: np.ndarray) -> np.ndarray:
-        """The ids (-1: none) of the pieces that have the given hashes."""
-        out = np.full(h.shape, -1, np.int32)
-        may = self.sieve[(h & np.uint64((1 << SIEVE_BITS) - 1)).astype(np.int64)]
-        if len(self.keys) and may.any():
-            some = h[may]
-            at = np.minimum(np.searchsorted(self.keys, some), len(self.keys) - 1)
-            out[may] = np.where(self.keys[at] == some, self.ids[at], -1)
+    def find(self, h: np.ndarray, text: np.ndarray, begin: np.ndarray, size: np.ndarray | int) -> np.ndarray:
+        """The ids (-1: none) of the pieces with the given hashes that are the characters of text from begin, size of them."""
+        out = np.full(len(h), -1, np.int32)
+        may = np.flatnonzero(self.sieve[(h & np.uint64((1 << SIEVE_BITS) - 1)).astype(np.int64)])
+        if not len(self.keys) or not len(may):
+            return out
+        at = np.minimum(np.searchsorted(self.keys, h[may]), len(self.keys) - 1)
+        hit = self.keys[at] == h[may]
+        may, at = may[hit], at[hit]
+        own = self.starts[at + 1] - self.starts[at]
+        same = own == (size if isinstance(size, int) else size[may])
+        for i in range(self.longest if len(at) else 0):
+            deep = np.flatnonzero(same & (own > i))
+            if not len(deep):
+                break
+            same[deep] = text[begin[may[deep]] + i] == self.chars[self.starts[at[deep]] + i]
+        out[may[same]] = self.ids[at[same]]
         return out
 
 
@@ -141,10 +125,12 @@ def load(model: bytes, kind: int | None = None) -> Pieces:
                 else:
                     by_size.setdefault(len(p.piece), []).append((i, p.piece))
         keys, ids, longest = [np.zeros(0, np.uint64)], [np.zeros(0, np.int32)], max(by_size, default=1)
+        words: list[str] = []
         for size, some in by_size.items():
             codes = codes_of("".join(x for _, x in some)).reshape(-1, size)
             keys.append(mix(hashes(codes)[:, -1]))
             ids.append(np.array([i for i, _ in some], np.int32))
+            words += [x for _, x in some]
             joins[codes.ravel()] = True
         keys, ids = np.concatenate(keys), np.concatenate(ids)
         order = np.argsort(keys)
@@ -152,6 +138,7 @@ def load(model: bytes, kind: int | None = None) -> Pieces:
     return Pieces(
         kind or proto.trainer_spec.model_type, scores, keys[order], ids[order], single, longest, joins, byte_ids if (byte_ids >= 0).all() else np.full(256, -1, np.int32),
         unknown, least - 10, rules.add_dummy_prefix, np.frombuffer(b"".join(out), np.uint8), np.append(0, np.cumsum([len(x) for x in out])),
+        codes_of("".join(words[i] for i in order)), np.append(0, np.cumsum([len(words[i]) for i in order], dtype=np.int64)),
     )
 
 
@@ -167,9 +154,11 @@ def probe(words: np.ndarray, p: Pieces) -> np.ndarray:
     most = min(p.longest, length)
     found = np.full((n, length, most + 1), -1, np.int32)
     found[:, :, 1] = p.single[words]
-    sums, inverse = hashes(words), inverse_powers(1 << length.bit_length())
+    sums, inverse, flat = hashes(words), inverse_powers(1 << length.bit_length()), words.ravel()
     for size in range(2, most + 1):
-        found[:, : length - size + 1, size] = p.find(mix((sums[:, size:] - sums[:, :-size]) * inverse[: length - size + 1]))
+        h = mix((sums[:, size:] - sums[:, :-size]) * inverse[: length - size + 1])
+        places = (np.arange(n) * length)[:, None] + np.arange(length - size + 1)
+        found[:, : length - size + 1, size] = p.find(h.ravel(), flat, places.ravel(), size).reshape(h.shape)
     return found
 
 
@@ -222,7 +211,6 @@ def merges(found: np.ndarray, p: Pieces) -> np.ndarray:
 
 def long_merges(word: np.ndarray, p: Pieces) -> np.ndarray:
     """`merges` for one long word: a heap of pairs instead of rounds over all of it."""
-    known = p.by_key
     sums, inverse = hashes(word), inverse_powers(1 << (len(word)).bit_length())
     n = len(word)
     end, before = np.arange(1, n + 1), np.arange(-1, n - 1)
@@ -231,8 +219,8 @@ def long_merges(word: np.ndarray, p: Pieces) -> np.ndarray:
     def push(i: int) -> None:
         j = int(end[i])
         if i >= 0 and j < n and end[j] - i <= p.longest:
-            piece = known.get(int(mix((sums[end[j]] - sums[i : i + 1]) * inverse[i])[0]))
-            if piece is not None:
+            piece = int(p.find(mix((sums[end[j]] - sums[i : i + 1]) * inverse[i]), word, np.array([i]), int(end[j]) - i)[0])
+            if piece >= 0:
                 heapq.heappush(heap, (-p.scores[piece], i, j, int(end[j])))
 
     for i in range(n - 1):
@@ -303,7 +291,7 @@ def encode_long(word: np.ndarray, p: Pieces) -> np.ndarray:
     ends = (long_merges if p.kind == BPE else long_viterbi)(word, p)
     at = np.flatnonzero(ends)
     sums, inverse = hashes(word), inverse_powers(1 << len(word).bit_length())
-    ids = np.where(ends[at] - at == 1, p.single[word[at]], p.find(mix((sums[ends[at]] - sums[at]) * inverse[at])))
+    ids = np.where(ends[at] - at == 1, p.single[word[at]], p.find(mix((sums[ends[at]] - sums[at]) * inverse[at]), word, at, ends[at] - at))
     return with_bytes(ids, word[at], np.zeros(len(at), np.int64), 1, p)[0]
 
 
@@ -312,7 +300,7 @@ def cuts_of(word: np.ndarray, p: Pieces) -> np.ndarray:
     crossed = np.zeros(len(word) + 1, np.int64)
     sums, inverse = hashes(word), inverse_powers(1 << len(word).bit_length())
     for size in range(2, min(p.longest, len(word)) + 1):
-        at = np.flatnonzero(p.find(mix((sums[size:] - sums[:-size]) * inverse[: len(word) - size + 1])) >= 0)
+        at = np.flatnonzero(p.find(mix((sums[size:] - sums[:-size]) * inverse[: len(word) - size + 1]), word, np.arange(len(word) - size + 1), size) >= 0)
         crossed[at + 1] += 1
         np.subtract.at(crossed, at + size, 1)
     return 1 + np.flatnonzero(np.cumsum(crossed)[1 : len(word)] == 0)
@@ -339,39 +327,35 @@ def encode_batch(texts: list[str], p: Pieces) -> list[np.ndarray]:
         for w in np.flatnonzero(length > LONG):
             first[begin[w] + cuts_of(codes[begin[w] : begin[w] + length[w]], p)] = True
         begin = np.flatnonzero(first)
-        length = np.diff(np.append(begin, len(codes)))
-        sums = hashes(codes)
-        inverse = inverse_powers(1 << len(codes).bit_length())
-        h = mix((sums[begin + length] - sums[begin]) * inverse[begin] ^ length.astype(np.uint64))
-        keys, one, code = np.unique(h, return_index=True, return_inverse=True)
+        bounds = pa.py_buffer(4 * np.append(begin, len(codes)).astype(np.int64))
+        coded = pa.Array.from_buffers(pa.large_binary(), len(begin), [None, bounds, pa.py_buffer(np.ascontiguousarray(codes))]).dictionary_encode()
+        keys, checks = two_hashes(coded.dictionary)
         if len(p.known.keys) > REMEMBERED:
-            p.known = Known()
-        new = np.flatnonzero(~p.known.look(keys)[1])
+            p.known = Remembered()
+        new = np.flatnonzero(~p.known.look(keys, checks)[1])
+        data, at = buffers(coded.dictionary)
+        words, first, lengths = data.view(np.uint32), at[new] // 4, np.diff(at)[new] // 4
         # Ids of the distinct words that weren't met before, by length.
         parts, counts, order = [np.zeros(0, np.int32)], np.zeros(len(new), np.int64), [np.zeros(0, np.int64)]
-        lengths = length[one[new]]
         for size in np.unique(lengths).tolist():
             which = np.flatnonzero(lengths == size)
             if size > LONG:
                 for w in which:
-                    ids = encode_long(codes[begin[one[new[w]]] :][:size], p)
+                    ids = encode_long(words[first[w] : first[w] + size], p)
                     parts.append(ids)
                     counts[w] = len(ids)
                 order.append(which)
                 continue
             step = max(1, CELLS // size)
-            for at in range(0, len(which), step):
-                some = which[at : at + step]
-                ids, n = encode_words(codes[begin[one[new[some]]][:, None] + np.arange(size)], p)
+            for k in range(0, len(which), step):
+                some = which[k : k + step]
+                ids, n = encode_words(words[first[some][:, None] + np.arange(size)], p)
                 parts.append(ids)
                 counts[some] = n
                 order.append(some)
     order = np.concatenate(order)
-    p.known.add(keys[new[order]], np.concatenate(parts).astype(np.int32), counts[order])
-    place = p.known.look(keys)[0][code]
-    n = p.known.count[place]
-    at = np.append(0, np.cumsum(n))
-    ids = p.known.ids[np.repeat(p.known.first[place] - at[:-1], n) + np.arange(at[-1])]
+    p.known.add(keys[new[order]], checks[new[order]], np.concatenate(parts), np.append(0, np.cumsum(counts[order])))
+    ids, at = p.known.ids_at(p.known.look(keys, checks)[0][coded.indices.to_numpy()])
     cuts = at[np.searchsorted(begin, starts)]
     return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 
@@ -404,7 +388,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
     take the model's pieces and scores as those of a UNIGRAM model (the path of the greatest sum of scores, by
     Viterbi) or of a BPE model (merges), whatever the file says. round_trip: decoding gives the text again, which it does but for U+2581, the model's own mark for a blank.
     """
-    kind = docs.schema[id_col].dataType.simpleString()
+    id_type = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         import pyarrow as pa
@@ -418,7 +402,7 @@ def encode(docs: DataFrame, model_path: str, id_col: str = "doc_id", text_col: s
                 ids = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(n)).astype(np.int32)), pa.array(np.concatenate(rows).astype(np.int32)))
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids, pa.array(n), pa.array(same)], names=["id", "ids", "n_tokens", "round_trip"])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"id {kind}, ids array<int>, n_tokens int, round_trip boolean").withColumnRenamed("id", id_col)
+    return docs.select(id_col, text_col).mapInArrow(run, f"id {id_type}, ids array<int>, n_tokens int, round_trip boolean").withColumnRenamed("id", id_col)
 
 
 def decode(rows: DataFrame, model_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql.window import Window
 
 from .ordering import bounds_for, prefix_sums, range_of
 from .runtime import Scratch, is_small, shared_path
-from .words import mix, powers
+from .words import Remembered, buffers, mix, powers, two_hashes
 
 END_ID = 2
 #: A chunk ends where a hash of the last WINDOW ids has its high CUT_BITS bits zero, and after MOST_IDS at the latest.
@@ -36,8 +36,6 @@ STOPS[list(b".,;:!?)")] = True
 ALNUM, SEEN = np.zeros(256, bool), np.zeros(256, bool)
 ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123)]] = True
 SEEN[33:127] = True
-#: Random numbers for each byte, for the second hash of a piece.
-BYTES = np.random.default_rng(5).integers(1, 1 << 63, 256, dtype=np.uint64)
 
 
 @lru_cache(2)
@@ -58,47 +56,6 @@ def runs_of(lists: np.ndarray, starts: np.ndarray, which: np.ndarray) -> tuple[n
     return lists[np.repeat(starts[:-1][which] - at[:-1], n) + np.arange(at[-1])], at
 
 
-class Remembered:
-    """Pieces met before: two hashes of each, the first in order, and where its ids are in `ids`."""
-
-    def __init__(self):
-        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.first, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
-
-    def look(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of pieces, and which of them are known."""
-        if not len(self.keys):
-            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
-        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, (self.keys[at] == keys) & (self.checks[at] == checks)
-
-    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> None:
-        order = np.argsort(keys)
-        at = np.searchsorted(self.keys, keys[order])
-        put = lambda old, new: np.insert(old, at, new[order])
-        self.first, self.count = put(self.first, len(self.ids) + starts[:-1]), put(self.count, np.diff(starts))
-        self.keys, self.checks, self.ids = put(self.keys, keys), put(self.checks, checks), np.concatenate([self.ids, ids])
-
-
-def buffers(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The bytes of large strings without nulls, and where each begins (one more entry)."""
-    if not len(strings):
-        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
-    offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
-    data = np.frombuffer(strings.buffers()[2], np.uint8) if strings.buffers()[2] else np.zeros(0, np.uint8)
-    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
-
-
-def two_hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    data, offsets = buffers(strings)
-    power, inverse = powers(len(data) + 1)
-    out = []
-    for values in (data.astype(np.uint64) + np.uint64(1), BYTES[data]):
-        sums = np.append(np.uint64(0), np.cumsum(values * power[: len(data)], dtype=np.uint64))
-        out.append(mix((sums[offsets[1:]] - sums[offsets[:-1]]) * inverse[offsets[:-1]]))
-    return out[0], out[1]
-
-
 class Encoder:
     """Ids of texts by a byte-level BPE of the tokenizers library.
 
@@ -173,9 +130,7 @@ class Encoder:
             if new.any():
                 self.learn(coded.dictionary.filter(pa.array(new)), keys[new], checks[new])
             place = self.known.look(keys, checks)[0][coded.indices.to_numpy()]
-        n = self.known.count[place]
-        at = np.append(0, np.cumsum(n))
-        whole = self.known.ids[np.repeat(self.known.first[place] - at[:-1], n) + np.arange(at[-1])]
+        whole, at = self.known.ids_at(place)
         if not len(odd):
             return whole, at[offsets]
         # Texts that were cut come first here, in the order of `even`, then the others.

@@ -1,4 +1,4 @@
-"""Vectorised word and shingle hashing over Arrow text columns."""
+"""Vectorised word and shingle hashing over Arrow text columns, and what workers remember of words."""
 
 from __future__ import annotations
 
@@ -8,11 +8,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 
 #: Texts are handled in slices of about so many bytes (one text at least), which bounds a task's memory.
 SLICE_BYTES = 1 << 20
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 POW: list[np.ndarray] = []
+#: Ranges of more bytes are hashed one by one; the first 0 to 8 bytes of a block.
+LONG_RANGE = 64
+FIRST_BYTES = np.array([(1 << (8 * i)) - 1 for i in range(9)], np.uint64)
 
 #: Byte classes: the white space of [^\x20\x09-\x0D]+, and all ASCII that is neither letter nor digit.
 SPACES = np.zeros(256, bool)
@@ -41,6 +45,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def byte_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """A 64-bit hash of each range of bytes; those of two seeds are independent.
+
+    Ranges of up to LONG_RANGE bytes go block by block of 8 bytes, each mixed with what the blocks before it gave, so
+    that no sum over places can cancel out; longer ones go through xxhash one by one.
+    """
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    blocks = np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+    size = end - begin
+    out = mix(size.astype(np.uint64) + np.uint64((0x9E3779B97F4A7C15 * (seed + 1)) & 0xFFFFFFFFFFFFFFFF))
+    left = np.flatnonzero((size > 0) & (size <= LONG_RANGE))
+    for i in range(0, LONG_RANGE, 8):
+        rest = size[left] - i
+        out[left] = mix((out[left] ^ (blocks[begin[left] + i] & FIRST_BYTES[np.minimum(rest, 8)])) + np.uint64(0xD6E8FEB86659FD93))
+        left = left[rest > 8]
+        if not len(left):
+            break
+    view = memoryview(np.ascontiguousarray(data))
+    for i in np.flatnonzero(size > LONG_RANGE).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(view[begin[i] : end[i]], seed)
+    return out
+
+
 @dataclass
 class Words:
     """The words of some texts: their hashes, and where each text's begin (one more entry than texts)."""
@@ -51,17 +79,54 @@ class Words:
     begin: np.ndarray
     end: np.ndarray
     data: np.ndarray
-    #: Prefix sums from which the hash of any byte range follows.
-    sums: np.ndarray
 
     def prefix_hashes(self, n: int) -> np.ndarray:
         """Hashes of the first n bytes of each word (of the whole word where it is shorter)."""
-        return range_hashes(self.sums, self.begin, np.minimum(self.begin + n, self.end))
+        return byte_hashes(self.data, self.begin, np.minimum(self.begin + n, self.end))
+
+
+class Remembered:
+    """Words or pieces met before: two hashes of each, the first in order, and where its token ids are in `ids`."""
+
+    def __init__(self):
+        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+        self.first, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+
+    def look(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places of pieces, and which of them are known."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, (self.keys[at] == keys) & (self.checks[at] == checks)
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> None:
+        """Pieces whose ids are ids[starts[i] : starts[i + 1]]."""
+        order = np.argsort(keys)
+        at = np.searchsorted(self.keys, keys[order])
+        put = lambda old, new: np.insert(old, at, new[order])
+        self.first, self.count = put(self.first, len(self.ids) + starts[:-1]), put(self.count, np.diff(starts))
+        self.keys, self.checks, self.ids = put(self.keys, keys), put(self.checks, checks), np.concatenate([self.ids, ids.astype(np.uint32)])
+
+    def ids_at(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces at these places, one after the other, and where each one's begin (one more entry)."""
+        n = self.count[place]
+        at = np.append(0, np.cumsum(n))
+        return self.ids[np.repeat(self.first[place] - at[:-1], n) + np.arange(at[-1])], at
+
+
+def buffers(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of large strings or binaries without nulls, and where each begins (one more entry)."""
+    if not len(strings):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    offsets = np.frombuffer(strings.buffers()[1], np.int64)[strings.offset : strings.offset + len(strings) + 1]
+    data = np.frombuffer(strings.buffers()[2], np.uint8) if strings.buffers()[2] else np.zeros(0, np.uint8)
+    return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def range_hashes(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
-    _, inverse = powers(len(sums))
-    return mix((sums[end] - sums[begin]) * inverse[begin])
+def two_hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits that stand for each of some large strings or binaries."""
+    data, offsets = buffers(strings)
+    return byte_hashes(data, offsets[:-1], offsets[1:], 1), byte_hashes(data, offsets[:-1], offsets[1:], 2)
 
 
 def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -85,7 +150,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> W
     n = len(data)
     if not n:
         none = np.zeros(0, np.int64)
-        return Words(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), none, none, data, np.zeros(1, np.uint64))
+        return Words(np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64), none, none, data)
     low = TO_LOWER[data]
     inside = ~separators[data]
     starts = inside.copy()
@@ -96,10 +161,7 @@ def words_of(data: np.ndarray, offsets: np.ndarray, separators: np.ndarray) -> W
     ends[:-1] &= ~inside[1:]
     ends[cut - 1] = inside[cut - 1]
     begin, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
-    power, _ = powers(n)
-    sums = np.zeros(n + 1, np.uint64)
-    np.cumsum((low.astype(np.uint64) + np.uint64(1)) * power[:n], out=sums[1:])
-    return Words(range_hashes(sums, begin, end), np.searchsorted(begin, offsets), begin, end, low, sums)
+    return Words(byte_hashes(low, begin, end), np.searchsorted(begin, offsets), begin, end, low)
 
 
 def shingles(words: Words, n: int, short: bool = True) -> tuple[np.ndarray, np.ndarray]:

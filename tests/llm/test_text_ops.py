@@ -94,7 +94,7 @@ def test_very_long_words(monkeypatch, kind):
     some = ["".join(rng.choice("ethanso") for _ in range(rng.randrange(1, 200))) for _ in range(60)]
     want = [r.tolist() for r in sentencepiece.encode_batch(some, pieces)]
     monkeypatch.setattr(sentencepiece, "LONG", 20)
-    pieces.known = sentencepiece.Known()
+    pieces.known = sentencepiece.Remembered()
     assert [r.tolist() for r in sentencepiece.encode_batch(some, pieces)] == want
     monkeypatch.setattr(sentencepiece, "cuts_of", lambda word, p: np.zeros(0, np.int64))
     monkeypatch.setattr(sentencepiece, "REMEMBERED", 0)
