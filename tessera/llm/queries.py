@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, jaccard_join, line_dedup, sentencepiece, sharding, spotsigs, token_store, toxicity, url_filter, warc
+from . import decontaminate, filter_audit, jaccard_join, line_dedup, sentencepiece, sharding, spotsigs, token_store, toxicity, url_filter, warc
 from .runtime import shared_path, table, written
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block")]
@@ -130,6 +130,34 @@ def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.read_facts(spark, path)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost and shapley of five filters in all orders."""
+    return filter_audit.audit_texts(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+OP11_SQL = r"""
+with t as (select coalesce(lang, '') as part, doc_id, coalesce(text, '') as t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+f as (select part, doc_id, case when len(w) < 100 then 'A' else '' end || case when 100 * len(list_distinct(w)) < 80 * len(w) then 'B' else '' end
+    || case when 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 10 * length(t) then 'C' else '' end || case when regexp_matches(t, '[#$%&*|]') then 'D' else '' end
+    || case when doc_id > min(doc_id) over (partition by t) then 'E' else '' end as fails from t),
+l as (select doc_id, bool_or(quality = 1) as good, bool_or(toxic = 1) as toxic from labels group by doc_id),
+c as (select part, fails, coalesce(good, false) as good, coalesce(toxic, false) as toxic, count(*) as n from f left join l using (doc_id) group by all),
+x as (select unnest(['A', 'B', 'C', 'D', 'E']) as x),
+o as (select a.x || b.x || c.x || d.x || e.x as filter_order from x a, x b, x c, x d, x e where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+s as (select filter_order, i::int as step, substr(filter_order, i, 1) as f, left(filter_order, i - 1) as before from o, lateral (select unnest(range(1, 6)) as i)),
+r as (select part, filter_order, step, f,
+    coalesce(sum(n) filter (translate(fails, before || f, '') = fails), 0) as kept,
+    coalesce(sum(n) filter (contains(fails, f) and translate(fails, before, '') = fails), 0) as removed,
+    coalesce(sum(n) filter (contains(fails, f) and translate(fails, before, '') <> fails), 0) as redundant,
+    coalesce(sum(n) filter (fails = f), 0) as unique_fails,
+    coalesce(sum(n) filter (good and contains(fails, f) and translate(fails, before, '') = fails), 0) as good_lost,
+    coalesce(sum(n) filter (toxic and contains(fails, f) and translate(fails, before, '') = fails), 0) as toxic_lost
+  from c, s group by all)
+select part, filter_order, step, kept::bigint as kept, removed::bigint as removed, redundant::bigint as redundant, unique_fails::bigint as unique_fails,
+  good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost, (sum(removed) over (partition by part, f))::bigint as shapley from r
+"""
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
@@ -141,5 +169,6 @@ QUERIES = {
     "op8_spotsigs": op8_spotsigs,
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_store": op10_token_store,
+    "op11_filter_audit": op11_filter_audit,
 }
-ORACLE_SQL = {"op2_line_dedup": OP2_SQL, "op4_warc_revisits": OP4_SQL, "op7_url_rules": OP7_SQL, "op9_ngram_jaccard": OP9_SQL}
+ORACLE_SQL = {"op2_line_dedup": OP2_SQL, "op4_warc_revisits": OP4_SQL, "op7_url_rules": OP7_SQL, "op9_ngram_jaccard": OP9_SQL, "op11_filter_audit": OP11_SQL}
