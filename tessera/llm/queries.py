@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, filter_audit, jaccard_join, line_dedup, sentencepiece, sharding, spotsigs, token_store, toxicity, url_filter, warc
+from . import collocations, decontaminate, filter_audit, jaccard_join, line_dedup, sentencepiece, sharding, spotsigs, token_store, toxicity, url_filter, warc
 from .runtime import shared_path, table, written
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block")]
@@ -158,6 +158,31 @@ select part, filter_order, step, kept::bigint as kept, removed::bigint as remove
 """
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lang, rank, phrase, a, l, r, n and score of the 2,000 best phrases of two and three words of each language."""
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+OP12_SQL = r"""
+with p as (select coalesce(lang, 'und') as lang, row_number() over () as d, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]') as ps from documents),
+q as (select lang, regexp_extract_all(x, '[^ 	]+') as w from p, lateral (select unnest(ps) as x)),
+f1 as (select lang, x as p, count(*) as f from q, lateral (select unnest(w) as x) group by all),
+f2 as (select lang, w[i] as w1, w[i + 1] as w2, count(*) as f from q, lateral (select unnest(range(1, len(w))) as i) group by all),
+f3 as (select lang, w[i] as w1, w[i + 1] as w2, w[i + 2] as w3, count(*) as f from q, lateral (select unnest(range(1, len(w) - 1)) as i) group by all having count(*) >= 10),
+c2 as (select f2.*, a.f as l, b.f as r from f2 join f1 a on a.lang = f2.lang and a.p = w1 join f1 b on b.lang = f2.lang and b.p = w2 where f2.f >= 10),
+c3 as (select f3.*, a.f as l1, b.f as r1, c.f as l2, d.f as r2 from f3 join f1 a on a.lang = f3.lang and a.p = f3.w1 join f2 b on b.lang = f3.lang and b.w1 = f3.w2 and b.w2 = f3.w3
+  join f2 c on c.lang = f3.lang and c.w1 = f3.w1 and c.w2 = f3.w2 join f1 d on d.lang = f3.lang and d.p = f3.w3),
+s as (select lang, w1 || ' ' || w2 as phrase, f as a, l, r, f::hugeint * f * 1000000 // (l::hugeint * r) as score from c2
+  where not exists (select 1 from f3 where f3.lang = c2.lang and 100 * f3.f >= 50 * c2.f and (f3.w1 = c2.w1 and f3.w2 = c2.w2 or f3.w2 = c2.w1 and f3.w3 = c2.w2))
+  union all select lang, w1 || ' ' || w2 || ' ' || w3, f, case when s2 < s1 then l2 else l1 end, case when s2 < s1 then r2 else r1 end, least(s1, s2)
+  from (select *, f::hugeint * f * 1000000 // (l1::hugeint * r1) as s1, f::hugeint * f * 1000000 // (l2::hugeint * r2) as s2 from c3)),
+t as (select *, row_number() over (partition by lang order by score desc, a desc, phrase) as rank from s qualify rank <= 2000),
+n as (select lang, sum(f) as n from f1 group by lang)
+select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bigint as r, n::bigint as n, score::bigint as score from t join n using (lang)
+"""
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
@@ -170,5 +195,6 @@ QUERIES = {
     "op9_ngram_jaccard": op9_ngram_jaccard,
     "op10_token_store": op10_token_store,
     "op11_filter_audit": op11_filter_audit,
+    "op12_collocations": op12_collocations,
 }
-ORACLE_SQL = {"op2_line_dedup": OP2_SQL, "op4_warc_revisits": OP4_SQL, "op7_url_rules": OP7_SQL, "op9_ngram_jaccard": OP9_SQL, "op11_filter_audit": OP11_SQL}
+ORACLE_SQL = {"op2_line_dedup": OP2_SQL, "op4_warc_revisits": OP4_SQL, "op7_url_rules": OP7_SQL, "op9_ngram_jaccard": OP9_SQL, "op11_filter_audit": OP11_SQL, "op12_collocations": OP12_SQL}

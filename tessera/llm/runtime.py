@@ -60,5 +60,21 @@ def small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
+#: Of n rows, keys with more than n / HOT_SHARE are met by a broadcast: fewer than HOT_SHARE keys can be so common.
+HOT_SHARE = 1000
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, scratch: Scratch, how: str = "inner") -> DataFrame:
+    """rows joined with the one row that facts has for its key, however many rows share a key.
+
+    rows and facts should be written tables. The facts of the commonest keys, fewer than HOT_SHARE, are broadcast,
+    the other rows meet theirs by a shuffle. A null key has no facts.
+    """
+    common = scratch.table(rows.groupBy(key).agg(F.count("*").alias("n")).where(f"n > {rows.count() // HOT_SHARE} and {key} is not null").select(key), f"common-{key}")
+    hot = F.broadcast(common)
+    met = rows.join(hot, key, "left_semi").join(F.broadcast(facts.join(hot, key, "left_semi")), key, how)
+    return met.unionByName(rows.join(hot, key, "left_anti").join(facts, key, how))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
