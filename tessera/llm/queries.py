@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, decontaminate, filter_audit, jaccard_join, line_dedup, sentencepiece, sharding, spotsigs, token_store, toxicity, url_filter, warc
+from . import chat_tree, collocations, decontaminate, filter_audit, jaccard_join, line_dedup, sentencepiece, sharding, spotsigs, token_store, toxicity, url_filter, warc
 from .runtime import shared_path, table, written
 
 URL_RULES = [("com/en/", "block"), ("example.com/en/7", "allow"), ("net/de/", "block"), ("example.net/de/8", "block"), ("org/es/", "block")]
@@ -165,7 +165,8 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP12_SQL = r"""
 with p as (select coalesce(lang, 'und') as lang, row_number() over () as d, string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]') as ps from documents),
+-
+]') as ps from documents),
 q as (select lang, regexp_extract_all(x, '[^ 	]+') as w from p, lateral (select unnest(ps) as x)),
 f1 as (select lang, x as p, count(*) as f from q, lateral (select unnest(w) as x) group by all),
 f2 as (select lang, w[i] as w1, w[i + 1] as w2, count(*) as f from q, lateral (select unnest(range(1, len(w))) as i) group by all),
@@ -183,6 +184,16 @@ select lang, rank::bigint as rank, phrase, a::bigint as a, l::bigint as l, r::bi
 """
 
 
+def op13_chat_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars and attends_all of every conversation and one more, read back from the trees that were written."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    says = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], turns.schema)
+    path, tokens = shared_path(spark, "chat-trees"), public_tokenizers.path("byte_bpe_50k.json")
+    chat_tree.write_chats(turns.unionByName(more), path, tokens)
+    return chat_tree.digests(chat_tree.read_turns(spark, path, tokens))
+
+
 QUERIES = {
     "op1_sentencepiece": op1_sentencepiece,
     "op2_line_dedup": op2_line_dedup,
@@ -196,5 +207,6 @@ QUERIES = {
     "op10_token_store": op10_token_store,
     "op11_filter_audit": op11_filter_audit,
     "op12_collocations": op12_collocations,
+    "op13_chat_tree": op13_chat_tree,
 }
 ORACLE_SQL = {"op2_line_dedup": OP2_SQL, "op4_warc_revisits": OP4_SQL, "op7_url_rules": OP7_SQL, "op9_ngram_jaccard": OP9_SQL, "op11_filter_audit": OP11_SQL, "op12_collocations": OP12_SQL}

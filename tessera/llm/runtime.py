@@ -60,20 +60,24 @@ def small(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-#: Of n rows, keys with more than n / HOT_SHARE are met by a broadcast: fewer than HOT_SHARE keys can be so common.
+#: Of n rows, keys with more than n / HOT_SHARE are spread: fewer than HOT_SHARE keys can be so common.
 HOT_SHARE = 1000
 
 
-def looked_up(rows: DataFrame, facts: DataFrame, key: str, scratch: Scratch, how: str = "inner") -> DataFrame:
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, scratch: Scratch) -> DataFrame:
     """rows joined with the one row that facts has for its key, however many rows share a key.
 
-    rows and facts should be written tables. The facts of the commonest keys, fewer than HOT_SHARE, are broadcast,
-    the other rows meet theirs by a shuffle. A null key has no facts.
+    The facts of the commonest keys are copied, a copy for each n / HOT_SHARE of the n rows, so there are fewer than
+    2 * HOT_SHARE copies in all; a row of such a key meets one of them by a hash of the row. rows should be a written table.
+    Rows without facts, or with a null key, are left out.
     """
-    common = scratch.table(rows.groupBy(key).agg(F.count("*").alias("n")).where(f"n > {rows.count() // HOT_SHARE} and {key} is not null").select(key), f"common-{key}")
-    hot = F.broadcast(common)
-    met = rows.join(hot, key, "left_semi").join(F.broadcast(facts.join(hot, key, "left_semi")), key, how)
-    return met.unionByName(rows.join(hot, key, "left_anti").join(facts, key, how))
+    share = rows.count() // HOT_SHARE + 1
+    common = rows.groupBy(key).agg(F.count("*").alias("n")).where(F.col("n") > share).select(key, F.ceil(F.col("n") / share).alias("copies"))
+    common = F.broadcast(scratch.table(common, f"common-{uuid.uuid4().hex[:8]}"))
+    copies = F.coalesce("copies", F.lit(1))
+    spread = rows.join(common, key, "left").withColumn("copy", F.pmod(F.xxhash64(*rows.columns), copies)).drop("copies")
+    facts = facts.join(common, key, "left").withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), copies - 1))).drop("copies")
+    return spread.join(facts, [key, "copy"]).drop("copy")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
