@@ -32,14 +32,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     Rows are told apart by their whole content, so that a copy takes no other row of its id with it; of rows that are
     equal in all columns one stays. Texts without words are in no group, and all stay.
     """
-    rows = docs.withColumn("__h", F.xxhash64(*docs.columns))
-    parts = jaccard_join.near_duplicates(rows.select(F.struct("doc_id", "__h").alias("id"), "text"), "id", like=LIKENESS)
+    row = docs.select(F.struct(*docs.columns).alias("row"))
+    rows = row.select("row", F.struct("row.doc_id", F.xxhash64("row").alias("h")).alias("id"), "row.text")
+    parts = jaccard_join.near_duplicates(rows.select("id", "text"), "id", like=LIKENESS)
     found = parts.where("n_shingles > 0").groupBy("id").agg(F.min("component_id").alias("first"), F.count("*").alias("rows"))
-    found = found.select(F.col("id.doc_id").alias("__id"), F.col("id.__h").alias("__k"), (F.col("id") != F.col("first")).alias("__gone")).where("__gone or rows > 1")
+    found = found.select(F.col("id.doc_id").alias("of"), F.col("id.h").alias("h"), (F.col("id") != F.col("first")).alias("gone")).where("gone or rows > 1")
     found = small(written(found, "near-copies"), jaccard_join.BROADCAST_ROWS)
-    judged = rows.join(found, (F.col("__h") == F.col("__k")) & F.col("doc_id").eqNullSafe(F.col("__id")), "left")
-    once = judged.where("not __gone").dropDuplicates(["__h", "doc_id"])
-    return judged.where("__gone is null").unionByName(once).select(docs.columns)
+    judged = rows.join(found, (F.col("id.h") == F.col("h")) & F.col("id.doc_id").eqNullSafe(F.col("of")), "left")
+    once = judged.where("not gone").dropDuplicates(["id"])
+    return judged.where("gone is null").unionByName(once).select("row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
