@@ -116,19 +116,21 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     of these names. drop_emptied removes the documents that had such lines and keep none. Works on whole texts;
     what is shuffled for each line is hashes, and texts only of lines that nearly match and of documents once.
     """
-    base = docs.drop("n_lines", "n_kept").withColumn("__h", F.xxhash64(text_col))
-    lines = lines_of(base.select(F.col(id_col).alias("id"), F.col("__h").alias("h"), F.col(text_col).alias("text")))
+    row = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    text = F.col("row")[text_col]
+    base = row.select("row", F.col("row")[id_col].alias("id"), F.xxhash64(text).alias("h"))
+    lines = lines_of(base.select("id", "h", text.alias("text")))
     near = near_lines(lines, Scratch(docs.sparkSession, "line-dedup"))
     first = (
         lines.groupBy("k1", second_key(F.col("key")).alias("k2"))
         .agg(F.min(F.struct("id", "h", "line_no")).alias("ord"))
         .join(small(near, BROADCAST_KEYS), ["k1", "k2"], "left_anti")
     )
-    kept = first.groupBy(F.col("ord.id").alias("__id"), F.col("ord.h").alias("__kh")).agg(F.collect_list("ord.line_no").alias("__kept"))
-    joined = base.join(kept, (F.col("__h") == F.col("__kh")) & F.col(id_col).eqNullSafe(F.col("__id")), "left")
-    lines_in = F.split(text_col, "\n")
-    stays = lambda x, i: (line_key(x) == "") | F.coalesce(F.array_contains(F.col("__kept"), i), F.lit(False))
+    kept = first.groupBy(F.col("ord.id").alias("kept_id"), F.col("ord.h").alias("kept_h")).agg(F.collect_list("ord.line_no").alias("kept"))
+    joined = base.join(kept, (F.col("h") == F.col("kept_h")) & F.col("id").eqNullSafe(F.col("kept_id")), "left")
+    lines_in = F.split(text, "\n")
+    stays = lambda x, i: (line_key(x) == "") | F.coalesce(F.array_contains(F.col("kept"), i), F.lit(False))
     count = lambda x: F.size(F.filter(x, lambda y: line_key(y) != ""))
-    out = joined.withColumns({"n_lines": F.coalesce(count(lines_in), F.lit(0)), "n_kept": F.coalesce(F.size("__kept"), F.lit(0))})
-    out = out.withColumn(text_col, F.array_join(F.filter(lines_in, stays), "\n")).drop("__h", "__id", "__kh", "__kept")
+    columns = [F.array_join(F.filter(lines_in, stays), "\n").alias(c) if c == text_col else F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_kept")]
+    out = joined.select(*columns, F.coalesce(count(lines_in), F.lit(0)).alias("n_lines"), F.coalesce(F.size("kept"), F.lit(0)).alias("n_kept"))
     return out.where("n_lines = 0 or n_kept > 0") if drop_emptied else out

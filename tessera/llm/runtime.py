@@ -65,7 +65,7 @@ HOT_SHARE = 1000
 
 
 def looked_up(rows: DataFrame, facts: DataFrame, key: str, scratch: Scratch) -> DataFrame:
-    """rows joined with the one row that facts has for its key, however many rows share a key.
+    """rows joined with what facts, a row or a few, has for its key, however many rows share a key.
 
     The facts of the commonest keys are copied, a copy for each n / HOT_SHARE of the n rows, so there are fewer than
     2 * HOT_SHARE copies in all; a row of such a key meets one of them by a hash of the row. rows should be a written table.
