@@ -8,29 +8,43 @@ from pyspark.sql import functions as F
 from .shared import Saved
 
 
+def state_of(links: DataFrame) -> tuple:
+    return tuple(links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
+
+
+def to_least(links: DataFrame, around: DataFrame) -> DataFrame:
+    """links (a, b) with the least node `m` among a's neighbours in `around` (a, b) and a itself."""
+    least = around.groupBy("a").agg(F.min("b").alias("m"))
+    return links.join(least, "a").withColumn("m", F.least("a", "m"))
+
+
 def clusters(members: DataFrame, node: str, *shared: str) -> DataFrame:
     """(node, cluster): cluster is the least node that chains of shared keys reach.
 
-    members has a row for each node and key (columns `shared`; a null is a value like others). Each round gives a key
-    its nodes' least label and a node its keys' least, then jumps to the label's own label; rounds end when no label
-    changes. Keys are numbered by two hashes once; of the rounds, the last one's table stays.
+    members has a row for each node and key (columns `shared`; a null is a value like others). Each node is linked to
+    the least node of its keys. Then rounds of two steps: each node's larger neighbours are hung on its least one, and
+    each node with its smaller neighbours on the least of these, until nothing changes. A chain halves in each round,
+    so rounds grow with the logarithm of the longest one. Minima alone are gathered by node, never its neighbours.
     """
     saved, turn = Saved(members.sparkSession, "clusters"), 0
-    key = F.struct(F.xxhash64(*shared).alias("a"), F.xxhash64(F.lit(1), *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in shared]).alias("b"))
-    members = saved.table(members.select(node, key.alias("key")).distinct(), "members")
-    labels = members.select(node).distinct().withColumns({"cluster": F.col(node), "changed": F.lit(True)})
-    while True:
-        by_key = members.join(labels, node).groupBy("key").agg(F.min("cluster").alias("least"))
-        near = members.join(by_key, "key").groupBy(node).agg(F.min("least").alias("near"))
-        hop = labels.select(F.col(node).alias("near"), F.col("cluster").alias("hop"))
-        after = near.join(hop, "near").select(node, F.least("near", "hop").alias("after")).join(labels.select(node, "cluster"), node)
-        labels = saved.table(after.select(node, F.col("after").alias("cluster"), (F.col("after") != F.col("cluster")).alias("changed")), str(turn))
-        if turn:
-            saved.drop(str(turn - 1))
-        if labels.where("changed").isEmpty():
-            saved.drop("members")
-            return labels.drop("changed")
-        turn += 1
+    key = F.struct(F.xxhash64(*shared).alias("x"), F.xxhash64(F.lit(1), *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in shared]).alias("y"))
+    members = saved.table(members.select(F.col(node).alias("a"), key.alias("key")).distinct(), "members")
+    hubs = members.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("last")).where("b < last").select("key", "b")
+    links = saved.table(members.join(hubs, "key").where("a <> b").select("a", "b").distinct(), "0")
+    before = state_of(links)
+    while before[0]:
+        both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        large = to_least(both.where("b > a"), both).select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        hung = to_least(large, large).select("a", "m", "b")
+        small = hung.select(F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")).select("x.*")
+        links = saved.table(small.where("a <> b").distinct(), str(turn + 1))
+        saved.drop(str(turn))
+        turn, after = turn + 1, state_of(links)
+        if after == before:
+            break
+        before = after
+    labels = links.groupBy("a").agg(F.min("b").alias("cluster"))
+    return members.select("a").distinct().join(labels, "a", "left").select(F.col("a").alias(node), F.coalesce("cluster", "a").alias("cluster"))
 
 
 def largest_first(clustered: DataFrame, cluster: str = "cluster") -> DataFrame:

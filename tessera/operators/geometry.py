@@ -270,19 +270,21 @@ def envelope(geom: Column) -> Column:
 
 
 def tile_overlap(geom: Column, w: Column, s: Column, e: Column, n: Column) -> Column:
-    """The area of a geometry within a rectangle, in its own units; 0 where they only touch."""
+    """The area of a geometry within a rectangle, in its own units; 0 where they only touch or the geometry can't be read."""
 
     @F.pandas_udf("double")
     def overlap(g: pd.Series, w: pd.Series, s: pd.Series, e: pd.Series, n: pd.Series) -> pd.Series:
-        return pd.Series([clip_area(rings_of(x)[1], *box) for x, *box in zip(g, w, s, e, n, strict=True)], dtype=float)
+        return pd.Series([clip_area(parts_of(x), *box) for x, *box in zip(g, w, s, e, n, strict=True)], dtype=float)
 
     return overlap(geom, w, s, e, n)
 
 
 def within(geom: Column, x: Column, y: Column) -> Column:
+    """Whether a geometry holds a point; false where it can't be read."""
+
     @F.pandas_udf("boolean")
     def test(g: pd.Series, x: pd.Series, y: pd.Series) -> pd.Series:
-        return pd.Series([contains(rings_of(v)[1], a, b) for v, a, b in zip(g, x, y, strict=True)], dtype=bool)
+        return pd.Series([contains(parts_of(v), a, b) for v, a, b in zip(g, x, y, strict=True)], dtype=bool)
 
     return test(geom, x, y)
 
@@ -349,10 +351,10 @@ def wkb(polygons: Column) -> Column:
 
 
 def exploded(df: DataFrame, geom: str = "geom") -> DataFrame:
-    """A row for each part of a multipolygon, with part_idx."""
+    """A row for each part of a multipolygon, with part_idx; none for a geometry that can't be read."""
 
     @F.pandas_udf("array<binary>")
     def split(values: pd.Series) -> pd.Series:
-        return pd.Series([[wkb_of([p]) for p in rings_of(v)[1]] for v in values])
+        return pd.Series([[wkb_of([p]) for p in parts_of(v)] for v in values])
 
     return df.select("*", F.posexplode(split(geom)).alias("part_idx", "_part")).withColumn(geom, F.col("_part")).drop("_part")

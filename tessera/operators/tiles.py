@@ -89,17 +89,16 @@ def dated(polygons: DataFrame) -> DataFrame:
 
 
 def needed_tiles(polygons: DataFrame, grid: DataFrame, only_missing: bool = True) -> DataFrame:
-    """Distinct (year, x_tile, y_tile) that valid polygons without coverage meet; polygons without a date are dropped.
+    """Distinct (year, x_tile, y_tile) that valid polygons without coverage meet; polygons without a date are dropped, and it is
+    an error if none has one.
 
     With a column geom (well-known binary) validity and meeting are the polygon's own; else `valid` says, and boxes meet.
     """
-    if "geom" in polygons.columns:
-        wanted = polygons.withColumn("year", prediction_year()).where("year is not null")
-        wanted = valid_only(wanted.where(lacks_coverage()) if only_missing else wanted)
-        return polygons_on_grid(wanted.select("year", "geom", "x0", "y0", "x1", "y1"), grid).select("year", "x_tile", "y_tile").distinct()
-    wanted = polygons.where("valid").withColumn("year", prediction_year()).where("year is not null")
-    if only_missing:
-        wanted = wanted.where(lacks_coverage())
+    own = "geom" in polygons.columns
+    wanted = dated(polygons if own else polygons.where("valid"))
+    wanted = wanted.where(lacks_coverage()) if only_missing else wanted
+    if own:
+        return polygons_on_grid(valid_only(wanted).select("year", "geom", "x0", "y0", "x1", "y1"), grid).select("year", "x_tile", "y_tile").distinct()
     return boxes_on_grid(wanted.select("year", "x0", "y0", "x1", "y1"), grid).select("year", "x_tile", "y_tile").distinct()
 
 
@@ -116,27 +115,40 @@ def requested_pairs(polygons: DataFrame, requests: DataFrame) -> DataFrame:
     return polygons.withColumn("r_year", F.year("plantstart")).join(r, ["project_id", "r_year"], "left_semi").drop("r_year")
 
 
-FORBIDDEN = ("drop", "delete", "insert", "update", "alter", "create", "attach", "copy")
+#: The keywords that a free predicate must not hold.
+FORBIDDEN = ("DROP", "DELETE", "INSERT", "UPDATE", "ALTER", "CREATE", "TRUNCATE", "GRANT", "REVOKE", "ATTACH", "COPY", "PRAGMA")
+#: The column that each list of alternatives is about.
+LISTS = {"projects": "project_id", "short_names": "short_name", "frameworks": "framework_key", "ids": "poly_uuid"}
 
 
 def checked_predicate(text: str) -> str:
     """A free predicate, refused where it holds a semicolon or a statement's keyword."""
-    words = set("".join(c if c.isalnum() or c == "_" else " " for c in text.lower()).split())
+    words = set("".join(c if c.isalnum() or c == "_" else " " for c in text.upper()).split())
     if ";" in text or words & set(FORBIDDEN):
         raise ValueError(f"not a predicate: {text!r}")
     return text
 
 
+def single_tests(cohorts=(), where: str | None = None, **lists) -> list[tuple[str, str, Column]]:
+    """(condition, value, test) for each value of each condition; lists are named as in LISTS."""
+    tests = [(LISTS[name], v, F.col(LISTS[name]) == v) for name, values in lists.items() for v in values]
+    tests += [("cohort", v, F.array_contains("cohort", v)) for v in cohorts]
+    return tests + ([("predicate", where, F.expr(checked_predicate(where)))] if where else [])
+
+
+def all_tests(**filters) -> Column:
+    """Whether all conditions hold: a list's by any one of its values, cohorts by any one of a polygon's."""
+    by_condition: dict[str, Column] = {}
+    for condition, _, test in single_tests(**filters):
+        by_condition[condition] = by_condition[condition] | test if condition in by_condition else test
+    if not by_condition:
+        raise ValueError("give at least one condition")
+    return reduce(lambda a, b: a & b, by_condition.values())
+
+
 def filtered(polygons: DataFrame, projects=(), short_names=(), frameworks=(), ids=(), cohorts=(), where: str | None = None) -> DataFrame:
     """Polygons for which all given conditions hold: lists are alternatives, cohorts any one of a polygon's."""
-    tests = [F.col(c).isin(*v) for c, v in (("project_id", projects), ("short_name", short_names), ("framework_key", frameworks), ("poly_uuid", ids)) if v]
-    if cohorts:
-        tests.append(F.arrays_overlap("cohort", F.array(*map(F.lit, cohorts))))
-    if where:
-        tests.append(F.expr(checked_predicate(where)))
-    if not tests:
-        raise ValueError("give at least one condition")
-    return polygons.where(reduce(lambda a, b: a & b, tests))
+    return polygons.where(all_tests(projects=projects, short_names=short_names, frameworks=frameworks, ids=ids, cohorts=cohorts, where=where))
 
 
 def without_year(polygons: DataFrame) -> DataFrame:

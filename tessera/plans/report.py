@@ -15,6 +15,14 @@ def status_report(polygons: DataFrame, grid: DataFrame, objects: DataFrame, sour
     return {"scope": coverage.scope(chosen), "coverage": coverage.coverage(chosen), "needed": needed, "presence": inventory.by_year(needed, objects, sources)}
 
 
+def filter_effects(polygons: DataFrame, **filters) -> DataFrame:
+    """(condition, value, polygons): how many polygons each value of `tiles.filtered`'s conditions picks by itself, and in the
+    last row all of them together. One pass over the polygons; the rows are as many as values were given, for `markdown` to show."""
+    tests = [*tiles.single_tests(**filters), ("all conditions", None, tiles.all_tests(**filters))]
+    rows = F.array(*[F.struct(F.lit(c).alias("condition"), F.lit(v).cast("string").alias("value"), F.count_if(t).alias("polygons")) for c, v, t in tests])
+    return polygons.agg(rows.alias("rows")).select(F.inline("rows"))
+
+
 def project_run(polygons: DataFrame, grid: DataFrame, objects: DataFrame, sources: tuple[str, ...] = ("s1", "dem"), missing_only: bool = False) -> dict[str, DataFrame]:
     """What a project's run has to do: polygons, tiles, those ready to predict and those to fetch first."""
     chosen = tiles.without_year(polygons) if missing_only else polygons
@@ -26,8 +34,10 @@ def project_run(polygons: DataFrame, grid: DataFrame, objects: DataFrame, source
 def statistics(boxes: DataFrame, pixels: DataFrame, key: str, details: DataFrame, intervals: DataFrame, regions: DataFrame, shift: float) -> DataFrame:
     """Means and all four errors of sites in one plan: details has key, area, category and the site's centre (x, y).
 
-    regions: place, geom and intervals of the sub-regions; the first that holds the centre counts.
+    regions: place, geom and intervals of the sub-regions; the first that holds the centre counts. Of several rows of
+    details that share a key the first by `place` counts where there is such a column, else the least.
     """
+    details = zonal.first_of(details, key)
     fields = ("p_lower_95", "p_upper_95", "r_lower_95", "r_upper_95")
     found = zonal.first_region(details.select(key, "x", "y"), regions, key)
     sub = found.select(key, F.when(F.col("place").isNotNull(), F.struct(*fields)).alias("sub"))

@@ -81,6 +81,7 @@ def availability_text(presence: DataFrame, place: str) -> DataFrame:
     sources = [s for s in ARD_SOURCES if s in presence.columns]
     named = [(s, source_key(s, *c)) for s in sources] + ([("prediction", prediction_key(*c))] if "prediction" in presence.columns else [])
     width = max((len(n) for n, _ in named), default=0)
+    # The wording and widths of the text.
     mark = lambda s: F.rpad(F.when(F.col(s), "present").otherwise("MISSING"), 8, " ")
     head = F.concat(F.lit("Tile "), tile_tag(c[1], c[2]), F.lit("  |  year "), c[0].cast("string"), F.lit(f"  |  {place}"))
     rule = F.expr("repeat('-', greatest(48, length(head)))")
@@ -90,18 +91,3 @@ def availability_text(presence: DataFrame, place: str) -> DataFrame:
     if "prediction" in presence.columns:
         tail.append(F.when(F.col("prediction"), "Prediction: present").otherwise("Prediction: not generated"))
     return presence.withColumn("head", head).select("year", "x_tile", "y_tile", F.concat_ws("\n", "head", rule, *lines, rule, *tail).alias("text"))
-
-
-def filter_text(csv: str | None = None, csv_rows: int = 0, projects=(), short_names=(), frameworks=(), ids=(), cohorts=(), where: str | None = None) -> str:
-    """What a report's filter says, in words."""
-    parts = [f"CSV `{csv}` ({csv_rows} rows)"] if csv else []
-    for name, values in (("project_id", [p[:12] + "..." for p in projects]), ("short_name", short_names), ("framework_key", frameworks)):
-        if values:
-            parts.append(f"{name} in [{', '.join(values)}]")
-    if ids:
-        parts.append(f"poly_uuid in [{', '.join(ids) if len(ids) <= 3 else f'{len(ids)} uuids'}]")
-    if cohorts:
-        parts.append(f"cohort contains any of [{', '.join(cohorts)}]")
-    if where:
-        parts.append(f"where `{where}`")
-    return " + ".join(parts)

@@ -360,7 +360,6 @@ def test_runs_are_written_and_updated(spark, sf):
     assert [(r.run_id, r.version) for r in runs.run_ids(spark, at).collect()] == [("r2", 0), ("r1", 1)] and runs.run_ids(spark, at, 1).count() == 1
     text = runs.availability_text(spark.createDataFrame([(2023, 5, 7, True, False, True)], "year int, x_tile int, y_tile int, dem boolean, s1 boolean, prediction boolean"), "s3://x").first().text.split("\n")
     assert text[0] == "Tile 5X7Y  |  year 2023  |  s3://x" and text[1] == "-" * 48 and text[3].startswith("  s1          MISSING   2023/raw/5/7/raw/s1/") and text[-2:] == ["Raw ARD:    1/2 sources present", "Prediction: present"]
-    assert runs.filter_text(projects=["0123456789abcdef"], ids=list("abcd"), where="x > 1") == "project_id in [0123456789ab...] + poly_uuid in [4 uuids] + where `x > 1`"
 
 
 def test_inputs_of_all_kinds(spark, sf):
