@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.fixtures import view, with_views
-from tessera.operators import clouds, components, geometry, raster, stack, terrain, tiles, tracking, zonal
+from tessera.operators import clouds, components, geometry, raster, regression, stack, terrain, tiles, tracking, zonal
 
 from .pixels import RASTER, SIDE, site_raster, tile_side
 
@@ -199,6 +199,32 @@ def interpolation_weights(spark, d):
     return clouds.interpolation_weights(flagged).select("tile", "t", "r", "c", F.round("interp", 6).alias("interp"))
 
 
+#: Features of a band in SQL: the mosaic's, those of lower bands clipped, and snow.
+FEATURES_SQL = ", ".join(f"case when band > {j} then least(greatest(m{j}, 0.005), 1.0) else m{j} end" for j in range(10))
+
+
+@query("regression_sums", f"""with p as (select *, case when b0 > 0.3 then 0.5 else 0 end as interp, (r * 31 + c * 17 + t * 13) % 101 as o from {SCENE}),
+  g as (select tile, r, c, coalesce((median(b1) - median(b3)) / nullif(median(b1) + median(b3), 0) > 0, false) as water,
+    avg(case when coalesce((b1 - b8) / nullif(b1 + b8, 0) > 0.1 and b3 >= 0.1 and b0 >= 0.1 and coalesce(b0 / nullif(b2, 0) >= 0.75, true), false) then 1.0 else 0.0 end) as snow,
+    {', '.join(f'(min(b{i}) + max(b{i})) / 2 as m{i}' for i in range(10))} from p group by 1, 2, 3),
+  i as (select *, row_number() over (partition by tile order by t) as k, count(*) over (partition by tile) as n from (select tile, t, count(*) filter (interp = 0) as clear, count(*) filter (interp > 0) as gap from p group by 1, 2)),
+  d as (select a.tile, a.t as date, b.t from i a join i b on a.tile = b.tile and b.k between a.k - case when a.k = a.n then 2 else 1 end and a.k + 1 where a.clear > 0 and a.gap > 0),
+  e as (select date, p.*, g.* exclude (tile, r, c), least(greatest(2.5 * (nir - red) / nullif(nir + 6 * red - 7.5 * blue + 1, 0), -1.5), 1.5) as evi from (select *, {CL('b0')} as blue, {CL('b2')} as red, {CL('b3')} as nir from p) p join d using (tile, t) join g using (tile, r, c) where interp = 0 and not water),
+  q as (select tile, date, count(*) as n, {', '.join(f'quantile_cont(evi, {x}) as q{int(100 * x)}' for x in (0.02, 0.2, 0.4, 0.6, 0.8, 0.98))} from e group by 1, 2),
+  f as (select e.*, q.* exclude (tile, date), case when evi >= q80 then 4 when evi >= q60 then 3 when evi >= q40 then 2 when evi >= q20 then 1 else 0 end as fifth from e join q using (tile, date) where evi is not null),
+  s as (select *, case when row_number() over (partition by tile, date, fifth order by o, t, r, c) <= floor(n / 5) then 1 else 0 end + 10 * (evi < q2)::int + 10 * (evi >= q98)::int as w from f),
+  x as (select tile, date, band, w, [{FEATURES_SQL}, snow] as xs, [{', '.join(f'b{i}' for i in range(10))}][band + 1] as y from s, (select unnest(range(10)) as band) where w > 0)
+  select tile, date, cast(band as int) as band, cast(i as int) as i, {', '.join(f'round(sum(w * xs[i + 1] * xs[{j + 1}]), 5) as s{j}' for j in range(11))}, round(sum(w * xs[i + 1] * y), 5) as y from x, (select unnest(range(11)) as i) group by 1, 2, 3, 4""")
+def regression_sums(spark, d):
+    """The normal equations by which each cloudy image's gaps are fitted to a mosaic, for all bands."""
+    p = scene(spark, d).withColumn("interp", F.when(F.col("b0") > 0.3, 0.5).otherwise(0.0))
+    mosaic = p.groupBy("tile", "r", "c").agg(*[((F.min(f"b{i}") + F.max(f"b{i}")) / 2).alias(f"m{i}") for i in range(10)])
+    ground = mosaic.join(regression.places(p), ["tile", "r", "c"])
+    order = (F.col("r") * 31 + F.col("c") * 17 + F.col("t") * 13) % 101
+    sums = regression.band_sums(regression.product_sums(regression.samples(p, ground, order)))
+    return sums.select("tile", "date", "band", "i", *[F.round(c, 5).alias(c) for c in (*[f"s{j}" for j in range(11)], "y")])
+
+
 @query("noise_clouds", f"""with p as (select tile, t, r, c, (b0 > 0.01) and ((r + c) % 2 = 0 or b1 > 0.3) as f from {SCENE}),
   n as (select a.tile, a.t, a.r, a.c, a.f, a.f and count(*) = 9 and count(*) filter (b.f) <= 1 as alone from p a join p b on a.tile = b.tile and a.t = b.t and abs(a.r - b.r) <= 1 and abs(a.c - b.c) <= 1 group by 1, 2, 3, 4, 5),
   m as (select *, bool_and(f) over (partition by tile, r, c) as always from n), o as (select *, min(t) filter (alone and always) over (partition by tile, r, c) as first from m)
