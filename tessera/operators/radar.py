@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from . import overlay
+
 
 def filled_points(points: DataFrame, value: str) -> DataFrame:
     """A grid's points (line, pixel, value, a few hundred) with nulls filled from the nearest point, in steps of the grid."""
@@ -87,3 +89,12 @@ def covered_share(footprints: DataFrame, keys: list[str], box: Column) -> DataFr
     area = (F.col("_box.e") - F.col("_box.w")) * (F.col("_box.n") - F.col("_box.s"))
     sums = added.groupBy(*keys).agg(F.try_divide(F.sum("_added"), F.max(area)).alias("share"))
     return footprints.select(*keys).distinct().join(sums, keys, "left").withColumn("share", F.coalesce("share", F.lit(0.0)))
+
+
+def footprint_coverage(footprints: DataFrame, day: str, side: float, geom: str = "geom") -> DataFrame:
+    """(day, x_tile, y_tile, share): the part of each tile (a square of side `side`) that the union of a day's footprints covers.
+
+    footprints: polygons as well-known binary in the tiles' units. Tiles that a day's footprints don't enter have no row.
+    """
+    found = overlay.square_unions(footprints, day, side, geom)
+    return found.select(F.col("g").alias(day), F.col("i").alias("x_tile"), F.col("j").alias("y_tile"), (F.col("area") / (side * side)).alias("share"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions.scalars import buffered
 
-from . import geometry
+from . import geometry, overlay
 from .raster import NODATA
 
 #: Least part of a pixel that counts, eight directions of shift, limit of a small site in hectares.
@@ -193,13 +193,16 @@ def first_region(points: DataFrame, regions: DataFrame, key: str, cell: float =
     return points.select(key).distinct().join(inside, key, "left").select(key, *[F.col(f"found.{c}").alias(c) for c in rest])
 
 
-def sub_regions(countries: DataFrame, intervals: DataFrame) -> DataFrame:
+def sub_regions(countries: DataFrame, intervals: DataFrame, cell: float | None = None) -> DataFrame:
     """Regions for `first_region`: a row for each country (subregion, geom) whose sub-region has an interval (category and the
-    four bounds). Countries aren't merged: a region holds a point where one of its countries does. place is the order of names."""
+    four bounds), or with `cell` a row for each sub-region, its countries merged square by square of that side. place is the
+    order of names."""
     fields = ("p_lower_95", "p_upper_95", "r_lower_95", "r_upper_95")
-    return countries.join(intervals.select(F.col("category").alias("subregion"), *fields), "subregion").select(
-        F.col("subregion").alias("place"), F.col("subregion").alias("region"), "geom", *fields
-    )
+    named = countries.join(intervals.select(F.col("category").alias("subregion"), *fields), "subregion")
+    if cell:
+        whole = overlay.dissolved(named, "subregion", cell).drop("area")
+        named = whole.join(named.select("subregion", *fields).distinct(), "subregion")
+    return named.select(F.col("subregion").alias("place"), F.col("subregion").alias("region"), "geom", *fields)
 
 
 def within_bounds(pixels: DataFrame, boxes: DataFrame, metres: float = 500.0) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.fixtures import view, with_views
-from tessera.operators import clouds, components, geometry, raster, regression, stack, terrain, tiles, tracking, zonal
+from tessera.operators import clouds, components, geometry, overlay, radar, raster, regression, stack, terrain, tiles, tracking, zonal
 
 from .pixels import RASTER, SIDE, site_raster, tile_side
 
@@ -280,6 +280,29 @@ def polygon_tiles(spark, d):
     return tiles.polygons_on_grid(p, view(spark, d, "v_grid")).select("k", "x_tile", "y_tile")
 
 
+#: Polygons as triangles with a long side along a diagonal, on one side of it or the other, and the half squares that they hold.
+HALVES = """(select framework_key, plantstart, x + i as i, y + j as j, h from (select framework_key, plantstart, k % 2 as up, 1 + k % 30 as n, cast(floor(x0 / 10) as int) as x, cast(floor(y0 / 10) as int) as y from v_polys),
+  lateral (select unnest(range(n)) as i), lateral (select unnest(range(n)) as j), (select unnest([0, 1]) as h) where case when up = 1 then j > i or (i = j and h = 1) else j < i or (i = j and h = 0) end)"""
+
+
+def diagonal_triangles(spark, d):
+    x, y, n = F.floor(F.col("x0") / 10).cast("double"), F.floor(F.col("y0") / 10).cast("double"), (1 + F.col("k") % 30).cast("double")
+    ring = lambda *points: F.array(F.array(F.array(*[F.array(*p) for p in (*points, points[0])])))
+    up, low = ring((x, y), (x + n, y + n), (x, y + n)), ring((x, y), (x + n, y), (x + n, y + n))
+    return view(spark, d, "v_polys").select("k", "framework_key", F.year("plantstart").alias("year"), geometry.wkb(F.when(F.col("k") % 2 == 1, up).otherwise(low)).alias("geom"))
+
+
+@query("union_areas", f"select framework_key, round(count(*) / 2, 6) as area from (select distinct framework_key, i, j, h from {HALVES}) group by 1")
+def union_areas(spark, d):
+    """The area that each framework's polygons cover together, overlaps once."""
+    return overlay.union_areas(diagonal_triangles(spark, d), "framework_key", 64.0).withColumn("area", F.round("area", 6))
+
+
+@query("footprint_coverage", f"select year, cast(floor(i / 40) as bigint) as x_tile, cast(floor(j / 40) as bigint) as y_tile, round(count(*) / 3200, 6) as share from (select distinct cast(year(plantstart) as int) as year, i, j, h from {HALVES}) group by 1, 2, 3")
+def footprint_coverage(spark, d):
+    return radar.footprint_coverage(diagonal_triangles(spark, d), "year", 40.0).withColumn("share", F.round("share", 6))
+
+
 @query("largest_clusters", """with recursive m as (select k, project_id, x_tile, y_tile from v_polys, v_grid where x0 <= x_tile * 200 + 200 and x1 >= x_tile * 200 and y0 <= y_tile * 200 + 200 and y1 >= y_tile * 200),
   e as (select distinct a.k as a, b.k as b from m a join m b using (project_id, x_tile, y_tile)), c(k, other) as (select distinct k, k from m union select c.k, e.b from c join e on c.other = e.a),
   l as (select k, min(other) as cluster from c group by k) select cluster, min(x0) as x0, min(y0) as y0, max(x1) as x1, max(y1) as y1, count(*) as n from l join v_polys using (k) group by 1""")
