@@ -96,5 +96,5 @@ def footprint_coverage(footprints: DataFrame, day: str, side: float, geom: str =
 
     footprints: polygons as well-known binary in the tiles' units. Tiles that a day's footprints don't enter have no row.
     """
-    found = overlay.square_unions(footprints, day, side, geom)
+    found = overlay.square_unions(footprints, day, side, geom).where("area > 0")
     return found.select(F.col("g").alias(day), F.col("i").alias("x_tile"), F.col("j").alias("y_tile"), (F.col("area") / (side * side)).alias("share"))
