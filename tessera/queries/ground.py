@@ -298,9 +298,9 @@ def union_areas(spark, d):
     return overlay.union_areas(diagonal_triangles(spark, d), "framework_key", 64.0).withColumn("area", F.round("area", 6))
 
 
-@query("footprint_coverage", f"select year, cast(floor(i / 40) as bigint) as x_tile, cast(floor(j / 40) as bigint) as y_tile, round(count(*) / 3200, 6) as share from (select distinct cast(year(plantstart) as int) as year, i, j, h from {HALVES}) group by 1, 2, 3")
+@query("footprint_coverage", f"select year, cast(floor(i / 40) as bigint) as x_tile, cast(floor(j / 40) as bigint) as y_tile, round(count(*) / 3200, 8) as share from (select distinct cast(year(plantstart) as int) as year, i, j, h from {HALVES}) group by 1, 2, 3")
 def footprint_coverage(spark, d):
-    return radar.footprint_coverage(diagonal_triangles(spark, d), "year", 40.0).withColumn("share", F.round("share", 6))
+    return radar.footprint_coverage(diagonal_triangles(spark, d), "year", 40.0).withColumn("share", F.round("share", 8))
 
 
 @query("largest_clusters", """with recursive m as (select k, project_id, x_tile, y_tile from v_polys, v_grid where x0 <= x_tile * 200 + 200 and x1 >= x_tile * 200 and y0 <= y_tile * 200 + 200 and y1 >= y_tile * 200),
