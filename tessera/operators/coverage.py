@@ -17,14 +17,14 @@ def scope(polygons: DataFrame) -> DataFrame:
 
 
 def coverage(polygons: DataFrame) -> DataFrame:
-    """By label: polygons with a value for their year, for other years only, and without any.
+    """By label: polygons with a value for their year, for other years only, and without any; most missing first, then by label.
 
     An undated polygon that has values is neither right nor wrong, so the three need not add up to the total.
     """
     has = F.map_contains_key("ttc", prediction_year())
     return polygons.groupBy(F.coalesce("short_name", "project_id").alias("label")).agg(
         F.count("*").alias("total"), F.count_if(~lacks_coverage() & has).alias("correct_yr"), F.count_if(~lacks_coverage() & ~has).alias("wrong_yr"), F.count_if(lacks_coverage()).alias("missing")
-    )
+    ).orderBy(F.desc("missing"), "label")
 
 
 def missing_summary(polygons: DataFrame) -> DataFrame:

@@ -129,6 +129,8 @@ def contains(parts: list[list[np.ndarray]], x: float, y: float) -> bool:
 def clipped(ring: np.ndarray, w: float, s: float, e: float, n: float) -> np.ndarray:
     """A ring cut to a rectangle, side after side."""
     for axis, limit, sign in ((0, w, 1), (0, e, -1), (1, s, 1), (1, n, -1)):
+        if np.isinf(limit):
+            continue
         if len(ring) < 2:
             return ring[:0]
         keep = sign * (ring[:, axis] - limit) >= 0
@@ -142,6 +144,12 @@ def clipped(ring: np.ndarray, w: float, s: float, e: float, n: float) -> np.ndar
     return ring
 
 
+def cut_to(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: float) -> list[list[np.ndarray]]:
+    """Polygons cut to a rectangle, whose sides may be infinite; what has no area left is left out."""
+    cut = [[clipped(r, w, s, e, n) for r in rings] for rings in parts]
+    return [[r for r in rings if len(r) > 3] for rings in cut if len(rings[0]) > 3]
+
+
 def clip_area(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: float) -> float:
     total = 0.0
     for rings in parts:
@@ -153,15 +161,8 @@ def clip_area(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: fl
 
 def meets_box(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: float) -> bool:
     """Whether polygons and a closed rectangle have a point in common: an edge enters it, or they hold its corner."""
-    for rings in parts:
-        for ring in rings:
-            a, d = ring[:-1], np.diff(ring, axis=0)
-            with np.errstate(divide="ignore", invalid="ignore"):
-                near, far = (np.array([w, s]) - a) / d, (np.array([e, n]) - a) / d
-            flat, inside = d == 0, (a >= [w, s]) & (a <= [e, n])
-            enter, leave = np.where(flat, np.where(inside, -np.inf, np.inf), np.minimum(near, far)), np.where(flat, np.where(inside, np.inf, -np.inf), np.maximum(near, far))
-            if (np.maximum(enter.max(1), 0) <= np.minimum(leave.min(1), 1)).any():
-                return True
+    if any(entering(np.hstack([ring[:-1], ring[1:]]), w, s, e, n).any() for rings in parts for ring in rings):
+        return True
     return contains(parts, w, s)
 
 
@@ -231,6 +232,90 @@ def coverage(parts: list[list[np.ndarray]], c0: int, r0: int, width: int, height
     return np.cumsum(out, 1)[:, :width]
 
 
+def entering(edges: np.ndarray, w: float, s: float, e: float, n: float) -> np.ndarray:
+    """Which edges (x0, y0, x1, y1) have a point in a closed rectangle."""
+    a, d = edges[:, :2], edges[:, 2:] - edges[:, :2]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        near, far = (np.array([w, s]) - a) / d, (np.array([e, n]) - a) / d
+    flat, inside = d == 0, (a >= [w, s]) & (a <= [e, n])
+    enter, leave = np.where(flat, np.where(inside, -np.inf, np.inf), np.minimum(near, far)), np.where(flat, np.where(inside, np.inf, -np.inf), np.maximum(near, far))
+    return np.maximum(enter.max(1), 0) <= np.minimum(leave.min(1), 1)
+
+
+def cover(parts: list[list[np.ndarray]], side: float) -> tuple[np.ndarray, np.ndarray]:
+    """The cells (i, j) of side `side` that polygons meet, their closed edges included, and whether an edge enters each.
+
+    Squares of cells are halved both ways as long as an edge enters them; one that no edge enters is inside or outside as a
+    whole. So the work grows with the boundary, and only the result with the area. Each square looks at the edges that
+    entered the one around it, and at those of its own rows to tell inside from outside.
+    """
+    rings = [r for rings in parts for r in rings if len(r) > 1]
+    if not rings:
+        return np.zeros((0, 2), np.int64), np.zeros(0, bool)
+    edges = np.concatenate([np.hstack([r[:-1], r[1:]]) for r in rings])
+    every = np.concatenate(rings)
+    low, high = np.ceil(every.min(0) / side).astype(int) - 1, np.floor(every.max(0) / side).astype(int)
+    cells, crossed = [np.zeros((0, 2), np.int64)], [np.zeros(0, bool)]
+    stack = [(*low, 1 << int((high - low).max()).bit_length(), edges, edges)]
+    while stack:
+        i, j, n, near, rows = stack.pop()
+        if i > high[0] or j > high[1]:
+            continue
+        w, s, e, t = i * side, j * side, (i + n) * side, (j + n) * side
+        near = near[entering(near, w, s, e, t)]
+        rows = rows[(np.minimum(rows[:, 1], rows[:, 3]) <= t) & (np.maximum(rows[:, 1], rows[:, 3]) >= s)]
+        if len(near) and n > 1:
+            h = n // 2
+            stack += [(i + a * h, j + b * h, h, near, rows) for a in (0, 1) for b in (0, 1)]
+        elif len(near) or odd_right(rows, (w + e) / 2, (s + t) / 2):
+            at = np.stack(np.meshgrid(np.arange(i, i + n), np.arange(j, j + n), indexing="ij"), -1).reshape(-1, 2)
+            cells.append(at)
+            crossed.append(np.full(len(at), bool(len(near))))
+    return np.concatenate(cells), np.concatenate(crossed)
+
+
+def odd_right(edges: np.ndarray, x: float, y: float) -> bool:
+    """Whether an odd number of edges is to the right of a point: it is inside, by the even-odd rule."""
+    up = edges[(edges[:, 1] > y) != (edges[:, 3] > y)]
+    return bool((x < (up[:, 2] - up[:, 0]) * (y - up[:, 1]) / (up[:, 3] - up[:, 1]) + up[:, 0]).sum() % 2)
+
+
+def cells_met(geom: Column, side: float) -> Column:
+    """array of (i, j): the cells of side `side` that a geometry meets or touches; empty where it can't be read."""
+
+    @F.pandas_udf("array<struct<i: int, j: int>>")
+    def met(values: pd.Series) -> pd.Series:
+        return pd.Series([[{"i": int(i), "j": int(j)} for i, j in cover(parts_of(v), side)[0]] for v in values])
+
+    return met(geom)
+
+
+def cell_pieces(geom: Column, side: float) -> Column:
+    """array of (i, j, piece): the cells that a geometry has a part of; piece (well-known binary) is its part of a cell that an edge
+    enters, null where it fills the cell. A point of the cell is in the geometry if it is in the piece."""
+
+    @F.pandas_udf("array<struct<i: long, j: long, piece: binary>>")
+    def split(values: pd.Series) -> pd.Series:
+        out = []
+        for v in values:
+            parts, found = parts_of(v), []
+            cells, crossed = cover(parts, side)
+            strips: dict[int, list] = {}
+            for (i, j), edge in zip(cells.tolist(), crossed.tolist(), strict=True):
+                if not edge:
+                    found.append({"i": i, "j": j, "piece": None})
+                    continue
+                if j not in strips:
+                    strips[j] = cut_to(parts, -np.inf, j * side, np.inf, (j + 1) * side)
+                own = cut_to(strips[j], i * side, -np.inf, (i + 1) * side, np.inf)
+                if own:
+                    found.append({"i": i, "j": j, "piece": wkb_of(own)})
+            out.append(found)
+        return pd.Series(out)
+
+    return split(geom)
+
+
 def described(df: DataFrame, geom: str = "geom") -> DataFrame:
     """df with status, hectares (Mollweide), cx, cy and the bounds w, s, e, n of each geometry, in place of columns of these
     names; nulls where it can't be read."""

@@ -27,11 +27,6 @@ def edges_of(parts: list[list[np.ndarray]]) -> np.ndarray:
     return edges[(edges[:, :2] != edges[:, 2:]).any(1)]
 
 
-def cut_to(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: float) -> list[list[np.ndarray]]:
-    cut = [[geometry.clipped(r, w, s, e, n) for r in rings] for rings in parts]
-    return [[r for r in rings if len(r) > 3] for rings in cut if len(rings[0]) > 3]
-
-
 def crossings(edges: np.ndarray) -> np.ndarray:
     """The x of all points in which two edges cross."""
     a, d = edges[:, :2], edges[:, 2:] - edges[:, :2]
@@ -115,7 +110,7 @@ def united(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: float
     if len(edges) <= MOST_EDGES or deep == DEEPEST:
         return swept(edges) if len(edges) else (0.0, np.zeros((0, 4)))
     x, y = (w + e) / 2, (s + n) / 2
-    found = [united(cut_to(parts, *box), *box, deep + 1) for box in ((w, s, x, y), (x, s, e, y), (w, y, x, n), (x, y, e, n))]
+    found = [united(geometry.cut_to(parts, *box), *box, deep + 1) for box in ((w, s, x, y), (x, s, e, y), (w, y, x, n), (x, y, e, n))]
     return sum(a for a, _ in found), np.concatenate([b for _, b in found])
 
 
@@ -135,9 +130,9 @@ def pieces(polygons: DataFrame, group: str, cell: float, geom: str = "geom") ->
                 every = np.concatenate([r for p in parts for r in p])
                 low, high = np.floor(every.min(0) / cell).astype(int), np.floor(every.max(0) / cell).astype(int)
                 for j in range(low[1], high[1] + 1):
-                    row = cut_to(parts, -np.inf, j * cell, np.inf, (j + 1) * cell) if high[1] > low[1] else parts
+                    row = geometry.cut_to(parts, -np.inf, j * cell, np.inf, (j + 1) * cell) if high[1] > low[1] else parts
                     for i in range(low[0], high[0] + 1) if row else ():
-                        own = cut_to(row, i * cell, -np.inf, (i + 1) * cell, np.inf) if high[0] > low[0] else row
+                        own = geometry.cut_to(row, i * cell, -np.inf, (i + 1) * cell, np.inf) if high[0] > low[0] else row
                         if own:
                             keys.append(k)
                             at_i.append(i)

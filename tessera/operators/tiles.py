@@ -55,14 +55,13 @@ def boxes_on_grid(boxes: DataFrame, grid: DataFrame) -> DataFrame:
 
 
 def polygons_on_grid(polygons: DataFrame, grid: DataFrame, geom: str = "geom") -> DataFrame:
-    """polygons (well-known binary and its envelope x0, y0, x1, y1) joined to the grid tiles that they meet or touch.
+    """polygons (well-known binary) joined to the grid tiles that they meet or touch.
 
-    Tiles are found by the envelope's cells, and the polygon itself is tested against each; one whose envelope lies
-    within the tile, or that fills its own envelope's only tile, is tested like the others.
+    A quadtree over each polygon gives its tiles (see geometry.cover), so the join is by equality of tiles and needs no
+    test; a geometry goes along only where the result's columns are asked for it.
     """
-    near = boxes_on_grid(polygons, grid)
-    w, s = F.col("x_tile") * SIDE, F.col("y_tile") * SIDE
-    return near.where(geometry.meets(F.col(geom), w, s, w + SIDE, s + SIDE))
+    cells = polygons.select("*", F.explode(geometry.cells_met(F.col(geom), SIDE)).alias("_cell"))
+    return cells.select(*polygons.columns, F.col("_cell.i").alias("x_tile"), F.col("_cell.j").alias("y_tile")).join(grid, ["x_tile", "y_tile"])
 
 
 def valid_only(polygons: DataFrame, geom: str = "geom") -> DataFrame:
@@ -98,7 +97,7 @@ def needed_tiles(polygons: DataFrame, grid: DataFrame, only_missing: bool = True
     wanted = dated(polygons if own else polygons.where("valid"))
     wanted = wanted.where(lacks_coverage()) if only_missing else wanted
     if own:
-        return polygons_on_grid(valid_only(wanted).select("year", "geom", "x0", "y0", "x1", "y1"), grid).select("year", "x_tile", "y_tile").distinct()
+        return polygons_on_grid(valid_only(wanted).select("year", "geom"), grid).select("year", "x_tile", "y_tile").distinct()
     return boxes_on_grid(wanted.select("year", "x0", "y0", "x1", "y1"), grid).select("year", "x_tile", "y_tile").distinct()
 
 

@@ -180,16 +180,15 @@ CELL = 500.0
 def first_region(points: DataFrame, regions: DataFrame, key: str, cell: float = CELL) -> DataFrame:
     """(key, and regions' columns but geom): the first region (by place) that holds a point (key, x, y); nulls without one.
 
-    regions: place, geom (polygons as well-known binary) and any other columns. A region is spread over the squares of
-    its envelope, so the join is by equality of squares and neither side need be small; the polygon itself is then tested.
+    regions: place, geom (polygons as well-known binary) and any other columns. A region is spread over the squares that
+    it has a part of: squares inside carry its key alone, those on its edge also the piece of it in them, against which
+    the points there are tested. So the join is by equality of squares, and what it shuffles grows with regions' edges.
     """
     at = lambda c: F.floor(F.col(c) / cell).cast("long")
     rest = [c for c in regions.columns if c != "geom"]
-    boxed = regions.select(F.struct(*rest).alias("found"), "geom", geometry.envelope(F.col("geom")).alias("_e")).where("_e.w is not null").select("found", "geom", "_e.*")
-    squares = lambda a, b: F.explode(F.sequence(at(a), at(b)))
-    spread = boxed.select("*", squares("w", "e").alias("_i")).select("*", squares("s", "n").alias("_j"))
-    met = points.select(key, "x", "y", at("x").alias("_i"), at("y").alias("_j")).join(spread, ["_i", "_j"]).where("x >= w and x <= e and y >= s and y <= n")
-    inside = met.where(geometry.within(F.col("geom"), F.col("x"), F.col("y"))).groupBy(key).agg(F.min("found").alias("found"))
+    spread = regions.select(F.struct(*rest).alias("found"), F.inline(geometry.cell_pieces(F.col("geom"), cell)))
+    met = points.select(key, "x", "y", at("x").alias("i"), at("y").alias("j")).join(spread, ["i", "j"])
+    inside = met.where(F.col("piece").isNull() | geometry.within(F.col("piece"), F.col("x"), F.col("y"))).groupBy(key).agg(F.min("found").alias("found"))
     return points.select(key).distinct().join(inside, key, "left").select(key, *[F.col(f"found.{c}").alias(c) for c in rest])
 
 

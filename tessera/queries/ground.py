@@ -277,6 +277,7 @@ def polygon_mean(spark, d):
 def polygon_tiles(spark, d):
     corners = [F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")]
     p = view(spark, d, "v_polys").select("k", "x0", "y0", "x1", "y1", triangle_wkb(*corners).alias("geom"))
+    p = p.repartition(spark.sparkContext.defaultParallelism, "k")  # the table is one file
     return tiles.polygons_on_grid(p, view(spark, d, "v_grid")).select("k", "x_tile", "y_tile")
 
 

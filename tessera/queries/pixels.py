@@ -194,6 +194,16 @@ def gaps_filled(spark, d):
     return temporal.gaps_filled(s, ["pixel"]).select("seq", F.round("v", 8).alias("v"))
 
 
+@query("gaps_cascaded", """with recursive s as (select pixel, band, list(case when v < 0.05 then 0 when v > 0.28 then 1 else v end order by t) as vs, list(t order by t) as ts from v_bands group by 1, 2),
+  f(pixel, band, bad, k, vs) as (select pixel, band, 0, 0, vs from s
+    union all select pixel, band, case when k = len(vs) then 1 else bad end, case when k = len(vs) then 0 else k + 1 end,
+      case when k < len(vs) and vs[k + 1] = bad then list_concat(vs[1:k], [list_aggregate(vs, 'median')], vs[k + 2:]) else vs end from f where bad = 0 or k < len(vs))
+  select pixel, band, unnest(ts) as t, round(unnest(f.vs), 12) as v from f join s using (pixel, band) where bad = 1 and k = len(f.vs)""")
+def gaps_cascaded(spark, d):
+    cut = view(spark, d, "v_bands").withColumn("v", F.when(F.col("v") < 0.05, 0.0).when(F.col("v") > 0.28, 1.0).otherwise(F.col("v")))
+    return temporal.cascading_filled(cut, ["pixel", "band"]).withColumn("v", F.round("v", 12))
+
+
 @query("bad_steps", """with p as (select pixel, t, case when count(*) filter (v < 0.02 or v >= 0.25) > 1 then 1 else 0 end as bad from v_bands group by 1, 2)
   select t, cast(sum(bad) as bigint) as bad, count(*) as n from p group by 1 having sum(bad) * 11 >= count(*)""")
 def bad_steps(spark, d):
