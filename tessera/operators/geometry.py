@@ -82,16 +82,36 @@ def mollweide(points: np.ndarray) -> np.ndarray:
     return RADIUS * np.stack([2 * np.sqrt(2) / np.pi * lon * np.cos(theta), np.sqrt(2) * np.sin(theta)], 1)
 
 
+#: So many pairs of edges are compared at once.
+PAIRS = 1 << 20
+
+
+def near_pairs(edges: np.ndarray):
+    """(i, j) of all pairs of edges (x0, y0, x1, y1) whose bounds meet: a sweep along x, PAIRS at a time."""
+    low, high = np.minimum(edges[:, :2], edges[:, 2:]), np.maximum(edges[:, :2], edges[:, 2:])
+    order = np.argsort(low[:, 0], kind="stable")
+    after = np.searchsorted(low[order, 0], high[order, 0], "right") - np.arange(len(order)) - 1
+    ends = np.cumsum(after)
+    at = 0
+    while at < len(order):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + PAIRS, "right")))
+        n = after[at:to]
+        first = np.repeat(np.arange(at, to), n)
+        i, j = order[first], order[first + 1 + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)]
+        meet = (low[i, 1] <= high[j, 1]) & (low[j, 1] <= high[i, 1])
+        yield i[meet], j[meet]
+        at = to
+
+
 def crosses_itself(ring: np.ndarray) -> bool:
-    """Whether two edges that aren't neighbours meet; x ranges are compared first."""
-    a, b = ring[:-1], ring[1:]
+    """Whether two edges that aren't neighbours meet."""
+    edges, n = np.hstack([ring[:-1], ring[1:]]), len(ring) - 1
     side = lambda p, q, r: np.sign((q[..., 0] - p[..., 0]) * (r[..., 1] - p[..., 1]) - (q[..., 1] - p[..., 1]) * (r[..., 0] - p[..., 0]))
-    for i in range(len(a) - 2):
-        to = len(a) - (i == 0)
-        p, q, c, d = a[i], b[i], a[i + 2 : to], b[i + 2 : to]
-        apart = (np.maximum(c, d) < np.minimum(p, q)).any(1) | (np.minimum(c, d) > np.maximum(p, q)).any(1)
-        c, d = c[~apart], d[~apart]
-        if len(c) and ((side(p, q, c) * side(p, q, d) <= 0) & (side(c, d, p) * side(c, d, q) <= 0)).any():
+    for i, j in near_pairs(edges):
+        apart = np.abs(i - j)
+        i, j = i[(apart > 1) & (apart < n - 1)], j[(apart > 1) & (apart < n - 1)]
+        p, q, c, d = edges[i, :2], edges[i, 2:], edges[j, :2], edges[j, 2:]
+        if ((side(p, q, c) * side(p, q, d) <= 0) & (side(c, d, p) * side(c, d, q) <= 0)).any():
             return True
     return False
 
@@ -167,10 +187,10 @@ def meets_box(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: fl
 
 
 def repaired(wkb: bytes | None) -> bytes | None:
-    """A polygon with its rings closed and repeated points dropped, of several parts the largest; None where nothing is left.
+    """A polygon with its rings closed, repeated points dropped and crossing rings untangled (see overlay.untangled), of several parts
+    the largest; None where nothing is left. Holes stay with their part."""
+    from .overlay import untangled
 
-    Rings that cross themselves are not untangled (diagnosis names them); holes stay with their part.
-    """
     try:
         _, parts = rings_of(wkb)
     except Exception:  # any damage to the bytes
@@ -185,7 +205,8 @@ def repaired(wkb: bytes | None) -> bytes | None:
                 ring = closed(ring)
             kept.append(ring if len(ring) > 3 else ring[:0])
         if kept and len(kept[0]):
-            sound.append([r for r in kept if len(r)])
+            kept = [r for r in kept if len(r)]
+            sound += untangled(kept) if any(crosses_itself(r) for r in kept) else [kept]
     best = max(sound, key=lambda p: abs(area_centre([p])[0]), default=None)
     return wkb_of([best]) if best and area_centre([best])[0] else None
 

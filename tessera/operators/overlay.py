@@ -29,15 +29,17 @@ def edges_of(parts: list[list[np.ndarray]]) -> np.ndarray:
 
 def crossings(edges: np.ndarray) -> np.ndarray:
     """The x of all points in which two edges cross."""
+    out = [np.zeros(0)]
     a, d = edges[:, :2], edges[:, 2:] - edges[:, :2]
-    cross = d[:, None, 0] * d[None, :, 1] - d[:, None, 1] * d[None, :, 0]
-    off = a[None] - a[:, None]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        t = (off[..., 0] * d[None, :, 1] - off[..., 1] * d[None, :, 0]) / cross
-        u = (off[..., 0] * d[:, None, 1] - off[..., 1] * d[:, None, 0]) / cross
+    for i, j in geometry.near_pairs(edges):
+        cross = d[i, 0] * d[j, 1] - d[i, 1] * d[j, 0]
+        off = a[j] - a[i]
+        with np.errstate(divide="ignore", invalid="ignore"):
+            t = (off[:, 0] * d[j, 1] - off[:, 1] * d[j, 0]) / cross
+            u = (off[:, 0] * d[i, 1] - off[:, 1] * d[i, 0]) / cross
         hit = (cross != 0) & (t > 0) & (t < 1) & (u > 0) & (u < 1)
-    i, _ = np.nonzero(np.triu(hit, 1))
-    return a[i, 0] + d[i, 0] * t[np.triu(hit, 1)]
+        out.append(a[i[hit], 0] + d[i[hit], 0] * t[hit])
+    return np.concatenate(out)
 
 
 def joined(values: np.ndarray) -> np.ndarray:
@@ -46,10 +48,11 @@ def joined(values: np.ndarray) -> np.ndarray:
     return values[np.append(True, np.diff(values) > SNAP)] if len(values) else values
 
 
-def intervals(low: np.ndarray, high: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Of edges in their order upwards: which begin and which end what is inside some polygon (a positive sum of weights)."""
+def intervals(weight: np.ndarray, either: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of edges in their order upwards: which begin and which end what is inside, where the sum of weights is positive, or with
+    `either` not 0."""
     total = np.cumsum(weight)
-    inside = total > 0
+    inside = total != 0 if either else total > 0
     before = np.append(False, inside[:-1])
     return np.flatnonzero(inside & ~before), np.flatnonzero(before & ~inside)
 
@@ -65,11 +68,11 @@ def one_sided(a: list[tuple[float, float]], b: list[tuple[float, float]]) -> lis
     return out
 
 
-def swept(edges: np.ndarray) -> tuple[float, np.ndarray]:
+def swept(edges: np.ndarray, either: bool = False) -> tuple[float, np.ndarray]:
     """The area of the union of polygons with these edges, and its boundary (x0, y0, x1, y1), the inside to the left.
 
     Between two neighbouring x of ends and crossings, edges don't cross: going upwards, the union is where the sum of
-    edges to the right (1) and to the left (-1) is positive. Upright boundaries are where what stands left and right of an
+    edges to the right (1) and to the left (-1) is positive (with `either`: not 0). Upright boundaries are where what stands left and right of an
     x differs. Edges in the same place are taken together, so what two polygons share is no boundary.
     """
     xs = joined(np.concatenate([edges[:, 0], edges[:, 2], crossings(edges)]))
@@ -91,7 +94,7 @@ def swept(edges: np.ndarray) -> tuple[float, np.ndarray]:
             new = np.append(True, (np.abs(np.diff(y0)) > SNAP) | (np.abs(np.diff(y1)) > SNAP)) if len(w) else np.zeros(0, bool)
             first = np.flatnonzero(new)
             y0, y1, w = y0[first], y1[first], np.add.reduceat(w, first) if len(first) else w
-            low, high = intervals(y0, y1, w)
+            low, high = intervals(w, either)
             area += float(((y0[high] - y0[low] + y1[high] - y1[low]) / 2).sum() * (x1 - x0))
             out += [(x0, y0[i], x1, y1[i]) for i in low] + [(x1, y1[i], x0, y0[i]) for i in high]
             at_left, here = list(zip(y0[low], y0[high], strict=True)), list(zip(y1[low], y1[high], strict=True))
@@ -100,20 +103,49 @@ def swept(edges: np.ndarray) -> tuple[float, np.ndarray]:
     return area, np.array(out).reshape(-1, 4)
 
 
-def united(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: float, deep: int = 0) -> tuple[float, np.ndarray]:
+def united(parts: list[list[np.ndarray]], w: float, s: float, e: float, n: float, deep: int = 0, either: bool = False) -> tuple[float, np.ndarray]:
     """`swept` for polygons within a rectangle, which is cut into four while it has many edges and no polygon fills it. The
     boundaries of its quarters stay in the result."""
     whole = (e - w) * (n - s)
-    if any(geometry.area_centre([p])[0] >= whole * (1 - 1e-12) for p in parts):
+    if not either and any(geometry.area_centre([p])[0] >= whole * (1 - 1e-12) for p in parts):
         return whole, np.array([(w, s, e, s), (e, s, e, n), (e, n, w, n), (w, n, w, s)], float)
     edges = edges_of(parts)
     if len(edges) <= MOST_EDGES or deep == DEEPEST:
-        return swept(edges) if len(edges) else (0.0, np.zeros((0, 4)))
+        return swept(edges, either) if len(edges) else (0.0, np.zeros((0, 4)))
     x, y = (w + e) / 2, (s + n) / 2
-    found = [united(geometry.cut_to(parts, *box), *box, deep + 1) for box in ((w, s, x, y), (x, s, e, y), (w, y, x, n), (x, y, e, n))]
+    found = [united(geometry.cut_to(parts, *box), *box, deep + 1, either) for box in ((w, s, x, y), (x, s, e, y), (w, y, x, n), (x, y, e, n))]
     return sum(a for a, _ in found), np.concatenate([b for _, b in found])
 
 
+def cancelled(edges: np.ndarray) -> np.ndarray:
+    """Edges without what upright or level ones on one line have in common in opposite directions."""
+    out = [edges[(np.abs(edges[:, :2] - edges[:, 2:]) > SNAP).all(1)]]
+    for axis in (0, 1):
+        own = edges[np.abs(edges[:, axis] - edges[:, 2 + axis]) <= SNAP]
+        for line in np.unique(np.round(own[:, axis] / SNAP)) if len(own) else ():
+            here = own[np.round(own[:, axis] / SNAP) == line]
+            p, q, at = here[:, 1 - axis], here[:, 3 - axis], here[0, axis]
+            left = one_sided([x for x in zip(p, q, strict=True) if x[0] < x[1]], [x[::-1] for x in zip(p, q, strict=True) if x[1] < x[0]])
+            ends = np.array(left).reshape(-1, 2)
+            fixed = np.full(len(ends), at)
+            out.append(np.stack([fixed, ends[:, 0], fixed, ends[:, 1]] if axis == 0 else [ends[:, 0], fixed, ends[:, 1], fixed], 1))
+    return np.concatenate(out)
+
+
+def region(parts: list[list[np.ndarray]], either: bool) -> list[list[np.ndarray]]:
+    every = np.concatenate([r for p in parts for r in p])
+    (w, s), (e, n) = every.min(0), every.max(0)
+    return traced(cancelled(united(parts, w, s, e, n, either=either)[1]))
+
+
+def untangled(rings: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """The polygons that rings, an outer one and holes, enclose: all that an outer ring winds around, in whatever direction and how
+    often, less what holes wind around. Rings of the result don't cross themselves; a bow tie gives two."""
+    outer = region([[rings[0]]], either=True)
+    holes = [r for hole in rings[1:] for p in region([[hole]], either=True) for r in p[:1]]
+    return region([[p[0], *p[1:], *holes] for p in outer], either=False) if outer and holes else outer
+
+
 def pieces(polygons: DataFrame, group: str, cell: float, geom: str = "geom") -> DataFrame:
     """(group, i, j, geom): each polygon's part in each square (i, j) of side `cell`, without equal parts of one group.
 

@@ -87,3 +87,60 @@ def test_countries_of_a_sub_region_merge(spark):
     assert zonal.sub_regions(countries, intervals).count() == 4
     merged = {r.region: (geometry.rings_of(bytes(r.geom))[1], r.p_lower_95) for r in zonal.sub_regions(countries, intervals, 4.0).collect()}
     assert set(merged) == {"north", "south"} and [len(x) for p in merged["north"][0] for x in p] == [5] and merged["north"][1] == 1.0
+
+
+def polygon_area(parts):
+    return geometry.area_centre(parts)[0]
+
+
+def test_crossing_rings_are_untangled(spark):
+    bow = geometry.closed([(0, 0), (4, 4), (4, 0), (0, 4)])
+    parts = overlay.untangled([bow])
+    assert sorted(polygon_area([p]) for p in parts) == [4, 4] and not any(geometry.crosses_itself(r) for p in parts for r in p)
+    # A five-pointed star drawn in one stroke: the pentagon in the middle is wound around twice, and kept.
+    tips = [(np.cos(a), np.sin(a)) for a in np.pi / 2 + np.arange(5) * 4 * np.pi / 5]
+    (star,) = overlay.untangled([geometry.closed(tips)])
+    inner = (3 - np.sqrt(5)) / 2  # of the circle through the inner corners
+    assert polygon_area([star]) == pytest.approx(5 * inner * np.sin(np.pi / 5), rel=1e-9) and len(star) == 1 and len(star[0]) == 11
+    # A ring that goes around twice, a hole in the second lobe of a bow tie, a hole that crosses the edge.
+    twice = geometry.closed([(0, 0), (4, 0), (4, 4), (0, 4), (0, 0), (4, 0), (4, 4), (0, 4)])
+    assert polygon_area(overlay.untangled([twice])) == 16
+    hole = geometry.closed([(3.2, 1.8), (3.6, 1.8), (3.6, 2.2), (3.2, 2.2)])
+    assert polygon_area(overlay.untangled([bow, hole])) == pytest.approx(8 - 0.16)
+    assert polygon_area(overlay.untangled([bow, geometry.closed([(3.5, 1.75), (5, 1.75), (5, 2.25), (3.5, 2.25)])])) == pytest.approx(8 - 0.25)
+    mended = geometry.rings_of(geometry.repaired(geometry.wkb_of([[geometry.closed([(0, 0), (6, 6), (6, 0), (0, 4)])]])))[1]
+    assert len(mended) == 1 and polygon_area(mended) == pytest.approx(10.8)
+    df = spark.createDataFrame([(geometry.wkb_of([[bow]]),), (geometry.wkb_of([[geometry.closed(tips)]]),)], "geom binary")
+    assert [r.status for r in geometry.described(df.select(geometry.repair(F.col("geom")).alias("geom"))).collect()] == ["ok", "ok"]
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_random_rings_wind_as_before(seed):
+    rng = np.random.default_rng(seed)
+    ring = geometry.closed(list(rng.uniform(0, 10, (14, 2))))
+    parts = overlay.untangled([ring])
+
+    def winding(x, y):
+        a = np.arctan2(ring[:, 1] - y, ring[:, 0] - x)
+        return round(((np.diff(a) + np.pi) % (2 * np.pi) - np.pi).sum() / (2 * np.pi))
+
+    points = rng.uniform(0, 10, (1500, 2))
+    assert all(geometry.contains(parts, *p) == (winding(*p) != 0) for p in points)
+
+
+def test_long_rings_are_swept_in_parts():
+    angle = np.linspace(0, 2 * np.pi, 3001)[:-1]
+    ring = geometry.closed(list(np.stack([10 * np.cos(angle), 10 * np.sin(angle)], 1)))
+    assert not geometry.crosses_itself(ring)
+    ring[700], ring[701] = ring[701].copy(), ring[700].copy()
+    assert geometry.crosses_itself(ring)
+    assert polygon_area(overlay.untangled([ring])) == pytest.approx(100 * np.pi, rel=1e-4)
+    big = geometry.closed(list(np.random.default_rng(1).uniform(0, 1, (60, 2)) + np.arange(60)[:, None]))
+    (i, j), want = zip(*[x for x in geometry.near_pairs(np.hstack([big[:-1], big[1:]]))], strict=True), set()
+    e = np.hstack([big[:-1], big[1:]])
+    low, high = np.minimum(e[:, :2], e[:, 2:]), np.maximum(e[:, :2], e[:, 2:])
+    for a in range(60):
+        for b in range(a):
+            if (low[a] <= high[b]).all() and (low[b] <= high[a]).all():
+                want.add(frozenset((a, b)))
+    assert {frozenset(x) for x in zip(np.concatenate(i).tolist(), np.concatenate(j).tolist(), strict=True)} == want
