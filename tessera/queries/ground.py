@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from tessera.fixtures import view, with_views
-from tessera.operators import clouds, components, geometry, overlay, radar, raster, regression, stack, terrain, tiles, tracking, zonal
+from tessera.operators import clouds, components, detection, geometry, overlay, radar, raster, regression, stack, terrain, tiles, tracking, zonal
 
 from .pixels import RASTER, SIDE, site_raster, tile_side
 
@@ -199,6 +200,44 @@ def interpolation_weights(spark, d):
     return clouds.interpolation_weights(flagged).select("tile", "t", "r", "c", F.round("interp", 6).alias("interp"))
 
 
+@query("cloud_levels", f"""with p as (select tile, t, r, c, b0 > 0.35 as far, b1 - 0.04 as score from {SCENE}), i as (select tile, t, count(*) as n, avg(far::int) as far from p group by 1, 2),
+  s as (select tile, t, k, count(*) filter (score > k * 0.0025) as above from p, (select unnest(range(600)) as k) group by 1, 2, 3), l as (select tile, t, min(k) as k from s join i using (tile, t) where above / n - far <= 0.075 group by 1, 2)
+  select tile, t, r, c, score > k * 0.0025 as near from p join l using (tile, t)""")
+def cloud_levels(spark, d):
+    """Pixels above the level at which the share of near clouds comes down to that of far ones."""
+    scored = scene(spark, d).select("tile", "t", "r", "c", (F.col("b0") > 0.35).alias("far"), (F.col("b1") - 0.04).alias("score"))
+    return detection.levelled(scored).select("tile", "t", "r", "c", "near")
+
+
+FLAGGED = f"(select *, b0 > 0.25 as cloud, b1 < 0.01 as shadow, median((b1 - b3) / nullif(b1 + b3, 0)) over (partition by tile, r, c) as water, b0 + b1 + b2 as vis from {SCENE})"
+
+
+def flagged_scene(spark, d):
+    water = F.median(F.try_divide(F.col("b1") - F.col("b3"), F.col("b1") + F.col("b3"))).over(W.partitionBy("tile", "r", "c"))
+    return scene(spark, d).withColumns({"cloud": F.col("b0") > 0.25, "shadow": F.col("b1") < 0.01, "water": water})
+
+
+@query("cloud_outliers", f"""with p as {FLAGGED}, m as (select tile, t, median(vis) filter (not cloud and not shadow) as m from p group by 1, 2), q as (select p.*, case when water > 0 then 1 else vis / nullif(m, 0) end as ratio from p join m using (tile, t)),
+  s as (select tile, t, case when bool_and(cloud) then avg(ratio) else avg(ratio) filter (not cloud) end as mean, case when bool_and(cloud) then stddev_pop(ratio) else stddev_pop(ratio) filter (not cloud) end as sd from q group by 1, 2),
+  z as (select q.*, coalesce((ratio - mean) / nullif(sd, 0) > 3.5 and water < 0 and not cloud, false) as new from q join s using (tile, t))
+  select tile, t, r, c, cloud or (new and count(*) filter (new) over (partition by tile, r, c) = 1) as cloud from z""")
+def cloud_outliers(spark, d):
+    return detection.outliers(flagged_scene(spark, d)).select("tile", "t", "r", "c", "cloud")
+
+
+VEILED = "case when t % 9 = 0 then {0} * 0.4 + 0.3 else {0} end as {0}"
+
+
+@query("hazy_images", f"""with p as (select tile, t, cloud, {', '.join(VEILED.format(f'b{i}') for i in range(3))} from {FLAGGED}),
+  i as (select tile, t, avg((b0 + b1 + b2) / 3) as mean, stddev_pop((b0 + b1 + b2) / 3) as spread, stddev_pop(greatest(b0, b1, b2) - least(b0, b1, b2)) as colour from p where not cloud group by 1, 2),
+  o as (select tile, t, mean / nullif(median(mean) over x, 0) as m, spread / nullif(median(spread) over x, 0) as s, colour / nullif(median(colour) over x, 0) as c from i window x as (partition by tile))
+  select tile, t from o where (m >= 1.5 and s <= 0.67 and c < 1) or (m >= 1.3 and s <= 0.5)""")
+def hazy_images(spark, d):
+    """Every ninth image under a veil: brighter, with less contrast."""
+    veiled = flagged_scene(spark, d).withColumns({f"b{i}": F.when(F.col("t") % 9 == 0, F.col(f"b{i}") * 0.4 + 0.3).otherwise(F.col(f"b{i}")) for i in range(3)})
+    return detection.hazy(veiled)
+
+
 #: Features of a band in SQL: the mosaic's, those of lower bands clipped, and snow.
 FEATURES_SQL = ", ".join(f"case when band > {j} then least(greatest(m{j}, 0.005), 1.0) else m{j} end" for j in range(10))
 
