@@ -217,6 +217,8 @@ def coverage(parts: list[list[np.ndarray]], c0: int, r0: int, width: int, height
     Edges are cut at all pixel sides that they cross. A piece in a pixel takes its height times what lies right of it
     from that pixel, and its whole height from the pixels further right; holes count against their ring.
     """
+    if not height or not width:
+        return np.zeros((height, width))
     out = np.zeros((height, width + 1))
     edges = [np.zeros((0, 4))]
     for rings in parts:

@@ -35,16 +35,17 @@ def pixel_parts(boxes: DataFrame) -> DataFrame:
     return spread.withColumn("part", overlap(F.col("x0"), F.col("x1"), F.col("c")) * overlap(F.col("y0"), F.col("y1"), F.col("r")))
 
 
-def moved_parts(boxes: DataFrame, shifts: list[tuple[float, float]]) -> DataFrame:
-    """boxes spread once over all pixels that they meet in place or moved by one of shifts; `parts` has the part of each.
+def moved_part(i: tuple[float, float]) -> Column:
+    """The part of a pixel (r, c) that a box (x0, y0, x1, y1) covers when moved by i."""
+    dx, dy = i
+    return overlap(F.col("x0") + dx, F.col("x1") + dx, F.col("c")) * overlap(F.col("y0") + dy, F.col("y1") + dy, F.col("r"))
 
-    Other columns of boxes stay; a pixel that none of the moved boxes covers to LEAST_PART has no row.
-    """
+
+def moved_pixels(boxes: DataFrame, shifts: list[tuple[float, float]]) -> DataFrame:
+    """boxes spread once over all pixels (r, c) that they meet in place or moved by one of shifts; all columns stay."""
     reach_x, reach_y = max(abs(dx) for dx, _ in shifts), max(abs(dy) for _, dy in shifts)
     cells = lambda a, b, by: F.explode(F.sequence(F.floor(F.col(a) - by).cast("int"), F.greatest(F.ceil(F.col(b) + by).cast("int") - 1, F.floor(F.col(a) - by).cast("int"))))
-    spread = boxes.select("*", cells("x0", "x1", reach_x).alias("c")).select("*", cells("y0", "y1", reach_y).alias("r"))
-    part = lambda dx, dy: overlap(F.col("x0") + dx, F.col("x1") + dx, F.col("c")) * overlap(F.col("y0") + dy, F.col("y1") + dy, F.col("r"))
-    return spread.withColumn("parts", F.array(*[part(dx, dy) for dx, dy in shifts])).where(F.array_max("parts") >= LEAST_PART)
+    return boxes.select("*", cells("x0", "x1", reach_x).alias("c")).select("*", cells("y0", "y1", reach_y).alias("r"))
 
 
 #: Polygons are laid over windows of so many pixels on a side.
@@ -52,7 +53,8 @@ WINDOW = 64
 
 
 def polygon_parts(polygons: DataFrame, key: str, shifts: list[tuple[float, float]], geom: str = "geom") -> DataFrame:
-    """(key, r, c, parts) for polygons (key, well-known binary in pixels): as `moved_parts`, by exact coverage.
+    """(key, r, c, parts) for polygons (key, well-known binary in pixels): the part of each pixel, in place and
+    moved, by exact coverage; pixels that no moved polygon covers to LEAST_PART are left out.
 
     A polygon's envelope is cut into windows of WINDOW x WINDOW pixels, so a task holds a window and not a polygon's raster.
     """
@@ -64,14 +66,17 @@ def polygon_parts(polygons: DataFrame, key: str, shifts: list[tuple[float, float
     return spread.select(key, F.inline(found)).where(F.array_max("parts") >= LEAST_PART)
 
 
-def means_of_parts(parts: DataFrame, pixels: DataFrame, key: str, n: int, value: str = "u8") -> DataFrame:
+def means_of_parts(parts: DataFrame, pixels: DataFrame, key: str, n: int, value: str = "u8", on: tuple[str, ...] = ("r", "c")) -> DataFrame:
     """(key, means): the n means of value weighted by each of `parts` that is LEAST_PART or more, without NODATA.
 
-    A key without any pixel that counts has no row; a mean without one is null.
+    Pixels meet parts by the columns `on`. A key without any pixel that counts has no row; a mean without one is null.
     """
-    data = parts.join(pixels.where(F.col(value) != NODATA), ["r", "c"])
-    weight = lambda i: F.when(F.get("parts", F.lit(i)) >= LEAST_PART, F.get("parts", F.lit(i)))
-    return data.groupBy(key).agg(F.array(*[F.try_divide(F.sum(F.col(value) * weight(i)), F.sum(weight(i))) for i in range(n)]).alias("means"))
+    return weighted_means(parts.join(pixels.where(F.col(value) != NODATA), list(on)), key, [F.get("parts", F.lit(i)) for i in range(n)], value)
+
+
+def weighted_means(data: DataFrame, key: str, parts: list[Column], value: str) -> DataFrame:
+    weights = [F.when(p >= LEAST_PART, p) for p in parts]
+    return data.groupBy(key).agg(F.array(*[F.try_divide(F.sum(F.col(value) * w), F.sum(w)) for w in weights]).alias("means"))
 
 
 def zonal_means(boxes: DataFrame, pixels: DataFrame, keys: list[str], value: str = "u8") -> DataFrame:
@@ -94,11 +99,12 @@ def errors_of_means(means: DataFrame, key: str) -> DataFrame:
 def shift_errors(boxes: DataFrame, pixels: DataFrame, key: str, by: float) -> DataFrame:
     """(key, ttc, shift_error) of boxes (x0, y0, x1, y1 in pixels): their mean, and how it changes moved in 8 directions.
 
-    A box is spread over the pixels once, and each pixel carries its nine parts. Boxes without any pixel that counts
-    have nulls.
+    A box is spread over the pixels once; its four sides go along, and the nine parts of a pixel follow from them where it
+    has met its value. Boxes without any pixel that counts have nulls.
     """
-    parts = moved_parts(boxes.select(key, "x0", "y0", "x1", "y1"), [(0.0, 0.0), *((dx * by, dy * by) for dx, dy in SHIFTS)])
-    means = means_of_parts(parts, pixels, key, 1 + len(SHIFTS))
+    shifts = [(0.0, 0.0), *((dx * by, dy * by) for dx, dy in SHIFTS)]
+    data = moved_pixels(boxes.select(key, "x0", "y0", "x1", "y1"), shifts).join(pixels.where(F.col("u8") != NODATA), ["r", "c"])
+    means = weighted_means(data, key, [moved_part(i) for i in shifts], "u8")
     return boxes.select(key).distinct().join(errors_of_means(means, key), key, "left")
 
 

@@ -11,7 +11,9 @@ from pyspark.sql.window import Window as W
 from tessera.fixtures import view, with_views
 from tessera.operators import clouds, components, detection, geometry, overlay, radar, raster, regression, stack, terrain, tiles, tracking, zonal
 
-from .pixels import RASTER, SIDE, site_raster, tile_side
+from tessera.plans import report
+
+from .pixels import CATEGORY, INTERVAL, INTERVALS, RASTER, REGION, SIDE, centres, region_table, site_raster, tile_side
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -310,6 +312,31 @@ def polygon_mean(spark, d):
     return means.select("k", F.round(F.get("means", F.lit(0)), 3).alias("ttc")).where("ttc is not null")
 
 
+PLAN = "(values (0, 0.0, 0.0), (1, 0.5, 0.0), (2, -0.5, 0.0), (3, 0.0, 0.5), (4, 0.0, -0.5), (5, 0.5, 0.5), (6, 0.5, -0.5), (7, -0.5, 0.5), (8, -0.5, -0.5)) s(i, dx, dy)"
+
+
+@query("polygon_statistics", f"""with t as (select k, i, x0 + dx as x0, y0 + dy as y0, x1 + dx as x1, y1 + dy as y1, (y1 - y0) / (x1 - x0) as m from {CORNERS}, {PLAN}), c as (select *, unnest(range(cast(floor(x0) as bigint), cast(ceil(x1) as bigint))) as c from t),
+  g as (select *, unnest(range(cast(floor(y0) as bigint), cast(ceil(y1) as bigint))) as r from c), p as (select k, i, r, c, {TRIANGLE_PART} as part from (select *, greatest(x0, c) as a, least(x1, c + 1) as b from g)),
+  m as (select k, i, sum(v * part) / sum(part) as ttc from (select p.*, (u8 + 40 * (k % 2)) % 101 as v from p join {RASTER} s using (r, c) where u8 <> 255 and part >= 0.05) group by 1, 2),
+  b as (select k, ttc from m where i = 0), s as (select b.k, b.ttc, case when b.ttc = 0 then 0 else sqrt(coalesce(sum(pow((m.ttc - b.ttc) / nullif(b.ttc, 0), 2)), 0) / 8) end as shift_error from b left join m on m.k = b.k and m.i > 0 group by 1, 2),
+  d as (select k - k % 3 as uuid, arg_min(calc_area, k) as area, arg_min({CATEGORY}, k) as category from v_polys group by 1),
+  j as (select s.*, d.*, (x0 + x1) / 2.0 as x, (y0 + y1) / 2.0 as y from s join v_polys p on p.k = s.k join d on d.uuid = s.k - s.k % 3),
+  w(name, pl, pu, rl, ru) as (values ('forest', 0.92, 0.95, 0.9, 0.96), ('urban', 0.7, 0.93, 0.68, 0.94), ('cropland', 0.91, 0.95, 0.9, 0.97)),
+  v(place, gpl, gpu, grl, gru) as (values (1, 0.8, 0.97, 0.75, 0.96), (2, 0.74, 0.98, 0.7, 0.95), (3, 0.9, 0.99, 0.88, 0.97)),
+  e as (select *, case when ttc = 0 then 0 else (pu - rl) / ttc end as lo, case when ttc = 0 then 0 else (ru - pl) / ttc end as hi, case when ttc = 0 then 0 else coalesce((gpu - grl) / ttc, 0) end as sub_lo, case when ttc = 0 then 0 else coalesce((gru - gpl) / ttc, 0) end as sub_hi,
+    case when ttc = 0 or area > 0.5 then 0 else (case when round(ttc, 7) <= 10 then 3.6386 when round(ttc, 7) <= 40 then 16.68 when round(ttc, 7) <= 100 then 23.468 else 0 end) / ttc end as small
+    from j join w on w.name = case when lower(category) in (select name from w) then lower(category) else 'forest' end left join v on v.place = {REGION})
+  select k, uuid, 1995 + k % 2 as year, round(ttc, 3) as ttc, round(ttc * sqrt(hi * hi + sub_hi * sub_hi + shift_error * shift_error / 4 + small * small / 4), 3) as error_plus, round(ttc * sqrt(lo * lo + sub_lo * sub_lo + shift_error * shift_error / 4 + small * small / 4), 3) as error_minus from e""")
+def polygon_statistics(spark, d):
+    """Means and errors of triangles by year, three of them under one key."""
+    polygons = triangles(spark, d).repartition(spark.sparkContext.defaultParallelism, "k").join(view(spark, d, "v_polys").select("k", "calc_area"), "k").join(centres(spark, d), "k")
+    polygons = polygons.select((F.col("k") - F.col("k") % 3).alias("uuid"), (1995 + F.col("k") % 2).alias("year"), F.col("k").alias("place"), "geom", F.col("calc_area").alias("area"), F.expr(CATEGORY).alias("category"), "x", "y")
+    years = site_raster(spark, d).select("r", "c", "u8", F.explode(F.array(F.lit(1995).cast("long"), F.lit(1996).cast("long"))).alias("year"))
+    pixels = years.withColumn("u8", F.when(F.col("u8") != 255, (F.col("u8") + 40 * (F.col("year") - 1995)) % 101).otherwise(255))
+    out = report.polygon_statistics(polygons, pixels, spark.createDataFrame(INTERVALS, f"category string, {INTERVAL}"), region_table(spark), 0.5, "uuid").where("ttc is not null")
+    return out.select(F.col("place").alias("k"), "uuid", "year", *[F.round(c, 3).alias(c) for c in ("ttc", "error_plus", "error_minus")])
+
+
 #: The polygons' boxes as triangles in units of 1/3600 degree; a tile meets the triangle where its upper right corner does.
 @query("polygon_tiles", """select k, x_tile, y_tile from v_polys, v_grid where x0 <= x_tile * 200 + 200 and x1 >= x_tile * 200 and y0 <= y_tile * 200 + 200 and y1 >= y_tile * 200
   and (greatest(y_tile * 200, y0) - y0) * (x1 - x0) <= (least(x_tile * 200 + 200, x1) - x0) * (y1 - y0)""")
