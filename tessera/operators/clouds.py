@@ -99,12 +99,12 @@ def aligned_mosaic(pixels: DataFrame, value: str = "v", weight: str = "interp")
     return fitted.groupBy("tile", "r", "c").agg(F.least(F.greatest(mean, F.min(value)), F.max(value)).alias(value))
 
 
-def bright_surfaces(pixels: DataFrame) -> DataFrame:
+def bright_surfaces(pixels: DataFrame, least: float = 0.2) -> DataFrame:
     """(tile, r, c, kept): 0 at bright bare ground, 1 from three pixels off it.
 
     Ground is bare where at least two images have it bright, poor in vegetation and strong in the short-wave band.
     """
-    flag = (F.try_divide(band(3), band(8) + 0.01) < 0.9) & ((band(0) + band(1) + band(2)) / 3 > 0.2) & (evi(band(0), band(2), band(3)) < 0.3)
+    flag = (F.try_divide(band(3), band(8) + 0.01) < 0.9) & ((band(0) + band(1) + band(2)) / 3 > least) & (evi(band(0), band(2), band(3)) < 0.3)
     bare = pixels.groupBy("tile", "r", "c").agg((F.count_if(F.coalesce(flag, F.lit(False))) > 1).alias("bare")).withColumn("t", F.lit(0))
     return nearness(opened(bare, "bare", 2, 1), "bare", 3, "_near").select("tile", "r", "c", (1 - F.col("_near")).alias("kept"))
 
@@ -173,17 +173,18 @@ def false_positives(pixels: DataFrame, ground: DataFrame, urban: bool = True) ->
     return out.select("tile", "t", "r", "c", "candidate", (F.col("candidate") & F.col("_near")).alias("false_cloud"))
 
 
-def clouds_left(mosaic: DataFrame) -> DataFrame:
+def clouds_left(mosaic: DataFrame, part: float = 1.0) -> DataFrame:
     """mosaic (tile, r, c, b0, b1, b2, clear: the number of images without interpolation, false_cloud) with `cloud`.
 
     Doubtful pixels have one clear image at most or are within ten steps of a false cloud. Of these, clouds are brighter in
     blue and red than 99 per cent of the others, though not wholly white, and away from false clouds; the clouds' gaps of
     up to three steps are taken out of them, and the rest grows by eight. A tile of doubtful pixels alone has no clouds.
+    part: take that part of both limits.
     """
     near = cross_dilated(mosaic, "false_cloud", 10).withColumnRenamed("dilated", "_near").withColumn("_doubt", (F.col("clear") < 2) | F.col("_near"))
     sure = near.where(~F.col("_doubt"))
     limits = percentiles(sure, ["tile"], "b0", {"_blue": 0.99}).join(percentiles(sure, ["tile"], "b2", {"_red": 0.99}), "tile")
-    lit = (F.col("b0") > F.col("_blue")) & (F.col("b2") > F.col("_red")) & F.col("_doubt") & (F.col("b0") + F.col("b1") + F.col("b2") < 1) & ~F.col("_near")
+    lit = (F.col("b0") > part * F.col("_blue")) & (F.col("b2") > part * F.col("_red")) & F.col("_doubt") & (F.col("b0") + F.col("b1") + F.col("b2") < 1) & ~F.col("_near")
     marked = near.join(limits, "tile", "left").withColumn("_lost", ~F.coalesce(lit, F.lit(False)))
     kept = cross_dilated(marked, "_lost", 3).withColumn("_kept", ~F.col("dilated")).drop("dilated")
     return cross_dilated(kept, "_kept", 8).withColumnRenamed("dilated", "cloud").select(*mosaic.columns, "cloud")
