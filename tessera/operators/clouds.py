@@ -70,12 +70,14 @@ def nearness(pixels: DataFrame, flag: str, reach: int, out: str) -> DataFrame:
     return found.withColumn(out, 1 - F.col("_least") / reach).drop("_d", "_within", "_least")
 
 
-def interpolation_weights(pixels: DataFrame, flag: str = "cloud") -> DataFrame:
-    """pixels with `interp`: nearness to clouds within 12 pixels, small values 0, then closed over 15 x 15 pixels."""
+def interpolation_weights(pixels: DataFrame, flag: str = "cloud", side: int = 15) -> DataFrame:
+    """pixels with `interp`: nearness to clouds within 12 pixels, small values 0, then closed over side x side pixels (of an even
+    side, the window for the greatest reaches one further behind, that for the least one further before)."""
     soft = nearness(pixels, flag, 12, "_soft").withColumn("_soft", F.when(F.col("_soft") < 0.2, 0.0).otherwise(F.col("_soft")))
     keyed = soft.withColumn("_image", F.concat_ws("|", "tile", "t"))
-    top = window_extreme(keyed, 7, "_soft", "_top", "_image")
-    return window_extreme(top, 7, "_top", "interp", "_image", least=True).drop("_soft", "_top", "_image")
+    half = side // 2
+    top = window_extreme(keyed, side - 1 - half, "_soft", "_top", "_image", after=half)
+    return window_extreme(top, half, "_top", "interp", "_image", least=True, after=side - 1 - half).drop("_soft", "_top", "_image")
 
 
 def aligned_mosaic(pixels: DataFrame, value: str = "v", weight: str = "interp") -> DataFrame:
@@ -194,16 +196,20 @@ def pruned(pixels: DataFrame, detect, share: float = 0.9, rounds: int = 3, least
     """pixels without the images of which more than a share is to be interpolated, and detect's result for the others.
 
     detect takes pixels and returns tile, t, r, c and interp (over 0: to be interpolated). As what one image shows depends
-    on the others, it runs again after each round; a tile keeps all images of a round that would leave it fewer than
-    `least`. The driver sees no rows, only whether a round dropped any.
+    on the others, it runs again after each round that drops some, and once in all if none does: its result is written, read to judge
+    the images, and returned. A tile keeps all images of a round that would leave it fewer than `least`. The driver sees
+    no rows, only whether a round dropped any.
     """
-    found = detect(pixels)
-    for _ in range(rounds):
+    saved = Saved(pixels.sparkSession, "pruned")
+    found = saved.table(detect(pixels), "found-0")
+    for k in range(rounds):
         images = found.groupBy("tile", "t").agg((F.avg((F.col("interp") > 0).cast("int")) > share).alias("bad"))
         left = images.groupBy("tile").agg(F.count_if(~F.col("bad")).alias("left")).where(F.col("left") >= least)
-        bad = Saved(pixels.sparkSession, "pruned").table(images.where("bad").join(left, "tile").select("tile", "t"), "images")
+        bad = saved.table(images.where("bad").join(left, "tile").select("tile", "t"), f"images-{k}")
         if bad.isEmpty():
             break
-        pixels = pixels.join(bad, ["tile", "t"], "left_anti")
-        found = detect(pixels)
+        pixels = saved.table(pixels.join(bad, ["tile", "t"], "left_anti"), f"pixels-{k}")
+        found = saved.table(detect(pixels), f"found-{k + 1}")
+        for old in [f"found-{k}", f"images-{k}"] + ([f"pixels-{k - 1}"] if k else []):
+            saved.drop(old)
     return pixels, found

@@ -19,12 +19,13 @@ def along(tile: str, row: str = "r", col: str = "c") -> tuple[W, W]:
     return W.partitionBy(tile, col).orderBy(row), W.partitionBy(tile, row).orderBy(col)
 
 
-def window_extreme(pixels: DataFrame, n: int, value: str, out: str, tile: str = "tile", least: bool = False) -> DataFrame:
-    """The greatest (or least) value within n rows and columns: one pass down, one across. All pixels must be there."""
-    f = F.min if least else F.max
+def window_extreme(pixels: DataFrame, n: int, value: str, out: str, tile: str = "tile", least: bool = False, after: int | None = None) -> DataFrame:
+    """The greatest (or least) value within n rows and columns before to `after` (else n) behind: one pass down, one across. All
+    pixels must be there."""
+    f, to = F.min if least else F.max, n if after is None else after
     down, across = along(tile)
-    first = pixels.withColumn("_part", f(value).over(down.rowsBetween(-n, n)))
-    return first.withColumn(out, f("_part").over(across.rowsBetween(-n, n))).drop("_part")
+    first = pixels.withColumn("_part", f(value).over(down.rowsBetween(-n, to)))
+    return first.withColumn(out, f("_part").over(across.rowsBetween(-n, to))).drop("_part")
 
 
 def closed(pixels: DataFrame, n: int, value: str, out: str, tile: str = "tile") -> DataFrame:
