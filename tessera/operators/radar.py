@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
+from tessera.functions.spectral import calibrated, flattened
+
 from . import overlay
 
 
@@ -40,15 +42,47 @@ def interpolated(points: DataFrame, value: str, height: int, width: int, otherwi
         inside = pairs.where(f"{out}b is not null").withColumns({"low": low, "high": high}).where("low <= high")
         return inside.select(F.explode(F.sequence("low", "high")).alias(out), f"{out}a", f"{out}b")
 
-    corner = lambda line, pixel, name: known.select(F.col("line").alias(line), F.col("pixel").alias(pixel), F.col(value).alias(name))
-    found = whole.join(cells("line", height, "r"), "r").join(cells("pixel", width, "c"), "c")
-    for line, pixel, name in (("ra", "ca", "aa"), ("ra", "cb", "ab"), ("rb", "ca", "ba"), ("rb", "cb", "bb")):
-        found = found.join(corner(line, pixel, name), [line, pixel])
+    # A cell of the grid has its four corners in one row.
+    along, down = W.partitionBy("line").orderBy("pixel"), W.partitionBy("pixel").orderBy("line")
+    corners = known.select("line", "pixel", F.col(value).alias("aa"), F.lead(value).over(along).alias("ab"))
+    corners = corners.select(F.col("line").alias("ra"), F.col("pixel").alias("ca"), "aa", "ab", F.lead("aa").over(down).alias("ba"), F.lead("ab").over(down).alias("bb"))
+    found = whole.join(cells("line", height, "r"), "r").join(cells("pixel", width, "c"), "c").join(corners, ["ra", "ca"])
     y, x = (F.col("r") - F.col("ra")) / (F.col("rb") - F.col("ra")), (F.col("c") - F.col("ca")) / (F.col("cb") - F.col("ca"))
     mix = lambda a, b, t: a * (1 - t) + b * t
     return found.select("r", "c", mix(mix(F.col("aa"), F.col("ab"), x), mix(F.col("ba"), F.col("bb"), x), y).alias(value))
 
 
+#: The scale of stored backscatter, and degrees of incidence where nothing says them.
+SCALE, INCIDENCE = 65535, 35.0
+
+
+def terrain_corrected(image: DataFrame, height: int, width: int, look: Column, calibration: DataFrame | None = None, noise: DataFrame | None = None, incidence: DataFrame | None = None, terrain: DataFrame | None = None, angle: float = INCIDENCE) -> DataFrame:
+    """(r, c, v) of a radar image (r, c, dn): calibrated, freed of terrain, as whole numbers of SCALE for 1; above 1 it is cut off.
+
+    calibration and noise are tables of points (line, pixel, value), of which the nearest counts; noise is taken off the
+    power, and without calibration the numbers stay as they are. incidence: points of degrees, between which it is
+    bilinear; without them `angle`. terrain: r, c, slope and aspect in radians, where it is missing there is no change; look is
+    the direction of view in radians. Slopes that turn too far away give 0, and so do points of calibration without a value.
+    """
+    keyed = image
+    at = lambda points, name: nearest_values(points, "value", height, width).withColumnRenamed("value", name)
+    gamma = F.col("dn").cast("double")
+    if calibration is not None:
+        keyed = keyed.join(at(calibration, "lut"), ["r", "c"])
+        keyed = keyed.join(at(noise, "noise"), ["r", "c"]) if noise is not None else keyed.withColumn("noise", F.lit(0.0))
+        gamma = F.coalesce(calibrated(gamma, F.col("noise"), F.col("lut")), F.lit(0.0))
+    if terrain is not None:
+        degrees = F.lit(angle)
+        if incidence is not None:
+            keyed = keyed.join(interpolated(incidence, "value", height, width, angle).withColumnRenamed("value", "degrees"), ["r", "c"])
+            degrees = F.col("degrees")
+        keyed = keyed.join(terrain.select("r", "c", "slope", "aspect"), ["r", "c"], "left")
+        theta = F.radians(degrees)
+        local = F.cos("slope") * F.cos(theta) + F.sin("slope") * F.sin(theta) * F.cos(F.col("aspect") - look)
+        gamma = F.when(F.col("slope").isNull() | F.col("aspect").isNull(), gamma).otherwise(F.coalesce(flattened(gamma, F.cos(theta), local), F.lit(0.0)))
+    return keyed.select("r", "c", F.floor(F.least(F.greatest(gamma, F.lit(0.0)), F.lit(1.0)) * SCALE).cast("int").alias("v"))
+
+
 def nearest_values(points: DataFrame, value: str, height: int, width: int) -> DataFrame:
     """(r, c, value) for all pixels of an image: the value of the nearest of some points (line, pixel, value) over 0.
 

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.fixtures import view, with_views
-from tessera.operators import clouds, components, coverage, detection, geometry, inventory, overlay, tiles, zonal
+from tessera.operators import clouds, components, coverage, detection, geometry, inventory, overlay, radar, tiles, zonal
 from tessera.operators.shared import numbered
 from tessera.sources import radar as scenes
 
 from .control import SOURCES, THERE
-from .ground import FLAGGED, HALVES, RASTER, SCENE, crossed, diagonal_triangles, flagged_scene, scene, site_raster
+from .ground import FLAGGED, HALVES, RASTER, SCENE, SIDE, crossed, diagonal_triangles, flagged_scene, scene, site_raster
 
 Q: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -173,3 +174,31 @@ def scene_angles(spark, d):
     name = F.col("scene_id").cast("string")
     address = F.when(F.col("scene_id") % 2 == 0, F.concat(F.lit("s3://data/"), name, F.lit("/vv.tiff"))).otherwise(F.concat(F.lit("https://x.org/"), name, F.lit("?old=2")))
     return s.select("scene_id", F.round(scenes.incidence(said), 6).alias("incidence"), F.round(scenes.look_angle(F.col("orbit")), 9).alias("look"), scenes.signed(scenes.web_address(address), "?key=1").alias("address"))
+
+
+#: Points of tables over the raster of all tiles, eight by eight of them; the raster has 8 * side pixels on a side.
+STEPS = f"(select cast(ceil((8 * side - 1) / 7.0) as int) as step, side from {SIDE})"
+LUT = f"(select r * step as line, c * step as pixel, avg(u8) as v from v_patch, {STEPS} group by 1, 2)"
+
+
+@query("radar_band", f"""with p as {LUT}, i as (select s.*, step from {RASTER} s, {STEPS}),
+  n as (select r, c, arg_min(v, [(r - line) * (r - line) + (c - pixel) * (c - pixel), pixel, line]) as v from i, p where line < 8 * (select side from {STEPS}) and pixel < 8 * (select side from {STEPS}) group by 1, 2),
+  o as (select i.*, least(floor(r / step), 6) * step as l, least(floor(c / step), 6) * step as k from i),
+  b as (select r, c, sum((20 + v / 10) * case when line = l then 1 - (r - l) / step::double else (r - l) / step::double end * case when pixel = k then 1 - (c - k) / step::double else (c - k) / step::double end) as degrees
+    from o join p on line in (l, l + step) and pixel in (k, k + step) group by 1, 2),
+  g as (select i.r, i.c, greatest(u8::double * u8 - v / 2, 0) / ((2 * v + 100) * (2 * v + 100)) * 9 as gamma, degrees, u8 / 400.0 as slope, u8 % 7 as aspect from i join n using (r, c) join b using (r, c)),
+  f as (select *, cos(slope) * cos(radians(degrees)) + sin(slope) * sin(radians(degrees)) * cos(aspect - pi() / 2) as cosl from g)
+  select r, c, cast(floor(round(least(greatest(case when cosl >= 0.2 then gamma * cos(radians(degrees)) / greatest(cosl, 0.1) else 0 end, 0), 1) * 65535, 6)) as int) as v from f""")
+def radar_band(spark, d):
+    """The raster of all tiles as a radar image: calibrated, freed of noise and terrain."""
+    side = view(spark, d, "v_patch").agg(F.ceil(F.sqrt(F.max("tile") + 1)).cast("int")).first()[0]
+    step = math.ceil((8 * side - 1) / 7)
+    points = view(spark, d, "v_patch").groupBy((F.col("r") * step).alias("line"), (F.col("c") * step).alias("pixel")).agg(F.avg("u8").alias("v"))
+    image = site_raster(spark, d)
+    value = lambda x: points.select("line", "pixel", x.alias("value"))
+    v = F.col("v")
+    # The table of calibration is a third of the number that SQL divides by, hence the 9 there.
+    terrain = image.select("r", "c", (F.col("u8") / 400).alias("slope"), (F.col("u8") % 7).alias("aspect"))
+    return radar.terrain_corrected(
+        image.withColumnRenamed("u8", "dn"), 8 * side, 8 * side, scenes.look_angle(F.lit("ascending")), value((2 * v + 100) / 3), value(v / 2), value(20 + v / 10), terrain
+    )
