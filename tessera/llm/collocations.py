@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .runtime import Scratch, looked_up
+from .runtime import Scratch, looked_up, small, written
 from .words import TO_LOWER, mix, slices
 
 #: A phrase is a candidate from so many occurrences on; the best of each language are returned.
@@ -259,12 +259,20 @@ def score_of(a: str, l: str, r: str) -> Column:  # noqa: E741
     return F.call_function("div", wide(a) * wide(a) * F.lit(1_000_000).cast("decimal(7,0)"), wide(l) * wide(r))
 
 
-def best_of(rows: DataFrame, by: str, order: list[Column], top: int) -> DataFrame:
-    """rows with `rank`, from 1, up to `top` for each value of `by`: the best of parts first, then of these."""
-    n = rows.count()
-    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(int(max(1, (n / top) ** 0.5))))
+def best_of(rows: DataFrame, by: str, score: str, then: list[Column], top: int) -> DataFrame:
+    """rows with `rank`, from 1, up to `top` for each value of `by`: by score, the greatest first, then by `then`.
+
+    Rows are dealt into parts by hash, and each part keeps its best. If every part has its share of `top`, the least of
+    the scores at which the parts reach their share is a bound below which no row can be among the best: few more than
+    `top` rows are ordered in the end.
+    """
+    parts = int(max(1, (rows.count() / top) ** 0.5))
+    salt = F.pmod(F.xxhash64(*rows.columns), F.lit(parts))
+    order = [F.col(score).desc(), *then]
     first = rows.withColumn("salt", salt).withColumn("rank", F.row_number().over(Window.partitionBy(by, "salt").orderBy(*order))).where(F.col("rank") <= top)
-    return first.drop("salt").withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= top)
+    reached = first.where(F.col("rank") == -(-top // parts)).groupBy(by).agg(F.min(score).alias("least"), F.count("*").alias("n")).where(F.col("n") == parts)
+    cut = first.join(small(written(reached.select(by, "least"), "best-of"), 100_000), by, "left").where(F.col("least").isNull() | (F.col(score) >= F.col("least")))
+    return cut.drop("salt", "least").withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(*order))).where(F.col("rank") <= top)
 
 
 def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, percent: int = PERCENT, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
@@ -316,6 +324,6 @@ def collocations(docs: DataFrame, least: int = LEAST, top: int = TOP, percent: i
     cut = lambda x, y: F.when(F.col("two") < F.col("one"), F.col(y)).otherwise(F.col(x))
     three = cuts.select("lang", F.concat_ws(" ", "first_word", "second_word", "third_word").alias("phrase"), "a", cut("first_f", "left_a").alias("l"), cut("right_a", "third_f").alias("r"), cut("one", "two").alias("score"))
     scored = scratch.table(two.unionByName(three), "scored")
-    best = best_of(scored, "lang", [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()], top)
+    best = best_of(scored, "lang", "score", [F.col("a").desc(), F.col("phrase").asc()], top)
     scratch.drop("chunks", "frequent-words", "words", "indexed", "pairs", "triples", "pair-ids", "pair-facts", "triple-facts")
     return best.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")

@@ -11,6 +11,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 from public_tokenizers import path as tokenizer_file
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tessera.llm import chat_tree, collocations, filter_audit, runtime
@@ -279,3 +280,12 @@ def test_lookups_spread_common_keys(spark, monkeypatch):
     facts = spark.createDataFrame([("hot", 1)] + [(f"k{i}", i) for i in range(0, 300, 3)], "key string, y long")
     got = runtime.looked_up(rows, facts, "key", runtime.Scratch(spark, "lookups"))
     assert sorted((r.x, r.y) for r in got.collect()) == [(i, 1 if i % 3 else i) for i in range(300)] and got.columns == ["key", "x", "y"]
+
+
+@pytest.mark.parametrize("top", [1, 5, 40, 300])
+def test_best_of_many_with_ties(spark, top):
+    rng = random.Random(top)
+    rows = [("a" if rng.random() < 0.9 else "b", rng.randrange(30), f"p{i}") for i in range(600)] + [("c", 1, "x"), ("d", 2, "y")]
+    df = spark.createDataFrame(rows, "lang string, score long, phrase string")
+    want = {(lang, k + 1, s, p) for lang in "abcd" for k, (s, p) in enumerate(sorted(((s, p) for x, s, p in rows if x == lang), key=lambda x: (-x[0], x[1]))[:top])}
+    assert {(r.lang, r.rank, r.score, r.phrase) for r in collocations.best_of(df, "lang", "score", [F.col("phrase")], top).collect()} == want
