@@ -340,11 +340,16 @@ def test_contamination_of_a_very_long_text(spark):
 def test_hamming_index_is_complete(monkeypatch):
     monkeypatch.setattr(decontaminate, "CELLS", 5000)
     rng = np.random.default_rng(2)
-    prints = rng.integers(0, 2**63, 300, dtype=np.uint64)
-    queries = np.concatenate([prints[:50] ^ np.uint64(0b1011), rng.integers(0, 2**63, 200, dtype=np.uint64)])
+    words = decontaminate.PRINT_WORDS
+    prints = rng.integers(0, 2**63, (300, words), dtype=np.uint64)
+    flips = [np.packbits(np.isin(np.arange(64 * words), rng.choice(64 * words, n, replace=False))).view(np.uint64) for n in range(100)]
+    queries = np.concatenate([prints[:100] ^ np.array(flips), rng.integers(0, 2**63, (200, words), dtype=np.uint64)])
     q, f = decontaminate.HammingIndex(prints).within(queries)
-    near = np.bitwise_count(queries[:, None] ^ prints[None, :]) <= decontaminate.RADIUS
-    assert set(zip(q.tolist(), f.tolist(), strict=True)) == set(zip(*np.nonzero(near), strict=True))
+    near = np.bitwise_count(queries[:, None] ^ prints[None, :]).sum(2) <= decontaminate.RADIUS
+    assert set(zip(q.tolist(), f.tolist(), strict=True)) == set(zip(*np.nonzero(near), strict=True)) and near.sum() == decontaminate.RADIUS + 1
+    # Few random pairs have a block that is near.
+    blocks = decontaminate.HammingIndex.blocks_of(rng.integers(0, 2**64, (2000, words), dtype=np.uint64))
+    assert np.mean([(np.bitwise_count(blocks[:, i, None] ^ blocks[:, i + 1 :]) <= decontaminate.RADIUS // decontaminate.BLOCKS).any(0).mean() for i in range(200)]) < 0.01
 
 
 def toxic_docs(n, seed):
