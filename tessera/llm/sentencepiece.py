@@ -332,7 +332,8 @@ def encode_batch(texts: list[str], p: Pieces) -> list[np.ndarray]:
         keys, checks = two_hashes(coded.dictionary)
         if len(p.known.keys) > REMEMBERED:
             p.known = Remembered()
-        new = np.flatnonzero(~p.known.look(keys, checks)[1])
+        numbers, known = p.known.look(keys, checks)
+        new = np.flatnonzero(~known)
         data, at = buffers(coded.dictionary)
         words, first, lengths = data.view(np.uint32), at[new] // 4, np.diff(at)[new] // 4
         # Ids of the distinct words that weren't met before, by length.
@@ -354,8 +355,8 @@ def encode_batch(texts: list[str], p: Pieces) -> list[np.ndarray]:
                 counts[some] = n
                 order.append(some)
     order = np.concatenate(order)
-    p.known.add(keys[new[order]], checks[new[order]], np.concatenate(parts), np.append(0, np.cumsum(counts[order])))
-    ids, at = p.known.ids_at(p.known.look(keys, checks)[0][coded.indices.to_numpy()])
+    numbers[new[order]] = p.known.add(keys[new[order]], checks[new[order]], np.concatenate(parts), np.append(0, np.cumsum(counts[order])))
+    ids, at = p.known.ids_at(numbers[coded.indices.to_numpy()])
     cuts = at[np.searchsorted(begin, starts)]
     return [ids[a:b] for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
 

@@ -88,15 +88,18 @@ class Encoder:
         ids = np.concatenate(self.plainly(runs))
         return ids, np.append(0, np.searchsorted(np.cumsum(self.bytes_of[ids]), offsets[1:], "left") + 1)
 
-    def learn(self, pieces: pa.Array, keys: np.ndarray, checks: np.ndarray) -> None:
+    def learn(self, pieces: pa.Array, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """The numbers of new pieces."""
         data, offsets = buffers(pieces)
         spaced = pc.match_substring_regex(pieces, SPACE_AT_END).to_numpy(zero_copy_only=False)
         led = np.isin(data[offsets[:-1]], [10, 32]) & ~spaced  # white space never runs from one into the next
+        numbers = np.zeros(len(pieces), np.int64)
         ids, starts = self.joined(pieces.filter(pa.array(led)))
-        self.known.add(keys[led], checks[led], ids, starts)
+        numbers[led] = self.known.add(keys[led], checks[led], ids, starts)
         singly = self.plainly(pieces.filter(pa.array(~led)).to_pylist())
         starts = np.append(0, np.cumsum([len(x) for x in singly], dtype=np.int64))
-        self.known.add(keys[~led], checks[~led], np.concatenate([np.zeros(0, np.uint32), *singly]), starts)
+        numbers[~led] = self.known.add(keys[~led], checks[~led], np.concatenate([np.zeros(0, np.uint32), *singly]), starts)
+        return numbers
 
     def cut(self, texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
         """The pieces of texts (large strings, none with white space before a blank), and where each text's begin."""
@@ -126,11 +129,10 @@ class Encoder:
             keys, checks = two_hashes(coded.dictionary)
             if len(self.known.keys) > REMEMBERED:
                 self.known = Remembered()
-            new = ~self.known.look(keys, checks)[1]
-            if new.any():
-                self.learn(coded.dictionary.filter(pa.array(new)), keys[new], checks[new])
-            place = self.known.look(keys, checks)[0][coded.indices.to_numpy()]
-        whole, at = self.known.ids_at(place)
+            numbers, known = self.known.look(keys, checks)
+            if not known.all():
+                numbers[~known] = self.learn(coded.dictionary.filter(pa.array(~known)), keys[~known], checks[~known])
+        whole, at = self.known.ids_at(numbers[coded.indices.to_numpy()])
         if not len(odd):
             return whole, at[offsets]
         # Texts that were cut come first here, in the order of `even`, then the others.
@@ -186,31 +188,35 @@ def merkle(leaves: list[bytes]) -> bytes:
     return level[0]
 
 
-def multiply(a: int, b: int) -> int:
-    """Product of polynomials over GF(2) modulo the CRC-32 polynomial, lowest power in the highest bit."""
-    out = 0
+def multiply(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Products of polynomials over GF(2) modulo the CRC-32 polynomial, lowest power in the highest bit."""
+    out, b = np.zeros(len(a), np.uint32), b.copy()
     for i in range(31, -1, -1):
-        if a >> i & 1:
-            out ^= b
-        b = b >> 1 ^ (0xEDB88320 if b & 1 else 0)
+        out ^= b & -(a >> np.uint32(i) & np.uint32(1))
+        b = b >> np.uint32(1) ^ (np.uint32(0xEDB88320) & -(b & np.uint32(1)))
     return out
 
 
-@lru_cache(100_000)
-def byte_shift(n: int) -> int:
-    """x ** (8 n) modulo the CRC-32 polynomial."""
-    out, square = 1 << 31, 1 << 23
-    while n:
-        if n & 1:
-            out = multiply(square, out)
+def byte_shifts(n: np.ndarray) -> np.ndarray:
+    """x ** (8 n) modulo the CRC-32 polynomial, for each n."""
+    out, square = np.full(len(n), 1 << 31, np.uint32), np.full(1, 1 << 23, np.uint32)
+    for bit in range(int(n.max(initial=0)).bit_length()):
+        has = np.flatnonzero(n >> bit & 1)
+        out[has] = multiply(out[has], np.repeat(square, len(has)))
         square = multiply(square, square)
-        n >>= 1
     return out
 
 
-def joined_crc(first: int, second: int, length: int) -> int:
-    """The CRC-32 of two byte strings one after the other, from their own and the second's length."""
-    return multiply(byte_shift(length), first) ^ second
+def joined_crcs(crcs: np.ndarray, sizes: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The CRC-32s of strings of bytes from those of their pieces: string i has pieces starts[i] to starts[i + 1], of `sizes` bytes.
+
+    A piece's CRC counts times the power that the bytes after it in its string give.
+    """
+    upto = np.append(0, np.cumsum(sizes))
+    after = np.repeat(upto[starts[1:]], np.diff(starts)) - upto[1:]
+    parts = multiply(byte_shifts(after), crcs.astype(np.uint32))
+    sums = np.append(np.uint32(0), np.bitwise_xor.accumulate(parts) if len(parts) else parts)
+    return sums[starts[1:]] ^ sums[starts[:-1]]
 
 
 def encoded(texts: pa.Array, path: str) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -356,14 +362,15 @@ def read_facts(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFr
         import pyarrow as pa
 
         for batch in batches:
-            rows = []
-            for r in batch.to_pylist():
-                n, crc = 0, 0
-                for p in r["parts"]:
-                    n, crc = n + p["n"], joined_crc(crc, p["crc"], 4 * p["n"])
-                rows.append((n, crc, n == r["n_tokens"] and merkle([p["digest"] for p in r["parts"]]) == r["root"]))
-            n, crc, good = zip(*rows, strict=True) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(crc, pa.int64()), pa.array(good, pa.bool_())], names=["id", "start", "n_tokens", "ids_crc32", "verified"])
+            starts = batch.column(4).offsets.to_numpy().astype(np.int64)
+            parts = batch.column(4).flatten()
+            digests, sizes, crcs = parts.field(1).to_pylist(), parts.field(2).to_numpy(), parts.field(3).to_numpy()
+            starts -= starts[0]
+            total = np.append(0, np.cumsum(sizes))
+            n = total[starts[1:]] - total[starts[:-1]]
+            roots = [merkle(digests[a:b]) for a, b in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
+            good = [a == b and x == y for a, b, x, y in zip(n.tolist(), batch.column(2).to_pylist(), roots, batch.column(3).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(n), pa.array(joined_crcs(crcs, 4 * sizes, starts).astype(np.int64)), pa.array(good, pa.bool_())], names=["id", "start", "n_tokens", "ids_crc32", "verified"])
 
     joined = recipes.select("id", "start", "n_tokens", "root").join(parts, "start").select("id", "start", "n_tokens", "root", "parts")
     return joined.mapInArrow(put_together, f"id {kind}, start long, n_tokens long, ids_crc32 long, verified boolean").withColumnRenamed("id", id_col)

@@ -86,32 +86,36 @@ class Words:
 
 
 class Remembered:
-    """Words or pieces met before: two hashes of each, the first in order, and where its token ids are in `ids`."""
+    """Words or pieces met before, numbered as they came: two hashes of each, and where its token ids are in `ids`."""
 
     def __init__(self):
-        self.keys, self.checks = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-        self.first, self.count, self.ids = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32)
+        self.keys, self.numbers = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # first hashes in order, and whose they are
+        self.checks, self.first, self.count = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
 
     def look(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Places of pieces, and which of them are known."""
+        """Numbers of pieces, and which of them are known."""
         if not len(self.keys):
             return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
         at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
-        return at, (self.keys[at] == keys) & (self.checks[at] == checks)
+        number = self.numbers[at]
+        return number, (self.keys[at] == keys) & (self.checks[number] == checks)
 
-    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> None:
-        """Pieces whose ids are ids[starts[i] : starts[i + 1]]."""
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """The numbers of new pieces, whose ids are ids[starts[i] : starts[i + 1]]."""
+        numbers = len(self.checks) + np.arange(len(keys))
         order = np.argsort(keys)
         at = np.searchsorted(self.keys, keys[order])
-        put = lambda old, new: np.insert(old, at, new[order])
-        self.first, self.count = put(self.first, len(self.ids) + starts[:-1]), put(self.count, np.diff(starts))
-        self.keys, self.checks, self.ids = put(self.keys, keys), put(self.checks, checks), np.concatenate([self.ids, ids.astype(np.uint32)])
-
-    def ids_at(self, place: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of the pieces at these places, one after the other, and where each one's begin (one more entry)."""
-        n = self.count[place]
+        self.keys, self.numbers = np.insert(self.keys, at, keys[order]), np.insert(self.numbers, at, numbers[order])
+        self.checks, self.count = np.concatenate([self.checks, checks]), np.concatenate([self.count, np.diff(starts)])
+        self.first, self.ids = np.concatenate([self.first, len(self.ids) + starts[:-1]]), np.concatenate([self.ids, ids.astype(np.uint32)])
+        return numbers
+
+    def ids_at(self, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces of these numbers, one after the other, and where each one's begin (one more entry)."""
+        n = self.count[number]
         at = np.append(0, np.cumsum(n))
-        return self.ids[np.repeat(self.first[place] - at[:-1], n) + np.arange(at[-1])], at
+        return self.ids[np.repeat(self.first[number] - at[:-1], n) + np.arange(at[-1])], at
 
 
 def buffers(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -217,7 +217,9 @@ def test_chunks_and_crcs(monkeypatch):
     assert every.tolist() == one and (np.diff(every, prepend=0) <= 300).all()
     assert plain_chunk_ends(ids[:2000]) == token_store.chunk_ends(ids[:2000], np.array([0, 2000])).tolist()
     a, b = b"abc" * 99, b"defgh" * 1000
-    assert token_store.joined_crc(zlib.crc32(a), zlib.crc32(b), len(b)) == zlib.crc32(a + b)
+    pieces = [a, b, b"", b, a, a, b"x" * 100_000]
+    found = token_store.joined_crcs(np.array([zlib.crc32(x) for x in pieces]), np.array([len(x) for x in pieces]), np.array([0, 2, 2, 3, 7]))
+    assert found.tolist() == [zlib.crc32(a + b), 0, 0, zlib.crc32(b + a + a + b"x" * 100_000)]
 
 
 @pytest.mark.parametrize("broadcast", [500_000, 0])
