@@ -7,7 +7,6 @@ from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,10 +36,6 @@ def grams(hashes: np.ndarray, n: int) -> np.ndarray:
     return mix(out)
 
 
-def lowered(texts: pa.Array) -> pa.Array:
-    return pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), ""))
-
-
 def bit_sums(shingles: np.ndarray, word: int) -> np.ndarray:
     """Running sums (one more row than shingles) of +1 or -1 for each of the 64 bits of a word of fingerprints."""
     own = mix(shingles ^ np.uint64((0x9E3779B97F4A7C15 * word) & 0xFFFFFFFFFFFFFFFF))
@@ -130,7 +125,7 @@ def items_of(ids: list, texts: list) -> Items:
     with np.errstate(over="ignore"):
         found_ids, sizes, shingles = [], [], []
         at = 0
-        for a, b, data, offsets in slices(lowered(pa.array(texts, pa.large_string()))):
+        for a, b, data, offsets in slices(pa.array(texts, pa.large_string()), lower=True):
             words = words_of(data, offsets, NOT_WORD)
             for i in range(b - a):
                 own = words.hashes[words.starts[i] : words.starts[i + 1]]
@@ -239,10 +234,10 @@ def scan(docs: DataFrame, items: Items, similarity: float, keep: int | None):
         import pyarrow as pa
 
         for batch in batches:
-            texts = lowered(batch.column(1 if keep is None else keep))
+            texts = batch.column(1 if keep is None else keep)
             rows = []
             with np.errstate(over="ignore"):
-                for at, _, data, offsets in slices(texts):
+                for at, _, data, offsets in slices(texts, lower=True):
                     if len(sent.value.ids):
                         rows += [(at + t, *rest) for t, *rest in matches(words_of(data, offsets, NOT_WORD), sent.value, similarity)]
             if keep is not None:

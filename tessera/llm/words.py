@@ -133,19 +133,19 @@ def two_hashes(strings: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return byte_hashes(data, offsets[:-1], offsets[1:], 1), byte_hashes(data, offsets[:-1], offsets[1:], 2)
 
 
-def slices(texts: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first, last + 1, bytes, offsets into them) for runs of texts of about `size` bytes; null is empty."""
+def slices(texts: pa.Array, size: int = SLICE_BYTES, lower: bool = False) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first, last + 1, bytes, offsets into them) for runs of texts of about `size` bytes; null is empty. lower: in lower case.
+
+    Only one run at a time is copied, converted or lower-cased, never the whole column.
+    """
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    if not len(texts):
-        return
-    offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
-    data = np.frombuffer(texts.buffers()[2], np.uint8) if texts.buffers()[2] else np.zeros(0, np.uint8)
+    upto = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
     at = 0
     while at < len(texts):
-        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + size, "right")) - 1)
-        yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+        to = max(at + 1, int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, "right")))
+        run = pc.fill_null(texts.slice(at, to - at).cast(pa.large_string()), "")
+        yield at, to, *buffers(pc.utf8_lower(run) if lower else run)
         at = to
 
 
