@@ -115,8 +115,12 @@ def polygon_errors(polygons: DataFrame, pixels: DataFrame, key: str, by: float,
 
 
 def small_site_error(area: Column, ttc: Column) -> Column:
-    """Relative error of sites up to SMALL_SITE hectares: a fixed value for each bracket, over the mean."""
-    raw = F.when(ttc <= 10, 3.6386).when(ttc <= 40, 16.68).when(ttc <= 100, 23.468).otherwise(0.0)
+    """Relative error of sites up to SMALL_SITE hectares: a fixed value for each bracket, over the mean.
+
+    Means often are whole numbers, from which sums of parts leave them a hair off: brackets go by seven decimals.
+    """
+    mean = F.round(ttc, 7)
+    raw = F.when(mean <= 10, 3.6386).when(mean <= 40, 16.68).when(mean <= 100, 23.468).otherwise(0.0)
     return F.when((ttc == 0) | (area > SMALL_SITE), 0.0).otherwise(F.try_divide(raw, ttc))
 
 
