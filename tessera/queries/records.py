@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.fixtures import view, with_views
 from tessera.functions import scalars as S
+from tessera.functions.scalars import ARD_SOURCES
 from tessera.operators import geometry, patching, radar, scenes, tracking, zonal
 from tessera.plans import runs
 
@@ -65,14 +66,16 @@ def nearest_calibration(spark, d):
 
 
 @query("grown_boxes", """with b as (select x_tile, y_tile, x_tile / 18.0 - 1 / 36.0 as w, y_tile / 18.0 - 1 / 36.0 as s, x_tile / 18.0 + 1 / 36.0 as e, y_tile / 18.0 + 1 / 36.0 as n from v_grid),
-  m as (select *, 6378137.0 * radians(w) - 500 as mw, 6378137.0 * ln(tan(pi() / 4 + radians(n) / 2)) + 500 as mn from b)
-  select x_tile, y_tile, round(w - 4 / 360.0, 8) as west, round(n + 4 / 360.0, 8) as north, round(degrees(mw / 6378137.0), 8) as metres_west, round(degrees(2 * atan(exp(mn / 6378137.0)) - pi() / 2), 8) as metres_north, round(e + s, 8) as corner from m""")
+  m as (select *, 6378137.0 * radians(w) - 500 as mw, 6378137.0 * ln(tan(pi() / 4 + radians(s) / 2)) - 500 as ms, 6378137.0 * radians(e) + 500 as me, 6378137.0 * ln(tan(pi() / 4 + radians(n) / 2)) + 500 as mn from b)
+  select x_tile, y_tile, round(w - 4 / 360.0, 8) as west, round(s - 4 / 360.0, 8) as south, round(e + 4 / 360.0, 8) as east, round(n + 4 / 360.0, 8) as north, round(degrees(mw / 6378137.0), 8) as metres_west, round(degrees(2 * atan(exp(ms / 6378137.0)) - pi() / 2), 8) as metres_south,
+    round(degrees(me / 6378137.0), 8) as metres_east, round(degrees(2 * atan(exp(mn / 6378137.0)) - pi() / 2), 8) as metres_north, """ + ", ".join(f"round({c}, 8) as ring_{i}" for i, c in enumerate("w s e s e n w n w s".split())) + " from m")
 def grown_boxes(spark, d):
+    """All sides of grown boxes, and all corners of the rings around them."""
     box = S.tile_box(F.col("x_tile") / 18.0, F.col("y_tile") / 18.0)
-    g = view(spark, d, "v_grid").select("x_tile", "y_tile", S.expanded(box, 4).alias("a"), S.buffered(box, 500.0).alias("b"), S.ring(box).alias("ring"))
-    r = lambda c: F.round(c, 8)
-    corner = F.get(F.get("ring", F.lit(1)), F.lit(0)) + F.get(F.get("ring", F.lit(1)), F.lit(1))
-    return g.select("x_tile", "y_tile", r("a.w").alias("west"), r("a.n").alias("north"), r("b.w").alias("metres_west"), r("b.n").alias("metres_north"), r(corner).alias("corner"))
+    g = view(spark, d, "v_grid").select("x_tile", "y_tile", S.expanded(box, 4).alias("a"), S.buffered(box, 500.0).alias("b"), F.flatten(S.ring(box)).alias("ring"))
+    sides = {"w": "west", "s": "south", "e": "east", "n": "north"}
+    grown = [F.round(f"{x}.{c}", 8).alias(f"{prefix}{name}") for x, prefix in (("a", ""), ("b", "metres_")) for c, name in sides.items()]
+    return g.select("x_tile", "y_tile", *grown, *[F.round(F.get("ring", F.lit(i)), 8).alias(f"ring_{i}") for i in range(10)])
 
 
 #: Countries of sub-regions in the sites' units of degree; 'east' has two, 'lost' has no interval.
@@ -132,13 +135,18 @@ def retry_classes(spark, d):
     return view(spark, d, "v_jobs").select("seq", tracking.retryable(pick(ERRORS, seq % 10), pick(KINDS, F.floor(seq / 10) % 4)).alias("again"))
 
 
-@query("availability_text", """select year, x_tile, y_tile, count(*) over (partition by year) as n, concat('Raw ARD:    ', cast(cast(dem as int) + cast(s1 as int) as varchar), '/2 sources present') as last from
-  (select *, (x_tile + y_tile) % 2 = 0 as dem, x_tile % 3 = 0 as s1 from v_tiles)""")
+#: A tile's key of each source, as the report shows it.
+TILE_KEY = {"dem": "concat(year, '/raw/', x_tile, '/', y_tile, '/raw/misc/dem_', x_tile, 'X', y_tile, 'Y.hkl')", "s1": "concat(year, '/raw/', x_tile, '/', y_tile, '/raw/s1/', x_tile, 'X', y_tile, 'Y.hkl')"}
+TEXT_LINES = ", chr(10), ".join(f"'  {s:<3}  ', rpad(case when {s} then 'present' else 'MISSING' end, 8, ' '), '  ', {TILE_KEY[s]}" for s in ARD_SOURCES if s in TILE_KEY)
+
+
+@query("availability_text", f"""with t as (select *, (x_tile + y_tile) % 2 = 0 as dem, x_tile % 3 = 0 as s1, concat('Tile ', x_tile, 'X', y_tile, 'Y  |  year ', year, '  |  store') as head from v_tiles),
+  r as (select *, repeat('-', greatest(48, length(head))) as rule from t)
+  select year, x_tile, y_tile, concat(head, chr(10), rule, chr(10), {TEXT_LINES}, chr(10), rule, chr(10), 'Raw ARD:    ', dem::int + s1::int, '/2 sources present') as text from r""")
 def availability_text(spark, d):
-    """The last line of each tile's report, beside the number of tiles of its year."""
+    """The whole report of each tile."""
     t = view(spark, d, "v_tiles").select("year", "x_tile", "y_tile", ((F.col("x_tile") + F.col("y_tile")) % 2 == 0).alias("dem"), (F.col("x_tile") % 3 == 0).alias("s1"))
-    text = runs.availability_text(t, "store").withColumn("last", F.substring_index("text", "\n", -1))
-    return text.join(t.groupBy("year").agg(F.count("*").alias("n")), "year").select("year", "x_tile", "y_tile", "n", "last")
+    return runs.availability_text(t, "store")
 
 
 @query("run_summary", """select 'r1' as run_id, (select lower(task_type) from v_jobs group by task_type order by count(*) desc, task_type limit 1) as step, count(*) as n_jobs, count(*) filter (status = 'success') as n_success, count(*) filter (status = 'partial') as n_partial,
