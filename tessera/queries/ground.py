@@ -255,7 +255,7 @@ FEATURES_SQL = ", ".join(f"case when band > {j} then least(greatest(m{j}, 0.005)
   f as (select e.*, q.* exclude (tile, date), case when evi >= q80 then 4 when evi >= q60 then 3 when evi >= q40 then 2 when evi >= q20 then 1 else 0 end as fifth from e join q using (tile, date) where evi is not null),
   s as (select *, case when row_number() over (partition by tile, date, fifth order by o, t, r, c) <= floor(n / 5) then 1 else 0 end + 10 * (evi < q2)::int + 10 * (evi >= q98)::int as w from f),
   x as (select tile, date, band, w, [{FEATURES_SQL}, snow] as xs, [{', '.join(f'b{i}' for i in range(10))}][band + 1] as y from s, (select unnest(range(10)) as band) where w > 0)
-  select tile, date, cast(band as int) as band, cast(i as int) as i, {', '.join(f'round(sum(w * xs[i + 1] * xs[{j + 1}]), 5) as s{j}' for j in range(11))}, round(sum(w * xs[i + 1] * y), 5) as y from x, (select unnest(range(11)) as i) group by 1, 2, 3, 4""")
+  select tile, date, cast(band as int) as band, cast(i as int) as i, {', '.join(f'round(sum(w * xs[i + 1] * xs[{j + 1}]), 9) as s{j}' for j in range(11))}, round(sum(w * xs[i + 1] * y), 9) as y from x, (select unnest(range(11)) as i) group by 1, 2, 3, 4""")
 def regression_sums(spark, d):
     """The normal equations by which each cloudy image's gaps are fitted to a mosaic, for all bands."""
     p = scene(spark, d).withColumn("interp", F.when(F.col("b0") > 0.3, 0.5).otherwise(0.0))
@@ -263,7 +263,7 @@ def regression_sums(spark, d):
     ground = mosaic.join(regression.places(p), ["tile", "r", "c"])
     order = (F.col("r") * 31 + F.col("c") * 17 + F.col("t") * 13) % 101
     sums = regression.band_sums(regression.product_sums(regression.samples(p, ground, order)))
-    return sums.select("tile", "date", "band", "i", *[F.round(c, 5).alias(c) for c in (*[f"s{j}" for j in range(11)], "y")])
+    return sums.select("tile", "date", "band", "i", *[F.round(c, 9).alias(c) for c in (*[f"s{j}" for j in range(11)], "y")])
 
 
 @query("noise_clouds", f"""with p as (select tile, t, r, c, (b0 > 0.01) and ((r + c) % 2 = 0 or b1 > 0.3) as f from {SCENE}),
