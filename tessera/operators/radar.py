@@ -65,6 +65,8 @@ def terrain_corrected(image: DataFrame, height: int, width: int, look: Column, c
     the direction of view in radians. Slopes that turn too far away give 0, and so do points of calibration without a value.
     """
     keyed = image
+    # What is a whole number but for the last bits of a double counts as that number.
+    whole = lambda x: F.floor(F.round(x, 6)).cast("int")
     at = lambda points, name: nearest_values(points, "value", height, width).withColumnRenamed("value", name)
     gamma = F.col("dn").cast("double")
     if calibration is not None:
@@ -80,7 +82,7 @@ def terrain_corrected(image: DataFrame, height: int, width: int, look: Column, c
         theta = F.radians(degrees)
         local = F.cos("slope") * F.cos(theta) + F.sin("slope") * F.sin(theta) * F.cos(F.col("aspect") - look)
         gamma = F.when(F.col("slope").isNull() | F.col("aspect").isNull(), gamma).otherwise(F.coalesce(flattened(gamma, F.cos(theta), local), F.lit(0.0)))
-    return keyed.select("r", "c", F.floor(F.least(F.greatest(gamma, F.lit(0.0)), F.lit(1.0)) * SCALE).cast("int").alias("v"))
+    return keyed.select("r", "c", whole(F.least(F.greatest(gamma, F.lit(0.0)), F.lit(1.0)) * SCALE).alias("v"))
 
 
 def nearest_values(points: DataFrame, value: str, height: int, width: int) -> DataFrame:

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import numpy as np
+from pyspark.sql import functions as F
 
-from tessera.operators import geometry, zonal
+from tessera.operators import geometry, radar, zonal
 
 
 def test_points_on_a_squares_side_are_found(spark):
@@ -16,3 +17,10 @@ def test_points_on_a_squares_side_are_found(spark):
     regions = spark.createDataFrame([("west", geometry.wkb_of([[shape]]))], "place string, geom binary")
     points = spark.createDataFrame([(k, 155.5, 500.0 * k) for k in range(1, 21)], "k int, x double, y double")
     assert {r.place for r in zonal.first_region(points, regions, "k").collect()} == {"west"}
+
+
+def test_a_band_counts_whole_numbers_whole(spark):
+    """3 / 65535 * 65535 and the like are whole numbers, whatever the last bits say."""
+    rows = [(0, c, (c + 1) / 65535 - 1e-12) for c in range(200)]
+    image = spark.createDataFrame(rows, "r int, c int, dn double")
+    assert {r.c: r.v for r in radar.terrain_corrected(image, 1, 200, F.lit(0.0)).collect()} == {c: c + 1 for c in range(200)}
