@@ -7,7 +7,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import geometry
+from . import batches, geometry
 from .shared import Saved
 
 #: Points closer than this along an axis are one.
@@ -152,11 +152,22 @@ def pieces(polygons: DataFrame, group: str, cell: float, geom: str = "geom") ->
     A polygon's squares come from its rows of squares: those that an edge enters, and those between them that are
     inside. Geometries that can't be read have none.
     """
-    def spread(batches):
-        for batch in batches:
+    def spread(rows):
+        for batch in rows:
             keys, at_i, at_j, out = [], [], [], []
-            for k, raw in enumerate(batch.column(1).to_pylist()):
-                parts = geometry.parts_of(raw)
+            values = batch.column(1).to_pylist()
+            groups, rest = batches.layouts(values)
+            for own, parts, _ in groups:
+                points = np.concatenate([r for p in parts for r in p], 1)
+                low, high = np.floor(points.min(1) / cell), np.floor(points.max(1) / cell)
+                whole = (low == high).all(1)  # in one square as they are
+                keys += own[whole].tolist()
+                at_i += low[whole, 0].astype(int).tolist()
+                at_j += low[whole, 1].astype(int).tolist()
+                out += [values[k] for k in own[whole].tolist()]
+                rest += own[~whole].tolist()
+            for k in rest:
+                parts = geometry.parts_of(values[k])
                 if not parts or not any(len(r) for p in parts for r in p):
                     continue
                 every = np.concatenate([r for p in parts for r in p])
@@ -180,15 +191,77 @@ def pieces(polygons: DataFrame, group: str, cell: float, geom: str = "geom") ->
 def square_unions(polygons: DataFrame, group: str, cell: float, geom: str = "geom") -> DataFrame:
     """(g, i, j, area, edges): the union of a group's polygons in each square, and its boundary, the square's sides included."""
     kind = polygons.schema[group].dataType.simpleString()
-
-    def unite(key, table):
-        i, j = (k.as_py() for k in key[1:])
-        parts = [p for raw in table.column("geom").to_pylist() for p in geometry.parts_of(raw)]
-        area, edges = united(parts, i * cell, j * cell, (i + 1) * cell, (j + 1) * cell)
-        lists = pa.array([edges.tolist()], pa.list_(pa.list_(pa.float64())))
-        return pa.Table.from_arrays([table.column("g").slice(0, 1), pa.array([i]), pa.array([j]), pa.array([area]), lists], names=["g", "i", "j", "area", "edges"])
-
-    return pieces(polygons, group, cell, geom).groupBy("g", "i", "j").applyInArrow(unite, f"g {kind}, i long, j long, area double, edges array<array<double>>")
+    names = ["g", "i", "j", "area", "edges"]
+
+    def unite(batches_of_rows):
+        for table in runs(batches_of_rows, ("g", "i", "j")):
+            starts = run_starts(table, ("g", "i", "j"))
+            ends = np.append(starts[1:], len(table))
+            squares = table.select(["g", "i", "j"]).take(pa.array(starts))
+            raw = table.column("geom").to_pylist()
+            single = np.flatnonzero(ends - starts == 1)
+            areas, edges = lone([raw[k] for k in starts[single].tolist()])
+            found = dict(zip(single.tolist(), zip(areas, edges, strict=True), strict=True))
+            i, j = squares.column("i").to_pylist(), squares.column("j").to_pylist()
+            for k in range(len(starts)):
+                if found.get(k, (None,))[0] is None:
+                    parts = [p for v in raw[starts[k] : ends[k]] for p in geometry.parts_of(v)]
+                    area, own = united(parts, i[k] * cell, j[k] * cell, (i[k] + 1) * cell, (j[k] + 1) * cell)
+                    found[k] = area, own
+            each = [found[k] for k in range(len(starts))]
+            flat = np.concatenate([np.zeros((0, 4)), *[e for _, e in each]])
+            points = pa.ListArray.from_arrays(pa.array(np.arange(0, 4 * len(flat) + 1, 4), pa.int32()), pa.array(flat.ravel()))
+            lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum([len(e) for _, e in each])), pa.int32()), points)
+            for batch in pa.Table.from_arrays([*squares.columns, pa.array([float(a) for a, _ in each], pa.float64()), lists], names=names).to_batches():
+                yield batch
+
+    dealt = pieces(polygons, group, cell, geom).repartition("g", "i", "j").sortWithinPartitions("g", "i", "j")
+    return dealt.mapInArrow(unite, f"g {kind}, i long, j long, area double, edges array<array<double>>")
+
+
+def run_starts(table: pa.Table, keys: tuple[str, ...]) -> np.ndarray:
+    """Where rows with other keys than the row before begin, in a table sorted by keys."""
+    new = np.zeros(max(len(table) - 1, 0), bool)
+    for c in keys:
+        code = table.column(c).combine_chunks().dictionary_encode(null_encoding="encode")
+        code = (code.combine_chunks() if isinstance(code, pa.ChunkedArray) else code).indices.to_numpy(zero_copy_only=False)
+        new |= np.diff(code) != 0
+    return np.append(0, 1 + np.flatnonzero(new)) if len(table) else np.zeros(0, int)
+
+
+def runs(rows, keys: tuple[str, ...]):
+    """Tables that hold whole runs of rows with equal keys, of a sorted stream of batches."""
+    held: list[pa.Table] = []
+    for batch in rows:
+        held.append(pa.Table.from_batches([batch]))
+        edge = held if len(held) == 1 else [held[-2].slice(len(held[-2]) - 1), held[-1]]
+        starts = run_starts(pa.concat_tables(edge), keys) - (len(edge) - 1)
+        starts = starts[starts >= 0] if len(held) > 1 else starts[1:]
+        if not len(batch):
+            held.pop()
+        elif len(starts):  # the last run may go on in the next batch
+            table = pa.concat_tables([*held[:-1], held[-1].slice(0, starts[-1])])
+            held = [held[-1].slice(starts[-1])]
+            if len(table):
+                yield table
+    if held:
+        yield pa.concat_tables(held)
+
+
+def lone(values: list) -> tuple[list, list]:
+    """Areas and boundaries (the inside to the left) of polygons of one sound ring each; None for others."""
+    areas, edges = [None] * len(values), [None] * len(values)
+    for at, parts, _ in batches.layouts(values)[0]:
+        if len(parts) != 1 or len(parts[0]) != 1 or not 4 <= parts[0][0].shape[1] <= batches.MOST_SIDES + 1:
+            continue
+        rings = parts[0][0]
+        size = batches.shoelaces(rings)[:, 0]
+        good = np.flatnonzero(batches.sound(rings) & (batches.contacts(rings)[0] == 0) & (size != 0) & (np.abs(np.diff(rings, axis=1)).max(2).min(1) > 10 * SNAP))
+        turned = np.where((size[good] < 0)[:, None, None], rings[good][:, ::-1], rings[good])
+        sides = np.concatenate([turned[:, :-1], turned[:, 1:]], 2)
+        for n, k in enumerate(at[good].tolist()):
+            areas[k], edges[k] = abs(size[good[n]]), sides[n]
+    return areas, edges
 
 
 def union_areas(polygons: DataFrame, group: str, cell: float, geom: str = "geom") -> DataFrame:

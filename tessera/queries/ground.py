@@ -292,7 +292,7 @@ def triangle_wkb(x0, y0, x1, y1):
 
 
 def triangles(spark, d):
-    p = view(spark, d, "v_polys").crossJoin(tile_side(spark, d))
+    p = view(spark, d, "v_polys").select("k", "x0", "y0", "x1", "y1").repartition(spark.sparkContext.defaultParallelism, "k").crossJoin(tile_side(spark, d))
     low = lambda c: F.col(c) * F.col("side") / 1360.0
     high = lambda c: low(f"{c}0") + (F.col(f"{c}1") - F.col(f"{c}0")) / 170.0
     return p.select("k", triangle_wkb(low("x0"), low("y0"), high("x"), high("y")).alias("geom"))
@@ -329,7 +329,7 @@ PLAN = "(values (0, 0.0, 0.0), (1, 0.5, 0.0), (2, -0.5, 0.0), (3, 0.0, 0.5), (4,
   select k, uuid, 1995 + k % 2 as year, round(ttc, 3) as ttc, round(ttc * sqrt(hi * hi + sub_hi * sub_hi + shift_error * shift_error / 4 + small * small / 4), 3) as error_plus, round(ttc * sqrt(lo * lo + sub_lo * sub_lo + shift_error * shift_error / 4 + small * small / 4), 3) as error_minus from e""")
 def polygon_statistics(spark, d):
     """Means and errors of triangles by year, three of them under one key."""
-    polygons = triangles(spark, d).repartition(spark.sparkContext.defaultParallelism, "k").join(view(spark, d, "v_polys").select("k", "calc_area"), "k").join(centres(spark, d), "k")
+    polygons = triangles(spark, d).join(view(spark, d, "v_polys").select("k", "calc_area"), "k").join(centres(spark, d), "k")
     polygons = polygons.select((F.col("k") - F.col("k") % 3).alias("uuid"), (1995 + F.col("k") % 2).alias("year"), F.col("k").alias("place"), "geom", F.col("calc_area").alias("area"), F.expr(CATEGORY).alias("category"), "x", "y")
     years = site_raster(spark, d).select("r", "c", "u8", F.explode(F.array(F.lit(1995).cast("long"), F.lit(1996).cast("long"))).alias("year"))
     pixels = years.withColumn("u8", F.when(F.col("u8") != 255, (F.col("u8") + 40 * (F.col("year") - 1995)) % 101).otherwise(255))
@@ -342,8 +342,8 @@ def polygon_statistics(spark, d):
   and (greatest(y_tile * 200, y0) - y0) * (x1 - x0) <= (least(x_tile * 200 + 200, x1) - x0) * (y1 - y0)""")
 def polygon_tiles(spark, d):
     corners = [F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")]
-    p = view(spark, d, "v_polys").select("k", "x0", "y0", "x1", "y1", triangle_wkb(*corners).alias("geom"))
-    p = p.repartition(spark.sparkContext.defaultParallelism, "k")  # the table is one file
+    p = view(spark, d, "v_polys").select("k", "x0", "y0", "x1", "y1").repartition(spark.sparkContext.defaultParallelism, "k")  # the table is one file
+    p = p.select("*", triangle_wkb(*corners).alias("geom"))
     return tiles.polygons_on_grid(p, view(spark, d, "v_grid")).select("k", "x_tile", "y_tile")
 
 
@@ -356,7 +356,8 @@ def diagonal_triangles(spark, d):
     x, y, n = F.floor(F.col("x0") / 10).cast("double"), F.floor(F.col("y0") / 10).cast("double"), (1 + F.col("k") % 30).cast("double")
     ring = lambda *points: F.array(F.array(F.array(*[F.array(*p) for p in (*points, points[0])])))
     up, low = ring((x, y), (x + n, y + n), (x, y + n)), ring((x, y), (x + n, y), (x + n, y + n))
-    return view(spark, d, "v_polys").select("k", "framework_key", F.year("plantstart").alias("year"), geometry.wkb(F.when(F.col("k") % 2 == 1, up).otherwise(low)).alias("geom"))
+    p = view(spark, d, "v_polys").select("k", "framework_key", "plantstart", "x0", "y0").repartition(spark.sparkContext.defaultParallelism, "k")  # the table is one file
+    return p.select("k", "framework_key", F.year("plantstart").alias("year"), geometry.wkb(F.when(F.col("k") % 2 == 1, up).otherwise(low)).alias("geom"))
 
 
 @query("union_areas", f"select framework_key, round(count(*) / 2, 6) as area from (select distinct framework_key, i, j, h from {HALVES}) group by 1")

@@ -78,8 +78,9 @@ def polygon_parts(spark, d):
     x0, y0, x1, y1 = [F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")]
     first = F.array(ring((x0, y0), (x1, y0), (x1, y1)))
     second = F.when(F.col("k") % 5 == 0, F.array(ring((x0, y0), (x1, y0), (x1, y0)))).otherwise(F.array(ring((x0 + 400, y0), (x1 + 400, y0), (x1 + 400, y1))))
-    polygons = view(spark, d, "v_polys").select("k", geometry.wkb(F.when(F.col("k") % 3 == 0, F.array(first)).otherwise(F.array(first, second))).alias("geom"))
-    found = geometry.described(geometry.exploded(polygons.repartition(spark.sparkContext.defaultParallelism, "k")))
+    polygons = view(spark, d, "v_polys").select("k", "x0", "y0", "x1", "y1").repartition(spark.sparkContext.defaultParallelism, "k")  # the table is one file
+    polygons = polygons.select("k", geometry.wkb(F.when(F.col("k") % 3 == 0, F.array(first)).otherwise(F.array(first, second))).alias("geom"))
+    found = geometry.described(geometry.exploded(polygons))
     return found.select("k", "part_idx", "status", F.round("cx", 6).alias("cx"))
 
 
@@ -88,7 +89,8 @@ def untangled_areas(spark, d):
     """Bow ties, of which one of the two equal lobes is kept, and triangles as they are."""
     x0, y0, x1, y1 = [F.col(c).cast("double") for c in ("x0", "y0", "x1", "y1")]
     shape = F.when(F.col("k") % 2 == 0, ring((x0, y0), (x1, y1), (x1, y0), (x0, y1))).otherwise(ring((x0, y0), (x1, y0), (x1, y1)))
-    polygons = view(spark, d, "v_polys").select("k", geometry.wkb(F.array(F.array(shape))).alias("geom")).repartition(spark.sparkContext.defaultParallelism, "k")
+    polygons = view(spark, d, "v_polys").select("k", shape.alias("shape")).repartition(spark.sparkContext.defaultParallelism, "k")
+    polygons = polygons.select("k", geometry.wkb(F.array(F.array("shape"))).alias("geom"))
     mended = polygons.select("k", geometry.repair(F.col("geom")).alias("geom"))
     return overlay.union_areas(mended, "k", 100_000.0).join(geometry.described(mended), "k").select("k", "status", F.round("area", 3).alias("area"))
 
