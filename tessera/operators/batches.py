@@ -294,3 +294,25 @@ def box_areas(values: list, boxes: np.ndarray) -> np.ndarray:
     for k in rest:
         out[k] = geometry.clip_area(geometry.parts_of(values[k]), *boxes[k])
     return out
+
+
+def polygons_written(values: pa.ListArray) -> list:
+    """Well-known binary of arrays of polygons, rings and points; None for empty ones and nulls. The points' numbers are copied as they stand."""
+    polygons = values.values
+    rings = polygons.values
+    points = rings.values
+    at = [x.offsets.to_numpy() for x in (values, polygons, rings, points)]
+    if any(x.null_count for x in (polygons, rings, points, points.values)) or (np.diff(at[3]) != 2).any():
+        every = values.to_pylist()
+        return [geometry.wkb_of([[np.array([p[:2] for p in ring], float) for ring in own] for own in v]) if v else None for v in every]
+    raw = points.values.to_numpy(zero_copy_only=False).astype("<f8").tobytes()
+    start, rings_at, polygons_at = (8 * at[3][at[2]]).tolist(), at[1].tolist(), at[0].tolist()
+    count, one, head = struct.Struct("<I").pack, struct.Struct("<BII").pack, {}
+    sizes = np.diff(at[2]).tolist()
+    for n in {*sizes}:
+        head[n] = count(n)
+    body = [one(1, geometry.POLYGON, b - a) + b"".join([head[sizes[r]] + raw[start[r] : start[r + 1]] for r in range(a, b)]) for a, b in zip(rings_at[:-1], rings_at[1:], strict=True)]
+    out = []
+    for a, b, there in zip(polygons_at[:-1], polygons_at[1:], values.is_valid().to_pylist(), strict=True):
+        out.append(None if not there or a == b else body[a] if b == a + 1 else one(1, geometry.MULTIPOLYGON, b - a) + b"".join(body[a:b]))
+    return out

@@ -61,3 +61,13 @@ def test_runs_stay_together(size):
     assert pa.concat_tables(found).equals(rows)
     for a, b in zip(found[:-1], found[1:], strict=True):
         assert a.column("g")[-1].as_py() != b.column("g")[0].as_py()
+
+
+def test_arrays_written():
+    rows = [[[[[0.0, 0.0], [4.0, 0.0], [4.0, 4.0], [0.0, 0.0]], [[1.0, 1.0], [2.0, 1.0], [2.0, 2.0], [1.0, 1.0]]]], None, [], [[[[5.0, 5.0], [6.0, 5.0], [5.0, 5.0]]], [[[7.0, 5.0], [8.0, 5.0], [7.0, 5.0]]]]]
+    kind = pa.list_(pa.list_(pa.list_(pa.list_(pa.float64()))))
+    want = [geometry.wkb_of([[np.array(r)[:, :2] for r in p] for p in v]) if v else None for v in rows]
+    assert batches.polygons_written(pa.array(rows, kind)) == want
+    assert batches.polygons_written(pa.array([rows[2], *rows], kind).slice(1)) == want
+    high = [[[[[*p, 9.0] for p in r] for r in own] for own in v] if v else v for v in rows]
+    assert batches.polygons_written(pa.array(high, kind)) == want
