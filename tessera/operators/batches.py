@@ -296,6 +296,111 @@ def box_areas(values: list, boxes: np.ndarray) -> np.ndarray:
     return out
 
 
+#: Polygons of up to so many pixels in height, without edges flatter than that, have their pixels' parts from areas under edges.
+TALLEST, FLATTEST = 64, 1 / 64
+
+
+def bounds(values: list) -> np.ndarray:
+    """w, s, e, n of each geometry; not a number where it can't be read or has no points."""
+    out = np.full((len(values), 4), np.nan)
+    groups, rest = layouts(values)
+    for at, parts, _ in groups:
+        every = np.concatenate([r for p in parts for r in p], 1)
+        out[at] = np.hstack([every.min(1), every.max(1)])
+    for k in rest:
+        rings = [r for p in geometry.parts_of(values[k]) for r in p if len(r)]
+        if rings:
+            every = np.concatenate(rings)
+            out[k] = *every.min(0), *every.max(0)
+    return out
+
+
+def edges_along(parts: list[list[np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (polygons, edges, 4) from left to right, and 1 where the inside is below them, -1 where it is above."""
+    edges, signs = [], []
+    for rings in parts:
+        for i, ring in enumerate(rings):
+            turn = np.where((shoelaces(ring)[:, 0] > 0) == (i == 0), 1, -1)[:, None]
+            p, q = ring[:, :-1], ring[:, 1:]
+            back = p[..., 0] > q[..., 0]
+            edges.append(np.where(back[..., None], np.concatenate([q, p], 2), np.concatenate([p, q], 2)))
+            signs.append(np.where(back, turn, -turn))
+    return np.concatenate(edges, 1), np.concatenate(signs, 1)
+
+
+def area_under(e: np.ndarray, a: np.ndarray, b: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """The area under edges (x0, y0, x1, y1) from a to b, between two levels: a difference of squares of heights over twice the slope."""
+    x, y, m = e[:, 0], e[:, 1], (e[:, 3] - e[:, 1]) / (e[:, 2] - e[:, 0])
+    square = lambda at, level: np.maximum(y + (at - x) * m - level, 0.0) ** 2
+    with np.errstate(divide="ignore", invalid="ignore"):
+        slanted = (square(b, low) - square(a, low) - square(b, high) + square(a, high)) / (2 * m)
+    return np.where(m != 0, slanted, (b - a) * (np.maximum(y - low, 0.0) - np.maximum(y - high, 0.0)))
+
+
+def pixel_parts(values: list, corners: np.ndarray, shifts: list[tuple[float, float]], width: int, height: int) -> pa.ListArray:
+    """array of (r, c, parts) of geometries in windows of pixels from corners (c, r): see geometry.pixel_coverage.
+
+    A pixel's part is the sum of what lies in it under each edge, above the polygon's lowest point.
+    """
+    moves, size_limit = np.array(shifts), (width, height)
+    owners, pixels, found = [np.zeros(0, int)], [np.zeros((0, 2), int)], [np.zeros((0, len(shifts)))]
+    groups, rest = layouts(values)
+    for at, parts, _ in groups:
+        every = np.concatenate([r for p in parts for r in p], 1)
+        fits = np.all([(r[:, 0] == r[:, -1]).all(1) for p in parts for r in p], axis=0) & np.isfinite(every).all((1, 2))
+        edges, signs = edges_along(parts)
+        rise, run = np.abs(edges[..., 3] - edges[..., 1]), edges[..., 2] - edges[..., 0]
+        fits &= (np.ptp(every[..., 1], axis=1) <= TALLEST) & ((rise == 0) | (rise >= run * FLATTEST)).all(1)
+        if edges.shape[1] > MOST_SIDES:
+            fits[:] = False
+        rest += at[~fits].tolist()
+        at, every, edges, signs = at[fits], every[fits], edges[fits], signs[fits]
+        low = np.maximum(np.floor(every.min(1) + moves.min(0)), corners[at]).astype(int)
+        size = np.maximum(np.minimum(np.ceil(every.max(1) + moves.max(0)), corners[at] + size_limit).astype(int) - low, 0)
+        for i, j in chunks(size.prod(1) * (edges.shape[1] + len(shifts))):
+            first = np.append(0, np.cumsum(size[i:j].prod(1)))
+            out = np.zeros((first[-1], len(shifts)))
+            for k, move in enumerate(moves):
+                base, e = every[i:j, :, 1].min(1) + move[1], edges[i:j] + np.tile(move, 2)
+                row, edge = np.nonzero((e[..., 2] > e[..., 0]) & (np.maximum(e[..., 1], e[..., 3]) > base[:, None]))
+                e, sign, base = e[row, edge], signs[i:j][row, edge], base[row]
+                start, stop = low[i:j][row], (low[i:j] + size[i:j])[row]
+                start = np.maximum(start, np.floor(np.column_stack([e[:, 0], base])).astype(int))
+                stop = np.minimum(stop, np.ceil(np.column_stack([e[:, 2], np.maximum(e[:, 1], e[:, 3])])).astype(int))
+                some = (stop > start).all(1)
+                row, e, sign, base, start, stop = (v[some] for v in (row, e, sign, base, start, stop))
+                own, cr = spread(start, stop - 1)
+                c, r = cr.T
+                e, row = e[own], row[own]
+                part = sign[own] * area_under(e, np.maximum(e[:, 0], c), np.minimum(e[:, 2], c + 1), np.maximum(base[own], r), r + 1)
+                place = first[row] + (r - low[i:j][row, 1]) * size[i:j][row, 0] + c - low[i:j][row, 0]
+                out[:, k] = np.bincount(place, part, len(out))
+            seen = np.nonzero(out.max(1) > 1e-12)[0]
+            row = np.searchsorted(first, seen, "right") - 1
+            place = seen - first[row]
+            owners.append(at[i:j][row])
+            pixels.append(np.column_stack([low[i:j][row, 1] + place // size[i:j][row, 0], low[i:j][row, 0] + place % size[i:j][row, 0]]))
+            found.append(out[seen])
+    for k in rest:
+        own = [[p for p in rings if len(p)] for rings in geometry.parts_of(values[k])]
+        every = np.concatenate([np.zeros((0, 2)), *[p for rings in own for p in rings]])
+        if not len(every):
+            continue
+        low = np.maximum(np.floor(every.min(0) + moves.min(0)), corners[k]).astype(int)
+        size = np.maximum(np.minimum(np.ceil(every.max(0) + moves.max(0)), corners[k] + size_limit).astype(int) - low, 0)  # the part of the window that the envelope meets
+        out = np.stack([geometry.coverage([[p + move for p in rings] for rings in own], *low, *size) for move in moves], 2)
+        rc = np.argwhere(out.max(2) > 1e-12) if out.size else np.zeros((0, 2), int)
+        owners.append(np.full(len(rc), k))
+        pixels.append(rc + low[::-1])
+        found.append(out[rc[:, 0], rc[:, 1]])
+    own, rc, out = np.concatenate(owners), np.concatenate(pixels), np.concatenate(found)
+    order = np.argsort(own, kind="stable")
+    offsets = np.append(0, np.cumsum(np.bincount(own, minlength=len(values))))
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(own) + 1, dtype=np.int32) * len(shifts)), pa.array(out[order].ravel()))
+    rows = pa.StructArray.from_arrays([*(pa.array(rc[order, k].astype(np.int32)) for k in (0, 1)), lists], ["r", "c", "parts"])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rows)
+
+
 def polygons_written(values: pa.ListArray) -> list:
     """Well-known binary of arrays of polygons, rings and points; None for empty ones and nulls. The points' numbers are copied as they stand."""
     polygons = values.values
