@@ -8,7 +8,7 @@ from pyspark.sql.window import Window as W
 
 from tessera.functions.spectral import evi, normalised_difference
 
-from .raster import cross_dilated, window_extreme
+from .raster import both_ways, cross_dilated, window_extreme
 from .shared import Saved, percentiles
 from .terrain import local_variance, smoothed
 
@@ -60,10 +60,10 @@ def nearness(pixels: DataFrame, flag: str, reach: int, out: str) -> DataFrame:
     Down a column the nearest flagged pixel, then along a row the least distance to one of those within reach, held in
     a list of at most 2 reach + 1: no pixel is copied.
     """
-    down, across = W.partitionBy("tile", "t", "c").orderBy("r"), W.partitionBy("tile", "t", "r").orderBy("c")
+    down, up, across, _ = both_ways("tile", "t")
     at = F.when(F.col(flag), F.col("r"))
-    up, low = F.max(at).over(down.rangeBetween(W.unboundedPreceding, 0)), F.min(at).over(down.rangeBetween(0, W.unboundedFollowing))
-    column = pixels.withColumn("_d", F.least(F.col("r") - up, low - F.col("r")))
+    upto = lambda w: w.rangeBetween(W.unboundedPreceding, 0)
+    column = pixels.withColumn("_d", F.least(F.col("r") - F.max(at).over(upto(down)), F.min(at).over(upto(up)) - F.col("r")))
     near = F.collect_list(F.when(F.col("_d") < reach, F.struct("c", "_d"))).over(across.rangeBetween(1 - reach, reach - 1))
     least = F.array_min(F.transform("_within", lambda x: F.sqrt((x["c"] - F.col("c")) * (x["c"] - F.col("c")) + x["_d"] * x["_d"])))
     found = column.withColumn("_within", near).withColumn("_least", F.least(F.coalesce(least, F.lit(float(reach))), F.lit(float(reach))))
@@ -183,7 +183,8 @@ def clouds_left(mosaic: DataFrame, part: float = 1.0) -> DataFrame:
     up to three steps are taken out of them, and the rest grows by eight. A tile of doubtful pixels alone has no clouds.
     part: take that part of both limits.
     """
-    near = cross_dilated(mosaic, "false_cloud", 10).withColumnRenamed("dilated", "_near").withColumn("_doubt", (F.col("clear") < 2) | F.col("_near"))
+    found = cross_dilated(mosaic, "false_cloud", 10).withColumnRenamed("dilated", "_near").withColumn("_doubt", (F.col("clear") < 2) | F.col("_near"))
+    near = Saved(mosaic.sparkSession, "clouds-left").table(found, "near")
     sure = near.where(~F.col("_doubt"))
     limits = percentiles(sure, ["tile"], "b0", {"_blue": 0.99}).join(percentiles(sure, ["tile"], "b2", {"_red": 0.99}), "tile")
     lit = (F.col("b0") > part * F.col("_blue")) & (F.col("b2") > part * F.col("_red")) & F.col("_doubt") & (F.col("b0") + F.col("b1") + F.col("b2") < 1) & ~F.col("_near")

@@ -96,9 +96,9 @@ def nearest_values(points: DataFrame, value: str, height: int, width: int) -> Da
     good = points.where((F.col(value) > 0) & (F.col("line") < height) & (F.col("pixel") < width) & (F.col("line") >= 0) & (F.col("pixel") >= 0))
     good = good.groupBy(F.col("line").alias("r"), F.col("pixel").alias("c")).agg(F.max(value).alias(value))
     columns = good.select("c").distinct().select("c", F.explode(F.sequence(F.lit(0), F.lit(height - 1))).alias("r"))
-    down = W.partitionBy("c").orderBy("r")
+    down, back = (W.partitionBy("c").orderBy(order).rowsBetween(W.unboundedPreceding, 0) for order in (F.col("r"), F.desc("r")))
     at = F.when(F.col(value).isNotNull(), F.struct("r", value))
-    up, low = F.max(at).over(down.rowsBetween(W.unboundedPreceding, 0)), F.min(at).over(down.rowsBetween(0, W.unboundedFollowing))
+    up, low = F.max(at).over(down), F.min(at).over(back)
     near = columns.join(good, ["r", "c"], "left").withColumns({"_up": up, "_low": low})
     above = F.coalesce(F.col("r") - F.col("_up.r") <= F.col("_low.r") - F.col("r"), F.col("_up").isNotNull())
     found = near.select("r", F.struct("c", F.when(above, F.col("_up")).otherwise(F.col("_low")).alias("p")).alias("x")).groupBy("r").agg(F.collect_list("x").alias("_near"))

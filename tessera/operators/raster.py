@@ -19,6 +19,12 @@ def along(tile: str, row: str = "r", col: str = "c") -> tuple[W, W]:
     return W.partitionBy(tile, col).orderBy(row), W.partitionBy(tile, row).orderBy(col)
 
 
+def both_ways(*image: str, row: str = "r", col: str = "c") -> tuple[W, W, W, W]:
+    """Windows down and up a column, along and back a row of an image."""
+    lines = (W.partitionBy(*image, col), row), (W.partitionBy(*image, row), col)
+    return tuple(w.orderBy(order) for w, at in lines for order in (F.col(at), F.desc(at)))
+
+
 def window_extreme(pixels: DataFrame, n: int, value: str, out: str, tile: str = "tile", least: bool = False, after: int | None = None) -> DataFrame:
     """The greatest (or least) value within n rows and columns before to `after` (else n) behind: one pass down, one across. All
     pixels must be there."""
@@ -47,15 +53,13 @@ def window_sum(pixels: DataFrame, value: str, out: str, tile: str = "tile") -> D
 def cross_distance(pixels: DataFrame, flag: str, out: str, tile: str = "tile") -> DataFrame:
     """Steps (not diagonal) from each pixel to the nearest flagged one of its raster, null without any.
 
-    Down a column the nearest flagged pixel on either side, then along a row the least of that plus the steps to it:
-    two windows, and no pixel is copied.
+    Down a column the nearest flagged pixel on either side, then along a row the least of that plus the steps to it, each
+    from both ends of the line, as a window up to what follows would be reckoned anew at each pixel: no pixel is copied.
     """
-    before, after = W.unboundedPreceding, W.unboundedFollowing
-    down, across = along(tile)
+    down, up, across, back = (w.rangeBetween(W.unboundedPreceding, 0) for w in both_ways(tile))
     at = F.when(F.col(flag), F.col("r"))
-    up, low = F.max(at).over(down.rangeBetween(before, 0)), F.min(at).over(down.rangeBetween(0, after))
-    column = pixels.withColumn("_d", F.least(F.col("r") - up, low - F.col("r")))
-    left, right = F.min(F.col("_d") - F.col("c")).over(across.rangeBetween(before, 0)), F.min(F.col("_d") + F.col("c")).over(across.rangeBetween(0, after))
+    column = pixels.withColumn("_d", F.least(F.col("r") - F.max(at).over(down), F.min(at).over(up) - F.col("r")))
+    left, right = F.min(F.col("_d") - F.col("c")).over(across), F.min(F.col("_d") + F.col("c")).over(back)
     return column.withColumn(out, F.least(left + F.col("c"), right - F.col("c"))).drop("_d")
 
 
