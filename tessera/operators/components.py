@@ -21,16 +21,20 @@ def to_least(links: DataFrame, around: DataFrame) -> DataFrame:
 def clusters(members: DataFrame, node: str, *shared: str) -> DataFrame:
     """(node, cluster): cluster is the least node that chains of shared keys reach.
 
-    members has a row for each node and key (columns `shared`; a null is a value like others). Each node is linked to
-    the least node of its keys. Then rounds of two steps: each node's larger neighbours are hung on its least one, and
-    each node with its smaller neighbours on the least of these, until nothing changes. A chain halves in each round,
-    so rounds grow with the logarithm of the longest one. Minima alone are gathered by node, never its neighbours.
+    members has a row for each node and key (columns `shared`; a null is a value like others). A key stands for the least
+    node that has it, and a node's keys are linked to the least of these: links are as many as pairs of keys that nodes
+    have in common, however many nodes that are. Then rounds of two steps: each node's larger neighbours are hung on its
+    least one, and each node with its smaller neighbours on the least of these, until nothing changes. A chain halves in
+    each round, so rounds grow with the logarithm of the longest one. Minima alone are gathered by node, never its neighbours.
     """
     saved, turn = Saved(members.sparkSession, "clusters"), 0
     key = F.struct(F.xxhash64(*shared).alias("x"), F.xxhash64(F.lit(1), *[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in shared]).alias("y"))
-    members = saved.table(members.select(F.col(node).alias("a"), key.alias("key")).distinct(), "members")
-    hubs = members.groupBy("key").agg(F.min("a").alias("b"), F.max("a").alias("last")).where("b < last").select("key", "b")
-    links = saved.table(members.join(hubs, "key").where("a <> b").select("a", "b").distinct(), "0")
+    keyed = saved.table(members.select(F.col(node).alias("_node"), *shared), "members").select(F.col("_node").alias("a"), key.alias("key"))
+    hubs = saved.table(keyed.groupBy("key").agg(F.min("a").alias("b"), (F.min("a") < F.max("a")).alias("met")), "hubs")
+    hung = keyed.join(hubs, "key").select("a", "b", "met")
+    homes = saved.table(hung.groupBy("a").agg(F.min("b").alias("home")), "homes")
+    linked = hung.where("met").join(homes, "a").where("b <> home")
+    links = saved.table(linked.select(F.col("b").alias("a"), F.col("home").alias("b")).distinct(), "0")
     before = state_of(links)
     while before[0]:
         both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -43,8 +47,8 @@ def clusters(members: DataFrame, node: str, *shared: str) -> DataFrame:
         if after == before:
             break
         before = after
-    labels = links.groupBy("a").agg(F.min("b").alias("cluster"))
-    return members.select("a").distinct().join(labels, "a", "left").select(F.col("a").alias(node), F.coalesce("cluster", "a").alias("cluster"))
+    labels = links.groupBy("a").agg(F.min("b").alias("cluster")).withColumnRenamed("a", "home")
+    return homes.join(labels, "home", "left").select(F.col("a").alias(node), F.coalesce("cluster", "home").alias("cluster"))
 
 
 def largest_first(clustered: DataFrame, cluster: str = "cluster") -> DataFrame:
