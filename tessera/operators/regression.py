@@ -9,7 +9,7 @@ from pyspark.sql.window import Window as W
 
 from tessera.functions.spectral import evi, normalised_difference, snow
 
-from .shared import Saved, percentiles
+from .shared import Saved
 
 #: Bands, and features: the mosaic's bands and snow.
 BANDS, FEATURES = 10, 11
@@ -46,6 +46,15 @@ def fitted_images(pixels: DataFrame) -> DataFrame:
     return dates.join(images.select("tile", "at", "t"), ["tile", "at"]).select("tile", "date", "t")
 
 
+def cut(q: float, by: W) -> Column:
+    """The percentile q of evi in each window, between the values at the two places beside it. An image's rows are sorted once for all
+    of them, and are gathered for the sample's fifths anyway."""
+    at = F.floor(q * (F.col("n") - 1)).cast("long")
+    value = lambda place: F.max(F.when(F.col("place") == place, F.col("evi"))).over(by)
+    low, high = value(at), value(F.least(at + 1, F.col("n") - 1))
+    return low + (high - low) * (q * (F.col("n") - 1) - at)
+
+
 def samples(pixels: DataFrame, ground: DataFrame, order: Column | None = None) -> DataFrame:
     """(tile, date, weight, x, y): clear pixels off water on which each image is fitted.
 
@@ -58,10 +67,10 @@ def samples(pixels: DataFrame, ground: DataFrame, order: Column | None = None) -
     order = F.xxhash64("tile", "t", "r", "c") if order is None else order
     x, y = F.array(*[F.col(f"m{i}").cast("double") for i in range(BANDS)], F.col("snow").cast("double")), F.array(*[F.col(f"b{i}").cast("double") for i in range(BANDS)])
     rows = near.select("tile", "date", "t", "r", "c", order.alias("order"), evi(F.col("b0"), F.col("b2"), F.col("b3")).alias("evi"), x.alias("x"), y.alias("y")).where("evi is not null")
-    cuts = percentiles(rows, ["tile", "date"], "evi", CUTS)
-    fifth = sum(((F.col("evi") >= F.col(c)).cast("int") for c in ("_40", "_60", "_80")), (F.col("evi") >= F.col("_20")).cast("int"))
     by = W.partitionBy("tile", "date")
-    ranked = rows.join(cuts, ["tile", "date"]).withColumns({"fifth": fifth, "n": F.count("*").over(by)})
+    placed = rows.withColumns({"n": F.count("*").over(by), "place": F.row_number().over(by.orderBy("evi")) - 1})
+    fifth = sum(((F.col("evi") >= F.col(c)).cast("int") for c in ("_40", "_60", "_80")), (F.col("evi") >= F.col("_20")).cast("int"))
+    ranked = placed.withColumns({name: cut(q, by) for name, q in CUTS.items()}).withColumn("fifth", fifth)
     rank = F.row_number().over(W.partitionBy("tile", "date", "fifth").orderBy("order", "t", "r", "c"))
     once = (rank <= F.floor(F.least(F.col("n"), F.lit(MOST)) / 5)).cast("int")
     extreme = EXTREME * ((F.col("evi") < F.col("_2")).cast("int") + (F.col("evi") >= F.col("_98")).cast("int"))

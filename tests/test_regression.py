@@ -104,3 +104,10 @@ def test_images_that_are_clear_enough_stand_alone(spark, monkeypatch):
     for r in R.fitted_images(spark.createDataFrame(rows, "tile string, t int, r int, c int, interp double")).collect():
         found.setdefault(r.date, set()).add(r.t)
     assert found == {0: {0}, 1: {0, 1, 2}, 2: {1, 2, 3}, 3: {3}, 4: {2, 3, 4}}
+
+
+def test_an_images_rows_are_made_once_for_all_its_cuts(spark):
+    pixels = spark.createDataFrame([(0, t, 0, 0, 0.0, *[0.1] * 10) for t in range(3)], "tile int, t int, r int, c int, interp double, " + ", ".join(f"b{i} double" for i in range(10)))
+    ground = spark.createDataFrame([(0, 0, 0, False, 0.0, *[0.1] * 10)], "tile int, r int, c int, water boolean, snow double, " + ", ".join(f"m{i} double" for i in range(10)))
+    plan = R.samples(pixels, ground)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1 and "percentile_approx" not in plan
